@@ -144,8 +144,9 @@ def resample(df: DataFrame, timeframe: str = "D", price: str = "price", volume:
         F.sum(volume).alias("volume"),
         *[F.avg(c).alias(f"{c}_mean") for c in means],
     )
-    span = df.where(F.col(ts).isNotNull()).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).select(
-        F.window("lo", width)["start"].alias("lo"), F.window("hi", width)["start"].alias("hi")
+    ends = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).where(F.col("lo").isNotNull())
+    span = ends.select(F.window("lo", width)["start"].alias("lo"), "hi").select(
+        "lo", F.window("hi", width)["start"].alias("hi")
     )
     if keys:
         spine = bars.select(*keys).distinct().withColumns({
