@@ -23,11 +23,20 @@ def count_where(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
+def _interval_micros(i: Column) -> Column:
+    hours = F.extract(F.lit("DAY"), i) * F.lit(24).cast("bigint") + F.extract(F.lit("HOUR"), i)
+    seconds = F.extract(F.lit("SECOND"), i) * 1_000_000
+    return (hours * 60 + F.extract(F.lit("MINUTE"), i)) * 60_000_000 + seconds.cast("bigint")
+
+
+def micros_since_epoch(c: str | Column) -> Column:
+    """Microseconds of a zone-less timestamp, whatever the session zone."""
+    return _interval_micros(as_col(c) - F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
 def seconds_between(start: str | Column, end: str | Column) -> Column:
     """Elapsed seconds with microsecond precision, NULL when either is NULL."""
-    def micros(c):
-        return F.unix_micros(as_col(c).cast("timestamp"))
-    return (micros(end) - micros(start)).cast("double") / F.lit(1_000_000.0)
+    return _interval_micros(as_col(end) - as_col(start)).cast("double") / F.lit(1_000_000.0)
 
 
 def first_date(text: str | Column) -> Column:

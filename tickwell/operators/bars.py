@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwell.functions.scalar import ratio
+from tickwell.functions.scalar import micros_since_epoch, ratio
 from tickwell.operators.filters import in_session, priced_trades
 
 
-def first_by(value: str, order: tuple[str, ...]) -> Column:
-    return F.min_by(value, _order_key(order))
-
+def order_key(df: DataFrame, order: tuple[str, ...]) -> Column:
+    """One comparable value for an order by several columns.
 
-def last_by(value: str, order: tuple[str, ...]) -> Column:
-    return F.max_by(value, _order_key(order))
+    A struct works for any columns but forces sort-based aggregation, because
+    it cannot be updated in place.  Time plus an integer tie-break, the usual
+    case, fits one decimal and keeps the hash aggregate.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    first = df.schema[order[0]].dataType
+    instant = isinstance(first, (T.TimestampType, T.TimestampNTZType))
+    if len(order) == 2 and instant and isinstance(df.schema[order[1]].dataType, T.IntegralType):
+        micros = F.unix_micros(order[0]) if isinstance(first, T.TimestampType) else micros_since_epoch(order[0])
+        room = F.lit(Decimal(2 * 10**19))  # more than the span of a 64-bit tie-break
+        return micros.cast("decimal(19,0)") * room + F.col(order[1]).cast("decimal(19,0)")
+    return F.struct(*order)
 
 
-def _order_key(order: tuple[str, ...]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+def last_by(df: DataFrame, value: str, order: tuple[str, ...]) -> Column:
+    return F.max_by(value, order_key(df, order))
 
 
 def ohlcv(df: DataFrame, keys: list, order: tuple[str, ...] = ("ts", "event_id"),
           price: str = "price", volume: str = "volume", extra: tuple[Column, ...] = ()) -> DataFrame:
     """Open, high, low, close, volume per key; null prices never set a price."""
     priced = F.col(price).isNotNull()
-    key = F.when(priced, _order_key(order))
+    key = F.when(priced, order_key(df, order))
     return df.groupBy(*keys).agg(
         F.min_by(price, key).alias("open_price"),
         F.max(price).alias("high_price"),
@@ -73,8 +85,9 @@ def with_exchange_comparison(daily: DataFrame) -> DataFrame:
 
 def daily_closes(ticks: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
     """Daily close and volume only: the input of indicators and returns."""
-    return priced_trades(ticks).groupBy("exchange", "symbol", "data_date").agg(
-        last_by("price", order).alias("close_price"), F.sum("volume").alias("volume")
+    trades = priced_trades(ticks)
+    return trades.groupBy("exchange", "symbol", "data_date").agg(
+        last_by(trades, "price", order).alias("close_price"), F.sum("volume").alias("volume")
     )
 
 
@@ -135,7 +148,7 @@ def resample(df: DataFrame, timeframe: str = "D", price: str = "price", volume:
         if isinstance(f.dataType, T.NumericType) and f.name not in (price, volume, *keys)
     ]
     bucketed = df.where(F.col(ts).isNotNull()).withColumn("bucket", F.window(ts, width)["start"])
-    order = F.when(F.col(price).isNotNull(), _order_key((ts, *tie)))
+    order = F.when(F.col(price).isNotNull(), order_key(df, (ts, *tie)))
     bars = bucketed.groupBy(*keys, "bucket").agg(
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwell import dimensions
 from tickwell.functions.scalar import percent, seconds_between
+from tickwell.operators.bars import order_key
 from tickwell.operators.filters import priced_trades
 from tickwell.operators.ordered import MAX_GROUP_ROWS, SLICE_ROWS, asof_join
 
@@ -20,11 +21,12 @@ def bucket_prices(ticks: DataFrame, width: str, order: tuple[str, ...] = ("ts",
     """
     names = sorted(exchanges or dimensions.LOADED_EXCHANGES)
     kind = ticks.schema["ts"].dataType
+    newest = order_key(ticks, order)
     aggs = []
     for e in names:
         here = F.col("exchange") == e
         aggs += [
-            F.max_by("price", F.when(here, F.struct(*order))).alias(f"{e}_price"),
+            F.max_by("price", F.when(here, newest)).alias(f"{e}_price"),
             F.sum(F.when(here, F.col("volume"))).alias(f"{e}_volume"),
         ]
     return (

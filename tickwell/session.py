@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
+    "spark.ui.showConsoleProgress": "false",
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
