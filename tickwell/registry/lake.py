@@ -1 +1,473 @@
+"""Files and lake tables: the inputs are written by Spark from the given tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickwell.binding import LOADS_AS_OF, TICKS_AS_OF
+from tickwell.functions import sql_functions
+from tickwell.operators import control, quality
+from tickwell.plans import ingest, medallion
+from tickwell.registry import register
+from tickwell.session import scratch_path
+from tickwell.sinks import control_log, export, lake
+from tickwell.sources import files, tables
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _once(t, name: str, write) -> str:
+    """Path of a derived input, written once per session and input folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _WRITTEN:
+        path = scratch_path(t.spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+ROWS_PER_FILE = 1_000_000
+
+
+def landing(t) -> str:
+    """Gzip CSV files of the ticks, as a vendor delivers them.
+
+    LSE files lack the Qualifiers column, some lines are broken and some
+    volumes are text.
+    """
+    def write(path: str) -> None:
+        i, lse = F.col("event_id"), F.col("exchange") == "LSE"
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("symbol", "ts", "type", "price")]
+        cells += [F.when(i % 89 == 0, "n/a").otherwise(F.col("volume").cast("string")), F.col("exchange_time").cast("string")]
+        line = F.when(i % 97 == 0, "broken,line").when(lse, F.concat_ws(",", *cells)).otherwise(
+            F.concat_ws(",", *cells, F.concat(F.lit("q"), "type")))
+        chunk = F.floor(i / ROWS_PER_FILE).alias("chunk")
+        folder = ["exchange", "processing_stage", "data_date", "chunk"]
+        data = t.ticks.select("exchange", F.lit("ingestion").alias("processing_stage"), "data_date", chunk,
+                              F.lit(1).alias("_order"), line.alias("value"))
+        header = F.when(lse, "#RIC,Date-Time,Type,Price,Volume,Exch Time").otherwise(
+            "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers")
+        heads = data.select(*folder).distinct().select(*folder, F.lit(0).alias("_order"), header.alias("value"))
+        (
+            data.unionByName(heads).repartition(*folder).sortWithinPartitions(*folder, "_order").drop("_order")
+            .write.partitionBy(*folder).option("compression", "gzip").text(path)
+        )
+        # Spark names text parts .txt.gz; the readers below take that pattern.
+    return _once(t, "landing", write)
+
+
+GLOB = "*.gz"
+
+
+def _listed(t, **where) -> DataFrame:
+    return files.list_files(t.spark, landing(t), glob=GLOB, **where)
+
+
+def bronze(t) -> ingest.Lake:
+    def write(path: str) -> None:
+        ingest.load(t.spark, landing(t), ingest.Lake(path), glob=GLOB)
+    return ingest.Lake(_once(t, "lake", write))
+
+
+GOOD = """good AS (SELECT event_id, symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, exchange, data_date
+ FROM ticks WHERE event_id % 97 <> 0)"""
+
+# --- reading -----------------------------------------------------------------------
+
+
+@register("src_01_read_csv", """
+SELECT exchange, data_date, count(*) AS n, sum(price) AS total_price FROM ticks WHERE exchange = 'CME' AND event_id % 97 <> 0 GROUP BY 1, 2""")
+def _(t):
+    paths = _listed(t, exchange="CME")
+    names = [r["source_file"] for r in paths.select("source_file").toLocalIterator()]
+    df = files.read_with_source(t.spark, names, "`#RIC` string, `Date-Time` string, Type string, Price double, Volume string, `Exch Time` string, Qualifiers string")
+    good = df.where(F.col("`#RIC`") != "broken")
+    return good.groupBy(files.exchange_of(F.col("source_file")).alias("exchange"), "data_date").agg(
+        F.count("*").alias("n"), F.sum("Price").alias("total_price"))
+
+
+@register("src_02_source_file_dates", "SELECT data_date, count(*) AS n FROM ticks WHERE event_id % 97 <> 0 GROUP BY 1")
+def _(t):
+    raw = files.read_union(t.spark, _listed(t))
+    return ingest.bronze_rows(raw).where(~F.col("is_rejected")).groupBy("data_date").agg(F.count("*").alias("n"))
+
+
+@register("src_03_union_by_name", f"""WITH {GOOD}
+SELECT exchange, CASE WHEN exchange <> 'LSE' THEN 'q' || type END AS qualifiers, count(*) AS n, CAST(sum(volume) AS BIGINT) AS total_volume FROM good GROUP BY 1, 2""")
+def _(t):
+    rows = ingest.bronze_rows(files.read_union(t.spark, _listed(t))).where(~F.col("is_rejected"))
+    return rows.groupBy("exchange", "qualifiers").agg(F.count("*").alias("n"), F.sum("volume").alias("total_volume"))
+
+
+@register("src_04_rejected_rows", """
+SELECT exchange, count(*) FILTER (event_id % 97 = 0) AS rejected, count(*) FILTER (event_id % 97 <> 0) AS accepted FROM ticks GROUP BY 1""")
+def _(t):
+    kept = ingest.accepted(t.spark, bronze(t)).groupBy("exchange").agg(F.count("*").alias("accepted"))
+    lost = ingest.rejects(t.spark, bronze(t)).where(F.col("raw_line") == "broken,line")
+    return kept.join(lost.groupBy("exchange").agg(F.count("*").alias("rejected")), "exchange")
+
+
+@register("src_05_discover_schema", """
+SELECT unnest(['#RIC','Date-Time','Type','Price','Volume','Exch Time','Qualifiers']) AS column_name,
+ unnest(['string','string','string','double','string','timestamp','string']) AS data_type FROM (SELECT count(*) FROM ticks)""")
+def _(t):
+    names = [r["source_file"] for r in _listed(t, exchange="NYQ").select("source_file").toLocalIterator()]
+    return files.discover_schema(t.spark, names, 1.0).select("column_name", "data_type")
+
+
+@register("src_06_empty_table", """
+SELECT unnest(['data_date','event_id','exchange','ingestion_timestamp','price','processing_stage','source_file','symbol']) AS column_name,
+ CAST(0 * n AS BIGINT) AS row_count FROM (SELECT count(*) AS n FROM ticks)""")
+def _(t):
+    path = scratch_path(t.spark, "empty")
+    sample = t.ticks.select("event_id", "symbol", "price", "exchange", "data_date")
+    assert lake.create_empty_table(sample, path) and not lake.create_empty_table(sample, path)
+    stored = t.spark.read.parquet(path)
+    counted = stored.agg(F.count("*").alias("row_count"))
+    return tables.schema_frame(stored).select("column_name").withColumn("row_count", counted.scalar())
+
+
+REQUESTS = """r AS (SELECT DISTINCT exchange, data_date, ['ingestion','normalization'][day(data_date) % 2 + 1] AS processing_stage FROM ticks)"""
+
+
+def _requests(t) -> DataFrame:
+    stage = F.element_at(F.array(F.lit("ingestion"), F.lit("normalization")), F.dayofmonth("data_date") % 2 + 1)
+    return t.ticks.select("exchange", "data_date").distinct().withColumn("processing_stage", stage)
+
+
+@register("src_07_snk_06_manifest", f"""WITH {REQUESTS}
+SELECT exchange, data_date, processing_stage,
+ CASE WHEN exchange = 'LSE' OR processing_stage = 'ingestion' THEN 'lake/LSEG/TRTH/' || exchange || '/' || processing_stage || '/' || CAST(data_date AS VARCHAR)
+  || '/data/merged/' || exchange || '-' || CAST(data_date AS VARCHAR) || '-NORMALIZEDMP-Data-1-of-1.csv.gz' END AS source_file,
+ CASE WHEN exchange <> 'LSE' AND processing_stage <> 'ingestion' THEN 'stage ' || processing_stage || ' not available for ' || exchange END AS error FROM r""")
+def _(t):
+    return files.manifest(_requests(t))
+
+
+@register("udf_01_path_functions", f"""WITH {REQUESTS}
+SELECT exchange, data_date, 'lake/LSEG/TRTH/' || exchange || '/ingestion/' || CAST(data_date AS VARCHAR) || '/data/merged/' || exchange || '-' || CAST(data_date AS VARCHAR)
+ || '-NORMALIZEDMP-Data-1-of-1.csv.gz' AS data_path, 'lake/LSEG/TRTH/' || exchange || '/' || processing_stage || '/' || CAST(data_date AS VARCHAR) || '/data/merged/'
+ || exchange || '-' || CAST(data_date AS VARCHAR) || '-NORMALIZEDMP-Report-1-of-1.csv.gz' AS report_path FROM r""")
+def _(t):
+    sql_functions.register_path_functions(t.spark)
+    return _requests(t).select(
+        "exchange", "data_date", F.expr("source_data_path(exchange, data_date)").alias("data_path"),
+        F.expr("source_report_path(exchange, data_date, processing_stage)").alias("report_path"))
+
+
+@register("udf_02_freshness_function", """
+SELECT max(data_date) AS latest_date, CAST(date_diff('day', max(data_date), DATE '2024-01-31') AS INT) AS age_days, count(*) AS record_count FROM ticks""")
+def _(t):
+    t.ticks.createOrReplaceTempView("tickwell_ticks")
+    sql_functions.register_freshness(t.spark, "tick_freshness", "tickwell_ticks")
+    return t.spark.sql(f"SELECT * FROM tick_freshness(DATE '{TICKS_AS_OF}')")
+
+
+@register("src_08_list_files", """
+SELECT exchange, 'ingestion' AS processing_stage, data_date, count(*) AS files FROM
+ (SELECT DISTINCT exchange, data_date, event_id // 1000000 AS chunk FROM ticks WHERE data_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20') GROUP BY 1, 3""")
+def _(t):
+    listed = _listed(t, start="2024-01-05", end="2024-01-20")
+    return listed.groupBy("exchange", "processing_stage", "data_date").agg(F.count("*").alias("files"))
+
+
+@register("src_09_file_sizes", """
+SELECT exchange, data_date, count(*) AS files, count(*) AS sized_files FROM (SELECT DISTINCT exchange, data_date, event_id // 1000000 AS chunk FROM ticks) GROUP BY 1, 2""")
+def _(t):
+    state = control_log.current_state(t.spark.read.parquet(bronze(t).progress)).drop("file_size_bytes")
+    sized = files.with_file_sizes(state, _listed(t))
+    return sized.groupBy("exchange", "data_date").agg(
+        F.count("*").alias("files"), F.count(F.when(F.col("file_size_bytes") > 0, 1)).alias("sized_files"))
+
+
+@register("src_13_agg_01_rows_per_file", """
+SELECT exchange, data_date, count(*) AS row_count FROM ticks WHERE event_id % 97 <> 0 GROUP BY exchange, data_date, event_id // 1000000""")
+def _(t):
+    stored = ingest.accepted(t.spark, bronze(t))
+    path = F.col("source_file")
+    return files.rows_per_file(stored).select(
+        files.exchange_of(path).alias("exchange"), F.to_date(F.regexp_extract(path, r"data_date=(\d{4}-\d\d-\d\d)", 1)).alias("data_date"), "row_count")
+
+
+@register("agg_02_inventory", """
+WITH f AS (SELECT data_date, count(*) AS row_count FROM ticks WHERE event_id % 97 <> 0 GROUP BY exchange, data_date, event_id // 1000000)
+SELECT count(*) AS total_files, CAST(sum(row_count) AS BIGINT) AS total_rows, min(data_date) AS first_date, max(data_date) AS last_date FROM f""")
+def _(t):
+    return files.inventory_totals(files.inventory(ingest.accepted(t.spark, bronze(t))))
+
+
+@register("src_10_reports", """
+SELECT exchange, data_date, count(*) AS total_trades, CAST(sum(volume) AS BIGINT) AS total_volume FROM ticks GROUP BY 1, 2""")
+def _(t):
+    """Report rows written as gzip CSV and read back through the report reader."""
+    def write(path: str) -> None:
+        rows = quality.report_rows(t.ticks).select(
+            F.lit("ingestion").alias("processing_stage"), "exchange", "data_date", "total_trades", "total_volume")
+        rows.write.partitionBy("exchange", "processing_stage", "data_date").csv(
+            f"{path}/NORMALIZEDMP-Report-files", header=True, compression="gzip")
+    reports = files.read_reports(t.spark, _once(t, "reports", write))
+    return reports.select("exchange", "data_date", F.col("total_trades").cast("bigint").alias("total_trades"),
+                          F.col("total_volume").cast("bigint").alias("total_volume"))
+
+
+# --- loading -----------------------------------------------------------------------
+
+BRONZE = ["symbol", "ts", "type", "price", "volume", "exchange", "data_date"]
+
+
+@register("snk_01_05_bronze_load", f"WITH {GOOD} SELECT symbol, ts, type, price, volume, exchange, data_date FROM good")
+def _(t):
+    return ingest.accepted(t.spark, bronze(t)).select(*BRONZE)
+
+
+FILES = "(SELECT DISTINCT exchange, data_date, event_id // 1000000 AS chunk FROM ticks)"
+
+
+@register("snk_02_idempotent_load", f"SELECT exchange, 'skipped' AS status, count(*) AS files, CAST(0 AS BIGINT) AS records FROM {FILES} GROUP BY 1")
+def _(t):
+    again = ingest.load(t.spark, landing(t), bronze(t), glob=GLOB)
+    return again.groupBy("exchange", "status").agg(F.count("*").alias("files"), F.sum("records_loaded").alias("records"))
+
+
+@register("snk_03_04_forced_reload", f"WITH {GOOD} SELECT symbol, ts, type, price, volume, exchange, data_date FROM good WHERE exchange = 'CME'")
+def _(t):
+    target = ingest.Lake(scratch_path(t.spark, "reload"))
+    ingest.load(t.spark, landing(t), target, exchange="CME", glob=GLOB)
+    ingest.load(t.spark, landing(t), target, exchange="CME", start="2024-01-10", end="2024-01-12", force=True, glob=GLOB)
+    return ingest.accepted(t.spark, target).select(*BRONZE)
+
+
+@register("snk_12_progress_states", f"""
+SELECT f.exchange, 'completed' AS status, count(*) AS files, CAST(sum(loaded) AS BIGINT) AS records_loaded, CAST(sum(rejected) AS BIGINT) AS records_rejected FROM
+ (SELECT exchange, data_date, event_id // 1000000 AS chunk, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected FROM ticks GROUP BY 1, 2, 3) f GROUP BY 1""")
+def _(t):
+    state = control_log.current_state(t.spark.read.parquet(bronze(t).progress))
+    return state.groupBy("exchange", "status").agg(
+        F.count("*").alias("files"), F.sum("records_loaded").alias("records_loaded"), F.sum("records_rejected").alias("records_rejected"))
+
+
+@register("snk_13_audit_log", f"SELECT 'ingest' AS event_type, 'bronze.market_data_raw' AS table_name, count(*) AS record_count FROM {FILES}")
+def _(t):
+    return t.spark.read.parquet(bronze(t).audit).select("event_type", "table_name", "record_count")
+
+
+@register("udf_04_log_event", "SELECT 'validate' AS event_type, 'bronze.ticks' AS table_name, count(*) AS record_count, 'checked' AS message FROM ticks")
+def _(t):
+    path = scratch_path(t.spark, "audit")
+    lake.append(control_log.audit_rows(t.ticks, "validate", "bronze.ticks", "checked"), path)
+    return t.spark.read.parquet(path).select("event_type", "table_name", "record_count", "message")
+
+
+@register("snk_14_quality_log", """
+WITH x AS (SELECT exchange, data_date, symbol, price, volume FROM ticks),
+ c AS (SELECT exchange, data_date, count(*) AS total_records, count(*) FILTER (price <= 0) + count(*) FILTER (volume < 0) AS invalid_records,
+  count(*) FILTER (price IS NULL) AS null_price_count, count(*) FILTER (volume IS NULL) AS null_volume_count, count(*) - count(DISTINCT s) AS duplicate_count
+  FROM (SELECT x.*, x AS s FROM x) GROUP BY 1, 2),
+ s AS (SELECT *, total_records - invalid_records AS valid_records, CAST(0 AS BIGINT) AS anomaly_count, 'bronze.ticks' AS table_name,
+  CAST(100 AS DOUBLE) * (total_records - null_price_count - null_volume_count) / total_records AS completeness_score,
+  CAST(100 AS DOUBLE) * (total_records - invalid_records) / total_records AS accuracy_score,
+  CAST(100 AS DOUBLE) * (total_records - duplicate_count) / total_records AS consistency_score FROM c)
+SELECT *, (completeness_score + accuracy_score + consistency_score) / 3 AS overall_quality_score FROM s""")
+def _(t):
+    path = scratch_path(t.spark, "quality")
+    rows = control_log.quality_metrics(t.ticks.select("exchange", "data_date", "symbol", "price", "volume"), "bronze.ticks")
+    lake.append(rows, path)
+    return t.spark.read.parquet(path)
+
+
+# --- table maintenance ---------------------------------------------------------------
+
+
+def _fresh(t, df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> str:
+    path = scratch_path(t.spark, name)
+    lake.write_partitions(df, path, partitions, ())
+    return path
+
+
+TRADE_COUNTS = "SELECT exchange, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM trades WHERE data_date < DATE '1996-01-01' GROUP BY 1, 2"
+
+
+def _trade_counts(t) -> DataFrame:
+    early = t.trades.where(F.col("data_date") < F.lit("1996-01-01").cast("date"))
+    return early.groupBy("exchange", "data_date").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
+
+
+@register("snk_07_replace_table", TRADE_COUNTS)
+def _(t):
+    name = f"tickwell_counts_{t.sf_dir.rsplit('sf', 1)[-1].replace('.', '_')}"
+    path = scratch_path(t.spark, name)
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for _ in range(2):
+        _trade_counts(t).write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    return t.spark.table(name)
+
+
+@register("snk_08_table_from_files", f"WITH {GOOD} SELECT exchange, symbol, count(*) AS n FROM good GROUP BY 1, 2")
+def _(t):
+    path = scratch_path(t.spark, "from-files")
+    rows = ingest.bronze_rows(files.read_union(t.spark, _listed(t))).where(~F.col("is_rejected"))
+    export.export_table(rows, path)
+    return t.spark.read.parquet(path).groupBy("exchange", "symbol").agg(F.count("*").alias("n"))
+
+
+@register("snk_09_export_parquet", "SELECT exchange, symbol, data_date, price, volume FROM trades")
+def _(t):
+    path = scratch_path(t.spark, "export")
+    export.export_table(t.trades.select("exchange", "symbol", "data_date", "price", "volume"), path, "parquet")
+    return t.spark.read.parquet(path)
+
+
+@register("snk_09_export_orc", "SELECT exchange, symbol, data_date, price, volume FROM trades WHERE exchange = 'LSE'")
+def _(t):
+    path = scratch_path(t.spark, "export")
+    export.export_table(t.trades.where("exchange = 'LSE'").select("exchange", "symbol", "data_date", "price", "volume"), path, "orc")
+    return t.spark.read.orc(path)
+
+
+@register("snk_10_export_category_csv", """
+SELECT data_date, symbol, type, price, volume FROM ticks WHERE exchange = 'CME' AND symbol IN
+ ('MBTF25','BTCF25','MBTG25','BTCG25','HTEF25','ETEF25','MTEF25','ETEG25') AND data_date >= DATE '2024-01-05'""")
+def _(t):
+    path, _ = export.export_category(
+        t.ticks.select("exchange", "data_date", "symbol", "ts", "type", "price", "volume"),
+        scratch_path(t.spark, "exports"), "crypto_futures", "CME", "2024-01-05")
+    return t.spark.read.csv(path, header=True, schema="exchange string, data_date date, symbol string, ts string, type string, price double, volume bigint").drop("exchange", "ts")
+
+
+@register("agg_34_export_summary", """
+SELECT count(*) AS total_records, count(DISTINCT symbol) AS unique_symbols, list_sort(list(DISTINCT symbol)) AS symbols_found, min(data_date) AS earliest,
+ max(data_date) AS latest, count(DISTINCT data_date) AS unique_dates, CAST(sum(volume) AS BIGINT) AS total_volume, avg(price) AS avg_price
+FROM ticks WHERE exchange = 'CME' AND symbol IN ('MBTF25','BTCF25','MBTG25','BTCG25')""")
+def _(t):
+    return export.export_summary(export.category_rows(t.ticks, "bitcoin_futures", "CME"))
+
+
+@register("agg_38_minute_bars_csv", """
+SELECT exchange, symbol, date_trunc('minute', ts) AS bar_time, max(price) AS high_price, min(price) AS low_price, count(*) AS trade_count FROM ticks
+WHERE type = 'Trade' AND price IS NOT NULL AND strftime(ts, '%H:%M:%S') >= '08:00:00' AND strftime(ts, '%H:%M:%S') < '17:00:00' AND exchange = 'CME' GROUP BY 1, 2, 3""")
+def _(t):
+    path = scratch_path(t.spark, "minute-bars")
+    export.export_minute_bars(t.ticks, path, exchange="CME")
+    schema = ("exchange string, symbol string, data_date date, bar_time timestamp_ntz, open_price double, high_price double, low_price double, "
+              "close_price double, volume bigint, trade_count bigint, vwap double")
+    return t.spark.read.csv(path, header=True, schema=schema).select("exchange", "symbol", "bar_time", "high_price", "low_price", "trade_count")
+
+
+@register("snk_11_upsert", """
+SELECT exchange, data_date, CASE WHEN data_date >= DATE '1995-06-01' THEN n * 2 ELSE n END AS n FROM
+ (SELECT exchange, data_date, count(*) AS n FROM trades WHERE data_date < DATE '1996-01-01' GROUP BY 1, 2)""")
+def _(t):
+    counts = _trade_counts(t).drop("volume")
+    path = _fresh(t, counts.where("data_date < date'1995-09-01'"), "upsert", ("exchange",))
+    lake.upsert(counts.where("data_date >= date'1995-06-01'").withColumn("n", F.col("n") * 2), path, ["exchange", "data_date"], ("exchange",))
+    return t.spark.read.parquet(path)
+
+
+STATE = """SELECT exchange, 'ingestion' AS processing_stage, max(data_date) AS last_processed_date,
+ CAST(sum(records_loaded) AS BIGINT) AS records_processed, max(end_time) AS last_updated FROM load_log WHERE status = 'completed' GROUP BY 1"""
+
+
+@register("snk_15_feed_state", STATE)
+def _(t):
+    path = scratch_path(t.spark, "feed-state")
+    loads = t.load_log.withColumn("processing_stage", F.lit("ingestion"))
+    control_log.update_feed_state(loads.where("data_date < date'1999-01-01'"), path)
+    control_log.update_feed_state(loads, path)
+    return t.spark.read.parquet(path)
+
+
+@register("snk_16_retention", "SELECT id, exchange, data_date FROM load_log WHERE data_date >= DATE '2001-08-02' - 90")
+def _(t):
+    path = _fresh(t, t.load_log.select("id", "exchange", "data_date"), "retention")
+    lake.drop_older(t.spark, path, 90, LOADS_AS_OF)
+    return t.spark.read.parquet(path)
+
+
+@register("snk_17_layout", "SELECT exchange, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM ticks WHERE data_date = DATE '2024-01-15' GROUP BY 1, 2")
+def _(t):
+    def write(path: str) -> None:
+        lake.write_partitions(t.ticks, path, ("data_date", "exchange"))
+    stored = t.spark.read.parquet(_once(t, "layout", write))
+    return stored.where(F.col("data_date") == F.lit("2024-01-15").cast("date")).groupBy("exchange", "data_date").agg(
+        F.count("*").alias("n"), F.sum("volume").alias("volume"))
+
+
+@register("snk_18_added_column", "SELECT id, exchange, CASE WHEN id % 2 = 0 THEN file_size_bytes ELSE 0 END AS file_size_bytes FROM load_log")
+def _(t):
+    path = scratch_path(t.spark, "evolve")
+    lake.append(t.load_log.where("id % 2 = 1").select("id", "exchange"), path)
+    lake.append(t.load_log.where("id % 2 = 0").select("id", "exchange", "file_size_bytes"), path)
+    return lake.read_table(t.spark, path, {"file_size_bytes": ("bigint", 0)})
+
+
+@register("snk_19_widened_decimal", "SELECT l_orderkey, l_linenumber, round(turnover * 1000, 2) AS amount FROM trades")
+def _(t):
+    narrow = t.trades.select("l_orderkey", "l_linenumber", F.col("turnover").cast("decimal(10,2)").alias("amount"))
+    path = _fresh(t, narrow, "widen")
+    lake.widen_columns(t.spark, path, {"amount": "decimal(20,2)"})
+    stored = t.spark.read.parquet(path)
+    return stored.select("l_orderkey", "l_linenumber", (F.col("amount") * 1000).cast("double").alias("amount"))
+
+
+@register("udf_03_calculate_daily_stats", """
+SELECT true AS success, 'Daily statistics calculated successfully' AS message, coalesce(CAST(sum(records_loaded + records_rejected) AS BIGINT), 0) AS records_processed,
+ count(*) AS files_processed FROM load_log WHERE data_date = DATE '1998-03-06' AND exchange = 'CME'""")
+def _(t):
+    path = scratch_path(t.spark, "daily-stats")
+    control_log.calculate_daily_stats(t.load_log, path, "1998-03-06", "CME")
+    return control_log.calculate_daily_stats(t.load_log, path, "1998-03-06", "CME")
+
+
+# --- catalog -------------------------------------------------------------------------
+
+
+def _layers(t) -> list[str]:
+    """Bronze, silver and gold databases with a table each, derived from the ticks."""
+    suffix = t.sf_dir.rsplit("sf", 1)[-1].replace(".", "_")
+    names = [f"tickwell_{layer}_{suffix}" for layer in ("bronze", "silver", "gold")]
+
+    def write(path: str) -> None:
+        silver = medallion.to_silver(t.ticks)
+        parts = [("ticks", t.ticks), ("cleaned", silver), ("daily_metrics", medallion.daily_metrics(silver))]
+        for name, (table, df) in zip(names, parts):
+            t.spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+            t.spark.sql(f"CREATE DATABASE {name} LOCATION '{path}/{name}'")
+            df.write.format("parquet").mode("overwrite").option("path", f"{path}/{name}/{table}").saveAsTable(f"{name}.{table}")
+
+    _once(t, "layers", write)
+    return names
+
+
+@register("agg_10_list_datasets", """
+SELECT 'ticks' AS table_name, count(*) AS record_count, min(data_date) AS earliest_date, max(data_date) AS latest_date FROM ticks
+UNION ALL SELECT 'cleaned', count(*), NULL, NULL FROM ticks UNION ALL SELECT 'daily_metrics', count(DISTINCT data_date), NULL, NULL FROM ticks""")
+def _(t):
+    return tables.list_datasets(t.spark, _layers(t), stats=True).select("table_name", "record_count", "earliest_date", "latest_date")
+
+
+@register("agg_45_database_overview", """
+SELECT unnest(['bronze','silver','gold','TOTAL']) AS layer, unnest([CAST(1 AS BIGINT), 1, 1, 3]) AS table_count FROM (SELECT count(*) FROM ticks)""")
+def _(t):
+    label = F.regexp_replace("table_schema", r"^tickwell_([a-z]+)_.*$", "$1")
+    return tables.database_overview(t.spark, _layers(t)).select(label.alias("layer"), "table_count")
+
+
+@register("src_15_table_schema", """
+SELECT unnest(['event_id','exchange','symbol','ts','exchange_time','data_date','type','price','volume','bid_price','ask_price','yield_value']) AS column_name,
+ unnest(['bigint','string','string','timestamp_ntz','timestamp_ntz','date','string','double','bigint','double','double','double']) AS data_type FROM (SELECT count(*) FROM ticks)""")
+def _(t):
+    return tables.table_schema(t.spark, f"{_layers(t)[0]}.ticks").select("column_name", "data_type")
+
+
+@register("src_15_table_info", "SELECT 'ticks' AS table_name, true AS table_exists, CAST(12 AS INT) AS column_count, count(*) AS record_count FROM ticks")
+def _(t):
+    info = tables.table_info(t.spark, f"{_layers(t)[0]}.ticks")
+    return info.select(F.element_at(F.split("table_name", r"\."), -1).alias("table_name"), "table_exists", "column_count", "record_count")
+
+
+@register("src_14_control_tables", "SELECT exchange, status, count(*) AS n FROM load_log GROUP BY 1, 2")
+def _(t):
+    """Control tables live in the lake; a JDBC source reads the same shape where a database exists."""
+    path = _once(t, "control", lambda p: lake.write_partitions(t.load_log, p, ("exchange",), ()))
+    return control.status_counts(t.spark.read.parquet(path))
