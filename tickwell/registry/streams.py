@@ -1 +1,151 @@
+"""Streaming jobs run to the end of the available files, then read back.
 
+Checks compare with closed windows only: a window is emitted once the
+watermark, the newest event time minus the lateness, has passed its end.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickwell.binding import load_log_from_orders, ticks_from_events
+from tickwell.operators import bars
+from tickwell.registry import register
+from tickwell.registry.lake import landing
+from tickwell.session import scratch_path
+from tickwell.plans import ingest
+from tickwell.streaming import alerts, jobs
+
+
+def _source(t, table: str) -> DataFrame:
+    own = jobs.stream_session(t.spark)
+    return jobs.read_stream(own, t.path(table), t.read(table).schema)
+
+
+def _ticks(t) -> DataFrame:
+    return jobs.event_time(ticks_from_events(_source(t, "events")))
+
+
+def _loads(t) -> DataFrame:
+    loads = load_log_from_orders(_source(t, "orders"))
+    return jobs.event_time(jobs.event_time(loads, "start_time"), "end_time")
+
+
+def _run(t, df: DataFrame, **kw) -> DataFrame:
+    path = scratch_path(t.spark, "stream")
+    jobs.finish(jobs.run(df, f"{path}/checkpoint", f"{path}/out", **kw))
+    return t.spark.read.schema(df.schema).parquet(f"{path}/out")
+
+
+def _plain(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+BARS = """b AS (SELECT exchange, symbol, date_trunc('minute', ts) AS bar_time, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS bar_end,
+ arg_min(price, ts) AS open_price, max(price) AS high_price, min(price) AS low_price, arg_max(price, ts) AS close_price,
+ CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count FROM ticks WHERE type = 'Trade' AND price IS NOT NULL GROUP BY 1, 2, 3, 4),
+ closed AS (SELECT * FROM b WHERE bar_end <= (SELECT max(ts) FROM ticks WHERE type = 'Trade' AND price IS NOT NULL) - INTERVAL 1 MINUTE)"""
+
+
+@register("str_03_minute_bars", f"WITH {BARS} SELECT * FROM closed")
+def _(t):
+    return _plain(_run(t, jobs.minute_bars_stream(_ticks(t))), "bar_time", "bar_end")
+
+
+SEC = "((epoch_us(end_time) - epoch_us(start_time)) / CAST(1000000 AS DOUBLE))"
+STATS = f"""count(*) AS files, CAST(sum(records_loaded) AS BIGINT) AS records, count(*) FILTER (status = 'failed') AS errors,
+ avg({SEC}) AS avg_processing_time_seconds, CAST(sum(records_loaded) AS DOUBLE) / nullif(sum({SEC}), 0) AS records_per_second,
+ count(*) FILTER (status = 'failed') * CAST(100 AS DOUBLE) / count(*) AS error_rate"""
+
+
+@register("str_04_08_hourly_load_stats", f"""
+SELECT * FROM (SELECT date_trunc('hour', start_time) AS window_start, date_trunc('hour', start_time) + INTERVAL 1 HOUR AS window_end, exchange, {STATS}
+ FROM load_log GROUP BY 1, 2, 3)""")
+def _(t):
+    """Update mode: every batch upserts the hours it changed."""
+    path = scratch_path(t.spark, "hourly")
+    stats = jobs.load_stats_stream(_loads(t))
+    write = jobs.upsert_batch(f"{path}/out", ["window_start", "exchange"], ("exchange",))
+    jobs.finish(jobs.run(stats, f"{path}/checkpoint", mode="update", each_batch=write))
+    return _plain(t.spark.read.parquet(f"{path}/out"), "window_start", "window_end")
+
+
+@register("str_05_rolling_7_days", f"""
+WITH w AS (SELECT l.*, unnest(generate_series(CAST(start_time AS DATE) - INTERVAL 6 DAY, CAST(CAST(start_time AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS window_start FROM load_log l)
+SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, exchange, {STATS} FROM w GROUP BY 1, 2, 3
+HAVING window_start + INTERVAL 7 DAY <= (SELECT max(start_time) FROM load_log) - INTERVAL 1 HOUR""")
+def _(t):
+    return _plain(_run(t, jobs.load_stats_stream(_loads(t), "7 days", "1 day")), "window_start", "window_end")
+
+
+@register("str_06_latest_price", """
+SELECT exchange, symbol, ts, event_id, price, volume FROM ticks WHERE price IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY exchange, symbol ORDER BY ts DESC, event_id DESC) = 1""")
+def _(t):
+    path = scratch_path(t.spark, "latest")
+    write = jobs.upsert_batch(f"{path}/out", ["exchange", "symbol"], ("exchange",))
+    jobs.finish(jobs.run(jobs.latest_price_stream(_ticks(t)), f"{path}/checkpoint", mode="update", each_batch=write))
+    return _plain(t.spark.read.parquet(f"{path}/out"), "ts")
+
+
+@register("str_07_unique_ticks", "SELECT exchange, symbol, count(*) AS n, count(DISTINCT ts) AS times FROM ticks GROUP BY 1, 2")
+def _(t):
+    ticks = _ticks(t)
+    unique = jobs.unique_ticks_stream(ticks.unionByName(ticks), ["exchange", "symbol", "ts", "event_id"])
+    return _run(t, unique).groupBy("exchange", "symbol").agg(F.count("*").alias("n"), F.count_distinct("ts").alias("times"))
+
+
+ALERTS = """a AS (SELECT exchange, symbol, bar_time, coalesce(volume, 0) AS volume, close_price, lag(close_price) OVER w AS last,
+  avg(coalesce(volume, 0)) OVER p AS mean_volume, count(*) OVER p AS bars FROM closed
+  WINDOW w AS (PARTITION BY exchange, symbol ORDER BY bar_time), p AS (PARTITION BY exchange, symbol ORDER BY bar_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT exchange, symbol, bar_time, 'price_move' AS alert, (close_price / last - 1) * 100 AS value, last AS baseline FROM a WHERE abs(close_price / last - 1) * 100 >= 5
+UNION ALL SELECT exchange, symbol, bar_time, 'volume_spike', CAST(volume AS DOUBLE), mean_volume FROM a WHERE bars >= 5 AND volume > 3 * mean_volume"""
+
+
+@register("str_09_udf_07_alerts", f"WITH {BARS}, {ALERTS}")
+def _(t):
+    path = scratch_path(t.spark, "bars")
+    bar_stream = jobs.minute_bars_stream(_ticks(t))
+    jobs.finish(jobs.run(bar_stream, f"{path}/checkpoint", f"{path}/out"))
+    closed = jobs.read_stream(jobs.stream_session(t.spark), f"{path}/out", bar_stream.schema)
+    return _plain(_run(t, alerts.alerts_stream(closed)), "bar_time")
+
+
+@register("str_09_alerts_history", "WITH " + BARS.replace("b AS (SELECT", "b AS (SELECT", 1) + ", " + ALERTS.replace("FROM closed", "FROM b"))
+def _(t):
+    history = bars.minute_bars(t.ticks, session_start="00:00:00", session_end="24:00:00")
+    return alerts.alerts_batch(history)
+
+
+GOOD = "FROM ticks WHERE exchange = 'CME'"
+
+
+@register("str_01_02_stream_ingest", f"""
+SELECT symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, data_date {GOOD} AND event_id % 97 <> 0""")
+def _(t):
+    """New vendor files through a replay-safe batch writer; a second run finds nothing new."""
+    path = scratch_path(t.spark, "stream-ingest")
+    header = "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers"
+    for _ in range(2):
+        own = jobs.stream_session(t.spark)
+        raw = jobs.read_vendor_stream(own, f"{landing(t)}/exchange=CME/*/*/*", header)
+        rows = ingest.bronze_rows(raw)
+        jobs.finish(jobs.run(rows, f"{path}/checkpoint", each_batch=jobs.write_batch(f"{path}/out", f"{path}/audit")))
+    stored = t.spark.read.parquet(f"{path}/out").where(~F.col("is_rejected"))
+    return stored.select("symbol", "ts", "type", "price", "volume", "data_date")
+
+
+@register("str_10_11_batch_counts", f"""
+SELECT count(*) AS processed, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected, CAST(0 AS BIGINT) AS late {GOOD}""")
+def _(t):
+    path = scratch_path(t.spark, "stream-counts")
+    own = jobs.stream_session(t.spark)
+    header = "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers"
+    raw = jobs.read_vendor_stream(own, f"{landing(t)}/exchange=CME/*/*/*", header)
+    rows = jobs.observed(ingest.bronze_rows(raw), F.col("is_rejected"))
+    query = jobs.run(rows, f"{path}/checkpoint", f"{path}/out")
+    jobs.finish(query)
+    schema = "batch_id bigint, processed bigint, loaded bigint, rejected bigint, late bigint"
+    counts = t.spark.createDataFrame([tuple(r.values()) for r in jobs.batch_counts(query)], schema)
+    return counts.agg(*[F.sum(c).alias(c) for c in ("processed", "loaded", "rejected", "late")])
