@@ -477,8 +477,8 @@ SELECT exchange, symbol, exchange_time, price, volume AS quantity, bid_price, as
  CAST(NULL AS DOUBLE) AS settlement_price,
  price IS NOT NULL AND price > 0 AND volume IS NOT NULL AND volume >= 0 AND symbol IS NOT NULL
    AND NOT coalesce(bid_price > ask_price, false) AS is_valid_trade,
- CASE WHEN price IS NULL THEN CAST(80 AS DOUBLE) ELSE CAST(100 AS DOUBLE) END AS quality_score,
- CASE WHEN price IS NULL THEN ['NULL_PRICE'] ELSE CAST([] AS VARCHAR[]) END AS anomaly_flags,
+ CASE WHEN price IS NULL OR price <= 0 THEN CAST(80 AS DOUBLE) ELSE CAST(100 AS DOUBLE) END AS quality_score,
+ CASE WHEN price IS NULL THEN ['NULL_PRICE'] WHEN price <= 0 THEN ['BAD_PRICE'] ELSE CAST([] AS VARCHAR[]) END AS anomaly_flags,
  data_date FROM ticks""")
 def _(t):
     lse = t.ticks.where("exchange = 'LSE'")

@@ -99,7 +99,7 @@ def _(t):
 ALERTS = """a AS (SELECT exchange, symbol, bar_time, coalesce(volume, 0) AS volume, close_price, lag(close_price) OVER w AS last,
   avg(coalesce(volume, 0)) OVER p AS mean_volume, count(*) OVER p AS bars FROM closed
   WINDOW w AS (PARTITION BY exchange, symbol ORDER BY bar_time), p AS (PARTITION BY exchange, symbol ORDER BY bar_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT exchange, symbol, bar_time, 'price_move' AS alert, (close_price / last - 1) * 100 AS value, last AS baseline FROM a WHERE abs(close_price / last - 1) * 100 >= 5
+SELECT exchange, symbol, bar_time, 'price_move' AS alert, (close_price / nullif(last, 0) - 1) * 100 AS value, last AS baseline FROM a WHERE abs(close_price / nullif(last, 0) - 1) * 100 >= 5
 UNION ALL SELECT exchange, symbol, bar_time, 'volume_spike', CAST(volume AS DOUBLE), mean_volume FROM a WHERE bars >= 5 AND volume > 3 * mean_volume"""
 
 
