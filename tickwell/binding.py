@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TICKS_AS_OF = "2024-01-31"
 TRADES_AS_OF = "2001-11-05"
@@ -88,6 +89,9 @@ def load_log_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 class Tables:
     """Lazily bound inputs of one scale-factor folder."""
 
@@ -99,7 +103,12 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table by name; its schema is read from the files once per session."""
+        path = self.path(name)
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     @cached_property
     def ticks(self) -> DataFrame:

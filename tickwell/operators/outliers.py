@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions.scalar import percent, ratio
-from tickwell.operators.quantiles import exact_quantiles
+from tickwell.operators.quantiles import quantiles_of
 
 
 def _keep(df: DataFrame, outlier: list[Column]) -> DataFrame:
@@ -18,11 +18,9 @@ def _keep(df: DataFrame, outlier: list[Column]) -> DataFrame:
 
 def remove_outliers_iqr(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     """Rows inside the quartile fences of every known column."""
+    known = [c for c in columns if c in df.columns]
     rules = []
-    for c in columns:
-        if c not in df.columns:
-            continue
-        q1, q3 = exact_quantiles(df, c, [0.25, 0.75])
+    for c, (q1, q3) in quantiles_of(df, known, [0.25, 0.75]).items() if known else ():
         if q1 is None:
             continue
         reach = k * (q3 - q1)

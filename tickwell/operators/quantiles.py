@@ -23,21 +23,75 @@ DRIVER_VALUES = 50_000  # distinct values of one bracket that may reach the driv
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float],
                     accuracy: int = 10_000, driver_values: int = DRIVER_VALUES) -> list[float | None]:
     """Linear-interpolated quantiles of a numeric column, nulls ignored."""
-    values = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return [None] * len(probabilities)
-    ranks: set[int] = set()
-    for p in probabilities:
-        at = p * (n - 1)
-        ranks.update((math.floor(at), math.ceil(at)))
-    found = values_at_ranks(values, "v", sorted(ranks), n, accuracy, driver_values)
-    out = []
-    for p in probabilities:
-        at = p * (n - 1)
-        lo, hi = found[math.floor(at)], found[math.ceil(at)]
-        out.append(lo + (hi - lo) * (at - math.floor(at)))
-    return out
+    return quantiles_of(df, [column], probabilities, accuracy, driver_values)[column]
+
+
+def quantiles_of(df: DataFrame, columns: list[str], probabilities: list[float],
+                 accuracy: int = 10_000, driver_values: int = DRIVER_VALUES) -> dict[str, list[float | None]]:
+    """The same for several columns at once, normally in three passes.
+
+    Ranks the sketch missed, or whose bracket is still too wide, go through
+    ``values_at_ranks``.
+    """
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    eps = 2.0 / accuracy
+    cuts = [x for p in probabilities for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
+    sketch = values.agg(*[
+        x for i in range(len(columns))
+        for x in (F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", cuts, accuracy).alias(f"q{i}"))
+    ]).first()
+    filled = [i for i in range(len(columns)) if sketch[f"n{i}"]]
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    if not filled:
+        return result
+    brackets = {(i, j): (sketch[f"q{i}"][2 * j], sketch[f"q{i}"][2 * j + 1])
+                for i in filled for j in range(len(probabilities))}
+    counts = values.agg(*[
+        x for (i, j), (a, b) in brackets.items() for v in [F.col(f"v{i}")]
+        for x in (count_where(v < a).alias(f"lt{i}_{j}"), count_where(v == a).alias(f"ea{i}_{j}"),
+                  count_where((v > a) & (v < b)).alias(f"in{i}_{j}"), count_where(v == b).alias(f"eb{i}_{j}"))
+    ]).first()
+
+    found: dict[tuple[int, int], float] = {}
+    inner: dict[tuple[int, int], list[int]] = {}
+    missed: dict[int, list[int]] = {}
+    for (i, j), (a, b) in brackets.items():
+        lt, ea, mid = (counts[f"{k}{i}_{j}"] for k in ("lt", "ea", "in"))
+        eb = counts[f"eb{i}_{j}"] if b != a else 0
+        at = probabilities[j] * (sketch[f"n{i}"] - 1)
+        for r in {math.floor(at), math.ceil(at)}:
+            if lt <= r < lt + ea:
+                found[i, r] = a
+            elif lt + ea <= r < lt + ea + mid and mid <= driver_values:
+                inner.setdefault((i, j), []).append(r)
+            elif lt + ea + mid <= r < lt + ea + mid + eb:
+                found[i, r] = b
+            else:
+                missed.setdefault(i, []).append(r)
+    if inner:
+        picks = F.explode(F.array_compact(F.array(*[
+            F.when((F.col(f"v{i}") > brackets[i, j][0]) & (F.col(f"v{i}") < brackets[i, j][1]),
+                   F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v{i}").alias("v")))
+            for i, j in inner
+        ]))).alias("p")
+        rows = values.select(picks).groupBy("p.i", "p.j", "p.v").agg(F.count("*").alias("c")).collect()
+        for (i, j), ranks in inner.items():
+            upto = counts[f"lt{i}_{j}"] + counts[f"ea{i}_{j}"]
+            want = sorted(ranks)
+            for row in sorted((r for r in rows if r["i"] == i and r["j"] == j), key=lambda r: r["v"]):
+                upto += row["c"]
+                while want and want[0] < upto:
+                    found[i, want.pop(0)] = row["v"]
+    for i, ranks in missed.items():
+        one = values.select(F.col(f"v{i}").alias("v")).where(F.col("v").isNotNull())
+        exact = values_at_ranks(one, "v", sorted(set(ranks)), sketch[f"n{i}"], accuracy, driver_values)
+        found.update({(i, r): v for r, v in exact.items()})
+    for i in filled:
+        for j, p in enumerate(probabilities):
+            at = p * (sketch[f"n{i}"] - 1)
+            lo, hi = found[i, math.floor(at)], found[i, math.ceil(at)]
+            result[columns[i]][j] = lo + (hi - lo) * (at - math.floor(at))
+    return result
 
 
 def values_at_ranks(values: DataFrame, column: str, ranks: list[int], n: int,
@@ -118,6 +172,6 @@ def quartiles(df: DataFrame, columns: list[str], probabilities: tuple[float, ...
         ]).first()
         data = [(c, *(rows[c] or [None] * len(names))) for c in columns]
     else:
-        data = [(c, *exact_quantiles(df, c, list(probabilities))) for c in columns]
+        data = [(c, *found) for c, found in quantiles_of(df, columns, list(probabilities)).items()]
     schema = "column_name string, " + ", ".join(f"{n} double" for n in names)
     return df.sparkSession.createDataFrame(data, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per expression
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
