@@ -162,13 +162,21 @@ def test_exports(spark, folder):
         export.export_category(ticks, folder, "crypto_futures", "CME", fmt="xml")
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/run-shared/")
-    try:
-        assert shared_dir(spark) == "/tmp/run-shared" and scratch_path(spark, "x").startswith("/tmp/run-shared/tickwell/x-")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+class FakeSession:
+    """Only what ``shared_dir`` reads, since Spark fixes this setting at start."""
+
+    def __init__(self, master, **conf):
+        self.conf = conf
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+
+def test_shared_folder_comes_from_the_session():
+    named = FakeSession("spark://host:7077", **{"spark.checkpoint.dir": "s3a://bucket/shared/"})
+    assert shared_dir(named) == "s3a://bucket/shared" and scratch_path(named, "x").startswith("s3a://bucket/shared/tickwell/x-")
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession("spark://host:7077"))
+    local = FakeSession("local[8]")
+    assert shared_dir(local) == shared_dir(local) and os.path.isdir(shared_dir(local))
 
 
 def test_total_size_of_files(spark):

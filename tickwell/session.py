@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,6 +35,9 @@ def local_session(cores: int | str = 8, app: str = "tickwell", **conf: str) -> S
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -48,15 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="run-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/tickwell/{name}-{uuid.uuid4().hex}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or (path.startswith("/") and os.path.isabs(path))
