@@ -53,7 +53,7 @@ def test_lookback_same_on_both_paths(spark, lookback):
 
 def test_slices_are_contiguous_and_bounded(spark):
     df = spark.createDataFrame(skewed(5000, 4))
-    out = ordered.slices(df, ["symbol"], ["ts", "event_id"], 500).toPandas()
+    out = ordered.slices(df, ["symbol"], ["ts", "event_id"], 5000, 500).toPandas()
     assert len(out) == 5000 and out.groupby("_slice").size().max() < 1500
     ordered_ids = out.sort_values(["symbol", "ts", "event_id"])["_slice"]
     assert ordered_ids.is_monotonic_increasing

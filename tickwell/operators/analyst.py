@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions.scalar import finite, percent, ratio
+from tickwell.operators.bars import order_key
 from tickwell.operators.filters import priced_trades, quotes, with_spread
 from tickwell.operators.futures import with_contract
 from tickwell.operators.ordered import MAX_GROUP_ROWS, SLICE_ROWS, lookback_window
@@ -224,7 +225,7 @@ def time_of_day_volume(ticks: DataFrame) -> DataFrame:
 
 def last_settlement(ticks: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
     """Last settlement price and open interest per contract and day."""
-    key = F.struct(*order)
+    key = order_key(ticks, order)
     return ticks.groupBy(*SERIES, "data_date").agg(
         F.max_by("settlement_price", F.when(F.col("settlement_price").isNotNull(), key)).alias("settlement_price"),
         F.max_by("open_interest", F.when(F.col("open_interest").isNotNull(), key)).alias("open_interest"))

@@ -24,20 +24,21 @@ SLICE_ROWS = 2_000_000
 SLICE = "_slice"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the biggest key; reads only the key columns, combined map-side."""
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the biggest key and of all keys; reads only the key columns."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    row = counts.agg(F.max("n"), F.sum("n")).first()
+    return row[0] or 0, row[1] or 0
 
 
-def slices(df: DataFrame, keys: list[str], order: list[str], rows: int = SLICE_ROWS) -> DataFrame:
+def slices(df: DataFrame, keys: list[str], order: list[str], total: int, rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` with a slice number that rises with (keys, order).
 
     The slice comes from the file name of a written table, so it stays the
     same when a task is retried or an executor is lost.
     """
     spark = df.sparkSession
-    parts = max(1, math.ceil(df.count() / rows))
+    parts = max(1, math.ceil(total / rows))
     path = scratch_path(spark, "slices")
     df.repartitionByRange(parts, *keys, *order).write.parquet(path)
     name = F.col("_metadata.file_name")
@@ -57,9 +58,10 @@ def lookback_window(df: DataFrame, keys: list[str], order: list[str], lookback:
     cut into blocks, and the last ``lookback`` rows of a block are copied to
     the next one.  Every window partition then has a fixed size.
     """
-    if largest_group(df, keys) <= max_group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= max_group_rows:
         return add(df, keys)
-    sliced = slices(df, keys, order, slice_rows)
+    sliced = slices(df, keys, order, total, slice_rows)
     sizes = sliced.groupBy(*keys, SLICE).agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
@@ -91,11 +93,12 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], ts: str, paylo
     )
     both = tagged.unionByName(lookup, allowMissingColumns=True)
     order = [ts, "_side", "_tie"]
-    if largest_group(both, keys) <= max_group_rows:
+    largest, total = group_sizes(both, keys)
+    if largest <= max_group_rows:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         matched = both.withColumn("_match", F.last("_found", ignorenulls=True).over(w))
     else:
-        sliced = slices(both, keys, order, slice_rows)
+        sliced = slices(both, keys, order, total, slice_rows)
         newest = F.max_by("_found", F.when(F.col("_side") == 0, F.struct(ts, "_tie")))
         tails = sliced.groupBy(*keys, SLICE).agg(newest.alias("_tail"))
         earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

@@ -103,19 +103,32 @@ def partition_exists(spark: SparkSession, path: str, exchange: str, data_date: s
     return not spark.read.parquet(path).where(key).isEmpty()
 
 
+PRUNE_VALUES = 500
+
+
 def upsert(new: DataFrame, path: str, keys: list[str], partitions: tuple[str, ...]) -> None:
     """Replace rows with the same key, keep the others.
 
-    Only partitions that ``new`` touches are read and written again.
+    Only partitions that ``new`` touches are read and written again.  ``new``
+    is written to a staging table first, so it is computed once and the steps
+    after it do not depend on its lineage.
     """
     spark = new.sparkSession
     if not exists(spark, path):
         write_partitions(new, path, partitions, ())
         return
+    staging = scratch_path(spark, "upsert")
+    new.write.parquet(staging)
+    staged = spark.read.schema(new.schema).parquet(staging)
     old = spark.read.parquet(path)
-    touched = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi")
-    kept = touched.join(new.select(*keys), keys, "left_anti")
-    write_partitions(kept.unionByName(new, allowMissingColumns=True), path, partitions, ())
+    for name in partitions:
+        # A literal list prunes folders at planning time; long lists are left to the join.
+        values = [r[0] for r in staged.select(name).distinct().limit(PRUNE_VALUES + 1).collect()]
+        if len(values) <= PRUNE_VALUES and None not in values:
+            old = old.where(F.col(name).isin(values))
+    touched = old.join(staged.select(*partitions).distinct(), list(partitions), "left_semi")
+    kept = touched.join(staged.select(*keys), keys, "left_anti")
+    write_partitions(kept.unionByName(staged, allowMissingColumns=True), path, partitions, ())
 
 
 def rewrite(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:

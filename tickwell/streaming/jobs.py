@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwell.functions.scalar import count_where, percent, ratio, seconds_between
+from tickwell.operators.bars import order_key
 from tickwell.operators.filters import priced_trades
 from tickwell.sinks import control_log, lake
 from tickwell.sources import files
@@ -121,7 +122,7 @@ def upsert_batch(table: str, keys: list[str], partitions: tuple[str, ...]) -> Ca
 def minute_bars_stream(ticks: DataFrame, lateness: str = "1 minute", width: str = "1 minute") -> DataFrame:
     """Closed trade bars; rows later than the watermark are dropped and counted by Spark."""
     trades = priced_trades(ticks).withWatermark("ts", lateness)
-    order = F.struct("ts", "event_id")
+    order = order_key(trades, ("ts", "event_id"))
     bars = trades.groupBy(F.window("ts", width).alias("w"), "exchange", "symbol").agg(
         F.min_by("price", order).alias("open_price"),
         F.max("price").alias("high_price"),
