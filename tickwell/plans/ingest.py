@@ -49,13 +49,27 @@ def pending(spark: SparkSession, tables: Lake, listed: DataFrame, force: bool =
     return listed if done is None else listed.join(done, ["exchange", "data_date", "processing_stage"], "left_anti")
 
 
-def bronze_rows(raw: DataFrame) -> DataFrame:
-    """Typed tick rows with the load columns taken from the path."""
-    path = F.col("source_file")
+FILE_KEYS = ["source_file", "exchange", "data_date", "processing_stage"]
+BROADCAST_FILES = 50_000  # rows of a file list, about 200 bytes each
+
+
+def bronze_rows(raw: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Typed tick rows with the load columns of their file.
+
+    With the list of files the columns come from a broadcast lookup, as long
+    as the list is short; otherwise they are parsed from the path of each row.
+    """
     typed = rename_vendor_columns(files.to_vendor_types(raw))
-    keyed = typed.withColumns({
-        "data_date": first_date(path), "exchange": files.exchange_of(path), "processing_stage": files.stage_of(path),
-    })
+    found = [] if listed is None else listed.select(*FILE_KEYS).limit(BROADCAST_FILES + 1).collect()
+    if 0 < len(found) <= BROADCAST_FILES:
+        # A local table: the optimizer would copy a derived list's path tests onto every row.
+        lookup = raw.sparkSession.createDataFrame(found, listed.select(*FILE_KEYS).schema)
+        keyed = typed.join(F.broadcast(lookup), "source_file")
+    else:
+        path = F.col("source_file")
+        keyed = typed.withColumns({
+            "data_date": first_date(path), "exchange": files.exchange_of(path), "processing_stage": files.stage_of(path),
+        })
     return lake.with_lineage(keyed)
 
 
@@ -73,7 +87,7 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
         return results(skipped, None)
     control_log.append_progress(todo, tables.progress, "started")
     try:
-        rows = bronze_rows(files.read_union(spark, todo.select("source_file")))
+        rows = bronze_rows(files.read_union(spark, todo.select("source_file")), todo)
         lake.write_partitions(rows, tables.bronze)
     except Exception as e:
         failed = todo.withColumn("error_message", F.lit(str(e)))
