@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ VOLUME_WORD = "volume"
 
 def standard_names(df: DataFrame) -> DataFrame:
     """Lower case, with spaces and dashes as underscores."""
-    return df.toDF(*[c.lower().replace(" ", "_").replace("-", "_") for c in df.columns])
+    return df.toDF(*[re.sub("[ -]", "_", name.lower()) for name in df.columns])
 
 
 def handle_missing(df: DataFrame) -> DataFrame:
