@@ -94,7 +94,7 @@ def daily_closes(ticks: DataFrame, order: tuple[str, ...] = ("ts", "event_id"))
 def minute_bars(ticks: DataFrame, symbols: list[str] | None = None, start: str | None = None,
                 end: str | None = None, exchange: str | None = None,
                 session_start: str = "08:00:00", session_end: str = "17:00:00",
-                order: tuple[str, ...] = ("ts", "event_id"), width: str = "minute") -> DataFrame:
+                order: tuple[str, ...] = ("ts", "event_id"), width: str = "1 minute") -> DataFrame:
     """Trade bars inside the session; minutes without trades do not appear."""
     df = priced_trades(ticks)
     if symbols:
@@ -107,7 +107,7 @@ def minute_bars(ticks: DataFrame, symbols: list[str] | None = None, start: str |
         df = df.where(F.col("exchange") == exchange)
     df = df.where(in_session(session_start, session_end))
     bars = ohlcv(
-        df.withColumn("bar_time", F.date_trunc(width, "ts").cast(df.schema["ts"].dataType)),
+        df.withColumn("bar_time", F.window("ts", width)["start"]),
         ["exchange", "symbol", "data_date", "bar_time"], order,
         extra=(F.count("*").alias("trade_count"), F.sum(F.col("price") * F.col("volume")).alias("_value")),
     )

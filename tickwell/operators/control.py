@@ -217,10 +217,7 @@ def weekly_trends(rolling: DataFrame, as_of=None, days: int = 30) -> DataFrame:
 
 def hourly_stats(loads: DataFrame) -> DataFrame:
     """Files, records, errors and rates per hour, cumulated since midnight."""
-    kind = loads.schema["start_time"].dataType
-    hourly = with_duration(loads).groupBy(
-        F.date_trunc("hour", "start_time").cast(kind).alias("stats_hour"), "exchange"
-    ).agg(
+    hourly = with_duration(loads).groupBy(F.window("start_time", "1 hour")["start"].alias("stats_hour"), "exchange").agg(
         F.count("*").alias("files_processed_this_hour"),
         F.sum("records_loaded").alias("records_processed_this_hour"),
         F.avg(DURATION).alias("avg_processing_time_seconds"),

@@ -24,12 +24,12 @@ def _source(t, table: str) -> DataFrame:
 
 
 def _ticks(t) -> DataFrame:
-    return jobs.event_time(ticks_from_events(_source(t, "events")))
+    return jobs.event_time(ticks_from_events(_source(t, "events")), "ts")
 
 
 def _loads(t) -> DataFrame:
     loads = load_log_from_orders(_source(t, "orders"))
-    return jobs.event_time(jobs.event_time(loads, "start_time"), "end_time")
+    return jobs.event_time(loads, "start_time", "end_time")
 
 
 def _run(t, df: DataFrame, **kw) -> DataFrame:
@@ -38,10 +38,6 @@ def _run(t, df: DataFrame, **kw) -> DataFrame:
     return t.spark.read.schema(df.schema).parquet(f"{path}/out")
 
 
-def _plain(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
-
-
 BARS = """b AS (SELECT exchange, symbol, date_trunc('minute', ts) AS bar_time, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS bar_end,
  arg_min(price, ts) AS open_price, max(price) AS high_price, min(price) AS low_price, arg_max(price, ts) AS close_price,
  CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count FROM ticks WHERE type = 'Trade' AND price IS NOT NULL GROUP BY 1, 2, 3, 4),
@@ -50,7 +46,7 @@ BARS = """b AS (SELECT exchange, symbol, date_trunc('minute', ts) AS bar_time, d
 
 @register("str_03_minute_bars", f"WITH {BARS} SELECT * FROM closed")
 def _(t):
-    return _plain(_run(t, jobs.minute_bars_stream(_ticks(t))), "bar_time", "bar_end")
+    return _run(t, jobs.plain_time(jobs.minute_bars_stream(_ticks(t)), "bar_time", "bar_end"))
 
 
 SEC = "((epoch_us(end_time) - epoch_us(start_time)) / CAST(1000000 AS DOUBLE))"
@@ -65,10 +61,10 @@ SELECT * FROM (SELECT date_trunc('hour', start_time) AS window_start, date_trunc
 def _(t):
     """Update mode: every batch upserts the hours it changed."""
     path = scratch_path(t.spark, "hourly")
-    stats = jobs.load_stats_stream(_loads(t))
+    stats = jobs.plain_time(jobs.load_stats_stream(_loads(t)), "window_start", "window_end")
     write = jobs.upsert_batch(f"{path}/out", ["window_start", "exchange"], ("exchange",))
     jobs.finish(jobs.run(stats, f"{path}/checkpoint", mode="update", each_batch=write))
-    return _plain(t.spark.read.parquet(f"{path}/out"), "window_start", "window_end")
+    return t.spark.read.parquet(f"{path}/out")
 
 
 @register("str_05_rolling_7_days", f"""
@@ -76,7 +72,7 @@ WITH w AS (SELECT l.*, unnest(generate_series(CAST(start_time AS DATE) - INTERVA
 SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, exchange, {STATS} FROM w GROUP BY 1, 2, 3
 HAVING window_start + INTERVAL 7 DAY <= (SELECT max(start_time) FROM load_log) - INTERVAL 1 HOUR""")
 def _(t):
-    return _plain(_run(t, jobs.load_stats_stream(_loads(t), "7 days", "1 day")), "window_start", "window_end")
+    return _run(t, jobs.plain_time(jobs.load_stats_stream(_loads(t), "7 days", "1 day"), "window_start", "window_end"))
 
 
 @register("str_06_latest_price", """
@@ -85,8 +81,9 @@ QUALIFY row_number() OVER (PARTITION BY exchange, symbol ORDER BY ts DESC, event
 def _(t):
     path = scratch_path(t.spark, "latest")
     write = jobs.upsert_batch(f"{path}/out", ["exchange", "symbol"], ("exchange",))
-    jobs.finish(jobs.run(jobs.latest_price_stream(_ticks(t)), f"{path}/checkpoint", mode="update", each_batch=write))
-    return _plain(t.spark.read.parquet(f"{path}/out"), "ts")
+    latest = jobs.plain_time(jobs.latest_price_stream(_ticks(t)), "ts")
+    jobs.finish(jobs.run(latest, f"{path}/checkpoint", mode="update", each_batch=write))
+    return t.spark.read.parquet(f"{path}/out")
 
 
 @register("str_07_unique_ticks", "SELECT exchange, symbol, count(*) AS n, count(DISTINCT ts) AS times FROM ticks GROUP BY 1, 2")
@@ -109,7 +106,7 @@ def _(t):
     bar_stream = jobs.minute_bars_stream(_ticks(t))
     jobs.finish(jobs.run(bar_stream, f"{path}/checkpoint", f"{path}/out"))
     closed = jobs.read_stream(jobs.stream_session(t.spark), f"{path}/out", bar_stream.schema)
-    return _plain(_run(t, alerts.alerts_stream(closed)), "bar_time")
+    return _run(t, jobs.plain_time(alerts.alerts_stream(closed), "bar_time"))
 
 
 @register("str_09_alerts_history", "WITH " + BARS.replace("b AS (SELECT", "b AS (SELECT", 1) + ", " + ALERTS.replace("FROM closed", "FROM b"))

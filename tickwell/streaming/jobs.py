@@ -25,12 +25,14 @@ from tickwell.sources import files
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """A session whose state is spread over the cluster's cores.
+    """A session whose state is spread over the cluster's cores, with UTC clocks.
 
     Stateful streams fix their partition count at the first start and adaptive
     execution does not change it, so it is set here and not on the caller.
+    Zone-less event times become UTC instants, whatever the caller's zone.
     """
     own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.shuffle.partitions", str(max(spark.sparkContext.defaultParallelism, 1)))
     return own
 
@@ -61,8 +63,14 @@ def read_vendor_stream(spark: SparkSession, path: str, header: str, max_files: i
     return reader.csv(path).select("*", files.file_uri("_metadata.file_path").alias("source_file"))
 
 
-def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+def event_time(df: DataFrame, *columns: str) -> DataFrame:
+    """Zone-less times as instants, as watermarks need them."""
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
+
+
+def plain_time(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants back to zone-less times, inside the job and so in its zone."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
 # --- running -----------------------------------------------------------------------
