@@ -21,6 +21,7 @@ from tickwell.session import scratch_path
 
 MAX_GROUP_ROWS = 5_000_000
 SLICE_ROWS = 2_000_000
+MAX_SLICES = 20_000  # beyond this the slices grow instead, to keep one shuffle manageable
 SLICE = "_slice"
 
 
@@ -38,7 +39,7 @@ def slices(df: DataFrame, keys: list[str], order: list[str], total: int, rows: i
     same when a task is retried or an executor is lost.
     """
     spark = df.sparkSession
-    parts = max(1, math.ceil(total / rows))
+    parts = min(max(1, math.ceil(total / rows)), MAX_SLICES)
     path = scratch_path(spark, "slices")
     df.repartitionByRange(parts, *keys, *order).write.parquet(path)
     name = F.col("_metadata.file_name")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickwell.dimensions import BITCOIN_ROOTS
 from tickwell.operators import analyst, bars
+from tickwell.operators.ordered import SLICE_ROWS
 from tickwell.registry import register
 
 TRADE = "type = 'Trade' AND price IS NOT NULL"
@@ -121,8 +122,9 @@ def _(t):
 
 @register("anl_13_order_flow_sliced", FLOW)
 def _(t):
-    """The path for a hot symbol, forced by a tiny group limit."""
-    return analyst.order_flow(t.ticks, max_group_rows=5, slice_rows=1_500)
+    """The path for a hot symbol, forced, with at least eight blocks."""
+    rows = min(SLICE_ROWS, t.ticks.count() // 8 + 1)
+    return analyst.order_flow(t.ticks, max_group_rows=0, slice_rows=rows)
 
 
 @register("anl_14_signal_returns", f"""WITH {R}, x AS (SELECT * FROM r WHERE daily_return IS NOT NULL),

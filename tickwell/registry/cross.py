@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickwell.operators import cross, futures
+from tickwell.operators.ordered import SLICE_ROWS
 from tickwell.plans import digest
 from tickwell.registry import register
 
@@ -75,8 +76,9 @@ def _(t):
 
 @register("jn_08_trades_with_quotes_sliced", ASOF)
 def _(t):
-    """The path for a hot symbol, forced by a tiny group limit."""
-    return cross.trades_with_quotes(t.ticks, max_group_rows=10, slice_rows=2_500)
+    """The path for a hot symbol, forced, with at least eight slices."""
+    rows = min(SLICE_ROWS, t.ticks.count() // 8 + 1)
+    return cross.trades_with_quotes(t.ticks, max_group_rows=0, slice_rows=rows)
 
 
 @register("jn_12_agg_50_symbol_across_exchanges", """

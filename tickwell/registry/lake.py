@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def _once(t, name: str, write) -> str:
     return _WRITTEN[key]
 
 
+def _suffix(t) -> str:
+    """A name part that tells input folders apart."""
+    return f"{zlib.crc32(t.sf_dir.encode()):08x}"
+
+
 ROWS_PER_FILE = 1_000_000
 
 
@@ -295,7 +302,7 @@ def _trade_counts(t) -> DataFrame:
 
 @register("snk_07_replace_table", TRADE_COUNTS)
 def _(t):
-    name = f"tickwell_counts_{t.sf_dir.rsplit('sf', 1)[-1].replace('.', '_')}"
+    name = f"tickwell_counts_{_suffix(t)}"
     path = scratch_path(t.spark, name)
     t.spark.sql(f"DROP TABLE IF EXISTS {name}")
     for _ in range(2):
@@ -424,8 +431,7 @@ def _(t):
 
 def _layers(t) -> list[str]:
     """Bronze, silver and gold databases with a table each, derived from the ticks."""
-    suffix = t.sf_dir.rsplit("sf", 1)[-1].replace(".", "_")
-    names = [f"tickwell_{layer}_{suffix}" for layer in ("bronze", "silver", "gold")]
+    names = [f"tickwell_{layer}_{_suffix(t)}" for layer in ("bronze", "silver", "gold")]
 
     def write(path: str) -> None:
         silver = medallion.to_silver(t.ticks)
