@@ -52,6 +52,8 @@ def test_load_twice_equals_load_once(spark, landing, folder):
     assert states(ingest.load(spark, landing, tables)) == {"completed": 5}
     first = sorted(map(str, ingest.accepted(spark, tables).drop("ingestion_timestamp").collect()))
     assert states(ingest.load(spark, landing, tables)) == {"skipped": 5}
+    refused = ingest.load(spark, landing, tables, exchange="CME", on_existing="fail").first()
+    assert refused["status"] == "failed" and refused["error_message"] == "data already exists for CME 2025-01-01 ingestion"
     assert sorted(map(str, ingest.accepted(spark, tables).drop("ingestion_timestamp").collect())) == first
     assert len(first) == 7
 

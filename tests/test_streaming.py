@@ -1,6 +1,7 @@
 """Streams against batch results: late rows, replays, state across runs."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -89,3 +90,23 @@ def test_continuous_trigger_can_be_stopped(spark, folder):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(f"{folder}/latest").first()["price"] == 11.0
+
+
+def test_listener_reports_every_batch(spark, folder):
+    for i in range(3):
+        ticks(spark, [(i, 10, 1), (i, -1, 1)]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    own = jobs.stream_session(spark)
+    reports = []
+    listener = jobs.BatchCountListener(lambda run, counts: reports.append(counts))
+    own.streams.addListener(listener)
+    try:
+        stream = jobs.observed(jobs.read_stream(own, f"{folder}/in", TICK, max_files=1), F.col("price") < 0)
+        jobs.finish(jobs.run(stream, f"{folder}/cp", f"{folder}/out"))
+        for _ in range(50):
+            if sum(r["processed"] for r in reports) == 6:
+                break
+            time.sleep(0.2)
+    finally:
+        own.streams.removeListener(listener)
+    assert [sum(r[c] for r in reports) for c in ("processed", "loaded", "rejected")] == [6, 3, 3]
+    assert len({r["batch_id"] for r in reports}) == 3

@@ -36,17 +36,20 @@ class Lake:
         return f"{self.root}/audit/ingestion_log"
 
 
+LOAD_KEY = ["exchange", "data_date", "processing_stage"]
+
+
 def loaded_files(spark: SparkSession, tables: Lake) -> DataFrame | None:
+    """Completed files with their row counts; ``None`` before the first load."""
     if not lake.exists(spark, tables.progress):
         return None
     state = control_log.current_state(spark.read.parquet(tables.progress))
-    return state.where(F.col("status") == "completed").select("exchange", "data_date", "processing_stage")
+    return state.where(F.col("status") == "completed").select(*LOAD_KEY, "source_file", "records_loaded")
 
 
-def pending(spark: SparkSession, tables: Lake, listed: DataFrame, force: bool = False) -> DataFrame:
+def pending(listed: DataFrame, done: DataFrame | None) -> DataFrame:
     """Listed files whose (exchange, day, stage) has no completed load."""
-    done = None if force else loaded_files(spark, tables)
-    return listed if done is None else listed.join(done, ["exchange", "data_date", "processing_stage"], "left_anti")
+    return listed if done is None else listed.join(done, LOAD_KEY, "left_anti")
 
 
 FILE_KEYS = ["source_file", "exchange", "data_date", "processing_stage"]
@@ -74,17 +77,23 @@ def bronze_rows(raw: DataFrame, listed: DataFrame | None = None) -> DataFrame:
 
 
 def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | None = None, stage: str | None = None,
-         start: str | None = None, end: str | None = None, force: bool = False, glob: str = "*.csv.gz") -> DataFrame:
+         start: str | None = None, end: str | None = None, force: bool = False, on_existing: str = "skip",
+         glob: str = "*.csv.gz") -> DataFrame:
     """Load all pending files of a selection; returns one result row per file.
 
-    Repeating a load writes nothing.  ``force`` replaces the partitions of the
-    selected files, it never adds rows twice.
+    Files that are already loaded are reported as skipped with their row
+    count, or as failed with ``on_existing="fail"``; either way nothing is
+    written for them.  ``force`` replaces the partitions of the selected
+    files, it never adds rows twice.
     """
+    if on_existing not in ("skip", "fail"):
+        raise ValueError(f"on_existing must be 'skip' or 'fail', not {on_existing!r}")
     listed = files.list_files(spark, source_root, exchange, stage, start, end, glob=glob)
-    todo = pending(spark, tables, listed, force)
-    skipped = listed.join(todo.select("source_file"), "source_file", "left_anti")
+    done = None if force else loaded_files(spark, tables)
+    todo = pending(listed, done)
+    present = None if done is None else already_loaded(listed, done, on_existing)
     if todo.isEmpty():
-        return results(skipped, None)
+        return results(present, None)
     control_log.append_progress(todo, tables.progress, "started")
     try:
         rows = bronze_rows(files.read_union(spark, todo.select("source_file")), todo)
@@ -93,12 +102,11 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
         failed = todo.withColumn("error_message", F.lit(str(e)))
         control_log.append_progress(failed, tables.progress, "failed")
         raise
-    done = control_log.progress_events(with_counts(spark, tables, todo), "completed")
-    lake.append(done, tables.progress)
+    lake.append(control_log.progress_events(with_counts(spark, tables, todo), "completed"), tables.progress)
     written = spark.read.parquet(tables.progress).where(F.col("status") == "completed")
     newest = control_log.current_state(written.join(todo.select("source_file"), "source_file", "left_semi"))
     lake.append(control_log.audit_rows(newest, "ingest", "bronze.market_data_raw"), tables.audit)
-    return results(skipped, newest)
+    return results(present, newest)
 
 
 def with_counts(spark: SparkSession, tables: Lake, todo: DataFrame) -> DataFrame:
@@ -125,9 +133,25 @@ def rejects(spark: SparkSession, tables: Lake) -> DataFrame:
         "source_file", "exchange", "data_date", "processing_stage", "raw_line")
 
 
-def results(skipped: DataFrame, loaded: DataFrame | None) -> DataFrame:
-    columns = ["source_file", "exchange", "data_date", "processing_stage", "status", "records_loaded", "records_rejected"]
-    left = skipped.select(
-        "source_file", "exchange", "data_date", "processing_stage", F.lit("skipped").alias("status"),
-        F.lit(0).cast("bigint").alias("records_loaded"), F.lit(0).cast("bigint").alias("records_rejected"))
-    return left if loaded is None else left.unionByName(loaded.select(*columns))
+def already_loaded(listed: DataFrame, done: DataFrame, on_existing: str) -> DataFrame:
+    """Result rows of files whose load key is completed."""
+    found = listed.join(done, LOAD_KEY, "left_semi").join(done.select("source_file", "records_loaded"), "source_file", "left")
+    message = F.concat_ws(" ", F.lit("data already exists for"), *LOAD_KEY)
+    return found.withColumns({
+        "status": F.lit("skipped" if on_existing == "skip" else "failed"),
+        "error_message": F.lit(None).cast("string") if on_existing == "skip" else message,
+        "records_loaded": F.coalesce("records_loaded", F.lit(0).cast("bigint")) if on_existing == "skip" else F.lit(0).cast("bigint"),
+        "records_rejected": F.lit(0).cast("bigint"),
+    })
+
+
+RESULT = [
+    "source_file", "exchange", "data_date", "processing_stage", "status", "records_loaded", "records_rejected", "error_message",
+]
+
+
+def results(present: DataFrame | None, loaded: DataFrame | None) -> DataFrame:
+    parts = [df.select(*RESULT) for df in (present, loaded) if df is not None]
+    if not parts:
+        raise FileNotFoundError("no files match the selection")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -231,10 +231,16 @@ def _(t):
 FILES = "(SELECT DISTINCT exchange, data_date, event_id // 1000000 AS chunk FROM ticks)"
 
 
-@register("snk_02_idempotent_load", f"SELECT exchange, 'skipped' AS status, count(*) AS files, CAST(0 AS BIGINT) AS records FROM {FILES} GROUP BY 1")
-def _(t):
-    again = ingest.load(t.spark, landing(t), bronze(t), glob=GLOB)
-    return again.groupBy("exchange", "status").agg(F.count("*").alias("files"), F.sum("records_loaded").alias("records"))
+@register("snk_02_idempotent_load", """
+WITH f AS (SELECT exchange, data_date, count(*) FILTER (event_id % 97 <> 0) AS loaded FROM ticks GROUP BY exchange, data_date, event_id // 1000000)
+SELECT exchange, 'skipped' AS status, count(*) AS files, CAST(sum(loaded) AS BIGINT) AS records, CAST(0 AS BIGINT) AS errors FROM f GROUP BY 1
+UNION ALL SELECT exchange, 'failed', count(*), CAST(0 AS BIGINT), count(*) FROM f GROUP BY 1""")
+def _(t):
+    """A second load writes nothing: files are skipped, or refused on request."""
+    def again(on_existing: str) -> DataFrame:
+        return ingest.load(t.spark, landing(t), bronze(t), on_existing=on_existing, glob=GLOB).groupBy("exchange", "status").agg(
+            F.count("*").alias("files"), F.sum("records_loaded").alias("records"), F.count("error_message").alias("errors"))
+    return again("skip").unionByName(again("fail"))
 
 
 @register("snk_03_04_forced_reload", f"WITH {GOOD} SELECT symbol, ts, type, price, volume, exchange, data_date FROM good WHERE exchange = 'CME'")

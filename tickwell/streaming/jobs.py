@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickwell.functions.scalar import count_where, percent, ratio, seconds_between
 from tickwell.operators.bars import order_key
@@ -185,12 +185,34 @@ def observed(df: DataFrame, rejected, name: str = "batch_counts") -> DataFrame:
         count_where(~rejected).alias("loaded"), count_where(rejected).alias("rejected"))
 
 
+def progress_counts(progress, name: str = "batch_counts") -> dict:
+    """Observed counts and late rows of one batch."""
+    seen = progress.observedMetrics.get(name)
+    counts = seen.asDict() if seen is not None else {"processed": 0, "loaded": 0, "rejected": 0}
+    late = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+    return {"batch_id": progress.batchId, **counts, "late": late}
+
+
 def batch_counts(query: StreamingQuery, name: str = "batch_counts") -> list[dict]:
-    """Observed counts and late rows of the batches a query still remembers."""
-    rows = []
-    for p in query.recentProgress:
-        seen = p.observedMetrics.get(name)
-        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        counts = seen.asDict() if seen is not None else {"processed": 0, "loaded": 0, "rejected": 0}
-        rows.append({"batch_id": p.batchId, **counts, "late": late})
-    return rows
+    """Counts of the batches a query still remembers (the last hundred)."""
+    return [progress_counts(p, name) for p in query.recentProgress]
+
+
+class BatchCountListener(StreamingQueryListener):
+    """Hands the counts of every batch to ``report(run_id, counts)``, for long-running jobs."""
+
+    def __init__(self, report: Callable[[str, dict], None], name: str = "batch_counts"):
+        self.report = report
+        self.name = name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.report(str(event.progress.runId), progress_counts(event.progress, self.name))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
