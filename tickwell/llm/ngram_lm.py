@@ -121,18 +121,27 @@ class EliasFano:
         """Position of the first element not below each value; ``n`` when there is none."""
         values = values.astype(np.uint64)
         high = np.minimum(values >> np.uint64(self.low_bits), np.uint64(1 << 62)).astype(np.int64)
-        total_zeros = int(len(self.high) * 64 - self.n)
-        bounded = np.minimum(high, total_zeros - 1)
-        # Elements with a smaller high part end before the zero number high - 1.
-        before = np.where(bounded > 0, self._select(self.zeros, ~self.high, np.maximum(bounded - 1, 0)) - (bounded - 1), 0)
-        at = np.where(high >= total_zeros, self.n, before)
-        moving = np.flatnonzero(at < self.n)
-        while len(moving):
-            moving = moving[self[at[moving]] < values[moving]]
-            at[moving] += 1
-            moving = moving[at[moving] < self.n]
+        at = self._before(high)
+        end = self._before(high + 1)
+        # Elements of one high part are ordered by their low bits.
+        low = values & np.uint64((1 << self.low_bits) - 1)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            middle = (at[open_] + end[open_]) // 2
+            less = self._lows(middle) < low[open_]
+            at[open_] = np.where(less, middle + 1, at[open_])
+            end[open_] = np.where(less, end[open_], middle)
+            open_ = open_[at[open_] < end[open_]]
         return at
 
+    def _before(self, high: np.ndarray) -> np.ndarray:
+        """Number of elements whose high part is smaller: they stand before the zero that closes it."""
+        zeros = len(self.high) * 64 - self.n
+        inside = np.flatnonzero((high > 0) & (high <= zeros))
+        out = np.where(high > 0, self.n, 0)
+        out[inside] = self._select(self.zeros, ~self.high, high[inside] - 1) - (high[inside] - 1)
+        return out
+
 
 class Codes:
     """Logarithms in 16 bits between the smallest and the largest."""
@@ -201,20 +210,27 @@ class Trie:
         """(log10 of the numerator, log10 of the word's own denominator as a predecessor) of word and predecessor."""
         n = self.words.n
         numerator, denominator = np.full(len(words), self.unknown[0]), np.full(len(words), self.unknown[1])
-        if not n:
+        if not n or not len(words):
             return numerator, denominator
-        at = np.minimum(self.words.successor(words), n - 1)
-        known = np.flatnonzero(self.words[at] == words)
-        at = at[known]
-        denominator[known] = self.context[at]
-        numerator[known] = self.alone[at]
+        # A run of one word is searched once.
+        change = np.r_[True, words[1:] != words[:-1]]
+        asked = words[change]
+        place = np.minimum(self.words.successor(asked), n - 1)
+        place[self.words[place] != asked] = -1
+        limit = self.pointers[place + 1].astype(np.int64)  # one past the word's last predecessor
+        run = np.cumsum(change) - 1
+        known = np.flatnonzero(place[run] >= 0)
+        run = run[known]
+        at = place[run]
+        denominator[known] = self.context[place][run]
+        numerator[known] = self.alone[place][run]
         if self.before.n:
             keys = (at.astype(np.uint64) << np.uint64(32)) | before[known].astype(np.uint64)
-            child = self.before.successor(keys)  # never beyond the pointer of the next word when it is found
-            inside = child < self.pointers[at + 1].astype(np.int64)
-            place = np.minimum(child, self.before.n - 1)
-            seen = inside & (self.before[place] == keys)
-            numerator[known[seen]] = self.joint[place[seen]]
+            child = self.before.successor(keys)
+            inside = child < limit[run]
+            child = np.minimum(child, self.before.n - 1)
+            seen = np.flatnonzero(inside & (self.before[child] == keys))
+            numerator[known[seen]] = self.joint[child[seen]]
         return numerator, denominator
 
 
@@ -280,41 +296,36 @@ def _deal(shards: int, frequent: np.ndarray, batches):
 DEALT = "shard int, block long, head binary, docs int, train binary, words binary, runs binary, before binary, doc binary"
 
 
-def build_shard(word: np.ndarray, before: np.ndarray, train: np.ndarray, frequent: np.ndarray, frequent_counts: np.ndarray,
-                total: int, distinct: int) -> tuple[Trie, np.ndarray, np.ndarray]:
-    """(trie, words, counts) from the tokens of a shard; counts of frequent words are those of all shards."""
-    words, counts = np.unique(word[train], return_counts=True)
-    number = np.searchsorted(words, word[train])
-    keys, pairs = np.unique((number.astype(np.uint64) << np.uint64(32)) | before[train].astype(np.uint64), return_counts=True)
-    if len(frequent) and len(words):
-        at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-        counts = np.where(frequent[at] == words, frequent_counts[at], counts)
-    trie = Trie.build(words, counts, (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)), pairs, total, distinct)
-    return trie, words, counts
-
-
 def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distinct: int, rows: pd.DataFrame) -> pd.DataFrame:
-    """Sums of the terms of one shard per block and document."""
+    """Build the trie of one shard and sum its terms per block and document."""
     narrow = [np.uint16 if n <= 65_535 else np.uint32 for n in rows["docs"]]
-    word = np.concatenate([np.repeat(np.frombuffer(w, np.uint64), np.frombuffer(r, np.uint32)) for w, r in zip(rows["words"], rows["runs"], strict=True)])
-    before = np.concatenate([np.frombuffer(b, np.uint32) for b in rows["before"]])
+    lists = [np.frombuffer(w, np.uint64) for w in rows["words"]]
+    vocabulary = np.unique(np.concatenate(lists))
+    number = np.concatenate([np.repeat(np.searchsorted(vocabulary, w).astype(np.uint64), np.frombuffer(r, np.uint32)) for w, r in zip(lists, rows["runs"], strict=True)])
+    keys = (number << np.uint64(32)) | np.concatenate([np.frombuffer(b, np.uint32) for b in rows["before"]])
+    del number
     doc = [np.frombuffer(d, kind) for d, kind in zip(rows["doc"], narrow, strict=True)]
-    train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n).astype(bool)[d] for t, n, d in zip(rows["train"], rows["docs"], doc, strict=True)])
-    built, words, counts = build_shard(word, before, train, frequent, frequent_counts, total, distinct)
+    train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n)[d] for t, n, d in zip(rows["train"], rows["docs"], doc, strict=True)])
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    pairs = np.add.reduceat(train[order].astype(np.int64), new)
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(keys)]))
+    keys = keys[new]
+    owner, before = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(0xFFFFFFFF)
+    counts = np.bincount(owner, pairs, len(vocabulary)).astype(np.int64)
+    if len(frequent):  # counts of all shards
+        at = np.minimum(np.searchsorted(frequent, vocabulary), len(frequent) - 1)
+        counts = np.where(frequent[at] == vocabulary, frequent_counts[at], counts)
+    have, seen = counts > 0, pairs > 0
+    rank = np.cumsum(have) - 1
+    built = Trie.build(vocabulary[have], counts[have], rank[owner[seen]], before[seen], pairs[seen], total, distinct)
     trie = Trie.open(built.save())
-    # Every word with its predecessor is looked up once.
-    order = np.lexsort((before, word))
-    w, b = word[order], before[order]
-    new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (b[1:] != b[:-1])])
-    numerator, denominator = trie.lookup(w[new], b[new])
-    denominator[w[new] == END] = 0.0  # nothing follows the end
-    group = np.empty(len(word), np.int64)
-    group[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(word)]))
-    at = np.minimum(np.searchsorted(words, w[new]), max(len(words) - 1, 0))
-    found = words[at] == w[new] if len(words) else np.zeros(len(new), bool)
-    count = np.where(found, counts[at], 0) if len(words) else np.zeros(len(new))
-    base, gain = np.log10(count + 0.1)[group], (numerator - denominator)[group]
-    known = (count > 0)[group]
+    # Every word is looked up once with each predecessor.
+    numerator, denominator = trie.lookup(vocabulary[owner], before)
+    denominator[vocabulary[owner] == END] = 0.0  # nothing follows the end
+    base, gain, known = np.log10(counts + 0.1)[owner][group], (numerator - denominator)[group], have[owner][group]
     out, start = [], 0
     for block, head, n, d in zip(rows["block"], rows["head"], rows["docs"], doc, strict=True):
         end = start + len(d)
