@@ -49,6 +49,9 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+BROADCAST = 1_000_000  # edges up to which a node's smallest neighbour is sent to all executors, 16 bytes each
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest id reachable, for every node that an edge (a, b) names.
 
@@ -57,22 +60,22 @@ def components(edges: DataFrame) -> DataFrame:
     smallest neighbour it knows.  Each round is written to the shared folder.
     Loops and repeated edges do no harm; no edges give no rows.
     """
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if mark[0] <= BROADCAST else df
+
     local = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInPandas(_contract, "a long, b long")
-    current = written(local.distinct(), "edges")  # every a > b
+    current = written(local, "edges")  # every a > b
     mark = _fingerprint(current)
     while mark[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.distinct()
-        lowest = down.groupBy("a").agg(F.min("b").alias("m"))
-        hung = down.join(lowest, "a")
-        small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lowest.select("a", F.col("m").alias("b")))
-        following = written(small.where("a <> b").distinct(), "edges")
-        after = _fingerprint(following)
-        current = following
-        if after == mark:
+        large = both.where("b > a").join(side(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        hung = large.join(side(lowest), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = hung.unionByName(lowest.select("a", F.col("m").alias("b")))
+        current = written(small.where("a <> b").distinct(), "edges")
+        before, mark = mark, _fingerprint(current)
+        if before == mark:
             break
-        mark = after
     return current.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component").unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

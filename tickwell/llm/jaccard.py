@@ -36,8 +36,7 @@ from tickwell.llm.frames import written
 WORDS = 5
 THRESHOLD = 75  # percent
 SKETCH = 24  # min-hashes a class
-BAND = 2  # min-hashes that must agree for a first comparison of sketches
-ALIKE = 12  # equal min-hashes that make a family
+BAND = 3  # min-hashes that must agree for one family
 BUCKET = 1_000_000  # postings of one task
 SHORT = 32  # families on a list that is still merged across families
 GROUP_TOKENS = 16_384  # shingles of one block of a search group
@@ -299,7 +298,7 @@ def _link(threshold: int, rows: pd.DataFrame) -> pd.DataFrame:
                     size[root] = size.pop(a) + size.pop(b) if a != b else size[root]
                     if size[root] > size.get(forest.find(largest), 0) or forest.find(largest) == root:
                         largest = root
-    names = rows["cls"].to_numpy(np.int64)
+    names = rows["rep"].to_numpy(np.int64)
     stars = forest.stars()
     return pd.DataFrame({"a": [names[x] for x, _ in stars], "b": [names[r] for _, r in stars]}, dtype="int64")
 
@@ -308,22 +307,35 @@ def _link(threshold: int, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _families(reps: DataFrame) -> DataFrame:
-    """Edges (a, b) between classes whose sketches agree in half of the min-hashes."""
+    """(cls, fam, many): a family label by two steps along equal bands of min-hashes, and whether any band was shared."""
     bands = [F.xxhash64(F.lit(i), *[F.col("mins")[i + j] for j in range(BAND)]) for i in range(0, SKETCH, BAND)]
     banded = reps.select("cls", F.explode(F.array(*bands)).alias("band"))
-    centers = banded.groupBy("band").agg(F.min("cls").alias("center"), F.count("*").alias("m")).where("m > 1").select("band", "center")
-    pairs = banded.join(centers, "band").where("cls <> center").select(F.col("cls").alias("a"), F.col("center").alias("b")).distinct()
-    of = reps.select("cls", "mins")
-    both = pairs.join(of.withColumnsRenamed({"cls": "a", "mins": "_ma"}), "a").join(of.withColumnsRenamed({"cls": "b", "mins": "_mb"}), "b")
-    equal = F.size(F.filter(F.zip_with("_ma", "_mb", lambda x, y: x == y), lambda same: same))
-    return both.where(equal >= ALIKE).select("a", "b")
+    centers = banded.groupBy("band").agg(F.min("cls").alias("center"), F.count("*").alias("m")).where("m > 1")
+    one = banded.join(centers, "band").groupBy("cls").agg(F.min("center").alias("fam"))
+    one = written(one, "families")
+    two = one.join(_small(one.where("cls <> fam").select(F.col("cls").alias("fam"), F.col("fam").alias("up"))), "fam", "left")
+    return two.select("cls", F.coalesce("up", "fam").alias("fam"), F.lit(True).alias("many"))
 
 
 def _small(ids: DataFrame) -> DataFrame:
-    """Ids as a broadcast side while their number allows it."""
+    """A table of ids as a broadcast side while its number of rows allows it."""
     return F.broadcast(ids) if ids.count() <= IDS else ids
 
 
+def _with_sets(words: int, batches):
+    for batch in batches:
+        tokens = [shingles(t, words).tobytes() for t in batch["text"]]
+        yield batch[["cls", "rep", "fam", "cross"]].assign(n=[len(t) // 8 for t in tokens], tokens=tokens)
+
+
+def _own_rows(words: int, batches):
+    """Rows whose text has the set of the class they were joined with."""
+    import xxhash
+    for batch in batches:
+        names = [int(np.uint64(xxhash.xxh3_64_intdigest(shingles(t, words).tobytes())).astype(np.int64)) for t in batch["text"]]
+        yield batch[batch["cls"].to_numpy() == np.array(names, np.int64)]
+
+
 def similar_documents(documents: DataFrame, threshold: int = THRESHOLD, words: int = WORDS, short: int = SHORT,
                       bucket: int = BUCKET, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id).
@@ -331,84 +343,62 @@ def similar_documents(documents: DataFrame, threshold: int = THRESHOLD, words: i
     Links follow ``100 * common >= threshold * union`` over sets of word
     shingles; fewer words than a shingle has are one shingle.  Null and empty
     texts have no shingles and stand alone.  Rows with a null id are counted
-    but link with nothing.  Equal texts link, also across rows of one id.  An
-    empty table gives an empty result.
+    but link with nothing.  Rows of one id are one document to the links, also
+    when their texts differ.  An empty table gives an empty result.
     """
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = written(plain.mapInPandas(partial(_sketch, words), "doc_id long, n long, cls long, mins array<long>"), "sketches")
     reps = written(sketched.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("mins").alias("mins")), "classes")
-    near = written(_families(reps), "families")
-    family = components(near).select(F.col("node").alias("cls"), F.col("component").alias("fam"))
-    classes = written(reps.select("cls", "rep", "n").join(family, "cls", "left").select(
-        "cls", "rep", "n", F.coalesce("fam", "cls").alias("fam"), F.col("fam").isNotNull().alias("many")), "members")
-
-    # Texts of one representative row per class; its hash tells rows of one id apart.
     tokens = reps.agg(F.sum("n")).first()[0] or 0
-    of_rep = sketched.select("doc_id", "cls").join(classes.select(F.col("rep").alias("doc_id"), "cls", "fam", "many"), ["doc_id", "cls"]).distinct()
-    repeated = of_rep.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count() > 0
-
-    def texts(ids: DataFrame) -> DataFrame:
-        rows = plain.join(_small(ids), "doc_id")
-        if not repeated:
-            rows = rows.dropDuplicates(["doc_id"]) if doubled else rows
-            return rows
-        return rows.mapInPandas(partial(_own_rows, words), rows.schema).dropDuplicates(["cls"])
-
-    doubled = plain.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    first = _surviving(texts(of_rep), int(tokens * 0.36) + 1, False, threshold, words, bucket)
-    wanted = written(of_rep.join(first.select("cls", F.lit(True).alias("cross")), "cls", "left").where("cross OR many"), "wanted")
-    sets = written(texts(wanted).select("cls", "fam", "text", F.coalesce("cross", F.lit(False)).alias("cross")).mapInPandas(
-        partial(_with_sets, words), "cls long, fam long, cross boolean, tokens binary"), "sets")
-
-    crossing = sets.where("cross").drop("cross")
+    classes = written(reps.select("cls", "rep").join(_families(reps), "cls", "left").select(
+        "cls", "rep", F.coalesce("fam", "cls").alias("fam"), F.coalesce("many", F.lit(False)).alias("many")), "members")
+    ids = sketched.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
+    repeated = ids.limit(1).count() > 0
+
+    def texts(of: DataFrame) -> DataFrame:
+        """One text of every class; where ids repeat, its set tells the rows of one id apart."""
+        rows = plain.join(_small(of.withColumn("doc_id", F.col("rep"))), "doc_id")
+        return rows.mapInPandas(partial(_own_rows, words), rows.schema).dropDuplicates(["cls"]) if repeated else rows
+
+    first = _surviving(texts(classes), int(tokens * 0.36) + 1, False, threshold, words, bucket)
+    crossing = _small(first.select("cls", F.lit(True).alias("cross")))
+    wanted = written(classes.join(crossing, "cls", "left").where("cross OR many").withColumn("cross", F.coalesce("cross", F.lit(False))), "wanted")
+    sets = written(texts(wanted).mapInPandas(partial(_with_sets, words), "cls long, rep long, fam long, cross boolean, n long, tokens binary"), "sets")
+
     volume = first.agg(F.sum("n")).first()[0] or 0
-    second = _surviving(crossing, volume, True, threshold, words, bucket)
+    second = _surviving(sets.where("cross"), volume, True, threshold, words, bucket)
     volume = second.agg(F.sum("n")).first()[0] or 0
-    dealt = crossing.join(_small(second.select("cls")), "cls").mapInPandas(
+    dealt = sets.join(_small(second.select("cls")), "cls").mapInPandas(
         partial(_deal, max(1, math.ceil(4 * volume / bucket))), "bucket int, cls long, fam long, tokens binary")
     counted = written(dealt.groupBy("bucket").applyInPandas(partial(_candidates, short), "cls long, other long, count long").groupBy("cls", "other").agg(
         F.sum("count").alias("count")), "candidates")
     skipped = counted.where("other IS NULL").select("cls", F.col("count").alias("skipped"))
     least = F.ceil(F.col("n") * threshold / 100).cast("long") - F.coalesce("skipped", F.lit(0))
-    judged = second.select("cls", "n").join(skipped, "cls", "left").select("cls", least.alias("least"))
-    crossed = counted.where("other IS NOT NULL").join(judged, "cls").where("least >= 1 AND count >= least").select(F.col("cls").alias("a"), F.col("other").alias("b"))
+    judged = written(second.select("cls", "n").join(_small(skipped), "cls", "left").select("cls", least.alias("least")), "judged")
+    crossed = counted.where("other IS NOT NULL").join(_small(judged), "cls").where("least >= 1 AND count >= least").select(
+        F.col("cls").alias("a"), F.col("other").alias("b"))
     rest = judged.where("least < 1").select(F.col("cls").alias("a"))
     hub = rest.agg(F.min("a")).first()[0]
-    edges = near.unionByName(crossed)
+    edges = classes.where("many").select(F.col("cls").alias("a"), F.col("fam").alias("b")).unionByName(crossed)
     if hub is not None:
         edges = edges.unionByName(rest.withColumn("b", F.lit(hub)))
     groups = written(components(edges).select(F.col("node").alias("cls"), F.col("component").alias("grp")), "groups")
 
-    members = sets.join(_small(groups), "cls").select("cls", "grp", "tokens", F.expr("length(tokens) div 8").alias("n"))
-    blocks = groups.join(classes.select("cls", "n"), "cls").groupBy("grp").agg(
-        F.count("*").alias("m"), F.ceil(F.sum("n") / group_tokens).cast("int").alias("want")).where("m > 1").select(
-        "grp", F.greatest(F.least("want", "m"), F.lit(1)).cast("int").alias("blocks"))
-    placed = members.join(_small(blocks), "grp").withColumn("own", F.pmod(F.xxhash64("cls", F.lit(11)), F.col("blocks")).cast("int"))
+    members = sets.join(_small(groups), "cls")
+    blocks = members.groupBy("grp").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / group_tokens).cast("int").alias("want")).where("m > 1").select(
+        "grp", F.least("want", F.col("m").cast("int")).alias("blocks"))
+    placed = members.join(_small(written(blocks, "blocks")), "grp").withColumn("own", F.pmod(F.xxhash64("cls", F.lit(11)), F.col("blocks")).cast("int"))
     paired = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "grp", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "cls", "tokens")
+        "grp", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "rep", "tokens")
     found = written(paired.groupBy("grp", "i", "j").applyInPandas(partial(_link, threshold), "a long, b long"), "links")
-    joined = components(found).select(F.col("node").alias("cls"), "component")
-    named = reps.select("cls", "rep").join(joined, "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = named.join(smallest, "component").select("cls", "component_id")
+    joined = written(components(found), "joined")
+    labels = classes.select("cls", "rep").join(_small(joined.withColumnRenamed("node", "rep")), "rep", "left").select(
+        "cls", F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return sketched.select("doc_id", "n", "cls").join(labels, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _with_sets(words: int, batches):
-    for batch in batches:
-        yield batch[["cls", "fam", "cross"]].assign(tokens=[shingles(t, words).tobytes() for t in batch["text"]])
-
-
-def _own_rows(words: int, batches):
-    """Rows whose text has the set of the class they were joined with."""
-    import xxhash
-    for batch in batches:
-        names = [int(np.uint64(xxhash.xxh3_64_intdigest(shingles(t, words).tobytes())).astype(np.int64)) for t in batch["text"]]
-        yield batch[batch["cls"].to_numpy() == np.array(names, np.int64)]
-
-
 def first_of_each(documents: DataFrame) -> DataFrame:
     """The document with the smallest id of every component, with all its columns.
 

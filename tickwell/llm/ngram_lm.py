@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from tickwell.llm.frames import fold, written
 
 PRIOR = 100.0
-SHARD_TOKENS = 4_000_000  # tokens of one shard
+SHARD_TOKENS = 3_000_000  # tokens of one shard
+BLOCK_TOKENS = 1_500_000  # tokens of one block of documents, about; a longer text is a block of its own
 LISTED = 1_000_000  # frequent words that are dealt by predecessor, at most
 END, BEGIN = np.uint64(1), np.uint64(2)
 ONE = np.uint64(1)
@@ -256,39 +257,50 @@ def _counts(batches):
             yield pd.DataFrame({"word": word.view(np.int64), "n": count})
 
 
+def _blocks(batches):
+    """Batches cut so that a block has about ``BLOCK_TOKENS``; yields rows and their token hashes."""
+    for batch in batches:
+        lists, size, first = [], 0, 0
+        for i, text in enumerate(batch["text"]):
+            lists.append(hashes(text))
+            size += len(lists[-1])
+            if size >= BLOCK_TOKENS or i == len(batch) - 1:
+                yield batch.iloc[first:i + 1][["doc_id", "train"]], lists
+                lists, size, first = [], 0, i + 1
+
+
 def _deal(shards: int, frequent: np.ndarray, batches):
     """Tokens of a block of documents by shard: words with run lengths, predecessors, documents."""
     from pyspark import TaskContext
     part = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
-        lists = [hashes(t) for t in batch["text"]]
-        if not lists:
-            continue
+    for number, (batch, lists) in enumerate(_blocks(batches)):
         sizes = np.array([len(x) for x in lists], np.int64)
         word = np.concatenate(lists)
+        lists.clear()
         before = np.empty_like(word)
         before[1:] = word[:-1]
         before[np.cumsum(sizes) - sizes] = BEGIN
-        doc = np.repeat(np.arange(len(lists), dtype=np.uint32), sizes)
         key = word.copy()
         if len(frequent):
             often = frequent[np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)] == word
             key[often] ^= before[often] * np.uint64(0x9E3779B97F4A7C15)
-        shard = (((key * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)).astype(np.int64) % shards)
-        order = np.argsort(shard.astype(np.uint16) if shards < 65_536 else shard, kind="stable")
+        shard = ((key * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)) % np.uint64(shards)
+        shard = shard.astype(np.uint16 if shards < 65_536 else np.int64)
+        del key
+        before = (before >> np.uint64(32)).astype(np.uint32)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.uint16 if len(sizes) <= 65_535 else np.uint32), sizes)
+        order = np.argsort(shard, kind="stable")
         bounds = np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
         ids = batch["doc_id"]
         head = np.concatenate([ids.fillna(0).to_numpy(np.int64), ids.isna().to_numpy(np.int64), sizes, batch["train"].to_numpy(np.int64)]).tobytes()
         train = np.packbits(batch["train"].to_numpy(bool)).tobytes()
-        narrow = np.uint16 if len(lists) <= 65_535 else np.uint32
         rows = []
         for s in np.flatnonzero(np.diff(bounds)):
             mine = order[bounds[s]:bounds[s + 1]]
             mine = mine[np.argsort(word[mine], kind="stable")]
             own, runs = np.unique(word[mine], return_counts=True)
-            short = (before[mine] >> np.uint64(32)).astype(np.uint32)
-            rows.append((int(s), (part << 24) + number, head, len(lists), train, own.tobytes(), runs.astype(np.uint32).tobytes(),
-                         short.tobytes(), doc[mine].astype(narrow).tobytes()))
+            rows.append((int(s), (part << 24) + number, head, len(sizes), train, own.tobytes(), runs.astype(np.uint32).tobytes(),
+                         before[mine].tobytes(), doc[mine].tobytes()))
             head = b""
         yield pd.DataFrame(rows, columns=["shard", "block", "head", "docs", "train", "words", "runs", "before", "doc"])
 
@@ -305,13 +317,15 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
     keys = (number << np.uint64(32)) | np.concatenate([np.frombuffer(b, np.uint32) for b in rows["before"]])
     del number
     doc = [np.frombuffer(d, kind) for d, kind in zip(rows["doc"], narrow, strict=True)]
+    blocks = rows[["block", "head", "docs"]]
     train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n)[d] for t, n, d in zip(rows["train"], rows["docs"], doc, strict=True)])
     order = np.argsort(keys)
     keys = keys[order]
     new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    pairs = np.add.reduceat(train[order].astype(np.int64), new)
-    group = np.empty(len(keys), np.int64)
-    group[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(keys)]))
+    pairs = np.add.reduceat(train[order].astype(np.int32), new).astype(np.int64)
+    group = np.empty(len(keys), np.int32)
+    group[order] = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.r_[new, len(keys)]))
+    del order, train, rows
     keys = keys[new]
     owner, before = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(0xFFFFFFFF)
     counts = np.bincount(owner, pairs, len(vocabulary)).astype(np.int64)
@@ -325,13 +339,13 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
     # Every word is looked up once with each predecessor.
     numerator, denominator = trie.lookup(vocabulary[owner], before)
     denominator[vocabulary[owner] == END] = 0.0  # nothing follows the end
-    base, gain, known = np.log10(counts + 0.1)[owner][group], (numerator - denominator)[group], have[owner][group]
+    base, gain, known = np.log10(counts + 0.1)[owner], numerator - denominator, have[owner]
     out, start = [], 0
-    for block, head, n, d in zip(rows["block"], rows["head"], rows["docs"], doc, strict=True):
+    for block, head, n, d in zip(blocks["block"], blocks["head"], blocks["docs"], doc, strict=True):
         end = start + len(d)
-        which = np.unique(d)
-        out.append((block, head, n, which.astype(np.uint32).tobytes(), np.bincount(d, base[start:end], n)[which].tobytes(),
-                    np.bincount(d, gain[start:end], n)[which].tobytes(), np.bincount(d, known[start:end], n)[which].astype(np.uint32).tobytes()))
+        which, mine = np.unique(d), group[start:end]
+        out.append((block, head, n, which.astype(np.uint32).tobytes(), np.bincount(d, base[mine], n)[which].tobytes(),
+                    np.bincount(d, gain[mine], n)[which].tobytes(), np.bincount(d, known[mine], n)[which].astype(np.uint32).tobytes()))
         start = end
     return pd.DataFrame(out, columns=["block", "head", "docs", "doc", "base", "gain", "known"])
 
