@@ -52,19 +52,21 @@ def predictor(blob: bytes):
     def predict(texts: pd.Series) -> pd.DataFrame:
         import numpy as np
         model, scores = _loaded(blob)
-        found = [words_of(t) for t in texts]
-        scores.add({w for ws in found for w in ws})
-        known = scores.known
         langs, values = [], []
-        for text, ws in zip(texts, found, strict=True):
-            if not ws or not model.classes or not any(map(str.isalpha, text)):
-                langs.append(UNDETERMINED)
-                values.append(0.0)
-                continue
-            rows = np.fromiter((known[w] for w in ws), np.int64, len(ws))
-            p = softmax((scores.scores[rows].mean(axis=0) + model.bias) / model.scalars["temperature"])
-            langs.append(model.classes[int(p.argmax())])
-            values.append(float(p.max()))
+        for lo in range(0, len(texts), WordScores.TEXTS):
+            part = texts.iloc[lo:lo + WordScores.TEXTS]
+            found = [words_of(t) for t in part]
+            scores.add({w for ws in found for w in ws})
+            known = scores.known
+            for text, ws in zip(part, found, strict=True):
+                if not ws or not model.classes or not any(map(str.isalpha, text)):
+                    langs.append(UNDETERMINED)
+                    values.append(0.0)
+                    continue
+                rows = np.fromiter((known[w] for w in ws), np.int64, len(ws))
+                p = softmax((scores.scores[rows].mean(axis=0) + model.bias) / model.scalars["temperature"])
+                langs.append(model.classes[int(p.argmax())])
+                values.append(float(p.max()))
         reject = [lang == UNDETERMINED or v < model.scalars["reject"] for lang, v in zip(langs, values, strict=True)]
         return pd.DataFrame({"lang": langs, "score": values, "rejected": reject})
 

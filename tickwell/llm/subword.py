@@ -76,7 +76,8 @@ class Model:
 class WordScores:
     """Class scores of single words before the bias; words that came before are looked up."""
 
-    LIMIT = 1_000_000  # words kept, about 200 MB; the cache starts anew beyond
+    LIMIT = 200_000  # words kept, about 40 MB; the cache starts anew beyond
+    TEXTS = 256  # texts whose words are held at once
 
     def __init__(self, model: Model, reduce: str = "mean"):
         self.table, self.reduce = model.table(), reduce

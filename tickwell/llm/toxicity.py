@@ -48,11 +48,12 @@ def scorer(blob: bytes):
     def score(texts: pd.Series) -> pd.Series:
         import numpy as np
         model = _loaded(blob)
-        found = [set(words_of(t)) for t in texts]
-        model.add(set().union(*found))
-        odds = model.scores[:, 1] - model.scores[:, 0]
-        known = model.known
-        best = [max((odds[known[w]] for w in ws), default=-np.inf) for ws in found] if len(known) else [-np.inf] * len(found)
+        best = []
+        for lo in range(0, len(texts), WordScores.TEXTS):
+            found = [set(words_of(t)) for t in texts.iloc[lo:lo + WordScores.TEXTS]]
+            model.add(set().union(*found))
+            known, odds = model.known, model.scores[:, 1]  # class 0 is the zero of the odds
+            best += [odds[np.fromiter((known[w] for w in ws), np.int64, len(ws))].max() if ws else -np.inf for ws in found]
         logits = np.array(best) + model.bias
         return pd.Series(1 / (1 + np.exp(-np.clip(logits, -60, 60))))
 
