@@ -184,3 +184,43 @@ def test_shared_folder_comes_from_the_session():
 def test_total_size_of_files(spark):
     path = "/root/testdata/sf0.001/events.parquet"
     assert files.total_size(spark.read.parquet(path)) == os.path.getsize(path)
+
+
+def test_second_file_of_a_loaded_key_is_added(spark, landing, folder):
+    tables = ingest.Lake(f"{folder}/lake")
+    ingest.load(spark, landing, tables, exchange="LSE", stage="ingestion", start="2025-01-01", end="2025-01-01")
+    first = vendor_file(landing, "LSE", "2025-01-01", [tick("A", "2025-01-01 09:00:00"), tick("B", "2025-01-01 09:00:01")])
+    second = first.replace("1-of-1", "2-of-2")
+    with gzip.open(second, "wt") as f:
+        f.write("\n".join([HEADER, tick("C", "2025-01-01 10:00:00")]) + "\n")
+    where = {"exchange": "LSE", "stage": "ingestion", "start": "2025-01-01", "end": "2025-01-01"}
+    assert states(ingest.load(spark, landing, tables, **where)) == {"skipped": 1, "completed": 1}
+    assert sorted(r["symbol"] for r in ingest.accepted(spark, tables).collect()) == ["A", "B", "C"]
+    assert states(ingest.load(spark, landing, tables, **where)) == {"skipped": 2}
+
+
+def test_forced_reload_of_an_empty_file_clears_its_partition(spark, landing, folder):
+    tables = ingest.Lake(f"{folder}/lake")
+    ingest.load(spark, landing, tables)
+    vendor_file(landing, "NYQ", "2025-01-01", [])
+    result = ingest.load(spark, landing, tables, exchange="NYQ", force=True).collect()
+    assert [(r["status"], r["records_loaded"]) for r in result] == [("completed", 0)]
+    assert spark.read.parquet(tables.bronze).where("exchange = 'NYQ'").count() == 0
+    assert ingest.accepted(spark, tables).count() == 6
+
+
+def test_upsert_moves_keys_and_matches_nulls(spark, folder):
+    path = f"{folder}/moved"
+    schema = "k int, p string, v int"
+    lake.upsert(spark.createDataFrame([(1, "a", 1), (None, "a", 2), (3, "c", 3)], schema), path, ["k"], ("p",))
+    lake.upsert(spark.createDataFrame([(1, "b", 10), (None, "a", 20), (3, "d/e", 30)], schema), path, ["k"], ("p",))
+    assert {(r["k"], r["p"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "b", 10), (None, "a", 20), (3, "d/e", 30)}
+
+
+def test_retention_keeps_undated_rows_and_reads_no_rows(spark, folder):
+    rows = spark.createDataFrame([("a", "2025-01-01"), ("b", "2024-01-01"), ("c", None)], "k string, d string").withColumn("data_date", F.to_date("d")).drop("d")
+    for name, partitions in (("folders", ("data_date",)), ("rows", ())):
+        path = f"{folder}/{name}"
+        lake.write_partitions(rows, path, partitions, ())
+        lake.drop_older(spark, path, 90, "2025-01-10", partitions=partitions)
+        assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["a", "c"]

@@ -79,3 +79,22 @@ def test_rank_search_from_scratch(spark):
 def test_quantiles_of_empty_and_several_columns(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None), (4.0, None)], "a double, b double")
     assert quantiles_of(df, ["a", "b"], [0.25, 0.75]) == {"a": [1.75, 3.25], "b": [None, None]}
+
+
+def test_null_keys_survive_on_both_paths(spark):
+    from tickwell.operators import analyst, bars, cross, indicators
+    rows = [(i, None if i % 2 else "LSE", None if i % 3 == 0 else "A", f"2025-01-01 09:{i:02d}:00", "Quote" if i % 4 == 0 else "Trade", 10.0 + i % 7, 5) for i in range(40)]
+    ticks = spark.createDataFrame(rows, "event_id bigint, exchange string, symbol string, t string, type string, price double, volume bigint").selectExpr(
+        "event_id", "exchange", "symbol", "cast(t as timestamp_ntz) AS ts", "date'2025-01-01' AS data_date", "type", "price", "volume", "price - 1 AS bid_price", "price + 1 AS ask_price")
+
+    def both(run):
+        plain, sliced = (sorted(map(str, run(**limits).collect())) for limits in ({}, {"max_group_rows": 0, "slice_rows": 7}))
+        assert plain == sliced
+        return plain
+    assert len(both(lambda **x: cross.trades_with_quotes(ticks, **x))) == 30
+    assert len(both(lambda **x: indicators.price_timeseries(ticks, **x))) == 40
+    both(lambda **x: analyst.order_flow(ticks, **x))
+    daily = bars.resample(ticks, "D", keys=("symbol",)).collect()
+    assert sum(r["volume"] for r in daily) == 200 and all(r["open"] is not None for r in daily)
+    pairs = cross.arbitrage(ticks.withColumn("exchange", F.when(F.col("event_id") % 2 == 0, "NSQ").otherwise("XXX")), "1 hour")
+    assert pairs.count() > 0

@@ -26,6 +26,12 @@ EXCHANGE_STAGES = {
 }
 LOADED_EXCHANGES = list(EXCHANGE_STAGES)
 
+
+def exchanges_of(df: DataFrame) -> list[str]:
+    """Exchanges that occur in a table, sorted: one pass over one column, a row per exchange comes back."""
+    return sorted(r[0] for r in df.select("exchange").where("exchange IS NOT NULL").distinct().collect())
+
+
 # Futures month codes, January first.
 MONTH_CODES = "FGHJKMNQUVXZ"
 QUARTERLY_CODES = "HMUZ"

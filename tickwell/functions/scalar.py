@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,16 @@ def percent(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(as_col(num).cast("double") * F.lit(100.0), as_col(den).cast("double"))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join in which a null key equals a null key; the keys appear once, as on the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(renamed, same, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def count_where(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 

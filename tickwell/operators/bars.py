@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickwell.functions.scalar import micros_since_epoch, ratio
+from tickwell.functions.scalar import micros_since_epoch, null_safe_join, ratio
 from tickwell.operators.filters import in_session, priced_trades
 
 
@@ -157,10 +157,7 @@ def resample(df: DataFrame, timeframe: str = "D", price: str = "price", volume:
         F.sum(volume).alias("volume"),
         *[F.avg(c).alias(f"{c}_mean") for c in means],
     )
-    ends = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).where(F.col("lo").isNotNull())
-    span = ends.select(F.window("lo", width)["start"].alias("lo"), "hi").select(
-        "lo", F.window("hi", width)["start"].alias("hi")
-    )
+    span = bars.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where(F.col("lo").isNotNull())
     if keys:
         spine = bars.select(*keys).distinct().withColumns({
             "lo": span.select("lo").scalar(), "hi": span.select("hi").scalar(),
@@ -169,7 +166,7 @@ def resample(df: DataFrame, timeframe: str = "D", price: str = "price", volume:
         spine = span
     spine = spine.select(*keys, F.explode(F.sequence("lo", "hi", step)).alias("bucket"))
     return (
-        spine.join(bars, [*keys, "bucket"], "left")
+        null_safe_join(spine, bars, [*keys, "bucket"])
         .withColumn("volume", F.coalesce("volume", F.lit(0).cast(df.schema[volume].dataType)))
         .withColumnRenamed("bucket", ts)
     )

@@ -322,7 +322,7 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 def completion_matrix(loads: DataFrame, exchanges: list[str] | None = None) -> DataFrame:
     """Completed files: a row per day, a column per exchange, 0 when absent."""
-    names = exchanges or dimensions.LOADED_EXCHANGES
+    names = exchanges or dimensions.exchanges_of(loads)
     return loads.groupBy("data_date").agg(*[
         count_where((F.col("exchange") == e) & status_is("completed")).alias(e.lower()) for e in names
     ])

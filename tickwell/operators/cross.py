@@ -19,7 +19,7 @@ def bucket_prices(ticks: DataFrame, width: str, order: tuple[str, ...] = ("ts",
     The exchanges become columns of one aggregate, so finding pairs needs
     neither a self join nor a second shuffle.
     """
-    names = sorted(exchanges or dimensions.LOADED_EXCHANGES)
+    names = sorted(exchanges or dimensions.exchanges_of(ticks))
     kind = ticks.schema["ts"].dataType
     newest = order_key(ticks, order)
     aggs = []
@@ -36,8 +36,11 @@ def bucket_prices(ticks: DataFrame, width: str, order: tuple[str, ...] = ("ts",
 
 def arbitrage(ticks: DataFrame, width: str = "1 minute", min_spread: float = 0.0,
               order: tuple[str, ...] = ("ts", "event_id"), exchanges: list[str] | None = None) -> DataFrame:
-    """Price gaps between exchanges in the same bucket, one row per exchange pair."""
-    names = sorted(exchanges or dimensions.LOADED_EXCHANGES)
+    """Price gaps between exchanges in the same bucket, one row per exchange pair.
+
+    Without ``exchanges`` all that occur are compared.
+    """
+    names = sorted(exchanges or dimensions.exchanges_of(ticks))
     wide = bucket_prices(ticks, width, order, names)
     pairs = F.array(*[
         F.struct(

@@ -13,15 +13,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwell.functions.scalar import null_safe_join
 from tickwell.session import scratch_path
 
 MAX_GROUP_ROWS = 5_000_000
 SLICE_ROWS = 2_000_000
-MAX_SLICES = 20_000  # beyond this the slices grow instead, to keep one shuffle manageable
 SLICE = "_slice"
 
 
@@ -39,7 +40,7 @@ def slices(df: DataFrame, keys: list[str], order: list[str], total: int, rows: i
     same when a task is retried or an executor is lost.
     """
     spark = df.sparkSession
-    parts = min(max(1, math.ceil(total / rows)), MAX_SLICES)
+    parts = max(1, math.ceil(total / rows))
     path = scratch_path(spark, "slices")
     df.repartitionByRange(parts, *keys, *order).write.parquet(path)
     name = F.col("_metadata.file_name")
@@ -67,7 +68,7 @@ def lookback_window(df: DataFrame, keys: list[str], order: list[str], lookback:
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    placed = sliced.join(starts, [*keys, SLICE]).withColumn(
+    placed = null_safe_join(sliced, starts, [*keys, SLICE], "inner").withColumn(
         "_at", F.col("_start") + F.row_number().over(in_slice) - 1
     )
     size = max(slice_rows, 4 * lookback, 1)
@@ -85,10 +86,11 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], ts: str, paylo
     """Each left row with the newest right row at or before its time.
 
     Right rows sort before left rows of the same time.  Unmatched left rows
-    keep nulls.
+    keep nulls; a null key matches nothing, as in any join.
     """
     tagged = left.select("*", F.lit(1).alias("_side"), F.col(left_tie).alias("_tie"))
-    found = F.struct(F.col(ts), *[F.col(c) for c in payload])
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    found = F.when(named, F.struct(F.col(ts), *[F.col(c) for c in payload]))
     lookup = right.select(
         *keys, ts, F.lit(0).alias("_side"), F.col(right_tie).alias("_tie"), found.alias("_found")
     )
@@ -100,12 +102,12 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], ts: str, paylo
         matched = both.withColumn("_match", F.last("_found", ignorenulls=True).over(w))
     else:
         sliced = slices(both, keys, order, total, slice_rows)
-        newest = F.max_by("_found", F.when(F.col("_side") == 0, F.struct(ts, "_tie")))
+        newest = F.max_by("_found", F.when((F.col("_side") == 0) & F.col("_found").isNotNull(), F.struct(ts, "_tie")))
         tails = sliced.groupBy(*keys, SLICE).agg(newest.alias("_tail"))
         earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = tails.select(*keys, SLICE, F.last("_tail", ignorenulls=True).over(earlier).alias("_carry"))
         w = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        matched = sliced.join(carried, [*keys, SLICE]).withColumn(
+        matched = null_safe_join(sliced, carried, [*keys, SLICE], "inner").withColumn(
             "_match", F.coalesce(F.last("_found", ignorenulls=True).over(w), F.col("_carry"))
         )
     return matched.where(F.col("_side") == 1).select(

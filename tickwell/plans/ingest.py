@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tickwell.functions.scalar import count_where, first_date
 from tickwell.operators.filters import rename_vendor_columns
 from tickwell.sinks import control_log, lake
+from tickwell.session import remove_path, scratch_path
 from tickwell.sources import files
 
 
@@ -48,32 +49,17 @@ def loaded_files(spark: SparkSession, tables: Lake) -> DataFrame | None:
 
 
 def pending(listed: DataFrame, done: DataFrame | None) -> DataFrame:
-    """Listed files whose (exchange, day, stage) has no completed load."""
-    return listed if done is None else listed.join(done, LOAD_KEY, "left_anti")
+    """Listed files without a completed load; a further file of a loaded key is pending."""
+    return listed if done is None else listed.join(done.select("source_file"), "source_file", "left_anti")
 
 
-FILE_KEYS = ["source_file", "exchange", "data_date", "processing_stage"]
-BROADCAST_FILES = 50_000  # rows of a file list, about 200 bytes each
-
-
-def bronze_rows(raw: DataFrame, listed: DataFrame | None = None) -> DataFrame:
-    """Typed tick rows with the load columns of their file.
-
-    With the list of files the columns come from a broadcast lookup, as long
-    as the list is short; otherwise they are parsed from the path of each row.
-    """
+def bronze_rows(raw: DataFrame) -> DataFrame:
+    """Typed tick rows with the load columns, which the path of their file names."""
     typed = rename_vendor_columns(files.to_vendor_types(raw))
-    found = [] if listed is None else listed.select(*FILE_KEYS).limit(BROADCAST_FILES + 1).collect()
-    if 0 < len(found) <= BROADCAST_FILES:
-        # A local table: the optimizer would copy a derived list's path tests onto every row.
-        lookup = raw.sparkSession.createDataFrame(found, listed.select(*FILE_KEYS).schema)
-        keyed = typed.join(F.broadcast(lookup), "source_file")
-    else:
-        path = F.col("source_file")
-        keyed = typed.withColumns({
-            "data_date": first_date(path), "exchange": files.exchange_of(path), "processing_stage": files.stage_of(path),
-        })
-    return lake.with_lineage(keyed)
+    path = F.col("source_file")
+    return lake.with_lineage(typed.withColumns({
+        "data_date": first_date(path), "exchange": files.exchange_of(path), "processing_stage": files.stage_of(path),
+    }))
 
 
 def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | None = None, stage: str | None = None,
@@ -82,7 +68,7 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
     """Load all pending files of a selection; returns one result row per file.
 
     Files that are already loaded are reported as skipped with their row
-    count, or as failed with ``on_existing="fail"``; either way nothing is
+    count (a further file of a loaded key is loaded), or as failed with ``on_existing="fail"``; either way nothing is
     written for them.  ``force`` replaces the partitions of the selected
     files, it never adds rows twice.
     """
@@ -96,8 +82,8 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
         return results(present, None)
     control_log.append_progress(todo, tables.progress, "started")
     try:
-        rows = bronze_rows(files.read_union(spark, todo.select("source_file")), todo)
-        lake.write_partitions(rows, tables.bronze)
+        rows = bronze_rows(files.read_union(spark, todo.select("source_file")))
+        store(spark, rows, todo, tables, force)
     except Exception as e:
         failed = todo.withColumn("error_message", F.lit(str(e)))
         control_log.append_progress(failed, tables.progress, "failed")
@@ -109,6 +95,33 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
     return results(present, newest)
 
 
+def store(spark: SparkSession, rows: DataFrame, todo: DataFrame, tables: Lake, force: bool) -> None:
+    """Write the rows of ``todo``; other files of the same partitions stay unless forced.
+
+    The new partition is the old rows of other files and the new rows, so a
+    repeated load does not add a row twice.  A forced reload clears the
+    partitions of its files, also of those that have no rows any more.
+    """
+    keys = list(lake.PARTITIONS)
+    if not lake.exists(spark, tables.bronze):
+        lake.write_partitions(rows, tables.bronze)
+        return
+    touched = todo.select(*keys).distinct()
+    if force:
+        lake.write_partitions(rows, tables.bronze)
+        emptied = touched.join(rows.select(*keys).distinct(), keys, "left_anti")
+        lake.remove_partitions(spark, tables.bronze, lake.PARTITIONS, emptied)
+        return
+    shared = spark.read.parquet(tables.bronze).join(touched, keys, "left_semi").join(todo.select("source_file"), "source_file", "left_anti")
+    if shared.isEmpty():
+        lake.write_partitions(rows, tables.bronze)
+        return
+    staging = scratch_path(spark, "load")
+    rows.unionByName(shared, allowMissingColumns=True).write.parquet(staging)
+    lake.write_partitions(spark.read.parquet(staging), tables.bronze)
+    remove_path(spark, staging)
+
+
 def with_counts(spark: SparkSession, tables: Lake, todo: DataFrame) -> DataFrame:
     """Loaded and rejected rows per file, counted in the written table.
 
@@ -134,8 +147,8 @@ def rejects(spark: SparkSession, tables: Lake) -> DataFrame:
 
 
 def already_loaded(listed: DataFrame, done: DataFrame, on_existing: str) -> DataFrame:
-    """Result rows of files whose load key is completed."""
-    found = listed.join(done, LOAD_KEY, "left_semi").join(done.select("source_file", "records_loaded"), "source_file", "left")
+    """Result rows of files that are loaded."""
+    found = listed.join(done.select("source_file", "records_loaded"), "source_file")
     message = F.concat_ws(" ", F.lit("data already exists for"), *LOAD_KEY)
     return found.withColumns({
         "status": F.lit("skipped" if on_existing == "skip" else "failed"),

@@ -56,6 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, in whatever store it lies; a missing one is fine."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/tickwell/{name}-{uuid.uuid4().hex}"

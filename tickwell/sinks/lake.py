@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.session import scratch_path
+from tickwell.functions.scalar import null_safe_join
+from tickwell.session import remove_path, scratch_path
 from tickwell.sources.files import LINEAGE
 
 PARTITIONS = ("data_date", "exchange", "processing_stage")
@@ -43,8 +44,8 @@ def write_partitions(df: DataFrame, path: str, partitions: tuple[str, ...] = PAR
                      sort: tuple[str, ...] = SORT, mode: str = "overwrite") -> None:
     """Write by partition; overwriting replaces only the partitions in ``df``.
 
-    The job commit moves finished files into place, so a failed or repeated
-    job leaves either the old or the new partition.
+    Folders are replaced one by one as the job commits, so a crash during the
+    commit can leave some old and some new; repeating the job mends that.
     """
     by = [c for c in partitions if c in df.columns]
     (
@@ -103,15 +104,31 @@ def partition_exists(spark: SparkSession, path: str, exchange: str, data_date: s
     return not spark.read.parquet(path).where(key).isEmpty()
 
 
-PRUNE_VALUES = 500
+def partition_path(path: str, partitions: tuple[str, ...], values) -> str:
+    """Folder of one partition, spelled as Spark spells it."""
+    def spelled(value) -> str:
+        if value is None or value == "":
+            return "__HIVE_DEFAULT_PARTITION__"
+        return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\\x7f{[]^" or ord(c) < 32 else c for c in str(value))
+    return "/".join([path.rstrip("/"), *[f"{name}={spelled(v)}" for name, v in zip(partitions, values, strict=True)]])
+
+
+def remove_partitions(spark: SparkSession, path: str, partitions: tuple[str, ...], gone: DataFrame) -> int:
+    """Delete the folders of the partitions listed in ``gone``; only names come to the driver, one at a time."""
+    removed = 0
+    for row in gone.select(*partitions).distinct().toLocalIterator():
+        remove_path(spark, partition_path(path, partitions, row))
+        removed += 1
+    return removed
 
 
 def upsert(new: DataFrame, path: str, keys: list[str], partitions: tuple[str, ...]) -> None:
-    """Replace rows with the same key, keep the others.
+    """Replace rows with the same key, keep the others.  Null keys are equal.
 
-    Only partitions that ``new`` touches are read and written again.  ``new``
-    is written to a staging table first, so it is computed once and the steps
-    after it do not depend on its lineage.
+    Only partitions that ``new`` touches, or that hold a key of ``new`` (it may
+    have moved), are read and written again; to find the latter, the key
+    columns of the table are read unless the keys name the partition.  ``new``
+    is written to a staging table first, so it is computed once.
     """
     spark = new.sparkSession
     if not exists(spark, path):
@@ -121,14 +138,21 @@ def upsert(new: DataFrame, path: str, keys: list[str], partitions: tuple[str, ..
     new.write.parquet(staging)
     staged = spark.read.schema(new.schema).parquet(staging)
     old = spark.read.parquet(path)
-    for name in partitions:
-        # A literal list prunes folders at planning time; long lists are left to the join.
-        values = [r[0] for r in staged.select(name).distinct().limit(PRUNE_VALUES + 1).collect()]
-        if len(values) <= PRUNE_VALUES and None not in values:
-            old = old.where(F.col(name).isin(values))
-    touched = old.join(staged.select(*partitions).distinct(), list(partitions), "left_semi")
-    kept = touched.join(staged.select(*keys), keys, "left_anti")
-    write_partitions(kept.unionByName(staged, allowMissingColumns=True), path, partitions, ())
+    at = list(partitions)
+    touched = staged.select(*at).distinct()
+    if not set(at) <= set(keys):
+        touched = touched.unionByName(null_safe_join(old.select(*dict.fromkeys([*keys, *at])), staged.select(*keys), keys, "left_semi").select(*at)).distinct()
+    touched_at = scratch_path(spark, "touched")
+    touched.write.parquet(touched_at)
+    touched = spark.read.schema(touched.schema).parquet(touched_at)
+    kept = null_safe_join(null_safe_join(old, touched, at, "left_semi"), staged.select(*keys), keys, "left_anti")
+    result_at = scratch_path(spark, "merged")
+    kept.unionByName(staged, allowMissingColumns=True).write.parquet(result_at)
+    result = spark.read.parquet(result_at)
+    write_partitions(result, path, partitions, ())
+    remove_partitions(spark, path, partitions, null_safe_join(touched, result.select(*at).distinct(), at, "left_anti"))
+    for used in (staging, touched_at, result_at):
+        remove_path(spark, used)
 
 
 def rewrite(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
@@ -138,13 +162,24 @@ def rewrite(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
     df.write.parquet(staging)
     writer = spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    remove_path(spark, staging)
 
 
 def drop_older(spark: SparkSession, path: str, days: int = 90, as_of=None, column: str = "data_date",
                partitions: tuple[str, ...] = ()) -> None:
-    """Retention: keep rows not older than ``days`` before ``as_of``."""
+    """Retention: keep rows not older than ``days`` before ``as_of``; rows without a date stay.
+
+    A table partitioned by the date loses whole folders, and no row is read.
+    """
     from tickwell.operators.filters import last_days
-    rewrite(last_days(spark.read.parquet(path), days, as_of, column), path, partitions)
+    table = spark.read.parquet(path)
+    if column in partitions:
+        undated = F.col(column).isNull()
+        names = table.select(*partitions).distinct()  # partition columns alone: answered from the folder names
+        recent = last_days(names, days, as_of, column).unionByName(names.where(undated))
+        remove_partitions(spark, path, partitions, null_safe_join(names, recent, list(partitions), "left_anti"))
+        return
+    rewrite(last_days(table, days, as_of, column).unionByName(table.where(F.col(column).isNull())), path, partitions)
 
 
 def widen_columns(spark: SparkSession, path: str, types: dict[str, str], partitions: tuple[str, ...] = ()) -> None:
