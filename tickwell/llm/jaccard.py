@@ -38,6 +38,7 @@ THRESHOLD = 75  # percent
 SKETCH = 24  # min-hashes a class
 BAND = 3  # min-hashes that must agree for one family
 BUCKET = 1_000_000  # postings of one task
+BLOCK = 1_000_000  # shingles of one block of classes, about; a longer text is a block of its own
 SHORT = 32  # families on a list that is still merged across families
 GROUP_TOKENS = 16_384  # shingles of one block of a search group
 IDS = 2_000_000  # ids sent to all executors at once, 16 bytes each; more are joined by shuffle
@@ -111,32 +112,39 @@ def _sketch(words: int, batches):
 # --- inverted lists in buckets -----------------------------------------------------
 
 
+def _sets_of(batches, words: int):
+    """Classes and their sets in blocks of about ``BLOCK`` shingles."""
+    for batch in batches:
+        packed = "tokens" in batch
+        sets, size, first = [], 0, 0
+        for i, value in enumerate(batch["tokens" if packed else "text"]):
+            sets.append(np.frombuffer(value, np.uint64) if packed else shingles(value, words))
+            size += len(sets[-1])
+            if size >= BLOCK or i == len(batch) - 1:
+                yield batch.iloc[first:i + 1][["cls", "fam"]].to_numpy(np.int64), sets
+                sets, size, first = [], 0, i + 1
+
+
 def _scatter(buckets: int, whole: bool, threshold: int, words: int, batches):
     """Packed postings of a block of classes: one row per bucket of shingles."""
     from pyspark import TaskContext
     part = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
-        if "tokens" in batch:
-            sets = [np.frombuffer(t, np.uint64) for t in batch["tokens"]]
-        else:
-            sets = [shingles(t, words) for t in batch["text"]]
-        kept = sets if whole else [s[:prefix(len(s), threshold)] for s in sets]
-        if not kept:
-            continue
-        token = np.concatenate(kept)
-        doc = np.repeat(np.arange(len(kept), dtype=np.uint32), [len(s) for s in kept])
-        bucket = ((token * MIX) >> np.uint64(33)).astype(np.int64) % buckets
+    for number, (named, sets) in enumerate(_sets_of(batches, words)):
+        sizes = np.array([len(s) for s in sets], np.int64)
+        if not whole:
+            sets = [s[:prefix(len(s), threshold)] for s in sets]
+        token = np.concatenate(sets)
+        narrow = np.uint16 if len(sets) <= 65_535 else np.uint32
+        doc = np.repeat(np.arange(len(sets), dtype=narrow), [len(s) for s in sets])
+        sets.clear()
+        bucket = ((token * MIX) >> np.uint64(33)) % np.uint64(buckets)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 65_536 else bucket, kind="stable")
         token, doc, bucket = token[order], doc[order], bucket[order]
-        head = batch[["cls", "fam"]].to_numpy(np.int64).tobytes() + np.array([len(s) for s in sets], np.int64).tobytes()
-        fam = batch["fam"].to_numpy(np.int64)
+        head, fam = named.tobytes() + sizes.tobytes(), named[:, 1].tobytes()
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        ends = np.r_[starts[1:], len(bucket)] if len(bucket) else []
-        narrow = np.uint16 if len(kept) <= 65_535 else np.uint32
         rows = []
-        for i, (lo, hi) in enumerate(zip(starts, ends, strict=True)):
-            rows.append((int(bucket[lo]), (part << 24) + number, head if i == 0 else b"", len(kept), token[lo:hi].tobytes(),
-                         doc[lo:hi].astype(narrow).tobytes(), fam.tobytes()))
+        for i, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(bucket)], strict=False)):
+            rows.append((int(bucket[lo]), (part << 24) + number, head if i == 0 else b"", len(sizes), token[lo:hi].tobytes(), doc[lo:hi].tobytes(), fam))
         yield pd.DataFrame(rows, columns=["bucket", "block", "head", "docs", "token", "doc", "fam"])
 
 

@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwell.llm.frames import written
+
 SEED = "mix-1"
-ROUNDS = 8  # redistribution rounds a level; each round fills at least one node or ends the shortage
 RANGE_DIGITS = 3  # leading hex digits of the order key that make a range: 4096 a leaf
 
 
@@ -92,12 +93,8 @@ def mix(documents: DataFrame, levels: list[str], weights: dict[str, dict], budge
     empty table gives an empty result.
     """
     counted = documents.withColumn("mix_tokens", token_estimate(F.col("text")) if tokens is None else tokens)
-    leaves = counted.groupBy(*levels).agg(F.sum("mix_tokens").alias("tokens"))
-    total = F.lit(float(budget)) if budget is not None else None
-    if total is None:
-        amount = float((leaves.agg(F.sum("tokens")).first()[0] or 0) * share)
-    else:
-        amount = float(budget)
+    leaves = written(counted.groupBy(*levels).agg(F.sum("mix_tokens").alias("tokens")), "leaves")
+    amount = float(budget) if budget is not None else float((leaves.agg(F.sum("tokens")).first()[0] or 0) * share)
     budgets = leaf_budgets(leaves, levels, weights, amount, max_epochs)
     plan = _named(leaves, levels).join(_named(budgets, levels), [f"_l{i}" for i in range(len(levels))]).select(
         *[f"_l{i}" for i in range(len(levels))], F.col("tokens").alias("_tokens"), F.col("_got"))
@@ -105,10 +102,12 @@ def mix(documents: DataFrame, levels: list[str], weights: dict[str, dict], budge
     plan = plan.withColumn("_epochs", F.least(whole, F.lit(max_epochs))).withColumn(
         "_need", F.greatest(F.lit(0.0), F.col("_got") - F.col("_epochs") * F.col("_tokens")))
     leaf = [f"_l{i}" for i in range(len(levels))]
-    small = F.broadcast(plan) if plan.count() <= LEAVES else plan
+    plan = written(plan, "plan")
+    few = plan.count() <= LEAVES
+    small = F.broadcast(plan) if few else plan
     keyed = _named(counted, levels, keep=True).join(small, leaf).withColumn("_key", order_key(F.col("doc_id"), F.col("_epochs"), seed))
-    cut = prefix_cut(keyed, leaf)
-    cuts = F.broadcast(cut) if plan.count() <= LEAVES else cut
+    cut = written(prefix_cut(keyed, leaf, few), "cuts")
+    cuts = F.broadcast(cut) if few else cut
     placed = keyed.join(cuts, leaf, "left")
     partial = F.when((F.col("_need") > 0) & F.col("_cut").isNotNull() & (F.col("_key") <= F.col("_cut")), 1).otherwise(0)
     copies = F.col("_epochs") + partial
@@ -126,7 +125,7 @@ def _named(df: DataFrame, levels: list[str], keep: bool = False) -> DataFrame:
     return out if keep else out.drop(*levels)
 
 
-def prefix_cut(keyed: DataFrame, leaf: list[str]) -> DataFrame:
+def prefix_cut(keyed: DataFrame, leaf: list[str], few: bool) -> DataFrame:
     """Largest order key of each leaf that belongs to its token prefix of ``_need``."""
     spread = keyed.where("_need > 0").withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
     sums = spread.groupBy(*leaf, "_range").agg(F.sum("mix_tokens").alias("_sum"), F.first("_need").alias("_goal"))
@@ -134,7 +133,7 @@ def prefix_cut(keyed: DataFrame, leaf: list[str]) -> DataFrame:
     passed = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
     at = passed.where((F.col("_before") < F.col("_goal")) & (F.col("_before") + F.col("_sum") >= F.col("_goal"))).select(
         *leaf, F.col("_range").alias("_at"), "_before")
-    edge = spread.join(F.broadcast(at), [*leaf]).where(F.col("_range") == F.col("_at"))
+    edge = spread.join(F.broadcast(at) if few else at, [*leaf]).where(F.col("_range") == F.col("_at"))
     # Rows of one key count together, so ties are taken or left as a whole.
     keys = edge.groupBy(*leaf, "_key").agg(F.sum("mix_tokens").alias("_sum"), F.first("_need").alias("_need"), F.first("_before").alias("_before"))
     up = Window.partitionBy(*leaf).orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
