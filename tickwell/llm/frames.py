@@ -38,14 +38,27 @@ def bounded_sample(rows: DataFrame, limit: int, key: str) -> DataFrame:
     return picked.limit(limit)
 
 
+def as_ids(values) -> list:
+    """Ids that came as texts, since pandas would turn a column of numbers and nulls into doubles."""
+    return [None if v is None or v != v else int(v) for v in values]
+
+
+def whole_numbers(values: list):
+    """A nullable column of 64-bit numbers, without a detour over doubles."""
+    import numpy as np
+    import pandas as pd
+    missing = np.array([v is None for v in values], bool)
+    return pd.arrays.IntegerArray(np.array([0 if v is None else v for v in values], np.int64), missing)
+
+
 def fitted(sample: DataFrame, fit) -> bytes:
     """Run ``fit(pandas frame) -> bytes`` over a bounded sample in one task; the model comes back to the driver."""
-    columns = sample.columns
+    import pandas as pd
 
     def train(batches):
-        import pandas as pd
         rows = [b for b in batches if len(b)]
-        frame = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame({c: [] for c in columns})
-        yield pd.DataFrame({"model": [fit(frame)]})
+        if rows:
+            yield pd.DataFrame({"model": [fit(pd.concat(rows, ignore_index=True))]})
 
-    return bytes(sample.repartition(1).mapInPandas(train, "model binary").first()["model"])
+    found = sample.repartition(1).mapInPandas(train, "model binary").first()
+    return bytes(found["model"]) if found else fit(pd.DataFrame({c: [] for c in sample.columns}))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.components import Forest, components
-from tickwell.llm.frames import written
+from tickwell.llm.frames import as_ids, whole_numbers, written
 
 WORDS = 5
 THRESHOLD = 75  # percent
@@ -105,8 +105,8 @@ def _sketch(words: int, batches):
                 mins = (mins >> np.uint64(32)).astype(np.int64).tolist()
             name = int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
             rows.append((doc, len(s), name, mins))
-        out = pd.DataFrame(rows, columns=["doc_id", "n", "cls", "mins"])
-        yield out.astype({"doc_id": "Int64", "cls": "Int64"})
+        yield pd.DataFrame({"doc_id": whole_numbers(as_ids(r[0] for r in rows)), "n": [r[1] for r in rows],
+                            "cls": whole_numbers([r[2] for r in rows]), "mins": [r[3] for r in rows]})
 
 
 # --- inverted lists in buckets -----------------------------------------------------
@@ -223,8 +223,10 @@ def _candidates(short: int, rows: pd.DataFrame) -> pd.DataFrame:
     other = names[np.repeat(first[lists[merged]], times) + step]
     apart = other != own
     found = pd.DataFrame({"cls": left[apart], "other": other[apart]}).groupby(["cls", "other"]).size().reset_index(name="count")
-    long = pd.DataFrame({"cls": cls[mine > short]}).groupby("cls").size().reset_index(name="count").assign(other=None)
-    return pd.concat([found.astype({"other": "Int64"}), long.astype({"other": "Int64"})])
+    long = pd.DataFrame({"cls": cls[mine > short]}).groupby("cls").size().reset_index(name="count")
+    missing = np.r_[np.zeros(len(found), bool), np.ones(len(long), bool)]
+    other = pd.arrays.IntegerArray(np.r_[found["other"].to_numpy(np.int64), np.zeros(len(long), np.int64)], missing)
+    return pd.concat([found[["cls", "count"]], long], ignore_index=True).assign(other=other)
 
 
 def _deal(buckets: int, batches):
@@ -355,7 +357,7 @@ def similar_documents(documents: DataFrame, threshold: int = THRESHOLD, words: i
     when their texts differ.  An empty table gives an empty result.
     """
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = written(plain.mapInPandas(partial(_sketch, words), "doc_id long, n long, cls long, mins array<long>"), "sketches")
+    sketched = written(plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(partial(_sketch, words), "doc_id long, n long, cls long, mins array<long>"), "sketches")
     reps = written(sketched.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("mins").alias("mins")), "classes")
     tokens = reps.agg(F.sum("n")).first()[0] or 0

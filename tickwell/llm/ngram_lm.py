@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.frames import fold, written
+from tickwell.llm.frames import as_ids, fold, whole_numbers, written
 
 PRIOR = 100.0
 SHARD_TOKENS = 3_000_000  # tokens of one shard
@@ -291,8 +291,8 @@ def _deal(shards: int, frequent: np.ndarray, batches):
         doc = np.repeat(np.arange(len(sizes), dtype=np.uint16 if len(sizes) <= 65_535 else np.uint32), sizes)
         order = np.argsort(shard, kind="stable")
         bounds = np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
-        ids = batch["doc_id"]
-        head = np.concatenate([ids.fillna(0).to_numpy(np.int64), ids.isna().to_numpy(np.int64), sizes, batch["train"].to_numpy(np.int64)]).tobytes()
+        ids = whole_numbers(as_ids(batch["doc_id"]))
+        head = np.concatenate([ids.to_numpy(np.int64, na_value=0), ids.isna().astype(np.int64), sizes, batch["train"].to_numpy(np.int64)]).tobytes()
         train = np.packbits(batch["train"].to_numpy(bool)).tobytes()
         rows = []
         for s in np.flatnonzero(np.diff(bounds)):
@@ -363,7 +363,7 @@ def _gather(total: int, distinct: int, training_docs: int, rows: pd.DataFrame) -
     k = PRIOR / max(total, 1)
     first = math.log10(training_docs + k * (total + 0.1 * (distinct + 1)))
     return pd.DataFrame({
-        "doc_id": pd.array(ids, "Int64").copy() if not missing.any() else pd.Series(ids, dtype="Int64").mask(missing.astype(bool)),
+        "doc_id": pd.arrays.IntegerArray(ids.copy(), missing.astype(bool)),
         "held_out": train == 0, "n_tokens": sizes, "n_known": known, "train_tokens": total,
         "base_score": base - sizes * math.log10(total + 0.1 * (distinct + 1)), "score": gain - first})
 
@@ -376,7 +376,7 @@ def text_scores(documents: DataFrame, held_out: int = 0, folds: int = 10, shard_
     repeated rows are learned and scored each.  Without training texts every
     word is unknown.  An empty table gives an empty result.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+    rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                             (fold("doc_id", folds) != held_out).alias("train"))
     vocabulary = written(rows.mapInPandas(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total, distinct, training_docs = vocabulary.agg(

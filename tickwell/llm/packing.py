@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tickwell.llm.frames import as_ids, whole_numbers
+
 CAPACITY = 2048
 END = 1
 SMALLEST_CUT = 32  # fractions of the capacity below this stay one piece
@@ -106,12 +108,15 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, end: int | None = END,
         packer = Packer(capacity)
 
         def frame(rows):
-            return pd.DataFrame([(doc, start, size, crc, total, first + seq, offset) for seq, offset, (doc, start, size, crc, total) in rows],
-                                columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
+            rows = list(rows)
+            out = pd.DataFrame([(start, size, crc, total, first + seq, offset) for seq, offset, (_, start, size, crc, total) in rows],
+                               columns=[c.split()[0] for c in SCHEMA.split(", ")][1:])
+            out.insert(0, "doc_id", whole_numbers([piece[0] for _, _, piece in rows]))
+            return out
 
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, text in zip(as_ids(batch["doc_id"]), batch["text"], strict=True):
                 ids = encode(text or "")
                 if end is not None:
                     ids.append(end)
@@ -119,9 +124,9 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, end: int | None = END,
                 start = 0
                 for size in lengths_of(len(ids), capacity):
                     crc = zlib.crc32(raw[4 * start:4 * (start + size)])
-                    rows.extend(packer.add((None if pd.isna(doc) else int(doc), start, size, crc, len(ids))))
+                    rows.extend(packer.add((doc, start, size, crc, len(ids))))
                     start += size
             yield frame(rows)
         yield frame(packer.close())
 
-    return documents.selectExpr("doc_id", "coalesce(text, '') AS text").mapInPandas(run, SCHEMA)
+    return documents.selectExpr("cast(doc_id AS string) AS doc_id", "coalesce(text, '') AS text").mapInPandas(run, SCHEMA)
