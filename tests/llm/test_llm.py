@@ -225,6 +225,12 @@ def test_near_duplicates_equal_all_pairs(spark, block):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (links[i], root[i]) for i in root}
 
 
+def test_near_duplicates_with_negative_ids(spark):
+    rows = [(i, 1, [1.0, 0.001 * i, 0.0]) for i in (-1, 3, 5)]
+    got = cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (2, -1) for i in (-1, 3, 5)}
+
+
 def test_nearest_reaches_the_recall(spark):
     df = vectors(spark, 1500)
     rows = {r["vec_id"]: r["embedding"] for r in df.collect() if r["vec_id"] is not None and fine(r["embedding"]) and len(r["embedding"]) == 6}

@@ -141,7 +141,7 @@ def _route(pivots: dict, cosine: float, batches):
 
 
 def _compare(cosine: float, rows: pd.DataFrame) -> pd.DataFrame:
-    """Link counts of the home side, and stars of linked vectors."""
+    """Link counts of the home side (``n_links`` above 0), and stars of linked vectors (``n_links`` 0)."""
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
     x_ids, y_ids, copies = left["rid"].to_numpy(), right["rid"].to_numpy(), right["copies"].to_numpy()
     links = np.zeros(len(left), np.int64)
@@ -168,7 +168,7 @@ def _compare(cosine: float, rows: pd.DataFrame) -> pd.DataFrame:
                 seen = (a, b)
 
     close_pairs(CoverTree(unit(left["embedding"])), CoverTree(unit(right["embedding"])), cosine, whole, single)
-    counted = pd.DataFrame({"a": x_ids, "b": -1, "n_links": links})
+    counted = pd.DataFrame({"a": x_ids, "b": x_ids, "n_links": links})
     stars = pd.DataFrame(forest.stars(), columns=["a", "b"]).assign(n_links=0)
     return pd.concat([counted[counted["n_links"] > 0], stars])
 
@@ -199,8 +199,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     left = placed.where("home").withColumn("other", every_block).select(*cell, F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rid", "copies", "embedding")
     right = placed.withColumn("other", every_block).select(*cell, F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "rid", "copies", "embedding")
     found = written(left.unionByName(right).groupBy(*cell, "i", "j").applyInPandas(partial(_compare, cosine), "a long, b long, n_links long"), "links")
-    counts = found.where("b = -1").groupBy(F.col("a").alias("rid")).agg(F.sum("n_links").alias("others"))
-    joined = components(found.where("b <> -1").select("a", "b"))
+    counts = found.where("n_links > 0").groupBy(F.col("a").alias("rid")).agg(F.sum("n_links").alias("others"))
+    joined = components(found.where("n_links = 0").select("a", "b"))
     classes = (
         reps.select("label", "embedding", "rid", "copies").join(counts, "rid", "left")
         .join(joined.select(F.col("node").alias("rid"), "component"), "rid", "left")
