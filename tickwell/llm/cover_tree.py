@@ -27,6 +27,8 @@ COSINE = 0.98
 BLOCK = 2_048  # vectors of one side of a task
 PIVOTS = 8_192  # pivots sent to all executors, at most about; cells grow beyond
 LEAF = 32
+DIRECT = 1 << 16  # pairs of two nodes that are compared at once
+WALK = 256  # pairs that are compared in the time of one step of the walk
 SLACK = 1e-9  # distances this close to a bound are compared exactly
 
 
@@ -74,28 +76,39 @@ def close_pairs(x: CoverTree, y: CoverTree, cosine: float, whole, single) -> Non
     reach = math.sqrt(2.0 - 2.0 * cosine)
     cx, cy = x.x[x.center], y.x[y.center]
     rx, ry = np.array(x.radius), np.array(y.radius)
-    stack = [(0, 0)]
-    while stack:
-        a, b = stack.pop()
-        down_a, down_b = x.children[a], y.children[b]
-        if down_a is None and down_b is None:
-            xs, ys = x.members[a], y.members[b]
-            dots = x.x[xs] @ y.x[ys].T
+
+    def compare(xs, ys):
+        step = max(1, DIRECT // len(ys))
+        for lo in range(0, len(xs), step):
+            some = xs[lo:lo + step]
+            dots = x.x[some] @ y.x[ys].T
             i, j = np.nonzero(dots >= cosine - SLACK)
             sure = dots[i, j] >= cosine + SLACK
             for k in np.flatnonzero(~sure):
-                sure[k] = exact_cosine(x.x[xs[i[k]]], y.x[ys[j[k]]]) >= cosine
+                sure[k] = exact_cosine(x.x[some[i[k]]], y.x[ys[j[k]]]) >= cosine
             if sure.any():
-                single(xs[i[sure]], ys[j[sure]])
+                single(some[i[sure]], ys[j[sure]])
+
+    stack = [(0, 0)]
+    while stack:
+        a, b = stack.pop()
+        down_a, down_b = x.children[a], y.children[b]
+        pairs = len(x.members[a]) * len(y.members[b])
+        if (down_a is None and down_b is None) or pairs <= DIRECT:
+            compare(x.members[a], y.members[b])
             continue
         na = down_a if down_a is not None else np.array([a])
         nb = down_b if down_b is not None else np.array([b])
         apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (cx[na] @ cy[nb].T)))
         both = rx[na][:, None] + ry[nb][None, :]
         inside = apart + both <= reach - SLACK
+        near = ~inside & (apart - both <= reach + 1e-7)
+        if (inside.sum() + near.sum()) * WALK >= pairs:  # the children are so many that they are hardly smaller sets
+            compare(x.members[a], y.members[b])
+            continue
         for i, j in zip(*np.nonzero(inside), strict=True):
             whole(x.members[na[i]], y.members[nb[j]])
-        for i, j in zip(*np.nonzero(~inside & (apart - both <= reach + 1e-7)), strict=True):
+        for i, j in zip(*np.nonzero(near), strict=True):
             stack.append((int(na[i]), int(nb[j])))
 
 
@@ -146,6 +159,9 @@ def _compare(cosine: float, rows: pd.DataFrame) -> pd.DataFrame:
     x_ids, y_ids, copies = left["rid"].to_numpy(), right["rid"].to_numpy(), right["copies"].to_numpy()
     links = np.zeros(len(left), np.int64)
     forest = Forest()
+    ids, at_ids = np.unique(np.concatenate([x_ids, y_ids]), return_inverse=True)
+    part = np.arange(len(ids))  # per id one that it is known to be joined with
+    x_at, y_at = at_ids[:len(x_ids)], at_ids[len(x_ids):]
 
     def whole(xs, ys):
         own = np.isin(x_ids[xs], y_ids[ys])
@@ -161,11 +177,14 @@ def _compare(cosine: float, rows: pd.DataFrame) -> pd.DataFrame:
         other = x_ids[xs] != y_ids[ys]
         xs, ys = xs[other], ys[other]
         np.add.at(links, xs, copies[ys])
-        seen = None
-        for a, b in zip(x_ids[xs].tolist(), y_ids[ys].tolist(), strict=True):
-            if (a, b) != seen:
-                forest.union(a, b)
-                seen = (a, b)
+        # Of many links between the same two known parts one is enough.
+        a, b = x_at[xs], y_at[ys]
+        new = part[a] != part[b]
+        for key in np.unique(part[a[new]] * len(ids) + part[b[new]]).tolist():
+            forest.union(int(ids[key // len(ids)]), int(ids[key % len(ids)]))
+        if new.any():
+            touched = np.unique(np.concatenate([a, b]))
+            part[touched] = np.searchsorted(ids, [forest.find(i) for i in ids[touched].tolist()])
 
     close_pairs(CoverTree(unit(left["embedding"])), CoverTree(unit(right["embedding"])), cosine, whole, single)
     counted = pd.DataFrame({"a": x_ids, "b": x_ids, "n_links": links})
