@@ -271,6 +271,34 @@ def test_similar_documents_equal_all_pairs(spark, documents, options):
         assert {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in got} == {(i, root[i], sizes[i]) for i in root}
 
 
+def test_postings_of_one_block():
+    rng = np.random.default_rng(5)
+    token, fam = rng.integers(0, 40, 400), rng.integers(0, 6, 400)
+    fam[token < 10] = 3
+    order = np.lexsort((fam, token))
+    token, fam = token[order], fam[order]
+    sent = jaccard._first_and_last(token, fam)
+    for t in set(token.tolist()):
+        mine = token == t
+        assert set(fam[mine & sent]) == {fam[mine].min(), fam[mine].max()}
+        assert sent[mine].sum() == (mine.sum() if len(set(fam[mine])) == 1 else 2)
+
+
+def test_similar_documents_that_share_a_passage(spark):
+    rng = np.random.default_rng(9)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(160):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(0, 22)))]
+        at = int(rng.integers(0, len(own) + 1))
+        rows.append((i, " ".join(own[:at] + passage + own[at:])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    root, sizes = plain_components(rows)
+    assert 1 < len(set(root.values())) < len(rows)
+    got = jaccard.similar_documents(df, bucket=300).collect()
+    assert {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in got} == {(i, root[i], sizes[i]) for i in root}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).selectExpr("(id * 7) % 301 AS a", "((id + 1) * 7) % 301 AS b").repartition(7)
     assert {r["component"] for r in components(edges).collect()} == {0}

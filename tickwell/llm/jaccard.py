@@ -125,11 +125,33 @@ def _sets_of(batches, words: int):
                 sets, size, first = [], 0, i + 1
 
 
+def _first_and_last(token: np.ndarray, fam: np.ndarray) -> np.ndarray:
+    """Which postings of a block are sent, given in order of shingle and family.
+
+    A shingle that two families of the block have is known to be shared: its
+    first and last posting tell the other blocks so, the rest are counted here.
+    A shingle that very many documents have then costs two postings a block.
+    """
+    if not len(token):
+        return np.zeros(0, bool)
+    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    ends = np.r_[starts[1:], len(token)] - 1
+    sent = np.repeat(fam[starts] == fam[ends], ends - starts + 1)
+    sent[starts] = sent[ends] = True
+    return sent
+
+
 def _scatter(buckets: int, whole: bool, threshold: int, words: int, batches):
-    """Packed postings of a block of classes: one row per bucket of shingles."""
+    """Packed postings of a block of classes: one row per bucket of shingles.
+
+    The first row also names the classes, with their sizes and the shared
+    shingles that the block has counted itself.
+    """
     from pyspark import TaskContext
     part = TaskContext.get().partitionId()
     for number, (named, sets) in enumerate(_sets_of(batches, words)):
+        by = np.argsort(named[:, 1], kind="stable")  # in order of families, and so are the postings of a shingle
+        named, sets = named[by], [sets[i] for i in by]
         sizes = np.array([len(s) for s in sets], np.int64)
         if not whole:
             sets = [s[:prefix(len(s), threshold)] for s in sets]
@@ -137,10 +159,15 @@ def _scatter(buckets: int, whole: bool, threshold: int, words: int, batches):
         narrow = np.uint16 if len(sets) <= 65_535 else np.uint32
         doc = np.repeat(np.arange(len(sets), dtype=narrow), [len(s) for s in sets])
         sets.clear()
+        order = np.argsort(token, kind="stable")
+        token, doc = token[order], doc[order]
+        sent = _first_and_last(token, named[doc, 1])
+        known = np.bincount(doc[~sent], minlength=len(sizes)).astype(np.int64)
+        token, doc = token[sent], doc[sent]
         bucket = ((token * MIX) >> np.uint64(33)) % np.uint64(buckets)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 65_536 else bucket, kind="stable")
         token, doc, bucket = token[order], doc[order], bucket[order]
-        head, fam = named.tobytes() + sizes.tobytes(), named[:, 1].tobytes()
+        head, fam = named.tobytes() + sizes.tobytes() + known.tobytes(), named[:, 1].tobytes()
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
         rows = []
         for i, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(bucket)], strict=False)):
@@ -180,11 +207,10 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
 def _enough(whole: bool, threshold: int, rows: pd.DataFrame) -> pd.DataFrame:
     """The classes of a block that share enough shingles with other families."""
     n = int(rows["docs"].iloc[0])
-    hits = np.zeros(n, np.int64)
+    head = np.frombuffer(next(h for h in rows["head"] if len(h)), np.int64)
+    pairs, sizes, hits = head[:2 * n].reshape(n, 2), head[2 * n:3 * n], head[3 * n:].copy()
     for doc, count in zip(rows["doc"], rows["hits"], strict=True):
         hits[np.frombuffer(doc, np.uint32)] += np.frombuffer(count, np.uint32)
-    head = np.frombuffer(next(h for h in rows["head"] if len(h)), np.int64)
-    pairs, sizes = head[:2 * n].reshape(n, 2), head[2 * n:]
     if whole:
         floor = needed(sizes, threshold)
     else:
