@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwell.functions.scalar import ratio
 from tickwell.operators.filters import is_numeric, positive_trades, symbols_in
+from tickwell.operators.sets import dedupe_by_key
 from tickwell import dimensions
 
 
@@ -157,14 +158,8 @@ def average_prices(ticks: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def latest_per_symbol(ticks: DataFrame, order: tuple[str, ...] = ("exchange_time", "event_id")) -> DataFrame:
-    """Newest row per exchange and symbol.
-
-    ``max_by`` combines on the map side, so a hot symbol never has to be
-    sorted in one task as a ``row_number`` window would need.
-    """
-    payload = [c for c in ticks.columns if c not in ("exchange", "symbol")]
-    newest = F.max_by(F.struct(*payload), F.struct(*order)).alias("row")
-    return ticks.groupBy("exchange", "symbol").agg(newest).select("exchange", "symbol", "row.*")
+    """Newest row per exchange and symbol; a hot symbol sends one row a task."""
+    return dedupe_by_key(ticks, ["exchange", "symbol"], list(order))
 
 
 def cross_exchange_prices(latest: DataFrame, as_of: str) -> DataFrame:

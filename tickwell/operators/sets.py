@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.operators.filters import last_days, with_spread
@@ -84,7 +84,11 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def dedupe_by_key(df: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
-    """Newest row per key, combined on the map side."""
-    payload = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*payload), F.struct(*newest_by)).alias("row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "row.*")
+    """Newest row per key; null keys are one key.
+
+    Every task keeps its own newest row of a key before the exchange (window
+    group limit), so a hot key sends one row a task.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in newest_by])
+    rest = [c for c in df.columns if c not in keys]
+    return df.withColumn("_place", F.row_number().over(newest)).where("_place = 1").select(*keys, *rest)

@@ -51,14 +51,13 @@ def _(t):
 
 
 @register("agg_33_resample_daily", """
-WITH x AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS b, ts, price, volume, yield_value FROM (SELECT * FROM ticks WHERE day(data_date) % 7 <> 3)),
+WITH x AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS b, ts, price, volume, yield_value FROM ticks),
  a AS (SELECT b, arg_min(price, ts) FILTER (price IS NOT NULL) AS open, max(price) AS high, min(price) AS low,
   arg_max(price, ts) FILTER (price IS NOT NULL) AS close, CAST(sum(volume) AS BIGINT) AS volume, avg(yield_value) AS yield_value_mean FROM x GROUP BY 1)
 SELECT s.ts, open, high, low, close, coalesce(volume, 0) AS volume, yield_value_mean
 FROM (SELECT unnest(generate_series(min(b), max(b), INTERVAL 1 DAY)) AS ts FROM x) s LEFT JOIN a ON a.b = s.ts""")
 def _(t):
-    thin = t.ticks.where(F.dayofmonth("data_date") % 7 != 3).select("ts", "price", "volume", "yield_value")
-    return bars.resample(thin, "D")
+    return bars.resample(t.ticks.select("ts", "price", "volume", "yield_value"), "D")
 
 
 @register("agg_33_resample_hourly_by_symbol", """

@@ -84,11 +84,9 @@ GOOD = """good AS (SELECT event_id, symbol, ts, type, price, CASE WHEN event_id
 
 
 @register("src_01_read_csv", """
-SELECT exchange, data_date, count(*) AS n, sum(price) AS total_price FROM ticks WHERE exchange = 'CME' AND event_id % 97 <> 0 GROUP BY 1, 2""")
+SELECT exchange, data_date, count(*) AS n, sum(price) AS total_price FROM ticks WHERE event_id % 97 <> 0 GROUP BY 1, 2""")
 def _(t):
-    paths = _listed(t, exchange="CME")
-    names = [r["source_file"] for r in paths.select("source_file").toLocalIterator()]
-    df = files.read_with_source(t.spark, names, "`#RIC` string, `Date-Time` string, Type string, Price double, Volume string, `Exch Time` string, Qualifiers string")
+    df = files.read_with_source(t.spark, f"{landing(t)}/*/*/*/*", "`#RIC` string, `Date-Time` string, Type string, Price double, Volume string, `Exch Time` string, Qualifiers string")
     good = df.where(F.col("`#RIC`") != "broken")
     return good.groupBy(files.exchange_of(F.col("source_file")).alias("exchange"), "data_date").agg(
         F.count("*").alias("n"), F.sum("Price").alias("total_price"))
@@ -115,12 +113,20 @@ def _(t):
     return kept.join(lost.groupBy("exchange").agg(F.count("*").alias("rejected")), "exchange")
 
 
-@register("src_05_discover_schema", """
-SELECT unnest(['#RIC','Date-Time','Type','Price','Volume','Exch Time','Qualifiers']) AS column_name,
- unnest(['string','string','string','double','string','timestamp','string']) AS data_type FROM (SELECT count(*) FROM ticks)""")
+# A column of text and broken lines is text to the inference, and so is a time beside them.
+INFERRED = """CASE data_type WHEN 'DOUBLE' THEN 'double' WHEN 'BIGINT' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp' ELSE 'string' END"""
+
+
+@register("src_05_discover_schema", f"""
+SELECT column_name, {INFERRED} AS data_type FROM (UNPIVOT (
+ SELECT typeof(max(CASE WHEN event_id % 97 = 0 THEN 'broken' ELSE symbol END)) AS "#RIC",
+  CASE WHEN count(*) FILTER (event_id % 97 = 0) > 0 THEN 'VARCHAR' ELSE typeof(max(ts)) END AS "Date-Time",
+  typeof(max(type)) AS "Type", typeof(max(price)) AS "Price",
+  CASE WHEN count(*) FILTER (event_id % 89 = 0 AND event_id % 97 <> 0) > 0 THEN 'VARCHAR' ELSE typeof(max(volume)) END AS "Volume",
+  typeof(max(exchange_time)) AS "Exch Time", typeof(max('q' || type)) AS "Qualifiers"
+ FROM ticks WHERE exchange <> 'LSE') ON COLUMNS(*) INTO NAME column_name VALUE data_type)""")
 def _(t):
-    names = [r["source_file"] for r in _listed(t, exchange="NYQ").select("source_file").toLocalIterator()]
-    return files.discover_schema(t.spark, names, 1.0).select("column_name", "data_type")
+    return files.discover_schema(t.spark, f"{landing(t)}/exchange=[!L]*/*/*/*", 1.0).select("column_name", "data_type")
 
 
 @register("src_06_empty_table", """
@@ -268,7 +274,7 @@ def _(t):
 @register("udf_04_log_event", "SELECT 'validate' AS event_type, 'bronze.ticks' AS table_name, count(*) AS record_count, 'checked' AS message FROM ticks")
 def _(t):
     path = scratch_path(t.spark, "audit")
-    lake.append(control_log.audit_rows(t.ticks, "validate", "bronze.ticks", "checked"), path)
+    control_log.log_event(t.spark, path, "validate", "bronze.ticks", t.ticks.count(), "checked")
     return t.spark.read.parquet(path).select("event_type", "table_name", "record_count", "message")
 
 
@@ -298,12 +304,11 @@ def _fresh(t, df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> str
     return path
 
 
-TRADE_COUNTS = "SELECT exchange, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM trades WHERE data_date < DATE '1996-01-01' GROUP BY 1, 2"
+TRADE_COUNTS = "SELECT exchange, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM trades GROUP BY 1, 2"
 
 
 def _trade_counts(t) -> DataFrame:
-    early = t.trades.where(F.col("data_date") < F.lit("1996-01-01").cast("date"))
-    return early.groupBy("exchange", "data_date").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
+    return t.trades.groupBy("exchange", "data_date").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 
 
 @register("snk_07_replace_table", TRADE_COUNTS)
@@ -312,7 +317,7 @@ def _(t):
     path = scratch_path(t.spark, name)
     t.spark.sql(f"DROP TABLE IF EXISTS {name}")
     for _ in range(2):
-        _trade_counts(t).write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+        lake.replace_table(_trade_counts(t), name, path=path)
     return t.spark.table(name)
 
 
@@ -331,10 +336,10 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
-@register("snk_09_export_orc", "SELECT exchange, symbol, data_date, price, volume FROM trades WHERE exchange = 'LSE'")
+@register("snk_09_export_orc", "SELECT exchange, symbol, data_date, price, volume FROM trades")
 def _(t):
     path = scratch_path(t.spark, "export")
-    export.export_table(t.trades.where("exchange = 'LSE'").select("exchange", "symbol", "data_date", "price", "volume"), path, "orc")
+    export.export_table(t.trades.select("exchange", "symbol", "data_date", "price", "volume"), path, "orc")
     return t.spark.read.orc(path)
 
 
@@ -369,7 +374,7 @@ def _(t):
 
 @register("snk_11_upsert", """
 SELECT exchange, data_date, CASE WHEN data_date >= DATE '1995-06-01' THEN n * 2 ELSE n END AS n FROM
- (SELECT exchange, data_date, count(*) AS n FROM trades WHERE data_date < DATE '1996-01-01' GROUP BY 1, 2)""")
+ (SELECT exchange, data_date, count(*) AS n FROM trades GROUP BY 1, 2)""")
 def _(t):
     counts = _trade_counts(t).drop("volume")
     path = _fresh(t, counts.where("data_date < date'1995-09-01'"), "upsert", ("exchange",))
@@ -459,19 +464,30 @@ def _(t):
 
 
 @register("agg_45_database_overview", """
-SELECT unnest(['bronze','silver','gold','TOTAL']) AS layer, unnest([CAST(1 AS BIGINT), 1, 1, 3]) AS table_count FROM (SELECT count(*) FROM ticks)""")
+WITH l AS (SELECT 'bronze' AS layer, count(*) AS n FROM ticks UNION ALL SELECT 'silver', count(*) FROM ticks
+ UNION ALL SELECT 'gold', count(DISTINCT data_date) FROM ticks)
+SELECT coalesce(layer, 'TOTAL') AS layer, count(*) AS table_count, CAST(sum(n) AS BIGINT) AS record_count FROM l GROUP BY ROLLUP (layer)""")
 def _(t):
     label = F.regexp_replace("table_schema", r"^tickwell_([a-z]+)_.*$", "$1")
-    return tables.database_overview(t.spark, _layers(t)).select(label.alias("layer"), "table_count")
+    return tables.database_overview(t.spark, _layers(t), stats=True).select(label.alias("layer"), "table_count", "record_count")
+
+
+# Column names and types as the checker finds them in the rows.
+COLUMN_TYPES = """SELECT column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'DATE' THEN 'date' WHEN 'DOUBLE' THEN 'double' ELSE data_type END AS data_type
+ FROM (UNPIVOT (SELECT first(typeof(COLUMNS(*))) FROM ticks) ON COLUMNS(*) INTO NAME column_name VALUE data_type)"""
 
 
-@register("src_15_table_schema", """
-SELECT unnest(['event_id','exchange','symbol','ts','exchange_time','data_date','type','price','volume','bid_price','ask_price','yield_value']) AS column_name,
- unnest(['bigint','string','string','timestamp_ntz','timestamp_ntz','date','string','double','bigint','double','double','double']) AS data_type FROM (SELECT count(*) FROM ticks)""")
+@register("src_15_table_schema", COLUMN_TYPES)
 def _(t):
     return tables.table_schema(t.spark, f"{_layers(t)[0]}.ticks").select("column_name", "data_type")
 
 
+@register("src_15_layer_schemas", f"SELECT 'ticks' AS table_name, * FROM ({COLUMN_TYPES})")
+def _(t):
+    return tables.layer_schemas(t.spark, _layers(t)[0]).select("table_name", "column_name", "data_type")
+
+
 @register("src_15_table_info", "SELECT 'ticks' AS table_name, true AS table_exists, CAST(12 AS INT) AS column_count, count(*) AS record_count FROM ticks")
 def _(t):
     info = tables.table_info(t.spark, f"{_layers(t)[0]}.ticks")

@@ -394,10 +394,9 @@ def _(t):
 
 
 @register("top_06_export_order", """
-SELECT data_date, symbol, ts, price, volume FROM ticks WHERE exchange = 'CME' ORDER BY data_date, symbol, ts""")
+SELECT data_date, symbol, ts, price, volume FROM ticks ORDER BY data_date, symbol, ts""")
 def _(t):
-    picked = t.ticks.where(F.col("exchange") == "CME")
-    return sets.export_order(picked).select("data_date", "symbol", "ts", "price", "volume")
+    return sets.export_order(t.ticks).select("data_date", "symbol", "ts", "price", "volume")
 
 
 @register("top_05_sql_limit", """

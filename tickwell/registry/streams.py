@@ -6,6 +6,8 @@ watermark, the newest event time minus the lateness, has passed its end.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,40 +111,43 @@ def _(t):
     return _run(t, jobs.plain_time(alerts.alerts_stream(closed), "bar_time"))
 
 
-@register("str_09_alerts_history", "WITH " + BARS.replace("b AS (SELECT", "b AS (SELECT", 1) + ", " + ALERTS.replace("FROM closed", "FROM b"))
+@register("str_09_alerts_history", f"WITH {BARS}, " + ALERTS.replace("FROM closed", "FROM b"))
 def _(t):
     history = bars.minute_bars(t.ticks, session_start="00:00:00", session_end="24:00:00")
     return alerts.alerts_batch(history)
 
 
-GOOD = "FROM ticks WHERE exchange = 'CME'"
+# A stream has one header; LSE files lack the last column.
+HEADER = "#RIC,Date-Time,Type,Price,Volume,Exch Time"
+FEEDS = {"exchange=LSE": HEADER, "exchange=[!L]*": f"{HEADER},Qualifiers"}
 
 
-@register("str_01_02_stream_ingest", f"""
-SELECT symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, data_date {GOOD} AND event_id % 97 <> 0""")
+@register("str_01_02_stream_ingest", """
+SELECT symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, exchange, data_date FROM ticks WHERE event_id % 97 <> 0""")
 def _(t):
     """New vendor files through a replay-safe batch writer; a second run finds nothing new."""
     path = scratch_path(t.spark, "stream-ingest")
-    header = "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers"
-    for _ in range(2):
-        own = jobs.stream_session(t.spark)
-        raw = jobs.read_vendor_stream(own, f"{landing(t)}/exchange=CME/*/*/*", header)
-        rows = ingest.bronze_rows(raw)
-        jobs.finish(jobs.run(rows, f"{path}/checkpoint", each_batch=jobs.write_batch(f"{path}/out", f"{path}/audit")))
-    stored = t.spark.read.parquet(f"{path}/out").where(~F.col("is_rejected"))
-    return stored.select("symbol", "ts", "type", "price", "volume", "data_date")
-
-
-@register("str_10_11_batch_counts", f"""
-SELECT count(*) AS processed, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected, CAST(0 AS BIGINT) AS late {GOOD}""")
+    for i, (feed, header) in enumerate(FEEDS.items()):
+        for _ in range(2):
+            own = jobs.stream_session(t.spark)
+            rows = ingest.bronze_rows(jobs.read_vendor_stream(own, f"{landing(t)}/{feed}/*/*/*", header))
+            write = jobs.write_batch(f"{path}/feed{i}/out", f"{path}/feed{i}/audit")
+            jobs.finish(jobs.run(rows, f"{path}/feed{i}/checkpoint", each_batch=write))
+    stored = [t.spark.read.parquet(f"{path}/feed{i}/out").where(~F.col("is_rejected")) for i in range(len(FEEDS))]
+    columns = ["symbol", "ts", "type", "price", "volume", "exchange", "data_date"]
+    return reduce(DataFrame.unionByName, [df.select(*columns) for df in stored])
+
+
+@register("str_10_11_batch_counts", """
+SELECT count(*) AS processed, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected, CAST(0 AS BIGINT) AS late FROM ticks""")
 def _(t):
     path = scratch_path(t.spark, "stream-counts")
-    own = jobs.stream_session(t.spark)
-    header = "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers"
-    raw = jobs.read_vendor_stream(own, f"{landing(t)}/exchange=CME/*/*/*", header)
-    rows = jobs.observed(ingest.bronze_rows(raw), F.col("is_rejected"))
-    query = jobs.run(rows, f"{path}/checkpoint", f"{path}/out")
-    jobs.finish(query)
-    schema = "batch_id bigint, processed bigint, loaded bigint, rejected bigint, late bigint"
-    counts = t.spark.createDataFrame([tuple(r.values()) for r in jobs.batch_counts(query)], schema)
+    found = []
+    for i, (feed, header) in enumerate(FEEDS.items()):
+        raw = jobs.read_vendor_stream(jobs.stream_session(t.spark), f"{landing(t)}/{feed}/*/*/*", header)
+        rows = jobs.observed(ingest.bronze_rows(raw), F.col("is_rejected"))
+        query = jobs.run(rows, f"{path}/feed{i}/checkpoint", f"{path}/feed{i}/out")
+        jobs.finish(query)
+        found += [tuple(r.values()) for r in jobs.batch_counts(query)]
+    counts = t.spark.createDataFrame(found, "batch_id bigint, processed bigint, loaded bigint, rejected bigint, late bigint")
     return counts.agg(*[F.sum(c).alias(c) for c in ("processed", "loaded", "rejected", "late")])

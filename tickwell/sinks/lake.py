@@ -78,9 +78,11 @@ def read_table(spark: SparkSession, path: str, defaults: dict | None = None) ->
     return df.withColumns(cols) if cols else df
 
 
-def replace_table(df: DataFrame, name: str, partitions: tuple[str, ...] = ()) -> None:
-    """Create or replace a catalog table from a query."""
+def replace_table(df: DataFrame, name: str, partitions: tuple[str, ...] = (), path: str | None = None) -> None:
+    """Create or replace a catalog table from a query, in the warehouse or at ``path``."""
     writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
     (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
 
 

@@ -144,7 +144,7 @@ def discover_schema(spark: SparkSession, path, sampling_ratio: float = 0.1) -> D
 
 
 def file_headers(paths: DataFrame, column: str = "source_file") -> DataFrame:
-    """First line of every file, read by the executors (64 KB at most per file)."""
+    """First line of every file, read by the executors up to its line break."""
     def read(batches):
         import gzip
         import io
@@ -156,10 +156,9 @@ def file_headers(paths: DataFrame, column: str = "source_file") -> DataFrame:
             for path in pdf[column]:
                 system, inner = fs.FileSystem.from_uri(path)
                 with system.open_input_stream(inner, compression=None) as stream:
-                    raw = stream.read(65536)
-                if inner.endswith(".gz"):
-                    raw = gzip.GzipFile(fileobj=io.BytesIO(raw)).readline()
-                heads.append(raw.decode("utf-8-sig").splitlines()[0] if raw else "")
+                    plain = gzip.GzipFile(fileobj=stream) if inner.endswith(".gz") else io.BufferedReader(stream)
+                    raw = plain.readline()
+                heads.append(raw.decode("utf-8-sig").rstrip("\r\n"))
             yield pd.DataFrame({column: pdf[column], "header": heads})
 
     return paths.select(column).mapInPandas(read, f"{column} string, header string")

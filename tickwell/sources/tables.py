@@ -68,14 +68,15 @@ def list_datasets(spark: SparkSession, databases: list[str] | None = None, stats
     return out
 
 
-def database_overview(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
-    """Tables per schema and overall."""
-    tables = list_tables(spark, databases)
-    rolled = tables.rollup("table_schema").agg(
-        F.grouping("table_schema").alias("_g"), F.count("*").alias("table_count")
-    )
+def database_overview(spark: SparkSession, databases: list[str] | None = None, stats: bool = False) -> DataFrame:
+    """Tables per schema and overall; with ``stats`` their rows too."""
+    tables = list_datasets(spark, databases, stats)
+    counts = [F.count("*").alias("table_count")]
+    if stats:
+        counts.append(F.sum("record_count").alias("record_count"))
+    rolled = tables.rollup("table_schema").agg(F.grouping("table_schema").alias("_g"), *counts)
     label = F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col("table_schema"))
-    return rolled.select(label.alias("table_schema"), "table_count")
+    return rolled.withColumn("table_schema", label).drop("_g")
 
 
 def table_info(spark: SparkSession, table: str) -> DataFrame:
