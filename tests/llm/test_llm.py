@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from tickwell.llm import cover_tree, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, queries, toxicity, vamana
+from tickwell.llm import cover_tree, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, queries, subword, toxicity, vamana
 from tickwell.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -101,6 +101,16 @@ def test_toxicity_and_language_on_held_out_rows(spark):
     assert (found["lang"] == found["lang_pred"]).mean() > 0.95
 
 
+def test_training_takes_words_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 400, 60)) + (" slur" if i % 3 == 0 else "") for i in range(40)]
+    labels = np.array([int(i % 3 == 0) for i in range(40)])
+    whole = subword.fit_noisy_or(texts, labels, 4, 2)
+    monkeypatch.setattr(subword.Trainer, "BLOCK", 7)
+    cut = subword.fit_noisy_or(texts, labels, 4, 2)
+    assert np.allclose(whole.embedding, cut.embedding) and np.allclose(whole.weight, cut.weight)
+
+
 def test_classifiers_on_odd_rows(documents, spark):
     labels = spark.createDataFrame([(0, 1), (2, 0), (5, None), (None, 1)], "doc_id bigint, toxic int")
     assert toxicity.toxic_scores(documents, labels).where("score BETWEEN 0 AND 1").count() == documents.count()

@@ -132,6 +132,8 @@ class Adam:
 class Trainer:
     """Embedding and softmax trained together; a step takes word lists and gives word vectors' gradients back."""
 
+    BLOCK = 5_000  # words whose n-grams are held at once, so a very long text needs no more memory
+
     def __init__(self, vocabulary: list[str], classes: int, dim: int, seed: int, rate: float):
         rng = np.random.default_rng(seed)
         bucket, owner = grams(vocabulary) if vocabulary else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -142,20 +144,29 @@ class Trainer:
         self.weight = Adam(rng.normal(0, 0.5, (classes, dim)), rate)
         self.bias = Adam(np.zeros(classes), rate)
 
+    def blocks(self, words: np.ndarray):
+        """(first word, bucket and word of every n-gram, n-grams of each word) of at most ``BLOCK`` words at a time."""
+        for lo in range(0, len(words), self.BLOCK):
+            part = words[lo:lo + self.BLOCK]
+            counts = self.counts[part]
+            ends = np.cumsum(counts)
+            where = np.arange(counts.sum()) - np.repeat(ends - counts, counts) + np.repeat(self.starts[part], counts)
+            yield lo, self.bucket[where], np.repeat(np.arange(len(part)), counts), counts
+
     def forward(self, words: np.ndarray):
         """Vectors of the given words of the vocabulary, and what ``backward`` needs."""
-        counts = self.counts[words]
-        ends = np.cumsum(counts)
-        where = np.arange(counts.sum()) - np.repeat(ends - counts, counts) + np.repeat(self.starts[words], counts)
-        bucket, owner = self.bucket[where], np.repeat(np.arange(len(words)), counts)
-        vectors = np.add.reduceat(self.embedding.value[bucket], ends - counts, axis=0) / counts[:, None]
-        return vectors, (bucket, owner, counts)
-
-    def backward(self, kept, grad: np.ndarray) -> None:
-        bucket, owner, counts = kept
-        spread = grad / counts[:, None]
-        dim = grad.shape[1]
-        total = np.stack([np.bincount(bucket, spread[owner, k], BUCKETS) for k in range(dim)], axis=1)
+        vectors = np.empty((len(words), self.embedding.value.shape[1]))
+        for lo, bucket, _, counts in self.blocks(words):
+            summed = np.add.reduceat(self.embedding.value[bucket], np.cumsum(counts) - counts, axis=0)
+            vectors[lo:lo + len(counts)] = summed / counts[:, None]
+        return vectors, words
+
+    def backward(self, words: np.ndarray, grad: np.ndarray) -> None:
+        total = np.zeros_like(self.embedding.value)
+        for lo, bucket, owner, counts in self.blocks(words):
+            spread = grad[lo:lo + len(counts)] / counts[:, None]
+            for k in range(grad.shape[1]):
+                total[:, k] += np.bincount(bucket, spread[owner, k], BUCKETS)
         self.embedding.step(total)
 
 
