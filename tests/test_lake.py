@@ -108,7 +108,20 @@ def test_failed_load_is_logged_and_can_be_repeated(spark, landing, folder, monke
     monkeypatch.undo()
     state = control_log.current_state(spark.read.parquet(tables.progress)).first()
     assert state["status"] == "failed" and len(state["error_message"]) == 1000
+    assert state["retry_count"] == 0
     assert states(ingest.load(spark, landing, tables, exchange="NYQ")) == {"completed": 1}
+    assert [r["retry_count"] for r in ingest.load_states(spark, tables).collect()] == [1]
+    mark = spark.read.parquet(tables.feed_state).first()
+    stats = spark.read.parquet(tables.daily_stats).first()
+    assert mark["last_processed_date"] == stats["stats_date"] and mark["records_processed"] == stats["total_records_loaded"]
+
+
+def test_long_header_line_is_read_whole(spark, folder):
+    names = [f"column_{i}" for i in range(8000)]
+    with open(f"{folder}/wide.csv", "w") as out:
+        out.write(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    paths = spark.createDataFrame([(f"file://{folder}/wide.csv",)], "source_file string")
+    assert files.file_headers(paths).first()["header"].split(",") == names
 
 
 def test_manifest_refuses_unknown_stages(spark):

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions.scalar import count_where, first_date
+from tickwell.operators import control
 from tickwell.operators.filters import rename_vendor_columns
 from tickwell.sinks import control_log, lake
 from tickwell.session import remove_path, scratch_path
@@ -36,6 +37,14 @@ class Lake:
     def audit(self) -> str:
         return f"{self.root}/audit/ingestion_log"
 
+    @property
+    def feed_state(self) -> str:
+        return f"{self.root}/control/feed_state"
+
+    @property
+    def daily_stats(self) -> str:
+        return f"{self.root}/gold/daily_load_stats"
+
 
 LOAD_KEY = ["exchange", "data_date", "processing_stage"]
 
@@ -92,9 +101,24 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
     written = spark.read.parquet(tables.progress).where(F.col("status") == "completed")
     newest = control_log.current_state(written.join(todo.select("source_file"), "source_file", "left_semi"))
     lake.append(control_log.audit_rows(newest, "ingest", "bronze.market_data_raw"), tables.audit)
+    refresh(spark, tables, todo)
     return results(present, newest)
 
 
+def load_states(spark: SparkSession, tables: Lake) -> DataFrame:
+    """One row per file: its newest state, times, retries and kind of error."""
+    state = control_log.current_state(spark.read.parquet(tables.progress))
+    return state.withColumn("error_type", F.when(F.col("status") == "failed", F.lit("load")))
+
+
+def refresh(spark: SparkSession, tables: Lake, touched: DataFrame) -> None:
+    """High-water marks, and load statistics of the days of ``touched``; only the progress log is read."""
+    states = load_states(spark, tables)
+    control_log.update_feed_state(states, tables.feed_state)
+    days = states.join(touched.select("exchange", "data_date").distinct(), ["exchange", "data_date"], "left_semi")
+    lake.upsert(control.daily_stats(days), tables.daily_stats, ["stats_date", "exchange"], ("exchange",))
+
+
 def store(spark: SparkSession, rows: DataFrame, todo: DataFrame, tables: Lake, force: bool) -> None:
     """Write the rows of ``todo``; other files of the same partitions stay unless forced.
 

@@ -266,6 +266,23 @@ def _(t):
         F.count("*").alias("files"), F.sum("records_loaded").alias("records_loaded"), F.sum("records_rejected").alias("records_rejected"))
 
 
+@register("snk_15_state_after_load", """
+SELECT exchange, 'ingestion' AS processing_stage, max(data_date) AS last_processed_date, count(*) FILTER (event_id % 97 <> 0) AS records_processed FROM ticks GROUP BY 1""")
+def _(t):
+    """A load leaves the high-water marks behind."""
+    state = t.spark.read.parquet(bronze(t).feed_state)
+    return state.select("exchange", "processing_stage", "last_processed_date", "records_processed")
+
+
+@register("udf_03_stats_after_load", """
+SELECT data_date AS stats_date, exchange, count(DISTINCT event_id // 1000000) AS total_files_processed, count(*) FILTER (event_id % 97 <> 0) AS total_records_loaded,
+ count(*) FILTER (event_id % 97 = 0) AS total_records_rejected FROM ticks GROUP BY 1, 2""")
+def _(t):
+    """A load leaves the statistics of its days behind."""
+    return t.spark.read.parquet(bronze(t).daily_stats).select(
+        "stats_date", "exchange", "total_files_processed", "total_records_loaded", "total_records_rejected")
+
+
 @register("snk_13_audit_log", f"SELECT 'ingest' AS event_type, 'bronze.market_data_raw' AS table_name, count(*) AS record_count FROM {FILES}")
 def _(t):
     return t.spark.read.parquet(bronze(t).audit).select("event_type", "table_name", "record_count")

@@ -41,7 +41,7 @@ STATUS_ORDER = ["queued", "started", "processing", "skipped", "failed", "complet
 
 
 def current_state(events: DataFrame) -> DataFrame:
-    """Newest event per id, with the time the load started and ended."""
+    """Newest event per id, with the time the load started and ended and the failures before it."""
     step = F.array_position(F.array(*[F.lit(s) for s in STATUS_ORDER]), F.col("status"))
     payload = [c for c in events.columns if c != "id"]
     done = F.col("status").isin("completed", "failed", "skipped")
@@ -49,7 +49,10 @@ def current_state(events: DataFrame) -> DataFrame:
         F.max_by(F.struct(*payload), F.struct("event_time", step)).alias("now"),
         F.min("event_time").alias("start_time"),
         F.max(F.when(done, F.col("event_time"))).alias("end_time"),
-    ).select("id", "now.*", "start_time", "end_time")
+        F.count_if(F.col("status") == "failed").alias("failures"),
+    ).select(
+        "id", "now.*", "start_time", "end_time",
+        (F.col("failures") - F.when(F.col("now.status") == "failed", 1).otherwise(0)).alias("retry_count"))
 
 
 def audit_rows(df: DataFrame, event_type: str, table: str, message: str | None = None, records: int | None = None) -> DataFrame:
