@@ -135,6 +135,74 @@ def test_license_sequences_match_in_order(spark):
     assert found == {1: "MIT", 2: "", 3: "", None: "Proprietary"}
 
 
+NOTICES = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MIT": """Copyright (c) 2020 Some Body
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+NOTICES["BSD-3-Clause"] = NOTICES["BSD-2-Clause"] + """
+3. Neither the name of Some Body Inc. nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission."""
+NOTICES["GPL-2.0"] = NOTICES["GPL-3.0"].replace("version 3", "version 2").replace("This program", "Frobnicate").replace("software:", "software;")
+
+
+def test_licenses_of_whole_notices(spark):
+    def shapes(t):
+        yield t
+        yield " ".join(t.split())
+        yield "/*\n" + "\n".join((" * " + line).rstrip() for line in t.split("\n")) + "\n */\nint x;"
+        yield "\r\n".join(("# " + line).rstrip() for line in t.split("\n"))
+        yield "Some words without an end\n" + t + "\nfurther words"
+        yield re.sub(r"(?m)^[1-3][.]", "  *", t)
+    rows = [(f"{name}/{i}", text) for name, t in NOTICES.items() for i, text in enumerate(shapes(t))]
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: r["licenses"] for r in got} == {i: i.split("/")[0] for i, _ in rows}
+
+
+def test_phrases_beside_notices_are_kept(spark):
+    rows = [(1, "Released under the MIT license\n" + NOTICES["GPL-3.0"]), (2, "Parts of the notice: you can redistribute it\nAll rights reserved\nand more")]
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in got} == {1: ("mit-notice,gpl3-notice", "MIT,GPL-3.0"), 2: ("all-rights", "Proprietary")}
+
+
 # --- language model ----------------------------------------------------------------
 
 

@@ -2,15 +2,19 @@
 
 A text is cut into sentences, each is normalised and looked up among known
 licence sentences; the ids found, in order, are matched against ordered rules.
-Everything happens inside one row, so there is no shuffle.
+Sentences of the standard notices may run over wrapped lines; short phrases are
+looked up line by line.  Everything happens inside one row, so there is no
+shuffle.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Normalised licence sentences and their ids.
+# Normalised phrases that fill a line or a sentence of one line, and their ids.
 SENTENCES = {
     "licensed under the apache license version 2 0": "apache-notice",
     "you may not use this file except in compliance with the license": "apache-compliance",
@@ -49,22 +53,141 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc"]),
     ("Proprietary", ["all-rights"]),
 ]
+# Complete sentences of the standard notices and their ids.  Each group stands in the order of
+# its notice; a colon or an address does not end a sentence, so neighbours may also come as one.
+NOTICES = [
+    [
+        ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License", "apache-notice"),
+    ],
+    [
+        ("You may obtain a copy of the License at", ""),
+        ("http://www.apache.org/licenses/LICENSE-2.0", "apache-copy"),
+        ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied", "apache-basis"),
+    ],
+    [
+        ("You may obtain a copy of the License at", ""),
+        ("https://www.apache.org/licenses/LICENSE-2.0", "apache-copy"),
+        ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied", "apache-basis"),
+    ],
+    [
+        ("See the License for the specific language governing permissions and limitations under the License", "apache-limits"),
+    ],
+    [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+         "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+         "subject to the following conditions", "mit-grant"),
+        ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "mit-notice-kept"),
+    ],
+    [
+        ("The above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial "
+         "portions of the Software", "mit-notice-kept"),
+    ],
+    [
+        ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+         "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT", "as-is"),
+    ],
+    [
+        ("IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+         "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE", "mit-liability"),
+    ],
+    [
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd-terms"),
+        ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer", "bsd-keep-source"),
+    ],
+    [
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1", "bsd-terms"),
+    ],
+    [
+        ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+         "documentation and/or other materials provided with the distribution", "bsd-keep-binary"),
+    ],
+    [  # whose name it is differs
+        ("may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-endorsement"),
+    ],
+    [
+        ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+         "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED", "bsd-as-is"),
+    ],
+    *[[(f"is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License {tail}", f"gpl{v}-notice")]
+      for v in (2, 3) for tail in (
+          f"as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version",
+          f"as published by the Free Software Foundation, version {v} of the License",
+          f"as published by the Free Software Foundation, version {v}",
+          f"version {v} as published by the Free Software Foundation")],
+    [
+        ("is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+         "FITNESS FOR A PARTICULAR PURPOSE", "gpl-warranty"),
+    ],
+    [
+        ("See the GNU General Public License for more details", "gpl-details"),
+    ],
+]
+# Rules over these sentences: licence, ids in order, and ids that must not occur.
+NOTICE_RULES = [
+    ("BSD-3-Clause", ["bsd-terms", "bsd-keep-source", "bsd-keep-binary", "bsd-endorsement"]),
+    ("BSD-2-Clause", ["bsd-terms", "bsd-keep-source", "bsd-keep-binary"], ["bsd-endorsement"]),
+]
 SENTENCE_END = r"[.!?]+[ \t\r]+|[.!?]*\n[ \t\r]*|[.!?]+$"
 NOT_WORD = "[^a-z0-9]+"
+# Ends of sentences that may run over lines: punctuation, a line without letters and digits, a numbered item.
+# Each is also an end by SENTENCE_END.
+WRAPPED_END = r"[.!?]+[ \t\r]+|[.!?]+\n|[.!?]+$|\n[^a-z0-9\n]*\n|\n[^a-z0-9\n]*(?=[0-9a-c][.)][ \t])"
+TAIL_WORDS = 4  # of a notice's sentence, looked up before the whole of it
 
 
-def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
-    """Array of the licence-sentence ids of a text, in order, with repeats."""
-    known = sentences or SENTENCES
-    cut = F.split(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END)
-    plain = F.transform(cut, lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " ")))
+def notice_sentences() -> dict[str, list[str]]:
+    """Normalised sentences of the notices, and neighbours as one, with their ids; the longest first."""
+    found = {}
+    for group in NOTICES:
+        plain = [(re.sub(NOT_WORD, " ", sentence.lower()).strip(), id_) for sentence, id_ in group]
+        for lo in range(len(plain)):
+            for hi in range(lo + 1, len(plain) + 1):
+                ids = [id_ for _, id_ in plain[lo:hi] if id_]
+                if ids:
+                    found[" ".join(sentence for sentence, _ in plain[lo:hi])] = ids
+    return dict(sorted(found.items(), key=lambda f: -len(f[0])))
+
+
+def _plain(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, NOT_WORD, " "))
+
+
+def _line_ids(text: Column, known: dict[str, str]) -> Column:
+    plain = F.transform(F.split(text, SENTENCE_END), _plain)
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     return F.transform(F.filter(plain, lambda s: s.isin(*known)), lambda s: F.element_at(lookup, s))
 
 
-def rule_pattern(ids: list[str]) -> str:
-    """Regular expression over ``,id,id,`` that finds the ids in this order."""
-    return "," + ",(.*,)?".join(ids) + ","
+def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
+    """Array of the licence-sentence ids of a text, in order, with repeats.
+
+    ``sentences`` replaces the phrases and leaves the standard notices out.
+    """
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    if sentences:
+        return _line_ids(lowered, sentences)
+    notices = notice_sentences()
+    tails = {" ".join(n.split()[-TAIL_WORDS:]) for n in notices}
+    none = F.array().cast("array<string>")
+
+    def ids(p: Column) -> Column:
+        # A notice's sentence may follow other words, such as a program's name or a copyright line; these are still looked up.
+        plain = p["plain"]
+        hits = F.coalesce(*[F.when(plain.endswith(n) & ((plain == n) | plain.endswith(" " + n)), F.array(*map(F.lit, i))) for n, i in notices.items()], none)
+        lines = F.when(plain.isin(*notices), none).otherwise(_line_ids(p["raw"], SENTENCES))
+        return F.concat(lines, F.when(F.substring_index(plain, " ", -TAIL_WORDS).isin(*tails), hits).otherwise(none))
+
+    cut = F.transform(F.split(lowered, WRAPPED_END), lambda s: F.struct(s.alias("raw"), _plain(s).alias("plain")))
+    return F.flatten(F.transform(cut, ids))
+
+
+def rule_pattern(ids: list[str], without: list[str] | tuple = ()) -> str:
+    """Regular expression over ``,id,id,`` that finds the ids in this order, and none of ``without``."""
+    found = "," + ",(.*,)?".join(ids) + ","
+    return "^" + "".join(f"(?!.*,{i},)" for i in without) + ".*" + found if without else found
 
 
 def license_scan(documents: DataFrame, sentences: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
@@ -77,13 +200,13 @@ def license_scan(documents: DataFrame, sentences: dict[str, str] | None = None,
     found = documents.select("doc_id", sentence_ids(F.col("text"), sentences).alias("_ids"))
     listed = found.select("doc_id", F.size("_ids").cast("long").alias("n_license_sentences"), F.array_join("_ids", ",").alias("sentence_ids"))
     ids = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    hits = [F.when(ids.rlike(rule_pattern(seq)), F.lit(name)) for name, seq in rules or RULES]
+    hits = [F.when(ids.rlike(rule_pattern(*seq)), F.lit(name)) for name, *seq in rules or RULES + NOTICE_RULES]
     names = F.array_distinct(F.array_compact(F.array(*hits)))
     return listed.withColumn("licenses", F.array_join(names, ","))
 
 
 def oracle_sql() -> str:
-    """The same scan over ``documents`` in the checker's SQL."""
+    """The same scan over ``documents`` in the checker's SQL, for the phrases; the standard notices have none."""
     known = ", ".join(f"'{s}'" for s in SENTENCES)
     lookup = "MAP {" + ", ".join(f"'{s}': '{i}'" for s, i in SENTENCES.items()) + "}"
     cut = f"regexp_split_to_array(lower(coalesce(text, '')), '{SENTENCE_END}')"
