@@ -322,6 +322,27 @@ def test_nearest_reaches_the_recall(spark):
     assert hits / total >= 0.95
 
 
+def test_nearest_finds_exact_copies(spark):
+    """A third of the rows are copies, in groups of 200, 30 and 2; one id has several rows of a vector."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1000, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)  # a copy is the nearest of all
+    same = np.repeat(np.arange(23), [200, 100] + [30] * 5 + [2] * 16)
+    rows = dict(enumerate(np.concatenate([x, x[same]])[rng.permutation(1000 + len(same))].tolist()))
+    repeated = [(40, rows[40])] * 2 + [(60, rows[60])] * 30
+    df = spark.createDataFrame([*rows.items(), *repeated], "vec_id bigint, embedding array<double>")
+    got = vamana.nearest(df, df.where("vec_id % 5 = 0")).toPandas()
+    mine = {q: (g["vec_id"].tolist(), g["score"].tolist()) for q, g in got.sort_values("rank").groupby("query_id")}
+    everything = [*rows.items(), *repeated]
+    hits = total = 0
+    for q in range(0, len(rows), 5):
+        want = sorted((-float(np.round(np.dot(rows[q], v), 9)), i) for i, v in everything if i != q)[:20]
+        ids, scores = mine[q]
+        assert len(ids) == 20 and q not in ids and scores == sorted(scores, reverse=True)
+        hits, total = hits + sum((Counter(i for _, i in want) & Counter(ids)).values()), total + 20
+    assert hits / total >= 0.99
+
+
 # --- similar documents -------------------------------------------------------------
 
 

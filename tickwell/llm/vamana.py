@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by a robust-pruned directed graph.
 
-Vectors are dealt to shards by hash.  A shard's graph is built in growing
+Equal vectors are one point of a graph, which keeps their smallest ids.  Points
+are dealt to shards by hash.  A shard's graph is built in growing
 batches: a greedy beam search over the graph so far proposes neighbours, and
 robust pruning keeps an edge only if no kept neighbour is clearly closer to
 its end (by the factor ``alpha``).  Queries search every shard by beam and the
@@ -148,19 +149,30 @@ def _link_back(graph: np.ndarray, x: np.ndarray, batch: np.ndarray, kept: np.nda
 
 
 def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("vec_id", kind="stable")
+    rows = rows.sort_values("rid", kind="stable")
     x = np.array(rows["embedding"].tolist(), dtype=np.float64)
     graph, start = build(lifted(x))
-    return pd.DataFrame({"dim": [x.shape[1]], "shard": [int(rows["shard"].iloc[0])], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()],
+    ids, times = (np.concatenate(rows[c].tolist()).astype(np.int64).tobytes() for c in ("ids", "times"))
+    sizes = np.array([len(i) for i in rows["ids"]], np.int64).tobytes()
+    return pd.DataFrame({"dim": [x.shape[1]], "shard": [int(rows["shard"].iloc[0])], "held": [int(rows["held"].iloc[0])], "ids": [ids], "times": [times], "sizes": [sizes],
                          "vectors": [x.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "start": [start]})
 
 
+def _padded(shard: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, times each) of the rows of every point, smallest id first; times are 0 where there are fewer."""
+    sizes = np.frombuffer(shard["sizes"], np.int64)
+    there = np.arange(max(2, sizes.max())) < sizes[:, None]
+    ids, times = np.full(there.shape, np.iinfo(np.int64).max), np.zeros(there.shape, np.int64)
+    ids[there], times[there] = np.frombuffer(shard["ids"], np.int64), np.frombuffer(shard["times"], np.int64)
+    return ids, times
+
+
 def _search_shard(k: int, beam: int, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     columns = ["query_id", "vec_id", "score"]
     if not len(index) or not len(queries):
         return pd.DataFrame({c: [] for c in columns}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
     shard = index.iloc[0]
-    ids = np.frombuffer(shard["ids"], np.int64)
+    ids, times = _padded(shard)
     x = np.frombuffer(shard["vectors"], np.float64).reshape(len(ids), -1)
     graph = np.frombuffer(shard["graph"], np.int32).reshape(len(ids), -1)
     high = lifted(x)
@@ -174,23 +186,44 @@ def _search_shard(k: int, beam: int, index: pd.DataFrame, queries: pd.DataFrame)
         asked = np.hstack([q[part] / length, np.zeros((len(part), 1))]).astype(np.float32)  # length does not change an order
         found, _ = beam_search(graph, high, asked, int(shard["start"]), max(beam, k + 1))
         score = np.einsum("qbd,qd->qb", x[np.maximum(found, 0)], q[part])
-        bad = (found < 0) | (ids[np.maximum(found, 0)] == names[part, None])
-        score = np.where(bad, -np.inf, score)
-        best = np.lexsort((ids[np.maximum(found, 0)], -score), axis=1)[:, :k]
-        take = np.take_along_axis(score, best, 1)
-        ok = np.isfinite(take)
-        out.append(pd.DataFrame({"query_id": np.repeat(names[part], ok.sum(axis=1)), "vec_id": ids[np.take_along_axis(found, best, 1)[ok]], "score": take[ok]}))
+        # The best points by score and smallest id other than the query's own, then their rows.
+        at, own = np.maximum(found, 0), names[part, None]
+        mine = ids[at, 0] == own
+        score = np.where((found < 0) | (mine & (times[at, 1] == 0)), -np.inf, score)
+        best = np.lexsort((np.where(mine, ids[at, 1], ids[at, 0]), -score), axis=1)[:, :k]
+        at, score = np.take_along_axis(at, best, 1), np.take_along_axis(score, best, 1)
+        row_ids, row_times = ids[at], np.where((ids[at] == own[:, :, None]) | ~np.isfinite(score)[:, :, None], 0, times[at])
+        q_at, p_at, c_at = np.nonzero(row_times)
+        row_ids, row_score, row_times = row_ids[q_at, p_at, c_at], score[q_at, p_at], np.minimum(row_times[q_at, p_at, c_at], k)
+        by = np.lexsort((row_ids, -row_score, q_at))
+        by = np.repeat(by, row_times[by])
+        q_at, row_ids, row_score = q_at[by], row_ids[by], row_score[by]
+        first = np.arange(len(by)) - np.searchsorted(q_at, q_at) < k
+        out.append(pd.DataFrame({"query_id": names[part][q_at[first]], "vec_id": row_ids[first], "score": row_score[first]}))
     return pd.concat(out)
 
 
-def build_index(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
-    """One row per shard with its vectors and graph, written to the shared folder."""
+def points(vectors: DataFrame, k: int = K) -> DataFrame:
+    """Distinct vectors (rid, embedding, dim) with the ids of their copies: the k + 1 smallest, so that k are left without a query's own."""
     fit = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(
-        F.col("vec_id").isNotNull() & usable(F.col("embedding"))).withColumn("dim", F.size("embedding"))
+        F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    rows = fit.groupBy("embedding", "vec_id").agg(F.count("*").alias("times"))
+    # Spark limits each group before the exchange as well, so a large group of copies sends few rows.
+    place = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    few = rows.withColumn("_place", place).where(F.col("_place") <= k + 1)
+    listed = few.groupBy("embedding").agg(F.array_sort(F.collect_list(F.struct(F.col("vec_id").cast("long").alias("id"), "times"))).alias("_rows"))
+    return listed.select(F.col("_rows")[0]["id"].alias("rid"), F.col("_rows.id").alias("ids"), F.col("_rows.times").alias("times"), "embedding",
+                         F.size("embedding").alias("dim"), F.lit(k).alias("held"))
+
+
+def build_index(vectors: DataFrame, shard: int = SHARD, k: int = K) -> DataFrame:
+    """One row per shard with its distinct vectors and graph, for searches of up to ``k``, written to the shared folder."""
+    fit = written(points(vectors, k), "points")
     shards = max(1, math.ceil(fit.count() / shard))
-    dealt = fit.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(shards)).cast("int"))
-    # Rows of one id always meet in one shard; more than a shard's worth of one id is not expected of an id.
-    return written(dealt.groupBy("dim", "shard").applyInPandas(_build_shard, "dim int, shard int, ids binary, vectors binary, graph binary, start long"), "index")
+    dealt = fit.withColumn("shard", F.pmod(F.xxhash64("rid", F.lit(3)), F.lit(shards)).cast("int"))
+    # Points of one first id always meet in one shard; more than a shard's worth of one id is not expected of an id.
+    return written(dealt.groupBy("dim", "shard").applyInPandas(
+        _build_shard, "dim int, shard int, held int, ids binary, times binary, sizes binary, vectors binary, graph binary, start long"), "index")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_BEAM) -> DataFrame:
@@ -204,7 +237,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_
     asked = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(
         F.col("query_id").isNotNull() & usable(F.col("embedding"))).dropDuplicates(["query_id"]).withColumn("dim", F.size("embedding"))
     chunks = max(1, math.ceil(asked.count() / CHUNK))
-    shards = int(index.agg(F.max("shard")).first()[0] or 0) + 1
+    last, held = index.agg(F.max("shard"), F.min("held")).first()
+    if held is not None and k > held:
+        raise ValueError(f"the index holds the copies for {held} neighbours, not {k}")
+    shards = int(last or 0) + 1
     left = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     right = asked.withColumn("chunk", F.pmod(F.xxhash64("query_id", F.lit(9)), F.lit(chunks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -215,4 +251,4 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    return search(build_index(vectors), queries, k)
+    return search(build_index(vectors, k=k), queries, k)
