@@ -111,6 +111,30 @@ def test_training_takes_words_in_blocks(monkeypatch):
     assert np.allclose(whole.embedding, cut.embedding) and np.allclose(whole.weight, cut.weight)
 
 
+def test_toxicity_scores_as_it_was_trained(spark):
+    """Several words of a small probability add up; repeats and order do not count, and long runs are cut as in training."""
+    words = [f"w{i}" for i in range(12)] + ["x" * 150, "gem-" * 40]
+    model = subword.fit_noisy_or([" ".join(words[i:i + 4]) for i in range(10)], np.array([0, 1] * 5), 4, 3)
+    table = model.table()
+
+    def plain(text):
+        missed = 1.0
+        for p in {p for w in set(text.lower().split()) for p in subword.pieces(w)}:
+            score = subword.gram_means([p], table)[0] + model.bias
+            missed *= 1 - 1 / (1 + math.exp(score[0] - score[1]))
+        return 1 - missed
+
+    texts = ["", words[0], " ".join(words), " ".join(words[::-1] * 3), "w1 w2 w3, (w3) W3"]
+    score = toxicity.scorer(model.dump())
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(score("t")).collect()]
+    assert np.allclose(got, [plain(t) for t in texts], rtol=1e-4, atol=1e-8) and got[2] > 2 * max(got[1], plain(words[5])) and got[2] == got[3]
+
+
+def test_toxicity_without_labels_finds_nothing(documents, spark):
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert toxicity.toxic_scores(documents, labels).where("predicted = 1").count() == 0
+
+
 def test_classifiers_on_odd_rows(documents, spark):
     labels = spark.createDataFrame([(0, 1), (2, 0), (5, None), (None, 1)], "doc_id bigint, toxic int")
     assert toxicity.toxic_scores(documents, labels).where("score BETWEEN 0 AND 1").count() == documents.count()

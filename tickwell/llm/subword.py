@@ -15,6 +15,7 @@ import numpy as np
 BUCKETS = 1 << 16
 SIZES = (3, 4, 5)
 PIECE = 64  # characters; longer runs without a space are read as overlapping pieces
+LEAST = 1e-9  # probability of a word, at least; at most 1 less this
 EDGE = ".,;:!?\"'()[]{}<>*_-"
 
 
@@ -90,12 +91,12 @@ class WordScores:
             return
         if len(self.known) + len(new) > self.LIMIT:
             self.known, self.scores, new = {}, self.scores[:0], list(words)
-        parts = [pieces(w) for w in new]
+        parts = [[w] for w in new] if self.reduce == "pieces" else [pieces(w) for w in new]
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         scored = gram_means([p for ps in parts for p in ps], self.table)
         starts = np.cumsum(counts) - counts
-        if self.reduce == "max_odds":  # of a long run the piece with the highest odds of class 1 counts
-            odds = np.maximum.reduceat(scored[:, 1] - scored[:, 0], starts)
+        if self.reduce == "pieces":  # the caller has cut the words; odds of class 1
+            odds = scored[:, 1] - scored[:, 0]
             scored = np.stack([np.zeros_like(odds), odds], axis=1)
         else:
             scored = np.add.reduceat(scored, starts, axis=0) / counts[:, None]
@@ -194,6 +195,8 @@ def fit_noisy_or(texts: list[str], labels: np.ndarray, dim: int, epochs: int, se
     trainer.bias.value[:] = (2.5, -2.5)
     rng = np.random.default_rng(seed)
     usable = np.array([i for i, c in enumerate(coded) if len(c)], dtype=np.int64)
+    if not len(usable):
+        trainer.bias.value[:] = (30, -30)
     for _ in range(epochs):
         rng.shuffle(usable)
         for lo in range(0, len(usable), batch):
@@ -201,7 +204,7 @@ def fit_noisy_or(texts: list[str], labels: np.ndarray, dim: int, epochs: int, se
             words, inverse = np.unique(np.concatenate([coded[i] for i in docs]), return_inverse=True)
             doc = np.repeat(np.arange(len(docs)), [len(coded[i]) for i in docs])
             vectors, kept = trainer.forward(words)
-            p = np.clip(softmax(vectors @ trainer.weight.value.T + trainer.bias.value)[:, 1], 1e-9, 1 - 1e-9)
+            p = np.clip(softmax(vectors @ trainer.weight.value.T + trainer.bias.value)[:, 1], LEAST, 1 - LEAST)
             missed = np.bincount(doc, np.log1p(-p[inverse]), len(docs))
             hit = -np.expm1(missed)
             y = labels[docs]

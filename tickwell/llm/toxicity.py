@@ -1,8 +1,8 @@
 """Toxic texts: subword-bag embeddings under a linear softmax, trained jointly in numpy.
 
 Word vectors are means of hashed n-gram vectors, so misspelled or inflected
-forms of a slur score like the slur.  One toxic word makes a text toxic; the
-score of a text is that of its worst word, whatever the length of the text.
+forms of a slur score like the slur.  A text is toxic unless all of its words
+miss it: training and scoring join the distinct words by the same noisy-or.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.frames import bounded_sample, fitted, fold
-from tickwell.llm.subword import Model, WordScores, fit_noisy_or, words_of
+from tickwell.llm.subword import LEAST, Model, WordScores, fit_noisy_or, pieces, words_of
 
 SAMPLE = 800  # labelled texts of each class the classifier is fitted on, at most
 DIM = 8
@@ -24,7 +24,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_ou
     """Model fitted on a bounded sample of labelled texts outside the held-out fold.
 
     Null texts and labels are left out; of an id that repeats every row counts.
-    Without any labelled text the model gives every text the prior.
+    Without any labelled text no word is taken as toxic.
     """
     marks = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where(
         F.col("_y").isin(0, 1) & F.col("_id").isNotNull())
@@ -42,20 +42,26 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_ou
     return fitted(joined, fit)
 
 
+def noisy_or(odds) -> float:
+    """Probability that at least one of the words carries the label, with the bounds of training; sorted, so that their order does not count."""
+    import numpy as np
+    p = np.clip(1 / (1 + np.exp(-np.clip(np.sort(odds), -60, 60))), LEAST, 1 - LEAST)
+    return float(-np.expm1(np.log1p(-p).sum()))
+
+
 def scorer(blob: bytes):
-    """Column function: the whole text's probability of being toxic; null and empty texts get the model's prior for no word."""
+    """Column function: the whole text's probability of being toxic; null and empty texts, without a word, get 0."""
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         import numpy as np
         model = _loaded(blob)
-        best = []
+        out = []
         for lo in range(0, len(texts), WordScores.TEXTS):
-            found = [set(words_of(t)) for t in texts.iloc[lo:lo + WordScores.TEXTS]]
+            found = [{p for w in set(words_of(t)) for p in pieces(w)} for t in texts.iloc[lo:lo + WordScores.TEXTS]]
             model.add(set().union(*found))
             known, odds = model.known, model.scores[:, 1]  # class 0 is the zero of the odds
-            best += [odds[np.fromiter((known[w] for w in ws), np.int64, len(ws))].max() if ws else -np.inf for ws in found]
-        logits = np.array(best) + model.bias
-        return pd.Series(1 / (1 + np.exp(-np.clip(logits, -60, 60))))
+            out += [noisy_or(odds[np.fromiter((known[w] for w in ws), np.int64, len(ws))] + model.bias) for ws in found]
+        return pd.Series(out, dtype="float64")
 
     return score
 
@@ -69,7 +75,7 @@ def _loaded(blob: bytes) -> WordScores:
     if key not in _MODELS:
         _MODELS.clear()
         model = Model.load(blob)
-        scores = WordScores(model, "max_odds")
+        scores = WordScores(model, "pieces")
         scores.bias = float(model.bias[1] - model.bias[0])
         _MODELS[key] = scores
     return _MODELS[key]
