@@ -478,6 +478,21 @@ def test_mix_equals_plain_budgets(spark, share):
     assert got == plain_mix(rows, [weights["domain"], weights["lang"], weights["source"]], share, 2)
 
 
+def test_room_of_weight_0_goes_to_the_siblings_of_the_parent(spark):
+    """d0 has 100 tokens to give beside 900 of weight 0; its shortage belongs to d1, which has enough."""
+    rows = [(f"{d}{s}{i}", d, s, "w" * 40) for d, s, n in (("d0", "a", 10), ("d0", "off", 90), ("d1", "a", 100)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id string, domain string, source string, text string")
+    got = mixing.mix(df, ["domain", "source"], {"source": {"off": 0.0}}, budget=1000, max_epochs=1, idle_room=False).groupBy("domain", "source").agg({"mix_tokens": "sum"}).collect()
+    assert {tuple(r) for r in got} == {("d0", "a", 100), ("d1", "a", 900)}
+
+
+def test_texts_without_tokens_come_along(spark):
+    rows = [(1, "a", ""), (2, "a", None), (3, "b", "w" * 40), (4, "b", ""), (5, "off", "")]
+    df = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    got = sorted((r["doc_id"], r["mix_epoch"]) for r in mixing.mix(df, ["source"], {"source": {"off": 0.0}}, share=1.0, max_epochs=3).collect())
+    assert got == [(1, 0), (2, 0), (3, 0), (4, 0)]
+
+
 def test_mix_on_odd_rows(documents):
     found = queries.mixed(documents)
     assert 0 < found.count() and set(documents.columns) < set(found.columns)

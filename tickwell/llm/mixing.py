@@ -55,20 +55,34 @@ def filled(nodes: DataFrame, parent: list[str], budget: str, weight: str, room:
     return final.withColumn("_got", F.least(got, F.col(room))).drop("_level", "_below", "_used", "_all", "_line", "_open")
 
 
-def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict], budget: float, max_epochs: int) -> DataFrame:
+def weight_of(level: str, weights: dict[str, dict]) -> Column:
+    named = [F.when(F.col(level) == F.lit(value), F.lit(float(w))) for value, w in weights.get(level, {}).items()]
+    return F.coalesce(*named, F.lit(1.0))
+
+
+def takes_part(levels: list[str], weights: dict[str, dict]) -> Column:
+    """Whether a leaf and all nodes above it have a weight above 0."""
+    return F.least(F.lit(1.0), *[weight_of(level, weights) for level in levels]) > 0
+
+
+def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict], budget: float, max_epochs: int,
+                 idle_room: bool = True) -> DataFrame:
     """Budget of every leaf; ``leaves`` has the level columns and ``tokens``.
 
     ``weights`` gives per level the weight of a value; a value not named has
-    weight 1.  The tables here have one row per node of the tree.
+    weight 1.  The room of a node counts leaves that take nothing, having a weight
+    of 0, only with ``idle_room``; a parent may then get budget that its children
+    cannot use.  The tables here have one row per node of the tree.
     """
     room = F.col("tokens").cast("double") * max_epochs
+    if not idle_room:
+        room = F.when(takes_part(levels, weights), room).otherwise(0.0)
     current = leaves.withColumn("_room", room).select(*levels, "_room")
     budgets = None
     for depth in range(1, len(levels) + 1):
         nodes = current.groupBy(*levels[:depth]).agg(F.sum("_room").alias("_room"))
         level = levels[depth - 1]
-        named = [F.when(F.col(level) == F.lit(value), F.lit(float(w))) for value, w in weights.get(level, {}).items()]
-        nodes = nodes.withColumn("_weight", F.coalesce(*named, F.lit(1.0))).withColumn("_name", F.coalesce(F.col(level).cast("string"), F.lit("")))
+        nodes = nodes.withColumn("_weight", weight_of(level, weights)).withColumn("_name", F.coalesce(F.col(level).cast("string"), F.lit("")))
         if budgets is None:
             nodes = nodes.withColumn("_budget", F.lit(float(budget))).withColumn("_root", F.lit(0))
             split = filled(nodes, ["_root"], "_budget", "_weight", "_room")
@@ -83,23 +97,26 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict],
 
 
 def mix(documents: DataFrame, levels: list[str], weights: dict[str, dict], budget: float | None = None,
-        share: float = 0.5, max_epochs: int = 3, seed: str = SEED, tokens: Column | None = None) -> DataFrame:
+        share: float = 0.5, max_epochs: int = 3, seed: str = SEED, tokens: Column | None = None, idle_room: bool = True) -> DataFrame:
     """The documents of the mix with ``mix_tokens`` and ``mix_epoch``, one row per copy.
 
     ``budget`` is in tokens; without one it is ``share`` of all tokens.  A
     document that crosses a leaf's budget is the last one taken.  Null level
     values form nodes of their own, texts without tokens come along at no
-    cost, rows of one key follow each other by hash and are taken alike, an
-    empty table gives an empty result.
+    cost (once where a leaf has no others, never where a weight is 0), rows of one
+    key follow each other by hash and are taken alike, an empty table gives an
+    empty result.  Without ``idle_room`` what nodes of weight
+    0 hold is left to the siblings of their parents; with it the mix may come out
+    short.
     """
     counted = documents.withColumn("mix_tokens", token_estimate(F.col("text")) if tokens is None else tokens)
     leaves = written(counted.groupBy(*levels).agg(F.sum("mix_tokens").alias("tokens")), "leaves")
     amount = float(budget) if budget is not None else float((leaves.agg(F.sum("tokens")).first()[0] or 0) * share)
-    budgets = leaf_budgets(leaves, levels, weights, amount, max_epochs)
-    plan = _named(leaves, levels).join(_named(budgets, levels), [f"_l{i}" for i in range(len(levels))]).select(
-        *[f"_l{i}" for i in range(len(levels))], F.col("tokens").alias("_tokens"), F.col("_got"))
-    whole = F.when(F.col("_tokens") > 0, F.floor(F.col("_got") / F.col("_tokens"))).otherwise(F.lit(0)).cast("int")
-    plan = plan.withColumn("_epochs", F.least(whole, F.lit(max_epochs))).withColumn(
+    budgets = leaf_budgets(leaves, levels, weights, amount, max_epochs, idle_room)
+    plan = _named(leaves.withColumn("_part", takes_part(levels, weights)), levels).join(_named(budgets, levels), [f"_l{i}" for i in range(len(levels))]).select(
+        *[f"_l{i}" for i in range(len(levels))], F.col("tokens").alias("_tokens"), F.col("_got"), F.col("_part"))
+    whole = F.when(F.col("_tokens") > 0, F.floor(F.col("_got") / F.col("_tokens"))).otherwise(F.col("_part").cast("int")).cast("int")
+    plan = plan.withColumn("_epochs", F.least(whole, F.lit(max_epochs))).drop("_part").withColumn(
         "_need", F.greatest(F.lit(0.0), F.col("_got") - F.col("_epochs") * F.col("_tokens")))
     leaf = [f"_l{i}" for i in range(len(levels))]
     plan = written(plan, "plan")

@@ -23,7 +23,7 @@ def domain():
 
 
 def mixed(documents: DataFrame) -> DataFrame:
-    return mixing.mix(documents.withColumn("domain", domain()), MIX_LEVELS, MIX_WEIGHTS, share=MIX_SHARE, max_epochs=MIX_EPOCHS)
+    return mixing.mix(documents.withColumn("domain", domain()), MIX_LEVELS, MIX_WEIGHTS, share=MIX_SHARE, max_epochs=MIX_EPOCHS, idle_room=False)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
