@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -333,6 +334,17 @@ def test_near_duplicates_with_negative_ids(spark):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (2, -1) for i in (-1, 3, 5)}
 
 
+def test_scaled_copies_meet_in_every_cell():
+    """Pivots of one direction: rounding must not keep a vector out of another's cell."""
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=16)
+    x = [(one * f).tolist() for f in rng.uniform(0.1, 10, 400)]
+    rows = pd.DataFrame({"label": "0", "dim": 16, "rid": range(400), "copies": 1, "embedding": x})
+    pivots = cover_tree.unit(x[:5])
+    cells = pd.concat(cover_tree._route({("0", 16): pivots}, 0.98, [rows]))
+    assert cells.groupby("rid")["cell"].nunique().eq(5).all()
+
+
 def test_nearest_reaches_the_recall(spark):
     df = vectors(spark, 1500)
     rows = {r["vec_id"]: r["embedding"] for r in df.collect() if r["vec_id"] is not None and fine(r["embedding"]) and len(r["embedding"]) == 6}

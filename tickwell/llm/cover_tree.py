@@ -30,6 +30,7 @@ LEAF = 32
 DIRECT = 1 << 16  # pairs of two nodes that are compared at once
 WALK = 256  # pairs that are compared in the time of one step of the walk
 SLACK = 1e-9  # distances this close to a bound are compared exactly
+ROUNDING = 1e-12  # products of unit vectors differ by less in their last bits
 
 
 class CoverTree:
@@ -145,7 +146,7 @@ def _route(pivots: dict, cosine: float, batches):
                 nearest = dots.argmax(axis=1)
                 gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centers @ centers.T)))[nearest]
                 # Distance to the plane between two pivots; a link can cross it only from within its reach.
-                toward = (dots[np.arange(len(x)), nearest][:, None] - dots) <= reach * gap
+                toward = (dots[np.arange(len(x)), nearest][:, None] - dots) <= reach * gap + ROUNDING
                 row, cell = np.nonzero(toward)
                 home = cell == nearest[row]
             out.append(rows.iloc[row].assign(cell=cell, home=home))
