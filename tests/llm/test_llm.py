@@ -241,6 +241,20 @@ def test_elias_fano_finds_like_bisection():
         assert (coded.successor(asked) == np.searchsorted(v, asked)).all()
 
 
+def test_levels_are_mapped_from_a_file_that_goes(tmp_path, monkeypatch):
+    monkeypatch.setattr(ngram_lm.tempfile, "tempdir", str(tmp_path))
+    opened, plain = [], np.memmap
+    monkeypatch.setattr(ngram_lm.np, "memmap", lambda *a: opened.append(plain(*a)) or opened[-1])
+    words, counts = np.arange(10, 500, 7, dtype=np.uint64), np.arange(1, 71)
+    owner, before = np.repeat(np.arange(70), 3), np.tile(np.array([3, 50, 900], np.uint64), 70)
+    built = ngram_lm.Trie.build(words, counts, owner, before, np.ones(210, np.int64), 5000, 70)
+    trie = built.mapped()
+    asked, after = np.repeat(np.r_[words, np.uint64(11)], 2), np.tile(np.array([50, 51], np.uint64), 71)
+    for want, got in zip(built.lookup(asked, after), trie.lookup(asked, after), strict=True):
+        assert np.array_equal(want, got)
+    assert len(opened) == 1 and np.shares_memory(trie.joint.codes, opened[0]) and not list(tmp_path.iterdir())
+
+
 @pytest.mark.parametrize("shard", [3_000_000, 40])
 def test_text_scores_equal_plain_counts(documents, shard):
     rows = documents.select("doc_id", "text").collect()

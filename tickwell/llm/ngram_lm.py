@@ -13,14 +13,15 @@ One exchange carries the training counts and the queries together.
 A shard's trie has the words on its first level and, below each word, the
 predecessors it was seen after.  Both levels and the pointers between them are
 monotone sequences in Elias-Fano coding; terms are logarithms in 16 bits.  The
-levels stand one behind the other in one buffer, which can be mapped from a
-file as it is.  A predecessor is found by successor search among those of its
+levels stand one behind the other in a file of the task, which is mapped into
+memory and goes with the task.  A predecessor is found by successor search among those of its
 word only.
 """
 
 from __future__ import annotations
 
 import math
+import tempfile
 from functools import partial
 
 import numpy as np
@@ -189,17 +190,24 @@ class Trie:
                    Codes.encode(np.log10(pairs + k * (counts[owner] + 0.1))), Codes.encode(np.log10(k * (counts + 0.1))),
                    Codes.encode(np.log10(counts + mass)), (math.log10(k * 0.1), math.log10(mass)))
 
-    def save(self) -> bytes:
-        """All levels in one buffer."""
-        parts = [np.array(self.unknown).view(np.uint64)]
+    def write(self, file) -> None:
+        """All levels, one behind the other."""
+        np.array(self.unknown).tofile(file)
         for level in (self.words, self.pointers, self.before, self.joint, self.alone, self.context):
-            parts += level.dump()
-        return np.concatenate(parts).tobytes()
+            for part in level.dump():
+                part.tofile(file)
+
+    def mapped(self) -> Trie:
+        """The same trie over a file, whose name is gone at once and whose space is freed with the mapping."""
+        with tempfile.NamedTemporaryFile(prefix="trie-") as file:
+            self.write(file)
+            file.flush()
+            return Trie.open(file.name)
 
     @classmethod
     def open(cls, source) -> Trie:
         """A trie over a buffer, or over a file that is mapped into memory."""
-        data = np.memmap(source, np.uint64, "r") if isinstance(source, str) else np.frombuffer(source, np.uint64)
+        data = np.asarray(np.memmap(source, np.uint64, "r")) if isinstance(source, str) else np.frombuffer(source, np.uint64)
         unknown = tuple(data[:2].view(np.float64).tolist())
         at, levels = 2, []
         for kind in (EliasFano, EliasFano, EliasFano, Codes, Codes, Codes):
@@ -334,8 +342,7 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
         counts = np.where(frequent[at] == vocabulary, frequent_counts[at], counts)
     have, seen = counts > 0, pairs > 0
     rank = np.cumsum(have) - 1
-    built = Trie.build(vocabulary[have], counts[have], rank[owner[seen]], before[seen], pairs[seen], total, distinct)
-    trie = Trie.open(built.save())
+    trie = Trie.build(vocabulary[have], counts[have], rank[owner[seen]], before[seen], pairs[seen], total, distinct).mapped()
     # Every word is looked up once with each predecessor.
     numerator, denominator = trie.lookup(vocabulary[owner], before)
     denominator[vocabulary[owner] == END] = 0.0  # nothing follows the end
