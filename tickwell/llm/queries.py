@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import cover_tree, fingerprints, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, prefix_trie, toxicity, vamana
+from tickwell.llm import alignment, cover_tree, fingerprints, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, prefix_trie, toxicity, vamana
 from tickwell.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -78,7 +82,7 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [op1_pii, op2_toxicity, op3_licenses, op4_lm_scores, op5_packing, op6_embedding_dedup, op7_jaccard_join,
-             op8_mixing, op9_nearest, op10_languages, op12_conversation_trie, op13_fingerprints]
+             op8_mixing, op9_nearest, op10_languages, op11_alignment, op12_conversation_trie, op13_fingerprints]
     return {q.__name__: q for q in found}
 
 
