@@ -124,6 +124,54 @@ def test_long_header_line_is_read_whole(spark, folder):
     assert files.file_headers(paths).first()["header"].split(",") == names
 
 
+def test_headers_of_many_files_with_odd_names(spark, folder):
+    """Blanks, percent signs, patterns, marks and packed files; empty ones have no header."""
+    want = {}
+    for i, name in enumerate(["a b.csv", "100%41.csv", "p+q.csv", "set[1].csv", "star*.csv", "é.csv", "many.csv"]):
+        with open(f"{folder}/{name}", "w", encoding="utf-8-sig" if i % 2 else "utf-8", newline="") as out:
+            out.write(f"h{i},x\r\n" + "1,2\r\n" * (300_000 if name == "many.csv" else 3))
+        want[f"file://{folder}/{name}"] = f"h{i},x"
+    open(f"{folder}/empty.csv", "w").close()
+    names = [*want, f"file://{folder}/empty.csv"]
+    for small in (names, [], names[:4]):
+        assert files.headers_of(spark, small, [n for n in names if n not in small]) == want
+
+
+def test_whole_exchange_codes_and_odd_folders(spark, folder):
+    root = f"{folder}/to load/50% [x]+y"
+    for exchange, header in (("B3", HEADER), ("L2", HEADER.rsplit(",", 1)[0]), ("LSE", HEADER)):
+        place = f"{root}/exchange={exchange}/processing_stage=ingestion/data_date=2025-01-01"
+        os.makedirs(place)
+        with gzip.open(f"{place}/part 1.csv.gz", "wt") as out:
+            out.write(header + "\n" + ",".join(tick(exchange, "2025-01-01 09:00:00").split(",")[:header.count(",") + 1]) + "\n")
+    assert {r["exchange"] for r in files.list_files(spark, f"{folder}/to load").collect()} == {"B3", "L2", "LSE"}
+    tables = ingest.Lake(f"{folder}/lake")
+    assert states(ingest.load(spark, f"{folder}/to load", tables)) == {"completed": 3}
+    rows = {r["exchange"]: r for r in ingest.accepted(spark, tables).collect()}
+    assert {ex: r["symbol"] for ex, r in rows.items()} == {"B3": "B3", "L2": "L2", "LSE": "LSE"}
+    assert rows["L2"]["qualifiers"] is None and rows["B3"]["qualifiers"] == "q" and rows["B3"]["source_file"].endswith("/to load/50% [x]+y/exchange=B3/processing_stage=ingestion/data_date=2025-01-01/part 1.csv.gz")
+    assert states(ingest.load(spark, f"{folder}/to load", tables)) == {"skipped": 3}
+
+
+def test_the_package_opens_no_file_beside_spark():
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tickwell")
+    for at, _, names in os.walk(root):
+        if not at.startswith(os.path.join(root, "llm")):
+            for name in names:
+                if name.endswith(".py"):
+                    with open(os.path.join(at, name)) as code:
+                        text = code.read()
+                    assert "pyarrow.fs" not in text and "import fs" not in text and "FileSystem.from_uri" not in text
+
+
+def test_schema_over_files_with_different_headers(spark, folder):
+    for name, text in (("a.csv", "k,v\n1,2\n"), ("b.csv", "v,k,w\n2.5,7,x\n"), ("c.csv", "k,t\nn/a,2025-01-01\n")):
+        with open(f"{folder}/{name}", "w") as out:
+            out.write(text)
+    listed = spark.createDataFrame([(f"file://{folder}/{n}.csv",) for n in "abc"], "source_file string")
+    assert {r["column_name"]: r["data_type"] for r in files.discover_union_schema(spark, listed, 1.0).collect()} == {"k": "string", "v": "double", "w": "string", "t": "date"}
+
+
 def test_manifest_refuses_unknown_stages(spark):
     requests = spark.createDataFrame([("CME", "normalization"), ("LSE", "normalization")], "exchange string, processing_stage string")
     rows = {r["exchange"]: r for r in files.manifest(requests.withColumn("data_date", F.lit("2025-01-17").cast("date")), "s3a://lake").collect()}

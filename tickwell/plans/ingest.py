@@ -6,6 +6,7 @@ write partitions, record progress.  There is no loop over days.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +84,9 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
     """
     if on_existing not in ("skip", "fail"):
         raise ValueError(f"on_existing must be 'skip' or 'fail', not {on_existing!r}")
-    listed = files.list_files(spark, source_root, exchange, stage, start, end, glob=glob)
+    listing = scratch_path(spark, "listing")
+    files.list_files(spark, source_root, exchange, stage, start, end, glob=glob).write.parquet(listing)  # the store is listed once
+    listed = spark.read.schema(files.LISTED).parquet(listing)
     done = None if force else loaded_files(spark, tables)
     todo = pending(listed, done)
     present = None if done is None else already_loaded(listed, done, on_existing)
@@ -91,7 +94,7 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
         return results(present, None)
     control_log.append_progress(todo, tables.progress, "started")
     try:
-        rows = bronze_rows(files.read_union(spark, todo.select("source_file")))
+        rows = bronze_rows(files.read_union(spark, todo))
         store(spark, rows, todo, tables, force)
     except Exception as e:
         failed = todo.withColumn("error_message", F.lit(str(e)))
@@ -100,11 +103,19 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
     lake.append(control_log.progress_events(with_counts(spark, tables, todo), "completed"), tables.progress)
     written = spark.read.parquet(tables.progress).where(F.col("status") == "completed")
     newest = control_log.current_state(written.join(todo.select("source_file"), "source_file", "left_semi"))
-    lake.append(control_log.audit_rows(newest, "ingest", "bronze.market_data_raw"), tables.audit)
-    refresh(spark, tables, todo)
+    together(
+        lambda: lake.append(control_log.audit_rows(newest, "ingest", "bronze.market_data_raw"), tables.audit),
+        lambda: refresh(spark, tables, todo))
     return results(present, newest)
 
 
+def together(*steps) -> None:
+    """Steps that write different small tables, side by side; all are waited for, and the first error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for step in [pool.submit(step) for step in steps]:
+            step.result()
+
+
 def load_states(spark: SparkSession, tables: Lake) -> DataFrame:
     """One row per file: its newest state, times, retries and kind of error."""
     state = control_log.current_state(spark.read.parquet(tables.progress))
@@ -114,9 +125,10 @@ def load_states(spark: SparkSession, tables: Lake) -> DataFrame:
 def refresh(spark: SparkSession, tables: Lake, touched: DataFrame) -> None:
     """High-water marks, and load statistics of the days of ``touched``; only the progress log is read."""
     states = load_states(spark, tables)
-    control_log.update_feed_state(states, tables.feed_state)
     days = states.join(touched.select("exchange", "data_date").distinct(), ["exchange", "data_date"], "left_semi")
-    lake.upsert(control.daily_stats(days), tables.daily_stats, ["stats_date", "exchange"], ("exchange",))
+    together(
+        lambda: control_log.update_feed_state(states, tables.feed_state),
+        lambda: lake.upsert(control.daily_stats(days), tables.daily_stats, ["stats_date", "exchange"], ("exchange",)))
 
 
 def store(spark: SparkSession, rows: DataFrame, todo: DataFrame, tables: Lake, force: bool) -> None:

@@ -124,9 +124,10 @@ SELECT column_name, {INFERRED} AS data_type FROM (UNPIVOT (
   typeof(max(type)) AS "Type", typeof(max(price)) AS "Price",
   CASE WHEN count(*) FILTER (event_id % 89 = 0 AND event_id % 97 <> 0) > 0 THEN 'VARCHAR' ELSE typeof(max(volume)) END AS "Volume",
   typeof(max(exchange_time)) AS "Exch Time", typeof(max('q' || type)) AS "Qualifiers"
- FROM ticks WHERE exchange <> 'LSE') ON COLUMNS(*) INTO NAME column_name VALUE data_type)""")
+ FROM ticks) ON COLUMNS(*) INTO NAME column_name VALUE data_type)""")
 def _(t):
-    return files.discover_schema(t.spark, f"{landing(t)}/exchange=[!L]*/*/*/*", 1.0).select("column_name", "data_type")
+    """All files, whatever their header."""
+    return files.discover_union_schema(t.spark, _listed(t), 1.0).select("column_name", "data_type")
 
 
 @register("src_06_empty_table", """

@@ -31,6 +31,10 @@ LINEAGE = {
 }
 
 
+# Columns of a listing.
+LISTED = "source_file string, file_size_bytes bigint, modified_at timestamp, exchange string, processing_stage string, data_date date"
+
+
 # --- paths -------------------------------------------------------------------------
 
 
@@ -54,12 +58,22 @@ def file_uri(path: str | Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "file:///")
 
 
+def read_from(encoded: str = "_metadata.file_path") -> Column:
+    """The file a row was read from, spelled as the listing spells it: the reader encodes blanks and signs."""
+    return file_uri(F.url_decode(F.replace(F.col(encoded), F.lit("+"), F.lit("%2B"))))
+
+
+def literal_path(path: str) -> str:
+    """A path that the reader takes for one file, whatever signs of a pattern it holds."""
+    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)
+
+
 def exchange_of(path: Column) -> Column:
-    return _first(path, r"(?:exchange=|TRTH/)([A-Z]+)")
+    return _first(path, r"(?:exchange=|TRTH/)([^/]+)")
 
 
 def stage_of(path: Column) -> Column:
-    return _first(path, r"(?:processing_stage=|TRTH/[A-Z]+/)([a-z]+)")
+    return _first(path, r"(?:processing_stage=|TRTH/[^/]+/)([^/]+)")
 
 
 def manifest(requests: DataFrame, root: str = "lake", file_type: str = "Data") -> DataFrame:
@@ -134,7 +148,7 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None
 def read_with_source(spark: SparkSession, path, schema=None) -> DataFrame:
     """Files by glob with their name and the day found in it."""
     df = read_csv(spark, path, schema)
-    return df.select("*", file_uri("_metadata.file_path").alias("source_file")).withColumn(
+    return df.select("*", read_from().alias("source_file")).withColumn(
         "data_date", first_date("source_file"))
 
 
@@ -143,32 +157,87 @@ def discover_schema(spark: SparkSession, path, sampling_ratio: float = 0.1) -> D
     return schema_frame(read_csv(spark, path, sampling_ratio=sampling_ratio))
 
 
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrower type that holds the values of both; text where there is none."""
+    numbers = [T.IntegerType(), T.LongType(), T.DoubleType()]
+    if a == b:
+        return a
+    if a in numbers and b in numbers:
+        return max(a, b, key=numbers.index)
+    times = [T.DateType(), T.TimestampNTZType(), T.TimestampType()]
+    return max(a, b, key=times.index) if a in times and b in times else T.StringType()
+
+
+def discover_union_schema(spark: SparkSession, listed: DataFrame, sampling_ratio: float = 0.1) -> DataFrame:
+    """Inferred (name, type, nullable) rows over files with different headers, matched by name.
+
+    Files of one header are inferred together.  Columns keep the order in
+    which headers bring them, the longest header first.
+    """
+    found: dict[str, T.DataType] = {}
+    for header, names in sorted(header_groups(listed).items(), key=lambda g: (-g[0].count(","), g[0])):
+        if header:
+            for field in read_csv(spark, [literal_path(n) for n in names], sampling_ratio=sampling_ratio).schema:
+                found[field.name] = wider(found.get(field.name, field.dataType), field.dataType)
+    return schema_frame(spark.createDataFrame([], T.StructType([T.StructField(n, t) for n, t in found.items()])))
+
+
+LARGE_FILE = 16 << 20  # bytes from which a file is left after its first lines
+
+
+def _first_line(batches):
+    """The first line of a partition that begins a file; nothing after it is read."""
+    for batch in batches:
+        if batch.num_rows:
+            if batch["start"][0].as_py() == 0:
+                yield batch.slice(0, 1).select(["path", "value"])
+            return
+
+
+def headers_of(spark: SparkSession, small: list[str], large: list[str] = ()) -> dict[str, str]:
+    """The first line of every file that has one.
+
+    Spark's own text source reads them, so any store and credentials that it
+    knows will do.  Lines of small files are read to their end, many files a
+    task.  A large file is a partition of its own and is left after its first
+    lines, which costs a Python worker; should Spark pack it with others, it is
+    read like a small one.
+    """
+    def lines(session: SparkSession, names: list[str]) -> DataFrame:
+        text = session.read.text([literal_path(n) for n in names])
+        return text.select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("start"))
+
+    def named(found: DataFrame) -> dict[str, str]:
+        plain = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "")
+        return {r[0]: r[1] for r in found.select(read_from("path"), plain).toLocalIterator()}
+
+    heads: dict[str, str] = {}
+    if large:
+        own = spark.newSession()
+        own.conf.set("spark.sql.files.openCostInBytes", "1t")
+        heads = named(lines(own, large).mapInArrow(_first_line, "path string, value string"))
+    rest = [*small, *(p for p in large if p not in heads)]
+    if rest:
+        # one task reads the block in which a file begins, from its first line on
+        heads |= named(lines(spark, rest).where("start = 0").groupBy("path").agg(F.first("value").alias("value")))
+    return heads
+
+
 def file_headers(paths: DataFrame, column: str = "source_file") -> DataFrame:
-    """First line of every file, read by the executors up to its line break."""
-    def read(batches):
-        import gzip
-        import io
-
-        import pandas as pd
-        from pyarrow import fs
-        for pdf in batches:
-            heads = []
-            for path in pdf[column]:
-                system, inner = fs.FileSystem.from_uri(path)
-                with system.open_input_stream(inner, compression=None) as stream:
-                    plain = gzip.GzipFile(fileobj=stream) if inner.endswith(".gz") else io.BufferedReader(stream)
-                    raw = plain.readline()
-                heads.append(raw.decode("utf-8-sig").rstrip("\r\n"))
-            yield pd.DataFrame({column: pdf[column], "header": heads})
-
-    return paths.select(column).mapInPandas(read, f"{column} string, header string")
-
-
-def header_groups(paths: DataFrame, column: str = "source_file") -> dict[str, list[str]]:
-    """File names per distinct header: file metadata only, as the file index keeps it."""
+    """(name, header) of every file that has a first line."""
+    rows = [(name, header) for header, names in header_groups(paths, column).items() for name in names]
+    return paths.sparkSession.createDataFrame(rows, f"{column} string, header string")
+
+
+def header_groups(paths: DataFrame, column: str = "source_file", size: str = "file_size_bytes") -> dict[str, list[str]]:
+    """File names per distinct header: names and first lines only, as the file index keeps the names."""
     groups: dict[str, list[str]] = {}
-    for row in file_headers(paths, column).toLocalIterator():
-        groups.setdefault(row["header"], []).append(row[column])
+    length = F.col(size) if size in paths.columns else F.lit(None).cast("bigint")
+    sizes = {row[0]: row[1] or 0 for row in paths.select(column, length).toLocalIterator()}
+    large = [n for n, many in sizes.items() if many >= LARGE_FILE]
+    heads = headers_of(paths.sparkSession, [n for n, many in sizes.items() if many < LARGE_FILE], large)
+    for name, header in sorted(heads.items()):
+        groups.setdefault(header, []).append(name)
     return groups
 
 
@@ -178,15 +247,15 @@ def read_tolerant(spark: SparkSession, paths, header: str) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     df = (
         spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").csv(paths)
+        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").csv([literal_path(p) for p in paths])
     )
-    return df.select("*", file_uri("_metadata.file_path").alias("source_file"))
+    return df.select("*", read_from().alias("source_file"))
 
 
 def read_union(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
     """Files with different columns as one frame of text columns, matched by name."""
     if isinstance(paths, list):
-        paths = spark.createDataFrame([(p,) for p in paths], "source_file string")
+        paths = spark.createDataFrame([(p,) for p in paths], "source_file string").select(file_uri("source_file").alias("source_file"))
     parts = [read_tolerant(spark, files, header) for header, files in sorted(header_groups(paths).items()) if header]
     if not parts:
         raise FileNotFoundError("no files with a header line")
