@@ -1,6 +1,7 @@
 """Streams against batch results: late rows, replays, state across runs."""
 
 import datetime as dt
+import os
 import time
 
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def test_replayed_batch_writes_once(spark, folder):
 
 def test_alert_state_survives_a_restart(spark, folder):
     def run():
-        stream = jobs.read_stream(jobs.stream_session(spark), f"{folder}/bars", BAR)
+        stream = jobs.read_stream(jobs.stream_session(spark, timers=True), f"{folder}/bars", BAR)
         jobs.finish(jobs.run(alerts.alerts_stream(stream), f"{folder}/cp", f"{folder}/out"))
     first = [(m, 100.0, 10) for m in range(6)]
     second = [(6, 110.0, 10), (7, 111.0, 500)]
@@ -70,6 +71,92 @@ def test_alert_state_survives_a_restart(spark, folder):
     assert {(r["alert"], r["value"]) for r in batch.collect()} == got
 
 
+BAR = "exchange string, symbol string, bar_time timestamp, close_price double, volume bigint"
+
+
+def bar_rows(spark, rows):
+    """(day offset, symbol, close, volume) rows."""
+    base = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+    return spark.createDataFrame([("X", s, base + dt.timedelta(days=d), float(c), v) for d, s, c, v in rows], BAR).coalesce(1)
+
+
+def state_rows(query):
+    return [sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress][-1]
+
+
+def test_state_of_an_idle_symbol_expires(spark, folder):
+    def run():
+        stream = jobs.read_stream(jobs.stream_session(spark, timers=True), f"{folder}/bars", BAR)
+        query = jobs.run(alerts.alerts_stream(stream), f"{folder}/cp", f"{folder}/out")
+        jobs.finish(query)
+
+    def known():
+        state = spark.read.format("statestore").option("stateVarName", "seen").load(f"{folder}/cp")
+        return {r["key"]["symbol"] for r in state.collect()}
+    first = [(0, "A", 100, 10), (0, "B", 100, 10)]
+    bar_rows(spark, first).write.parquet(f"{folder}/bars")
+    run()
+    assert known() == {"A", "B"}
+    second = [(d, "B", 100, 10) for d in range(1, 9)]
+    bar_rows(spark, second).write.mode("append").parquet(f"{folder}/bars")
+    run()
+    assert known() == {"B"}
+    third = [(9, "A", 150, 10), (9, "B", 150, 10)]  # a move for B, a new start for A
+    bar_rows(spark, third).write.mode("append").parquet(f"{folder}/bars")
+    run()
+    got = {(r["symbol"], r["alert"]) for r in spark.read.schema(alerts.ALERT).parquet(f"{folder}/out").collect()}
+    assert got == {("B", "price_move")}
+    assert {(r["symbol"], r["alert"]) for r in alerts.alerts_batch(bar_rows(spark, first + second + third)).collect()} == got
+
+
+def test_alerts_of_one_batch_start_anew_after_a_gap(spark, folder):
+    rows = [(d / 24, "A", 100 + (d % 5) * 3, 10 + 50 * (d % 7 == 6)) for d in range(30)]
+    rows += [(20 + d / 24, "A", 140 + (d % 3) * 9, 10 + 80 * (d % 8 == 7)) for d in range(30)] + [(1, "C", 0, 5), (2, "C", 7, 5)]
+    bar_rows(spark, rows).write.parquet(f"{folder}/bars")
+    stream = jobs.read_stream(jobs.stream_session(spark, timers=True), f"{folder}/bars", BAR)
+    jobs.finish(jobs.run(alerts.alerts_stream(stream), f"{folder}/cp", f"{folder}/out"))
+    got = {tuple(r) for r in spark.read.schema(alerts.ALERT).parquet(f"{folder}/out").collect()}
+    assert got == {tuple(r) for r in alerts.alerts_batch(bar_rows(spark, rows)).collect()} and len(got) > 10
+
+
+def test_latest_price_state_falls_after_seven_days(spark, folder):
+    counts = []
+    days = [[(0, s) for s in "ABCD"], [(1, "A"), (6, "A")], [(9, "A")], [(18, "A")]]
+    for batch in days:
+        ticks(spark, [(24 * 60 * d, 10 + d, 1, s) for d, s in batch]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = jobs.read_stream(jobs.stream_session(spark), f"{folder}/in", TICK)
+        query = jobs.run(jobs.latest_price_stream(stream), f"{folder}/cp", mode="update",
+                         each_batch=jobs.upsert_newest(f"{folder}/latest", ["exchange", "symbol"], ["ts", "event_id"], ("exchange",)))
+        jobs.finish(query)
+        counts.append(state_rows(query))
+    assert counts[1] == 6 and counts[2] < counts[1] and counts[3] == 1
+    assert {r["symbol"]: r["price"] for r in spark.read.parquet(f"{folder}/latest").collect()} == {"A": 28.0, "B": 10.0, "C": 10.0, "D": 10.0}
+
+
+def test_older_tick_does_not_replace_a_newer_one(spark, folder):
+    write = jobs.upsert_newest(f"{folder}/t", ["symbol"], ["ts"], ("exchange",))
+    for batch_id, minute in enumerate((5, 9, 2)):
+        write(ticks(spark, [(minute, minute, 1)]).select("exchange", "symbol", "ts", "price"), batch_id)
+    assert [r["price"] for r in spark.read.parquet(f"{folder}/t").collect()] == [9.0]
+
+
+def test_a_batch_rewrites_the_days_it_changed(spark, folder):
+    def stats(hours, n):
+        base = dt.datetime(2025, 1, 1)
+        return spark.createDataFrame([(base + dt.timedelta(hours=h), "X", n) for h in hours], "window_start timestamp_ntz, exchange string, files bigint")
+
+    def folders():
+        return {d: sorted(os.listdir(f"{folder}/t/{d}")) for d in os.listdir(f"{folder}/t") if d.startswith("window_day")}
+    write = jobs.upsert_windows(f"{folder}/t", ["window_start", "exchange"])
+    write(stats(range(24 * 30), 1), 0)
+    before = folders()
+    write(stats([24 * 3 + 5, 24 * 3 + 6], 7), 1)
+    after = folders()
+    assert len(before) == 30 and [d for d in after if after[d] != before[d]] == ["window_day=2025-01-04"]
+    rows = spark.read.parquet(f"{folder}/t")
+    assert rows.count() == 24 * 30 and rows.where("files = 7").count() == 2
+
+
 def test_stream_bars_equal_batch_bars(spark, folder):
     df = ticks(spark, [(i * 0.4, 10 + i % 7, i % 5, "HOT" if i % 3 else f"S{i % 4}") for i in range(600)])
     df.repartition(1).write.parquet(f"{folder}/in")

@@ -64,9 +64,9 @@ def _(t):
     """Update mode: every batch upserts the hours it changed."""
     path = scratch_path(t.spark, "hourly")
     stats = jobs.plain_time(jobs.load_stats_stream(_loads(t)), "window_start", "window_end")
-    write = jobs.upsert_batch(f"{path}/out", ["window_start", "exchange"], ("exchange",))
+    write = jobs.upsert_windows(f"{path}/out", ["window_start", "exchange"])
     jobs.finish(jobs.run(stats, f"{path}/checkpoint", mode="update", each_batch=write))
-    return t.spark.read.parquet(f"{path}/out")
+    return t.spark.read.parquet(f"{path}/out").drop("window_day")
 
 
 @register("str_05_rolling_7_days", f"""
@@ -82,7 +82,7 @@ SELECT exchange, symbol, ts, event_id, price, volume FROM ticks WHERE price IS N
 QUALIFY row_number() OVER (PARTITION BY exchange, symbol ORDER BY ts DESC, event_id DESC) = 1""")
 def _(t):
     path = scratch_path(t.spark, "latest")
-    write = jobs.upsert_batch(f"{path}/out", ["exchange", "symbol"], ("exchange",))
+    write = jobs.upsert_newest(f"{path}/out", ["exchange", "symbol"], ["ts", "event_id"], ("exchange",))
     latest = jobs.plain_time(jobs.latest_price_stream(_ticks(t)), "ts")
     jobs.finish(jobs.run(latest, f"{path}/checkpoint", mode="update", each_batch=write))
     return t.spark.read.parquet(f"{path}/out")
@@ -95,9 +95,11 @@ def _(t):
     return _run(t, unique).groupBy("exchange", "symbol").agg(F.count("*").alias("n"), F.count_distinct("ts").alias("times"))
 
 
-ALERTS = """a AS (SELECT exchange, symbol, bar_time, coalesce(volume, 0) AS volume, close_price, lag(close_price) OVER w AS last,
-  avg(coalesce(volume, 0)) OVER p AS mean_volume, count(*) OVER p AS bars FROM closed
-  WINDOW w AS (PARTITION BY exchange, symbol ORDER BY bar_time), p AS (PARTITION BY exchange, symbol ORDER BY bar_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+ALERTS = """g AS (SELECT *, CASE WHEN bar_time - lag(bar_time) OVER (PARTITION BY exchange, symbol ORDER BY bar_time) > INTERVAL 7 DAY THEN 1 ELSE 0 END AS idle FROM closed),
+ s AS (SELECT *, sum(idle) OVER (PARTITION BY exchange, symbol ORDER BY bar_time ROWS UNBOUNDED PRECEDING) AS spell FROM g),
+ a AS (SELECT exchange, symbol, bar_time, coalesce(volume, 0) AS volume, close_price, lag(close_price) OVER w AS last,
+  avg(coalesce(volume, 0)) OVER p AS mean_volume, count(*) OVER p AS bars FROM s
+  WINDOW w AS (PARTITION BY exchange, symbol, spell ORDER BY bar_time), p AS (PARTITION BY exchange, symbol, spell ORDER BY bar_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT exchange, symbol, bar_time, 'price_move' AS alert, (close_price / nullif(last, 0) - 1) * 100 AS value, last AS baseline FROM a WHERE abs(close_price / nullif(last, 0) - 1) * 100 >= 5
 UNION ALL SELECT exchange, symbol, bar_time, 'volume_spike', CAST(volume AS DOUBLE), mean_volume FROM a WHERE bars >= 5 AND volume > 3 * mean_volume"""
 
@@ -107,7 +109,7 @@ def _(t):
     path = scratch_path(t.spark, "bars")
     bar_stream = jobs.minute_bars_stream(_ticks(t))
     jobs.finish(jobs.run(bar_stream, f"{path}/checkpoint", f"{path}/out"))
-    closed = jobs.read_stream(jobs.stream_session(t.spark), f"{path}/out", bar_stream.schema)
+    closed = jobs.read_stream(jobs.stream_session(t.spark, timers=True), f"{path}/out", bar_stream.schema)
     return _run(t, jobs.plain_time(alerts.alerts_stream(closed), "bar_time"))
 
 

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tickwell.functions.scalar import count_where, percent, ratio, seconds_between
+from tickwell.functions.scalar import count_where, null_safe_join, percent, ratio, seconds_between
 from tickwell.operators.bars import order_key
 from tickwell.operators.filters import priced_trades
+from tickwell.session import remove_path, scratch_path
 from tickwell.sinks import control_log, lake
 from tickwell.sources import files
 
@@ -24,14 +25,20 @@ from tickwell.sources import files
 # --- sources -----------------------------------------------------------------------
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, timers: bool = False) -> SparkSession:
     """A session whose state is spread over the cluster's cores, with UTC clocks.
 
     Stateful streams fix their partition count at the first start and adaptive
     execution does not change it, so it is set here and not on the caller.
     Zone-less event times become UTC instants, whatever the caller's zone.
+    Processors with ``timers`` need the state store that can list them.
     """
     own = spark.newSession()
+    if timers:
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.shuffle.partitions", str(max(spark.sparkContext.defaultParallelism, 1)))
     return own
@@ -124,6 +131,31 @@ def upsert_batch(table: str, keys: list[str], partitions: tuple[str, ...]) -> Ca
     return write
 
 
+def upsert_windows(table: str, keys: list[str], start: str = "window_start") -> Callable[[DataFrame, int], None]:
+    """Keep the newest aggregate per window of an update-mode stream, in folders by day: a batch rewrites the days it changed."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lake.upsert(batch.withColumn("window_day", F.to_date(start)), table, ["window_day", *keys], ("window_day",))
+    return write
+
+
+def upsert_newest(table: str, keys: list[str], order: list[str], partitions: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
+    """Keep the row of the highest ``order`` per key, whichever batch brought it."""
+    def newest(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in keys]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("row")).select(*keys, "row.*")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, staging = batch.sparkSession, scratch_path(batch.sparkSession, "newest")
+        newest(batch).write.parquet(staging)  # each further action on the batch would run the stream's state again
+        found = spark.read.schema(batch.schema).parquet(staging).select(*batch.columns)
+        if lake.exists(spark, table):
+            old = spark.read.parquet(table).select(*batch.columns)
+            found = newest(found.unionByName(null_safe_join(old, found.select(*keys), keys, "left_semi")))
+        lake.upsert(found, table, keys, partitions)
+        remove_path(spark, staging)
+    return write
+
+
 # --- transformations -----------------------------------------------------------------
 
 
@@ -162,14 +194,16 @@ def load_stats_stream(loads: DataFrame, width: str = "1 hour", slide: str | None
         *[c for c in out.columns if c != "w"])
 
 
-def latest_price_stream(ticks: DataFrame) -> DataFrame:
-    """Newest price per exchange and symbol, for update mode.
+def latest_price_stream(ticks: DataFrame, keep: str = "7 days") -> DataFrame:
+    """Newest price per exchange, symbol and day, for update mode and a sink that keeps the newest per symbol.
 
-    State is one row per symbol; partial aggregation keeps a hot symbol's rows
-    on the map side.
+    State is one row per symbol and day and goes when the day is older than
+    ``keep`` before the newest tick; partial aggregation keeps a hot symbol's
+    rows on the map side.  Ticks later than that do not change the sink.
     """
     newest = F.max_by(F.struct("ts", "event_id", "price", "volume"), F.struct("ts", "event_id"))
-    return ticks.where(F.col("price").isNotNull()).groupBy("exchange", "symbol").agg(newest.alias("row")).select(
+    priced = ticks.where(F.col("price").isNotNull()).withWatermark("ts", keep)
+    return priced.groupBy(F.window("ts", "1 day").alias("w"), "exchange", "symbol").agg(newest.alias("row")).select(
         "exchange", "symbol", "row.*")
 
 
