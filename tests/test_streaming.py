@@ -1,13 +1,14 @@
 """Streams against batch results: late rows, replays, state across runs."""
 
 import datetime as dt
+import gzip
 import os
 import time
 
 from pyspark.sql import functions as F
 
 from tickwell.operators import bars
-from tickwell.streaming import alerts, jobs
+from tickwell.streaming import alerts, jobs, late
 
 TICK = "event_id bigint, exchange string, symbol string, ts timestamp, data_date date, type string, price double, volume bigint"
 
@@ -40,6 +41,58 @@ def test_late_rows_are_dropped_and_counted(spark, folder):
     assert rows[0]["volume"] == 1
 
 
+def test_late_rows_are_counted_and_their_days_reloaded(spark, folder):
+    """Two days late for one symbol; only the day that lacks rows is replaced."""
+    day = 24 * 60
+    arrivals = [[(m, 10 + m % 5, 1) for m in range(0, 3 * day, 30)], [(45.5, 99, 7), (46.5, 98, 7), (3 * day, 12, 1)]]
+    dropped, seen = 0, []
+    for rows in arrivals:
+        df = ticks(spark, rows).withColumn("event_id", F.col("event_id") + len(seen) * 1000).withColumn("data_date", F.to_date("ts"))
+        seen.append(df)
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = jobs.read_stream(jobs.stream_session(spark), f"{folder}/in", TICK)
+        query = jobs.run(late.on_time_bars_stream(stream), f"{folder}/cp", each_batch=late.append_bars(f"{folder}/bars"))
+        jobs.finish(query)
+        dropped += late.late_rows(query)
+    assert dropped == 2
+
+    def files_of():
+        return {at: sorted(names) for at, _, names in os.walk(f"{folder}/bars") if names}
+    stored = jobs.plain_time(seen[0].unionByName(seen[1]), "ts")
+    before = files_of()
+    touched = late.repair(stored, f"{folder}/bars", late.closed_until(query))
+    assert [(str(r["data_date"]), r["missing"]) for r in touched.collect()] == [("2025-01-01", 2)]
+    assert {at for at in before if "data_date=2025-01-01" not in at} <= {at for at, names in files_of().items() if names == before.get(at)}
+    want = bars.minute_bars(stored, session_start="00:00:00", session_end="24:00:00").where(F.col("bar_time") < F.lit("2025-01-03 23:49:00").cast("timestamp_ntz"))
+    columns = ["exchange", "symbol", "bar_time", "open_price", "high_price", "low_price", "close_price", "volume", "trade_count"]
+    got = spark.read.parquet(f"{folder}/bars").select(*columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*columns).collect())) and got.count() == 146
+    assert late.repair(stored, f"{folder}/bars", late.closed_until(query)).count() == 0
+
+
+def test_files_with_new_headers_go_into_one_stream(spark, folder):
+    def arrive(exchange, header, lines):
+        place = f"{folder}/in/exchange={exchange}/processing_stage=ingestion/data_date=2025-01-01"
+        os.makedirs(place, exist_ok=True)
+        with gzip.open(f"{place}/{len(os.listdir(place))} x.csv.gz", "wt") as out:
+            out.write("\n".join([header, *lines]) + "\n")
+
+    def run():
+        lines = jobs.read_vendor_lines(jobs.stream_session(spark), f"{folder}/in")
+        jobs.finish(jobs.run(lines, f"{folder}/cp", each_batch=jobs.vendor_batches(f"{folder}/out", counts=f"{folder}/counts")))
+    arrive("LSE", "#RIC,Date-Time,Type,Price,Volume,Exch Time", ["A,2025-01-01 09:00:00,Trade,1.5,3,x", "broken"])
+    arrive("L2", '"#RIC","Date-Time",Type,Price,Volume,Exch Time,Qualifiers', ["B,2025-01-01 12:00:00,Trade,2.5,n/a,x,q", '"C, D",2025-01-01 12:00:00,Trade,1,2,x,'])
+    run()
+    arrive("B3", "Price,#RIC,Extra,Date-Time", ["7.5,E,?,2025-01-01 08:00:00", "8.5,F,?,2025-01-01 11:55:00", "1,2,3,4,5"])
+    run()
+    run()
+    rows = {r["symbol"]: (r["exchange"], r["price"], r["volume"], r["qualifiers"]) for r in spark.read.parquet(f"{folder}/out").where("NOT is_rejected").collect()}
+    assert rows == {"A": ("LSE", 1.5, 3, None), "B": ("L2", 2.5, None, "q"), "C, D": ("L2", 1.0, 2, None), "E": ("B3", 7.5, None, None), "F": ("B3", 8.5, None, None)}
+    counts = spark.read.parquet(f"{folder}/counts").orderBy("ingest_batch").collect()
+    assert [(r["processed"], r["loaded"], r["rejected"], r["late"]) for r in counts] == [(4, 3, 1, 0), (3, 2, 1, 1)]
+    assert {r["raw_line"] for r in spark.read.parquet(f"{folder}/out").where("is_rejected").collect()} == {"broken", "1,2,3,4,5"}
+
+
 def test_replayed_batch_writes_once(spark, folder):
     batch = ticks(spark, [(0, 10, 1), (1, 11, 1)])
     write = jobs.write_batch(f"{folder}/t", f"{folder}/audit")

@@ -37,6 +37,28 @@ def _suffix(t) -> str:
 ROWS_PER_FILE = 1_000_000
 
 
+HEADER = "#RIC,Date-Time,Type,Price,Volume,Exch Time"
+
+
+def write_vendor_files(ticks: DataFrame, path: str, header, line, mode: str = "error") -> None:
+    """Gzip CSV files per exchange, stage, day and a million rows, each with its header line first."""
+    folder = ["exchange", "processing_stage", "data_date", "chunk"]
+    data = ticks.select("exchange", F.lit("ingestion").alias("processing_stage"), "data_date", F.floor(F.col("event_id") / ROWS_PER_FILE).alias("chunk"),
+                        F.lit(1).alias("_order"), line.alias("value"))
+    heads = data.select(*folder).distinct().select(*folder, F.lit(0).alias("_order"), header.alias("value"))
+    (
+        data.unionByName(heads).repartition(*folder).sortWithinPartitions(*folder, "_order").drop("_order")
+        .write.mode(mode).partitionBy(*folder).option("compression", "gzip").text(path)
+    )
+    # Spark names text parts .txt.gz; the readers take that pattern.
+
+
+def vendor_cells() -> list:
+    """The cells of HEADER; some volumes are text."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("symbol", "ts", "type", "price")]
+    return cells + [F.when(F.col("event_id") % 89 == 0, "n/a").otherwise(F.col("volume").cast("string")), F.col("exchange_time").cast("string")]
+
+
 def landing(t) -> str:
     """Gzip CSV files of the ticks, as a vendor delivers them.
 
@@ -44,23 +66,10 @@ def landing(t) -> str:
     volumes are text.
     """
     def write(path: str) -> None:
-        i, lse = F.col("event_id"), F.col("exchange") == "LSE"
-        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("symbol", "ts", "type", "price")]
-        cells += [F.when(i % 89 == 0, "n/a").otherwise(F.col("volume").cast("string")), F.col("exchange_time").cast("string")]
-        line = F.when(i % 97 == 0, "broken,line").when(lse, F.concat_ws(",", *cells)).otherwise(
-            F.concat_ws(",", *cells, F.concat(F.lit("q"), "type")))
-        chunk = F.floor(i / ROWS_PER_FILE).alias("chunk")
-        folder = ["exchange", "processing_stage", "data_date", "chunk"]
-        data = t.ticks.select("exchange", F.lit("ingestion").alias("processing_stage"), "data_date", chunk,
-                              F.lit(1).alias("_order"), line.alias("value"))
-        header = F.when(lse, "#RIC,Date-Time,Type,Price,Volume,Exch Time").otherwise(
-            "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers")
-        heads = data.select(*folder).distinct().select(*folder, F.lit(0).alias("_order"), header.alias("value"))
-        (
-            data.unionByName(heads).repartition(*folder).sortWithinPartitions(*folder, "_order").drop("_order")
-            .write.partitionBy(*folder).option("compression", "gzip").text(path)
-        )
-        # Spark names text parts .txt.gz; the readers below take that pattern.
+        lse = F.col("exchange") == "LSE"
+        line = F.when(F.col("event_id") % 97 == 0, "broken,line").when(lse, F.concat_ws(",", *vendor_cells())).otherwise(
+            F.concat_ws(",", *vendor_cells(), F.concat(F.lit("q"), "type")))
+        write_vendor_files(t.ticks, path, F.when(lse, HEADER).otherwise(f"{HEADER},Qualifiers"), line)
     return _once(t, "landing", write)
 
 

@@ -6,18 +6,15 @@ watermark, the newest event time minus the lateness, has passed its end.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.binding import load_log_from_orders, ticks_from_events
 from tickwell.operators import bars
 from tickwell.registry import register
-from tickwell.registry.lake import landing
+from tickwell.registry.lake import GLOB, HEADER, vendor_cells, write_vendor_files
 from tickwell.session import scratch_path
-from tickwell.plans import ingest
-from tickwell.streaming import alerts, jobs
+from tickwell.streaming import alerts, jobs, late
 
 
 def _source(t, table: str) -> DataFrame:
@@ -119,37 +116,73 @@ def _(t):
     return alerts.alerts_batch(history)
 
 
-# A stream has one header; LSE files lack the last column.
-HEADER = "#RIC,Date-Time,Type,Price,Volume,Exch Time"
-FEEDS = {"exchange=LSE": HEADER, "exchange=[!L]*": f"{HEADER},Qualifiers"}
+# --- vendor files ------------------------------------------------------------------
 
+# The stream's own exchanges: two begin with L, and their headers differ.
+FEED = "SELECT * REPLACE (CASE exchange WHEN 'NYQ' THEN 'LIF' ELSE exchange END AS exchange) FROM ticks"
 
-@register("str_01_02_stream_ingest", """
-SELECT symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, exchange, data_date FROM ticks WHERE event_id % 97 <> 0""")
-def _(t):
-    """New vendor files through a replay-safe batch writer; a second run finds nothing new."""
+
+def _arrive(t, path: str, part: int) -> None:
+    """Nine tenths of the ticks, then the rest with other columns in another order."""
+    ticks = t.ticks.withColumn("exchange", F.when(F.col("exchange") == "NYQ", "LIF").otherwise(F.col("exchange")))
+    i, cells, lse = F.col("event_id"), vendor_cells(), F.col("exchange") == "LSE"
+    if part == 0:
+        line = F.when(lse, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *cells, F.concat(F.lit("q"), "type")))
+        header, rows = F.when(lse, HEADER).otherwise(f"{HEADER},Qualifiers"), ticks.where(i % 10 != 0)
+    else:
+        line = F.concat_ws(",", F.lit("v"), cells[1], cells[0], *cells[2:])
+        header, rows = F.lit("Venue,Date-Time,#RIC,Type,Price,Volume,Exch Time"), ticks.where(i % 10 == 0)
+    write_vendor_files(rows, path, header, F.when(i % 97 == 0, "broken,line").otherwise(line), "append")
+
+
+def _vendor_stream(t) -> str:
+    """Two arrivals of vendor files through one stream; each is taken up twice, the second time finds nothing new."""
     path = scratch_path(t.spark, "stream-ingest")
-    for i, (feed, header) in enumerate(FEEDS.items()):
+    for part in range(2):
+        _arrive(t, f"{path}/in", part)
         for _ in range(2):
-            own = jobs.stream_session(t.spark)
-            rows = ingest.bronze_rows(jobs.read_vendor_stream(own, f"{landing(t)}/{feed}/*/*/*", header))
-            write = jobs.write_batch(f"{path}/feed{i}/out", f"{path}/feed{i}/audit")
-            jobs.finish(jobs.run(rows, f"{path}/feed{i}/checkpoint", each_batch=write))
-    stored = [t.spark.read.parquet(f"{path}/feed{i}/out").where(~F.col("is_rejected")) for i in range(len(FEEDS))]
-    columns = ["symbol", "ts", "type", "price", "volume", "exchange", "data_date"]
-    return reduce(DataFrame.unionByName, [df.select(*columns) for df in stored])
+            lines = jobs.read_vendor_lines(jobs.stream_session(t.spark), f"{path}/in", GLOB)
+            write = jobs.vendor_batches(f"{path}/out", f"{path}/audit", f"{path}/counts")
+            jobs.finish(jobs.run(lines, f"{path}/checkpoint", each_batch=write))
+    return path
+
+
+@register("str_01_02_stream_ingest", f"""
+SELECT symbol, ts, type, price, CASE WHEN event_id % 89 <> 0 THEN volume END AS volume, exchange, data_date FROM ({FEED}) WHERE event_id % 97 <> 0""")
+def _(t):
+    """New vendor files, whatever their headers, through a replay-safe batch writer."""
+    stored = t.spark.read.parquet(f"{_vendor_stream(t)}/out").where(~F.col("is_rejected"))
+    return stored.select("symbol", "ts", "type", "price", "volume", "exchange", "data_date")
 
 
 @register("str_10_11_batch_counts", """
-SELECT count(*) AS processed, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected, CAST(0 AS BIGINT) AS late FROM ticks""")
+WITH good AS (SELECT * FROM ticks WHERE event_id % 97 <> 0)
+SELECT count(*) AS processed, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected,
+ (SELECT count(*) FROM good WHERE event_id % 10 = 0 AND ts <= (SELECT max(ts) FROM good WHERE event_id % 10 <> 0) - INTERVAL 10 MINUTE) AS late FROM ticks""")
 def _(t):
-    path = scratch_path(t.spark, "stream-counts")
-    found = []
-    for i, (feed, header) in enumerate(FEEDS.items()):
-        raw = jobs.read_vendor_stream(jobs.stream_session(t.spark), f"{landing(t)}/{feed}/*/*/*", header)
-        rows = jobs.observed(ingest.bronze_rows(raw), F.col("is_rejected"))
-        query = jobs.run(rows, f"{path}/feed{i}/checkpoint", f"{path}/feed{i}/out")
-        jobs.finish(query)
-        found += [tuple(r.values()) for r in jobs.batch_counts(query)]
-    counts = t.spark.createDataFrame(found, "batch_id bigint, processed bigint, loaded bigint, rejected bigint, late bigint")
+    counts = t.spark.read.parquet(f"{_vendor_stream(t)}/counts")
     return counts.agg(*[F.sum(c).alias(c) for c in ("processed", "loaded", "rejected", "late")])
+
+
+@register("str_11_late_rows", """
+WITH t AS (SELECT * FROM ticks WHERE type = 'Trade' AND price IS NOT NULL),
+ late AS (SELECT count(*) AS late_rows FROM t WHERE event_id % 10 = 0
+  AND ts <= (SELECT date_trunc('milliseconds', max(ts)) FROM t WHERE event_id % 10 <> 0) - INTERVAL 10 MINUTE),
+ b AS (SELECT exchange, symbol, date_trunc('minute', ts) AS bar_time, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS bar_end,
+  arg_min(price, ts) AS open_price, max(price) AS high_price, min(price) AS low_price, arg_max(price, ts) AS close_price,
+  CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count FROM t GROUP BY 1, 2, 3)
+SELECT b.*, late_rows FROM b, late WHERE bar_end <= (SELECT date_trunc('milliseconds', max(ts)) FROM t) - INTERVAL 10 MINUTE""")
+def _(t):
+    """Bars of a stream in which a tenth of the rows come behind the watermark, after the reload of their days."""
+    path = scratch_path(t.spark, "late")
+    dropped = 0
+    for part in range(2):
+        events = t.read("events").where(F.col("event_id") % 10 != 0 if part == 0 else F.col("event_id") % 10 == 0)
+        events.write.mode("append").parquet(f"{path}/in")
+        stream = jobs.read_stream(jobs.stream_session(t.spark), f"{path}/in", t.read("events").schema)
+        ticks = jobs.event_time(ticks_from_events(stream), "ts")
+        query = jobs.run(late.on_time_bars_stream(ticks), f"{path}/checkpoint", each_batch=late.append_bars(f"{path}/bars"))
+        jobs.finish(query)
+        dropped += late.late_rows(query)
+    late.repair(t.ticks, f"{path}/bars", late.closed_until(query))
+    return t.spark.read.parquet(f"{path}/bars").select(*late.BAR, F.lit(dropped).cast("bigint").alias("late_rows"))

@@ -252,6 +252,37 @@ def read_tolerant(spark: SparkSession, paths, header: str) -> DataFrame:
     return df.select("*", read_from().alias("source_file"))
 
 
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Raw lines (value, path, start) of files with different headers, as text columns matched by name.
+
+    The header of a file is the first line of its first block; lines equal to
+    it are no rows.  One pass finds the headers, one parses: names and headers
+    come to the driver and go to all executors, a row for each file in ``lines``.
+    """
+    plain = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "")
+    found = [tuple(r) for r in lines.where("start = 0").groupBy("path").agg(F.first(plain).alias("header")).toLocalIterator()]
+    heads = lines.sparkSession.createDataFrame(found, "path string, header string")
+    headers = sorted({header for _, header in found if header})
+    names: dict[str, None] = {}
+    layouts = []
+    for header in headers:
+        layout = [h.strip().strip('"') for h in header.split(",")]
+        names |= dict.fromkeys(layout)
+        layouts.append(layout)
+    names[CORRUPT] = None
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    cases = F.lit(None)
+    for header, layout in zip(headers, layouts, strict=True):
+        schema = ", ".join(f"`{n}` string" for n in [*layout, CORRUPT])
+        cell = F.from_csv("value", schema, options)
+        row = F.struct(*[(cell[n] if n in (*layout, CORRUPT) else F.lit(None).cast("string")).alias(n) for n in names])
+        cases = F.when(F.col("header") == header, row).otherwise(cases)
+    body = lines.select("path", plain.alias("value")).join(F.broadcast(heads), "path").where("value <> header AND value <> ''")
+    if not headers:
+        return body.select(F.lit(None).cast("string").alias(CORRUPT), read_from("path").alias("source_file")).limit(0)
+    return body.select(cases.alias("row"), read_from("path").alias("source_file")).select("row.*", "source_file")
+
+
 def read_union(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
     """Files with different columns as one frame of text columns, matched by name."""
     if isinstance(paths, list):

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from tickwell.functions.scalar import count_where, null_safe_join, percent, ratio, seconds_between
 from tickwell.operators.bars import order_key
 from tickwell.operators.filters import priced_trades
+from tickwell.plans import ingest
 from tickwell.session import remove_path, scratch_path
 from tickwell.sinks import control_log, lake
 from tickwell.sources import files
@@ -70,6 +71,15 @@ def read_vendor_stream(spark: SparkSession, path: str, header: str, max_files: i
     return reader.csv(path).select("*", files.file_uri("_metadata.file_path").alias("source_file"))
 
 
+def read_vendor_lines(spark: SparkSession, path: str, glob: str = "*.csv.gz", max_files: int | None = None) -> DataFrame:
+    """Lines of vendor files as they arrive below ``path``, whatever their headers, for ``vendor_batches``."""
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+
+
 def event_time(df: DataFrame, *columns: str) -> DataFrame:
     """Zone-less times as instants, as watermarks need them."""
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
@@ -124,6 +134,34 @@ def write_batch(table: str, audit: str | None = None) -> Callable[[DataFrame, in
     return write
 
 
+def vendor_batches(table: str, audit: str | None = None, counts: str | None = None, lateness: str = "10 minutes") -> Callable[[DataFrame, int], None]:
+    """Parse each batch of vendor lines by the headers of its files and write it as ``write_batch`` does.
+
+    ``counts`` gets one row per batch: processed, loaded, rejected and late
+    rows, and the newest time of the batch.  A row is late when its time is
+    ``lateness`` or more before the newest time of earlier batches.  Late rows
+    are stored like others; ``late.repair`` mends what was derived before they came.
+    """
+    write_rows = write_batch(table, audit)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_rows(ingest.bronze_rows(files.parse_lines(batch)), batch_id)
+        if not counts or not lake.exists(spark, table):
+            return
+        stored = spark.read.parquet(table).where(F.col("ingest_batch") == batch_id)
+        before = F.lit(None).cast("timestamp_ntz")
+        if lake.exists(spark, counts):
+            earlier = spark.read.parquet(counts).where(F.col("ingest_batch") < batch_id)
+            before = F.lit(earlier.agg(F.max("newest")).first()[0]).cast("timestamp_ntz")
+        limit = before - F.expr(f"INTERVAL {lateness}")
+        row = stored.agg(
+            F.count("*").alias("processed"), count_where(~F.col("is_rejected")).alias("loaded"), count_where(F.col("is_rejected")).alias("rejected"),
+            count_where(F.col("ts") <= limit).alias("late"), F.max("ts").alias("newest"), F.lit(batch_id).cast("bigint").alias("ingest_batch"))
+        lake.write_partitions(row, counts, ("ingest_batch",), ())
+    return write
+
+
 def upsert_batch(table: str, keys: list[str], partitions: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
     """Keep the newest aggregate per key of an update-mode stream."""
     def write(batch: DataFrame, batch_id: int) -> None:
