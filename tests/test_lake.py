@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwell.binding import Tables
+from tickwell.operators import sketches
 from tickwell.plans import ingest
 from tickwell.session import scratch_path, shared_dir
 from tickwell.sinks import control_log, export, lake
+from tickwell.sinks.versioned import ConcurrentCommit, VersionedTable
 from tickwell.sources import files
 
 HEADER = "#RIC,Date-Time,Type,Price,Volume,Exch Time,Qualifiers"
@@ -285,3 +287,93 @@ def test_retention_keeps_undated_rows_and_reads_no_rows(spark, folder):
         lake.write_partitions(rows, path, partitions, ())
         lake.drop_older(spark, path, 90, "2025-01-10", partitions=partitions)
         assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == ["a", "c"]
+
+
+def rows_of(df):
+    return sorted(map(str, df.drop("ingestion_timestamp").collect()))
+
+
+def test_a_load_killed_between_folders_leaves_the_old_table(spark, landing, folder, monkeypatch):
+    tables = ingest.AtomicLake(f"{folder}/lake")
+    assert states(ingest.load(spark, landing, tables)) == {"completed": 5}
+    before = rows_of(ingest.accepted(spark, tables))
+    vendor_file(landing, "LSE", "2025-01-01", [tick("Z", "2025-01-01 12:00:00")])
+    vendor_file(landing, "CME", "2025-01-01", [tick("Y", "2025-01-01 12:00:00")])
+    whole = ingest.lake.write_partitions
+
+    def killed(df, path, *rest, **named):
+        if "version=" not in path:
+            return whole(df, path, *rest, **named)
+        whole(df.where("exchange = 'LSE'"), path, *rest, **named)
+        raise KeyboardInterrupt
+    monkeypatch.setattr(ingest.lake, "write_partitions", killed)
+    with pytest.raises(KeyboardInterrupt):
+        ingest.load(spark, landing, tables, force=True)
+    monkeypatch.undo()
+    assert rows_of(ingest.accepted(spark, tables)) == before
+    held = ingest.accepted(spark, tables)  # a reader that began before the next commit
+    ingest.load(spark, landing, tables, force=True)
+    assert {r["symbol"] for r in ingest.accepted(spark, tables).where("data_date = date'2025-01-01' AND processing_stage = 'ingestion'").collect()} == {"Z", "Y", "C"}
+    assert rows_of(held) == before
+    assert tables.table.rollback(spark) == 1 and rows_of(ingest.accepted(spark, tables)) == before
+    assert [r["note"] for r in tables.table.history(spark).collect()] == ["load", "load", "rollback to 1"]
+    assert tables.table.vacuum(spark) > 0 and rows_of(ingest.accepted(spark, tables)) == before
+    assert tables.table.vacuum(spark) == 0
+
+
+def test_versions_clear_evolve_and_refuse_a_second_writer(spark, folder, monkeypatch):
+    table = VersionedTable(f"{folder}/t", ("p",), ("k",))
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    first = spark.createDataFrame([("a b", 1), ("c/d%", 2), (None, 3), ("7", 4)], "p string, k int")
+    table.replace(first)
+    assert {tuple(r) for r in table.read(spark).select("p", "k").collect()} == {tuple(r) for r in first.collect()}
+    table.replace(spark.createDataFrame([("a b", 10, "x"), (None, 30, "y")], "p string, k int, extra string"), clear=first.where("p = '7'"))
+    want = {("a b", 10, "x"), ("c/d%", 2, None), (None, 30, "y")}
+    assert {tuple(r) for r in table.read(spark).select("p", "k", "extra").collect()} == want
+    assert {tuple(r) for r in table.read(spark, 1).select("p", "k").collect()} == {tuple(r) for r in first.collect()}
+    open(f"{folder}/t/commits/{3:012d}", "w").close()  # a writer that died in its commit
+    assert table.read(spark).count() == 3
+    table.replace(spark.createDataFrame([("7", 5)], "p string, k int"))
+    assert table.read(spark).count() == 4 and [r["number"] for r in table.history(spark).collect()] == [1, 2, 4]
+    state = table._state
+    monkeypatch.setattr(table, "_state", lambda s: (3, state(s)[1]))
+    with pytest.raises(ConcurrentCommit):
+        table.replace(spark.createDataFrame([("7", 6)], "p string, k int"))
+    assert VersionedTable(f"{folder}/t", ("p",)).read(spark).count() == 4
+
+
+@pytest.mark.parametrize("kind", [ingest.Lake, ingest.AtomicLake])
+def test_bad_files_fail_alone_and_are_retried(spark, landing, folder, kind):
+    tables = kind(f"{folder}/lake")
+    cut = vendor_file(landing, "NYQ", "2025-01-02", [tick(f"S{i}", "2025-01-02 15:00:00") for i in range(3000)])
+    with open(cut, "rb") as f:
+        data = f.read()
+    with open(cut, "wb") as f:
+        f.write(data[:len(data) // 2])
+    with gzip.open(vendor_file(landing, "NYQ", "2025-01-03", []), "wt") as f:
+        f.write("")
+    result = {(r["exchange"], str(r["data_date"]), r["processing_stage"]): r for r in ingest.load(spark, landing, tables).collect()}
+    assert len(result) == 7 and {k[:2] for k, r in result.items() if r["status"] == "failed"} == {("NYQ", "2025-01-02"), ("NYQ", "2025-01-03")}
+    assert result["NYQ", "2025-01-03", "ingestion"]["error_message"] == ingest.NO_HEADER
+    assert "cannot be read" in result["NYQ", "2025-01-02", "ingestion"]["error_message"]
+    assert ingest.accepted(spark, tables).count() == 7
+    with open(cut, "wb") as f:
+        f.write(data)
+    again = ingest.load(spark, landing, tables, retry_only=True, max_retries=1).collect()
+    assert {str(r["data_date"]): r["status"] for r in again if r["status"] != "skipped"} == {"2025-01-02": "completed", "2025-01-03": "failed"}
+    assert ingest.accepted(spark, tables).count() == 3007
+    last = ingest.load(spark, landing, tables, max_retries=1).collect()
+    assert [(str(r["data_date"]), r["error_message"]) for r in last if r["status"] == "failed"] == [("2025-01-03", ingest.RETRIES_USED)]
+    assert spark.read.parquet(tables.reports).select("exchange", "total_trades").first() == ("LSE", "7")
+
+
+def test_sketches_merge_and_take_nulls(spark):
+    rows = spark.range(30_000).select((F.col("id") % 3).alias("day"), F.when(F.col("id") % 5 != 0, F.col("id") % 2000).alias("v"), F.lit(None).cast("double").alias("none"))
+    known = sketches.distinct_sketches(rows, ["day"], ["v", "none"])
+    got = {r["column_name"]: r for r in sketches.merged_distinct(known, ["column_name"]).collect()}
+    assert (got["v"]["row_count"], got["v"]["non_null_count"]) == (30_000, 24_000) and abs(got["v"]["unique_values"] - 1600) < 50
+    assert got["none"]["unique_values"] == 0
+    spread = sketches.quantile_sketches(rows, ["day"], ["v", "none"])
+    quart = {r["column_name"]: r for r in sketches.merged_quantiles(spread, ["column_name"], {"q": 0.5}).collect()}
+    assert set(quart) == {"v"} and abs(quart["v"]["q"] - 1000) < 40

@@ -25,6 +25,17 @@ def register_freshness(spark: SparkSession, name: str, table: str) -> None:
         RETURN SELECT max(data_date), datediff(as_of, max(data_date)), count(*) FROM {table}""")
 
 
+def register_table_stats(spark: SparkSession, name: str, table: str) -> None:
+    """A table function ``name()`` over a table or view: rows, columns, null cells, duplicate rows of all its columns."""
+    columns = [f"`{c.replace('`', '``')}`" for c in spark.table(table).columns]
+    nulls = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in columns)
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}()
+        RETURNS TABLE (row_count BIGINT, column_count INT, null_count BIGINT, duplicate_count BIGINT)
+        RETURN SELECT coalesce(sum(copies), 0), {len(columns)}, coalesce(sum(copies * nulls), 0), coalesce(sum(copies - 1), 0)
+          FROM (SELECT {nulls} AS nulls, count(*) AS copies FROM {table} GROUP BY {', '.join(columns)})""")
+
+
 def data_freshness(spark: SparkSession, table: str, as_of=None) -> DataFrame:
     return quality.freshness(spark.table(table), as_of)
 

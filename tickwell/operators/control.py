@@ -354,6 +354,17 @@ def error_analysis(errors: DataFrame) -> DataFrame:
     )
 
 
+def with_context(errors: DataFrame, column: str = "additional_context") -> DataFrame:
+    """The JSON text of an error's context as VARIANT; text that is no JSON becomes NULL."""
+    return errors.withColumn(column, F.try_parse_json(column))
+
+
+def errors_by_context(errors: DataFrame, path: str = "$.host", kind: str = "string", column: str = "additional_context") -> DataFrame:
+    """Errors per value at ``path`` of their context; contexts without it, or with another type there, count under NULL."""
+    return errors.groupBy(F.try_variant_get(column, path, kind).alias("context_value")).agg(
+        F.count("*").alias("error_count"), count_where(F.col(column).isNull()).alias("without_context"))
+
+
 def errors_by_day(errors: DataFrame, as_of=None, days: int | None = 7) -> DataFrame:
     """Errors per day and type with the distinct messages, cut to 100 characters.
 

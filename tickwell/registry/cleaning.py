@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tickwell.binding import TICKS_AS_OF, TRADES_AS_OF
-from tickwell.operators import cleaning, control, outliers, profiling, quality, quantiles
+from tickwell.operators import cleaning, control, outliers, profiling, quality, quantiles, sketches
 from tickwell.registry import register
+from tickwell.session import scratch_path
+from tickwell.sinks import lake
 
 
 @register("prj_08_standard_names", """
@@ -273,3 +277,48 @@ SELECT exchange, symbol, data_date, total_volume, trade_count, total_volume - pr
  CAST(rank() OVER (PARTITION BY exchange, data_date ORDER BY total_volume DESC NULLS LAST) AS INT) AS day_rank FROM l""")
 def _(t):
     return outliers.volume_trend(t.ticks, "2024-01-05", "2024-01-25")
+
+
+# --- mergeable summaries -------------------------------------------------------------
+
+SKETCHED = ["symbol", "price", "volume", "ts"]
+
+
+def _sketches(t, name: str, build):
+    path = scratch_path(t.spark, name)
+    lake.write_partitions(build(t.ticks, ["data_date", "exchange"], SKETCHED if build is sketches.distinct_sketches else ["price", "volume"]), path, ("data_date",), ())
+    return t.spark.read.parquet(path)
+
+
+@register("prf_03_distinct_sketch", """
+WITH t AS (SELECT * FROM ticks WHERE data_date >= DATE '2024-01-10')
+SELECT u.exchange, u.column_name, u.row_count, u.non_null_count, true AS within_bound FROM (
+ SELECT exchange, 'symbol' AS column_name, count(*) AS row_count, count(symbol) AS non_null_count FROM t GROUP BY 1
+ UNION ALL SELECT exchange, 'price', count(*), count(price) FROM t GROUP BY 1
+ UNION ALL SELECT exchange, 'volume', count(*), count(volume) FROM t GROUP BY 1
+ UNION ALL SELECT exchange, 'ts', count(*), count(ts) FROM t GROUP BY 1) u""")
+def _(t):
+    """Distinct counts of a range of days from a table of sketches, held against the exact counts: within 4 % or 2."""
+    days = F.col("data_date") >= F.lit("2024-01-10").cast("date")
+    found = sketches.merged_distinct(_sketches(t, "distinct", sketches.distinct_sketches).where(days), ["exchange", "column_name"])
+    exact = t.ticks.where(days).groupBy("exchange").agg(*[F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot(
+        "exchange", SKETCHED, "column_name", "exact")
+    near = F.abs(F.col("unique_values") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.04)
+    return found.join(exact, ["exchange", "column_name"]).select("exchange", "column_name", "row_count", "non_null_count", near.alias("within_bound"))
+
+
+@register("agg_66_quantile_sketch", """
+WITH t AS (SELECT * FROM ticks WHERE data_date >= DATE '2024-01-10')
+SELECT exchange, 'price' AS column_name, count(price) AS non_null_count, true AS within_bound FROM t GROUP BY 1
+UNION ALL SELECT exchange, 'volume', count(volume), true FROM t GROUP BY 1""")
+def _(t):
+    """Quartiles of a range of days from a table of sketches; each one's rank is within 2 % of the one asked for."""
+    days = F.col("data_date") >= F.lit("2024-01-10").cast("date")
+    asked = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = sketches.merged_quantiles(_sketches(t, "quantiles", sketches.quantile_sketches).where(days), ["exchange", "column_name"], asked)
+    values = t.ticks.where(days).select("exchange", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume")).unpivot(
+        "exchange", ["price", "volume"], "column_name", "value").where("value IS NOT NULL")
+    ranks = values.join(F.broadcast(found), ["exchange", "column_name"]).groupBy("exchange", "column_name", "non_null_count").agg(*[
+        x for n in asked for x in (F.avg((F.col("value") < F.col(n)).cast("double")).alias(f"{n}_low"), F.avg((F.col("value") <= F.col(n)).cast("double")).alias(f"{n}_high"))])
+    near = reduce(lambda a, b: a & b, [(F.col(f"{n}_low") <= p + 0.02) & (F.col(f"{n}_high") >= p - 0.02) for n, p in asked.items()])
+    return ranks.select("exchange", "column_name", "non_null_count", near.alias("within_bound"))

@@ -402,6 +402,19 @@ def _(t):
     return control.pending_files(t.trades.select("exchange", "data_date").distinct(), t.load_log)
 
 
+@register("jsn_01_error_context", """
+WITH e AS (SELECT id % 11 AS k, id % 5 AS h, id % 7 AS a FROM load_log WHERE status = 'failed'),
+ c AS (SELECT CASE WHEN k = 0 OR a = 0 THEN NULL ELSE 'host' || h END AS context_value, CASE WHEN k = 0 THEN 1 ELSE 0 END AS broken FROM e)
+SELECT context_value, count(*) AS error_count, CAST(sum(broken) AS BIGINT) AS without_context FROM c GROUP BY 1""")
+def _(t):
+    """Error contexts as VARIANT: some are no JSON, some lack the host."""
+    i = F.col("progress_id")
+    host = F.when(i % 7 == 0, F.lit("")).otherwise(F.format_string(', "host": "host%d"', i % 5))
+    text = F.when(i % 11 == 0, F.lit("{broken")).otherwise(F.concat(F.lit('{"attempt": '), i.cast("string"), host, F.lit("}")))
+    errors = control.with_context(control.errors_of(t.load_log).withColumn("additional_context", text))
+    return control.errors_by_context(errors)
+
+
 @register("jn_06_errors_with_progress", f"""WITH {ERR}
 SELECT e.*, l.exchange, l.data_date, l.status, l.start_time FROM e LEFT JOIN load_log l ON l.id = e.progress_id""")
 def _(t):

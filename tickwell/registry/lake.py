@@ -267,6 +267,83 @@ def _(t):
     return ingest.accepted(t.spark, target).select(*BRONZE)
 
 
+@register("snk_03_rollback", f"""WITH {GOOD}, c AS (SELECT * FROM good WHERE exchange = 'CME'),
+ r AS (SELECT * FROM c WHERE event_id % 2 = 0 OR data_date < DATE '2024-01-10' OR data_date > DATE '2024-01-12')
+SELECT 'first' AS state, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM c GROUP BY 2
+UNION ALL SELECT 'reloaded', data_date, count(*), CAST(sum(volume) AS BIGINT) FROM r GROUP BY 2
+UNION ALL SELECT 'rolled back', data_date, count(*), CAST(sum(volume) AS BIGINT) FROM c GROUP BY 2""")
+def _(t):
+    """A forced reload from other files is one commit, and the table goes back to the one before it."""
+    other = scratch_path(t.spark, "other-files")
+    line = F.when(F.col("event_id") % 97 == 0, "broken,line").otherwise(F.concat_ws(",", *vendor_cells()))
+    write_vendor_files(t.ticks.where("exchange = 'CME' AND event_id % 2 = 0"), other, F.lit(HEADER), line)
+    target = ingest.AtomicLake(scratch_path(t.spark, "rollback"))
+
+    def state(name: str) -> DataFrame:
+        return ingest.accepted(t.spark, target).groupBy(F.lit(name).alias("state"), "data_date").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
+    ingest.load(t.spark, landing(t), target, exchange="CME", glob=GLOB)
+    first = state("first")
+    ingest.load(t.spark, other, target, exchange="CME", start="2024-01-10", end="2024-01-12", force=True, glob=GLOB)
+    reloaded = state("reloaded")
+    target.table.rollback(t.spark)
+    return first.unionByName(reloaded).unionByName(state("rolled back"))
+
+
+@register("snk_05_second_file", f"""WITH {GOOD}
+SELECT exchange, data_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume, max(CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) + max(CASE WHEN event_id % 10 <> 0 THEN 1 ELSE 0 END) AS files
+FROM good GROUP BY 1, 2""")
+def _(t):
+    """Further files of loaded days come in a second load, as a second commit; the first ones are skipped."""
+    path, target = scratch_path(t.spark, "further"), ingest.AtomicLake(scratch_path(t.spark, "second-file"))
+    line = F.when(F.col("event_id") % 97 == 0, "broken,line").otherwise(F.concat_ws(",", *vendor_cells()))
+    for part in (F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0):
+        write_vendor_files(t.ticks.where(part), path, F.lit(HEADER), line, "append")
+        ingest.load(t.spark, path, target, glob=GLOB)
+    return ingest.accepted(t.spark, target).groupBy("exchange", "data_date").agg(
+        F.count("*").alias("n"), F.sum("volume").alias("volume"), F.count_distinct("source_file").cast("int").alias("files"))
+
+
+@register("prj_28_retry_load", """
+WITH f AS (SELECT DISTINCT exchange, data_date, event_id // 1000000 AS chunk FROM ticks)
+SELECT exchange, CASE exchange WHEN 'NYQ' THEN 'failed' ELSE 'completed' END AS status, CAST(CASE exchange WHEN 'NYQ' THEN 1 ELSE 0 END AS BIGINT) AS retry_count,
+ count(*) AS files, count(*) FILTER (exchange = 'NYQ') AS refused FROM f GROUP BY 1""")
+def _(t):
+    """Files without a header fail alone, are retried once from the log, and are then refused."""
+    path, target = scratch_path(t.spark, "blank-files"), ingest.Lake(scratch_path(t.spark, "retry"))
+    blank = F.col("exchange") == "NYQ"
+    write_vendor_files(t.ticks, path, F.when(blank, "").otherwise(HEADER), F.when(blank, "").otherwise(F.concat_ws(",", *vendor_cells())))
+    ingest.load(t.spark, path, target, glob=GLOB)
+    ingest.load(t.spark, path, target, glob=GLOB, max_retries=1, retry_only=True)
+    last = ingest.load(t.spark, path, target, glob=GLOB, max_retries=1)
+    refused = last.where(F.col("error_message") == ingest.RETRIES_USED).select("source_file", F.lit(1).alias("refused"))
+    return ingest.load_states(t.spark, target).join(refused, "source_file", "left").groupBy("exchange", "status", "retry_count").agg(
+        F.count("*").alias("files"), F.count("refused").alias("refused"))
+
+
+@register("src_10_reports_after_load", """
+SELECT exchange, data_date, count(*) AS total_trades, CAST(sum(volume) AS BIGINT) AS total_volume FROM ticks WHERE data_date <= DATE '2024-01-10' GROUP BY 1, 2""")
+def _(t):
+    """A load brings the report files of its days along."""
+    path, target = scratch_path(t.spark, "with-reports"), ingest.Lake(scratch_path(t.spark, "report-lake"))
+    days = t.ticks.where("data_date <= date'2024-01-10'")
+    write_vendor_files(days, path, F.lit(HEADER), F.concat_ws(",", *vendor_cells()))
+    quality.report_rows(days).select(F.lit("ingestion").alias("processing_stage"), "exchange", "data_date", "total_trades", "total_volume").write.partitionBy(
+        "exchange", "processing_stage", "data_date").csv(f"{path}/NORMALIZEDMP-Report-files", header=True, compression="gzip")
+    ingest.load(t.spark, path, target, glob=GLOB)
+    return t.spark.read.parquet(target.reports).select("exchange", "data_date", F.col("total_trades").cast("bigint").alias("total_trades"),
+                                                       F.col("total_volume").cast("bigint").alias("total_volume"))
+
+
+@register("udf_02_table_stats", """
+SELECT count(*) AS row_count, CAST(5 AS INT) AS column_count,
+ CAST(sum((price IS NULL)::INT + (bid_price IS NULL)::INT + (symbol IS NULL)::INT + (volume IS NULL)::INT + (exchange IS NULL)::INT) AS BIGINT) AS null_count,
+ count(*) - (SELECT count(*) FROM (SELECT DISTINCT exchange, symbol, price, volume, bid_price FROM ticks)) AS duplicate_count FROM ticks""")
+def _(t):
+    t.ticks.select("exchange", "symbol", "price", "volume", "bid_price").createOrReplaceTempView("tickwell_stat_rows")
+    sql_functions.register_table_stats(t.spark, "tick_table_stats", "tickwell_stat_rows")
+    return t.spark.sql("SELECT * FROM tick_table_stats()")
+
+
 @register("snk_12_progress_states", f"""
 SELECT f.exchange, 'completed' AS status, count(*) AS files, CAST(sum(loaded) AS BIGINT) AS records_loaded, CAST(sum(rejected) AS BIGINT) AS records_rejected FROM
  (SELECT exchange, data_date, event_id // 1000000 AS chunk, count(*) FILTER (event_id % 97 <> 0) AS loaded, count(*) FILTER (event_id % 97 = 0) AS rejected FROM ticks GROUP BY 1, 2, 3) f GROUP BY 1""")
@@ -310,14 +387,17 @@ WITH x AS (SELECT exchange, data_date, symbol, price, volume FROM ticks),
  c AS (SELECT exchange, data_date, count(*) AS total_records, count(*) FILTER (price <= 0) + count(*) FILTER (volume < 0) AS invalid_records,
   count(*) FILTER (price IS NULL) AS null_price_count, count(*) FILTER (volume IS NULL) AS null_volume_count, count(*) - count(DISTINCT s) AS duplicate_count
   FROM (SELECT x.*, x AS s FROM x) GROUP BY 1, 2),
- s AS (SELECT *, total_records - invalid_records AS valid_records, CAST(0 AS BIGINT) AS anomaly_count, 'bronze.ticks' AS table_name,
+ v AS (SELECT exchange, data_date, symbol, sum(volume) AS total FROM x GROUP BY 1, 2, 3),
+ m AS (SELECT exchange, data_date, avg(total) AS mean, stddev(total) AS dev FROM v GROUP BY 1, 2),
+ o AS (SELECT exchange, data_date, count(*) FILTER (abs((total - mean) / nullif(dev, 0)) >= 2) AS anomaly_count FROM v JOIN m USING (exchange, data_date) GROUP BY 1, 2),
+ s AS (SELECT *, total_records - invalid_records AS valid_records, 'bronze.ticks' AS table_name,
   CAST(100 AS DOUBLE) * (total_records - null_price_count - null_volume_count) / total_records AS completeness_score,
   CAST(100 AS DOUBLE) * (total_records - invalid_records) / total_records AS accuracy_score,
-  CAST(100 AS DOUBLE) * (total_records - duplicate_count) / total_records AS consistency_score FROM c)
+  CAST(100 AS DOUBLE) * (total_records - duplicate_count) / total_records AS consistency_score FROM c JOIN o USING (exchange, data_date))
 SELECT *, (completeness_score + accuracy_score + consistency_score) / 3 AS overall_quality_score FROM s""")
 def _(t):
     path = scratch_path(t.spark, "quality")
-    rows = control_log.quality_metrics(t.ticks.select("exchange", "data_date", "symbol", "price", "volume"), "bronze.ticks")
+    rows = control_log.quality_metrics(t.ticks.select("exchange", "data_date", "symbol", "price", "volume"), "bronze.ticks", threshold=2.0)
     lake.append(rows, path)
     return t.spark.read.parquet(path)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.functions.scalar import stable_id
-from tickwell.operators import control, quality
+from tickwell.functions.scalar import null_safe_join, stable_id
+from tickwell.operators import control, outliers, quality
 from tickwell.sinks import lake
 
 MESSAGE_LENGTH = 1000
@@ -69,14 +69,15 @@ def log_event(spark: SparkSession, path: str, event_type: str, table: str, recor
     lake.append(audit_rows(spark.range(1), event_type, table, message, records), path)
 
 
-def quality_metrics(ticks: DataFrame, table: str) -> DataFrame:
-    """Quality scores in the shape of the metric log."""
+def quality_metrics(ticks: DataFrame, table: str, threshold: float = 3.0) -> DataFrame:
+    """Quality scores in the shape of the metric log; anomalies are symbols whose volume is far from the mean of their day."""
     bad = F.col("invalid_price_count") + F.col("invalid_volume_count")
-    return quality.quality_scores(ticks).select(
+    odd = outliers.volume_anomalies(ticks, threshold=threshold).groupBy("exchange", "data_date").agg(F.count("*").alias("anomaly_count"))
+    return null_safe_join(quality.quality_scores(ticks), odd, ["exchange", "data_date"]).select(
         "exchange", F.lit(table).alias("table_name"), "data_date", "total_records",
         (F.col("total_records") - bad).alias("valid_records"), bad.alias("invalid_records"),
         "null_price_count", "null_volume_count", "duplicate_count",
-        F.lit(0).cast("bigint").alias("anomaly_count"),
+        F.coalesce("anomaly_count", F.lit(0).cast("bigint")).alias("anomaly_count"),
         "completeness_score", "accuracy_score", "consistency_score", "overall_quality_score",
     )
 

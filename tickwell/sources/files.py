@@ -106,7 +106,7 @@ def list_files(spark: SparkSession, root: str, exchange: str | None = None, stag
         "exchange": exchange_of(path), "processing_stage": stage_of(path), "data_date": first_date(path),
     }).where(F.col("data_date").isNotNull())
     if file_type:
-        out = out.where(~path.rlike("NORMALIZEDMP") | path.contains(f"NORMALIZEDMP-{file_type}"))
+        out = out.where(is_kind(file_type))
     if exchange:
         out = out.where(F.col("exchange") == exchange.upper())
     if stage:
@@ -118,6 +118,12 @@ def list_files(spark: SparkSession, root: str, exchange: str | None = None, stag
     return out
 
 
+def is_kind(file_type: str) -> Column:
+    """Whether a file is of the kind its name states; names that state none are data."""
+    path = F.col("source_file")
+    return ~path.rlike("NORMALIZEDMP") | path.contains(f"NORMALIZEDMP-{file_type}")
+
+
 def with_file_sizes(loads: DataFrame, files: DataFrame) -> DataFrame:
     """Load records with the size of their source file; NULL when the file is unknown."""
     return loads.join(files.select("source_file", "file_size_bytes"), "source_file", "left")
@@ -201,10 +207,11 @@ def headers_of(spark: SparkSession, small: list[str], large: list[str] = ()) ->
     knows will do.  Lines of small files are read to their end, many files a
     task.  A large file is a partition of its own and is left after its first
     lines, which costs a Python worker; should Spark pack it with others, it is
-    read like a small one.
+    read like a small one.  A file that is damaged further on has its header;
+    reading its rows will fail.
     """
     def lines(session: SparkSession, names: list[str]) -> DataFrame:
-        text = session.read.text([literal_path(n) for n in names])
+        text = session.read.option("ignoreCorruptFiles", "true").text([literal_path(n) for n in names])
         return text.select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("start"))
 
     def named(found: DataFrame) -> dict[str, str]:
@@ -283,14 +290,37 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return body.select(cases.alias("row"), read_from("path").alias("source_file")).select("row.*", "source_file")
 
 
+def without_header(paths: DataFrame, headers: dict[str, list[str]]) -> list[str]:
+    """Files that have no line, or only blanks in their first one."""
+    found = {name for header, names in headers.items() if header.strip() for name in names}
+    return [row[0] for row in paths.select("source_file").toLocalIterator() if row[0] not in found]
+
+
+def unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Which files cannot be read to their end, and why; found by halving, so few bad files cost few passes."""
+    try:
+        spark.read.text([literal_path(p) for p in paths]).write.format("noop").mode("overwrite").save()
+        return {}
+    except Exception as e:
+        if len(paths) <= 1:
+            return {p: f"cannot be read: {e}" for p in paths}
+    half = len(paths) // 2
+    return unreadable(spark, paths[:half]) | unreadable(spark, paths[half:])
+
+
+def read_grouped(spark: SparkSession, groups: dict[str, list[str]]) -> DataFrame:
+    """Files by header as one frame of text columns, matched by name."""
+    parts = [read_tolerant(spark, names, header) for header, names in sorted(groups.items()) if header.strip()]
+    if not parts:
+        raise FileNotFoundError("no files with a header line")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_union(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
     """Files with different columns as one frame of text columns, matched by name."""
     if isinstance(paths, list):
         paths = spark.createDataFrame([(p,) for p in paths], "source_file string").select(file_uri("source_file").alias("source_file"))
-    parts = [read_tolerant(spark, files, header) for header, files in sorted(header_groups(paths).items()) if header]
-    if not parts:
-        raise FileNotFoundError("no files with a header line")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return read_grouped(spark, header_groups(paths))
 
 
 def to_vendor_types(raw: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
@@ -315,10 +345,15 @@ def to_vendor_types(raw: DataFrame, types: dict[str, str] | None = None) -> Data
 
 def read_reports(spark: SparkSession, root: str, **where) -> DataFrame | None:
     """Daily report files as one frame; ``None`` when there are none."""
-    files = list_files(spark, root, file_type="Report", **where).where(F.col("source_file").contains("-Report-"))
-    if files.isEmpty():
+    return read_report_files(spark, list_files(spark, root, file_type="Report", **where))
+
+
+def read_report_files(spark: SparkSession, listed: DataFrame) -> DataFrame | None:
+    """The report files among ``listed`` as one frame; ``None`` when there are none."""
+    groups = header_groups(listed.where(F.col("source_file").contains("-Report-")))
+    if not any(header.strip() for header in groups):
         return None
-    raw = read_union(spark, files)
+    raw = read_grouped(spark, groups)
     path = F.col("source_file")
     return raw.withColumns({"exchange": exchange_of(path), "processing_stage": stage_of(path), "data_date": first_date(path)})
 
