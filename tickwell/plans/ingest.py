@@ -180,7 +180,7 @@ def load(spark: SparkSession, source_root: str, tables: Lake, exchange: str | No
         return results(present, None)
     control_log.append_progress(todo, tables.progress, "started")
     headers = files.header_groups(todo)
-    blank = files.without_header(todo, headers)
+    blank = files.without_header(headers)
     bad = dict.fromkeys(blank, NO_HEADER) | (files.unreadable(spark, blank) if blank else {})
     try:
         good = store_readable(spark, tables, headers, todo, bad, force)

@@ -216,7 +216,7 @@ def headers_of(spark: SparkSession, small: list[str], large: list[str] = ()) ->
 
     def named(found: DataFrame) -> dict[str, str]:
         plain = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "")
-        return {r[0]: r[1] for r in found.select(read_from("path"), plain).toLocalIterator()}
+        return {r[0]: r[1] for r in found.select(read_from("path"), plain).collect()}
 
     heads: dict[str, str] = {}
     if large:
@@ -232,19 +232,19 @@ def headers_of(spark: SparkSession, small: list[str], large: list[str] = ()) ->
 
 def file_headers(paths: DataFrame, column: str = "source_file") -> DataFrame:
     """(name, header) of every file that has a first line."""
-    rows = [(name, header) for header, names in header_groups(paths, column).items() for name in names]
+    rows = [(name, header) for header, names in header_groups(paths, column).items() if header for name in names]
     return paths.sparkSession.createDataFrame(rows, f"{column} string, header string")
 
 
 def header_groups(paths: DataFrame, column: str = "source_file", size: str = "file_size_bytes") -> dict[str, list[str]]:
-    """File names per distinct header: names and first lines only, as the file index keeps the names."""
+    """File names per distinct header, under "" those without a line: names and first lines only, as the file index keeps the names."""
     groups: dict[str, list[str]] = {}
     length = F.col(size) if size in paths.columns else F.lit(None).cast("bigint")
-    sizes = {row[0]: row[1] or 0 for row in paths.select(column, length).toLocalIterator()}
+    sizes = {row[0]: row[1] or 0 for row in paths.select(column, length).collect()}
     large = [n for n, many in sizes.items() if many >= LARGE_FILE]
     heads = headers_of(paths.sparkSession, [n for n, many in sizes.items() if many < LARGE_FILE], large)
-    for name, header in sorted(heads.items()):
-        groups.setdefault(header, []).append(name)
+    for name in sorted(sizes):
+        groups.setdefault(heads.get(name, ""), []).append(name)
     return groups
 
 
@@ -290,10 +290,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return body.select(cases.alias("row"), read_from("path").alias("source_file")).select("row.*", "source_file")
 
 
-def without_header(paths: DataFrame, headers: dict[str, list[str]]) -> list[str]:
+def without_header(headers: dict[str, list[str]]) -> list[str]:
     """Files that have no line, or only blanks in their first one."""
-    found = {name for header, names in headers.items() if header.strip() for name in names}
-    return [row[0] for row in paths.select("source_file").toLocalIterator() if row[0] not in found]
+    return [name for header, names in headers.items() if not header.strip() for name in names]
 
 
 def unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
