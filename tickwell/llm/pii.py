@@ -36,7 +36,9 @@ ACCOUNT = re.compile(r"[\s:#.]*(?:(?:number|no|nr)\b[\s:#.]*)?([A-Z]{2}[0-9]{2}(
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}")
 SECRET = re.compile(r"\s*[:=]\s*[\"']?([A-Za-z0-9+/_-]{16,})[\"']?")
 ACCESS_KEY = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
-HOUSE = re.compile(r"(?<![A-Za-z0-9])([0-9]{1,5}[A-Za-z]?(?: [A-Z][A-Za-z.'-]*){1,4})$")
+NAME = re.compile(r"[A-Za-z.'-]")
+HOUSE = re.compile(r"(?<![A-Za-z0-9])[0-9]{1,5}[A-Za-z]?$")
+NAMES = 4  # words between the house number and the street word, at most
 
 
 def automaton():
@@ -104,12 +106,25 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             elif run := SECRET.match(text, last + 1):
                 out.append(("credential", *run.span(1)))
         elif anchor == "address" and not text[last + 1:last + 2].isalnum():
-            begin = max(0, at - 100)
-            if run := HOUSE.search(text[begin:at]):
-                out.append(("address", begin + run.start(1), last + 1))
+            if (begin := house_before(text, at)) is not None:
+                out.append(("address", begin, last + 1))
     return sorted(set(out), key=lambda s: (s[1], RANK[s[0]], s[2]))
 
 
+def house_before(text: str, at: int) -> int | None:
+    """Where the house number begins that one to four capitalised words of any length part from ``at``."""
+    for _ in range(NAMES):
+        start = at
+        while start and NAME.match(text, start - 1):
+            start -= 1
+        if start == at or not "A" <= text[start] <= "Z" or start < 2 or text[start - 1] != " ":
+            return None
+        at = start - 1
+        if run := HOUSE.search(text, max(0, at - 7), at):  # six signs and the one before them
+            return run.start()
+    return None
+
+
 def is_card(run: str) -> bool:
     """12 to 19 digits whose Luhn sum ends in 0."""
     digits = [int(c) for c in run if c.isdigit()]
@@ -167,9 +182,14 @@ def _redact(texts: pd.Series) -> pd.Series:
     return pd.Series([redacted(t) for t in texts], dtype=object)
 
 
-def personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
-    """All columns and ``pii_spans``; a null or empty text has no spans, repeated rows are each read."""
-    return documents.withColumn("pii_spans", F.pandas_udf(_find, SPANS)(_whole(text)))
+def personal_data(documents: DataFrame, text: str = "text", into: str = "pii_spans") -> DataFrame:
+    """All columns and the spans as ``into``; a null or empty text has no spans, repeated rows are each read.
+
+    A column of that name is refused, not replaced.
+    """
+    if into in documents.columns:
+        raise ValueError(f"documents have a column {into!r}")
+    return documents.withColumn(into, F.pandas_udf(_find, SPANS)(_whole(text)))
 
 
 def without_personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -182,5 +202,10 @@ def _whole(text: str) -> Column:
 
 
 def pii_digest(documents: DataFrame) -> DataFrame:
-    """One row per document: counts and digest of the base kinds, and all spans as text."""
+    """One row per document: counts and digest of the base kinds, and all spans as text.
+
+    A null or empty text has no findings and the digest of nothing; repeated
+    rows are read each, a null id stays null, texts of any length are read
+    whole, an empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
+    """
     return documents.select("doc_id", F.pandas_udf(_digest, DIGEST)(_whole("text")).alias("d")).select("doc_id", "d.*")
