@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwell.session import scratch_path
@@ -25,17 +25,33 @@ def fold(doc_id: Column | str, of: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % of, F.lit(0).cast("bigint")).cast("int")
 
 
-def bounded_sample(rows: DataFrame, limit: int, key: str) -> DataFrame:
-    """At most ``limit`` rows, spread over the whole input by a hash of ``key``.
+def bounded_sample(rows: DataFrame, limit: int, per: str | None = None) -> DataFrame:
+    """At most ``limit`` rows, the smallest by a hash of all their columns.
 
-    One narrow pass counts the rows; the share that is read with all columns
-    follows from it, so the sample does not favour any file.
+    Which rows these are depends on the rows alone, not on files, order or
+    lost executors; of equal rows any will do.  A first pass counts the rows,
+    so that the second sorts little more than it keeps.  With ``per`` every
+    value of that column has the same limit, a share of ``limit``.
     """
-    total = rows.select(key).count()
-    share = min(1.0, 1.2 * limit / max(total, 1))
-    spread = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1_000_000))
-    picked = rows if share >= 1.0 else rows.where(spread < int(share * 1_000_000) + 1)
-    return picked.limit(limit)
+    columns = rows.columns
+    placed = rows.withColumn("_place", F.xxhash64(*[F.col(f"`{c}`") for c in columns], F.lit(17)))
+    position = F.pmod("_place", F.lit(PLACES))
+
+    def near(wanted: int, total) -> Column:
+        """Positions that hold more than ``wanted`` of ``total`` rows; the smallest come first, so none of them is lost."""
+        return position <= F.lit(PLACES * (1.5 * wanted + 10 * wanted ** 0.5)) / total
+
+    if per is None:
+        total = rows.select(F.lit(1)).count()
+        return placed.where(near(limit, F.lit(max(total, 1)))).orderBy(position, "_place").limit(limit).select(*columns)
+    counts = rows.groupBy(per).agg(F.count("*").alias("_count"))
+    each = max(1, limit // max(counts.count(), 1))
+    rank = F.row_number().over(Window.partitionBy(per).orderBy(position, "_place"))
+    few = placed.join(counts, per).where(near(each, F.col("_count"))).withColumn("_rank", rank).where(F.col("_rank") <= each)
+    return few.orderBy("_rank", "_place").limit(limit).select(*columns)
+
+
+PLACES = 1_000_000_007  # positions of a sample's order
 
 
 def as_ids(values) -> list:

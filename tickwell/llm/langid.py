@@ -16,12 +16,12 @@ UNDETERMINED = "und"
 
 
 def train(documents: DataFrame, sample: int = SAMPLE, held_out: int | None = 1, folds: int = 3) -> bytes:
-    """Model fitted on a bounded sample of texts with a language outside the held-out fold."""
+    """Model fitted on a bounded sample of texts with a language outside the held-out fold, as many of each language."""
     rows = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang")).where(
         "_text IS NOT NULL AND _lang IS NOT NULL")
     if held_out is not None:
         rows = rows.where(fold("_id", folds) != held_out)
-    picked = bounded_sample(rows, sample, "_id").select("_text", "_lang")
+    picked = bounded_sample(rows, sample, per="_lang").select("_text", "_lang")
 
     def fit(frame: pd.DataFrame) -> bytes:
         frame = frame.sort_values(["_lang", "_text"], kind="stable").sample(frac=1, random_state=1)
@@ -77,7 +77,8 @@ def languages(documents: DataFrame) -> DataFrame:
     """One row per document: (doc_id, held_out, lang_pred, score, rejected).
 
     The whole text is read; ``lang``, ``source`` and ``doc_id`` enter only the
-    training rows.  Null ids count as fold 0, repeated rows are each judged.
+    training rows.  Null ids count as fold 0, repeated rows are each judged,
+    texts of any length whole, in slices of words; an empty table gives no rows.
     """
     predict = predictor(train(documents))
     found = documents.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), predict("text").alias("p"))
