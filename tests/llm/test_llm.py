@@ -14,8 +14,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from tickwell.llm import cover_tree, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, queries, subword, toxicity, vamana
+from tickwell.llm import cover_tree, frames, jaccard, langid, licenses, mixing, ngram_lm, packing, pii, queries, subword, toxicity, vamana
 from tickwell.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -460,13 +462,16 @@ def plain_mix(rows, weights, share, epochs):
     """Budgets by repeated redistribution, prefixes by sorting every leaf."""
     size = {r: -(-len(r[4] or "") // 4) for r in rows}
 
+    def takes(r):
+        return all(weights[level].get(r[1 + level], 1.0) > 0 for level in range(3))
+
     def spread(budget, level, members):
         if level == 3:
             return {members[0][:0] or tuple(members[0][1:4]): budget}
         groups = {}
         for r in members:
             groups.setdefault(r[1 + level], []).append(r)
-        room = {g: epochs * sum(size[r] for r in m) for g, m in groups.items()}
+        room = {g: epochs * sum(size[r] for r in m if takes(r)) for g, m in groups.items()}
         weight = {g: weights[level].get(g, 1.0) for g in groups}
         got, open_ = dict.fromkeys(groups, 0.0), {g for g in groups if weight[g] > 0}
         left = budget
@@ -508,7 +513,7 @@ def test_room_of_weight_0_goes_to_the_siblings_of_the_parent(spark):
     """d0 has 100 tokens to give beside 900 of weight 0; its shortage belongs to d1, which has enough."""
     rows = [(f"{d}{s}{i}", d, s, "w" * 40) for d, s, n in (("d0", "a", 10), ("d0", "off", 90), ("d1", "a", 100)) for i in range(n)]
     df = spark.createDataFrame(rows, "doc_id string, domain string, source string, text string")
-    got = mixing.mix(df, ["domain", "source"], {"source": {"off": 0.0}}, budget=1000, max_epochs=1, idle_room=False).groupBy("domain", "source").agg({"mix_tokens": "sum"}).collect()
+    got = mixing.mix(df, ["domain", "source"], {"source": {"off": 0.0}}, budget=1000, max_epochs=1).groupBy("domain", "source").agg({"mix_tokens": "sum"}).collect()
     assert {tuple(r) for r in got} == {("d0", "a", 100), ("d1", "a", 900)}
 
 
@@ -524,6 +529,51 @@ def test_mix_on_odd_rows(documents):
     assert 0 < found.count() and set(documents.columns) < set(found.columns)
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["domain", "mix_tokens", "mix_epoch", "_key", "_l0", "_need", "_epochs", "_got", "level0", "tokens", "id", "doc", "a.b", "_d0"]
+    rows = [(i, "w" * (40 + i), "s", "en", *[f"{n}{i}" for n in names]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    found = queries.mixed(df)
+    assert found.columns == [*df.columns, "mix_tokens_", "mix_epoch_"] and found.count() > 10
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in found.collect() for n in names)
+    staged = corpus_pipeline.mix_sources(spark, df, SF)
+    assert staged.columns == df.columns and {r["domain"] for r in staged.collect()} <= {f"domain{i}" for i in range(60)}
+
+
+# --- samples -----------------------------------------------------------------------
+
+
+def test_sample_depends_on_the_rows_alone(spark):
+    rows = [(i % 400, f"text {i}", "ab"[i % 50 == 0]) for i in range(3000)] + [(None, "no id", "a")] * 900 + [(7, f"hot {i}", "a") for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, text string, lang string")
+    for per in (None, "lang"):
+        found = [sorted(map(str, frames.bounded_sample(df.repartition(n, F.rand(n)), 200, per).collect())) for n in (1, 3, 17)]
+        assert found[0] == found[1] == found[2] and 150 <= len(found[0]) <= 200
+        if per:
+            assert sum("lang='b'" in r for r in found[0]) == 60
+    assert frames.bounded_sample(df.limit(0), 200, "lang").count() == 0
+
+
+def test_a_repeated_id_does_not_fill_the_training_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(500)] + [(i, f"text {i}") for i in range(2, 30)], "doc_id int, text string")
+    marks = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 30)] + [(1, 1)] * 50, "doc_id int, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "fitted", lambda sample, fit: sizes.append(sample.count()))
+    toxicity.train(docs, marks, sample=100, held_out=None)
+    assert sizes == [29]
+
+
+@pytest.mark.parametrize("gap", [20, 94, 95, 99, 100, 101, 120, 500, 3000])
+def test_addresses_with_long_names(gap):
+    long, four = "N" + "a" * (gap - 1), " ".join(["N" + "b" * (gap // 4)] * 4)
+    for name in (long, four, f"{long} {long}"):
+        text = f"Send it to 12 {name} Street, please. x12 {name} Road, a {name} Lane"
+        assert ("address", 11, 11 + len(f"12 {name} Street")) in pii.spans(text)
+        assert sum(k == "address" for k, *_ in pii.spans(text)) == 1
+    assert not any(k == "address" for k, *_ in pii.spans("12 A B C D E Street, 123456 A Street, 1 a Street, 12  A Street"))
+    assert ("address", 2, 19) in pii.spans("9 12b O'Neil Street")
+
+
 # --- pipeline ----------------------------------------------------------------------
 
 

@@ -12,18 +12,18 @@ from tickwell.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {"domain": {"d0": 4.0, "d1": 2.0, "d2": 1.0, "d3": 1.0}, "lang": {"en": 3.0, "de": 1.0, "fr": 1.0, "es": 1.0}}
 MIX_SHARE, MIX_EPOCHS = 0.5, 3
 
 
-def domain():
+def mix_levels() -> dict:
     """The test tables have no domain; sources are spread over four."""
-    return F.concat(F.lit("d"), (F.crc32(F.coalesce("source", F.lit(""))) % 4).cast("string"))
+    domain = F.concat(F.lit("d"), (F.crc32(F.coalesce("source", F.lit(""))) % 4).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
-def mixed(documents: DataFrame) -> DataFrame:
-    return mixing.mix(documents.withColumn("domain", domain()), MIX_LEVELS, MIX_WEIGHTS, share=MIX_SHARE, max_epochs=MIX_EPOCHS, idle_room=False)
+def mixed(documents: DataFrame, added: tuple[str, ...] = ("mix_tokens", "mix_epoch")) -> DataFrame:
+    return mixing.mix(documents, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, max_epochs=MIX_EPOCHS, added=added)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixed(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
-    return rows.select("doc_id", "domain", "lang", "source", "mix_tokens", "mix_epoch")
+    return rows.select("doc_id", mix_levels()["domain"].alias("domain"), "lang", "source", "mix_tokens", "mix_epoch")
 
 
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
