@@ -31,7 +31,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares; a document of a scarce source comes once per epoch."""
-    return queries.mixed(docs).select(*docs.columns)
+    return queries.mixed(docs, added=())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
