@@ -374,6 +374,35 @@ def test_nearest_reaches_the_recall(spark):
     assert hits / total >= 0.95
 
 
+@pytest.mark.parametrize("length", [1.0, 1e5, 1e20, 1e200, 1e-200])
+def test_nearest_beside_vectors_of_other_lengths(spark, length):
+    """A long or short vector beside many of length 1; several shards."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 16))
+    x = centre[rng.integers(0, 60, 1500)] + 0.3 * rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[[77, 700]] *= length
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    index = vamana.build_index(df, shard_bytes=60_000)
+    assert index.count() >= 4
+    got = vamana.search(index, df.where("vec_id % 20 = 0 OR vec_id = 77"), shard_bytes=5_000).toPandas()
+    hits = total = 0
+    for q, mine in got.groupby("query_id"):
+        score = x @ x[q]
+        want = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:20]
+        mine = mine.sort_values("rank")
+        assert len(mine) == 20 and np.allclose(mine["score"], score[mine["vec_id"]], rtol=1e-12)
+        hits, total = hits + len(set(want) & set(mine["vec_id"])), total + 20
+    assert total == 20 * 76 and hits / total >= 0.95
+
+
+def test_nearest_with_products_beyond_doubles(spark):
+    rows = [(1, [1e200, 1.0]), (2, [2e200, 0.0]), (3, [1.0, 1.0]), (4, [-1e200, 0.0]), (5, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = vamana.nearest(df, df.where("vec_id = 1")).collect()
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(2, math.inf), (3, 1e200), (5, 1e200 * 5e-324), (4, -math.inf)]
+
+
 def test_nearest_finds_exact_copies(spark):
     """A third of the rows are copies, in groups of 200, 30 and 2; one id has several rows of a vector."""
     rng = np.random.default_rng(7)
