@@ -451,6 +451,26 @@ def test_similar_documents_equal_all_pairs(spark, documents, options):
         assert {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in got} == {(i, root[i], sizes[i]) for i in root}
 
 
+def test_bytes_of_the_first_exchange_follow_the_postings():
+    """One block, then three, into few and into sixty times as many buckets."""
+    rng = np.random.default_rng(3)
+
+    def scattered(docs, buckets):
+        texts = [" ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 120)) for _ in range(docs)]
+        frame = pd.DataFrame({"text": texts, "cls": np.arange(docs), "fam": np.arange(docs) % (docs // 2 + 1)})
+        rows = pd.concat(jaccard._scatter(buckets, False, 75, 5, [frame]))
+        postings = sum(len(x) // 8 for x in rows["token"])
+        return sum(rows[c].map(len).sum() for c in ("token", "place", "doc", "fam")) / postings
+    from pyspark import TaskContext
+    given = TaskContext.get
+    TaskContext.get = staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    try:
+        sizes = [scattered(docs, buckets) for docs, buckets in ((500, 10), (1500, 30), (4500, 90), (1500, 1800))]
+    finally:
+        TaskContext.get = given
+    assert max(sizes) <= 20.5 and max(sizes[:3]) <= 1.5 * min(sizes[:3])
+
+
 def test_postings_of_one_block():
     rng = np.random.default_rng(5)
     token, fam = rng.integers(0, 40, 400), rng.integers(0, 6, 400)

@@ -41,7 +41,7 @@ BUCKET = 1_000_000  # postings of one task
 BLOCK = 1_000_000  # shingles of one block of classes, about; a longer text is a block of its own
 SHORT = 32  # families on a list that is still merged across families
 GROUP_TOKENS = 16_384  # shingles of one block of a search group
-IDS = 2_000_000  # ids sent to all executors at once, 16 bytes each; more are joined by shuffle
+SENT_BYTES = 48 << 20  # of a table of ids that is sent to all executors at once; a larger one is joined by shuffle
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,8 +144,10 @@ def _first_and_last(token: np.ndarray, fam: np.ndarray) -> np.ndarray:
 def _scatter(buckets: int, whole: bool, threshold: int, words: int, batches):
     """Packed postings of a block of classes: one row per bucket of shingles.
 
-    The first row also names the classes, with their sizes and the shared
-    shingles that the block has counted itself.
+    A row carries the classes that occur in it, with their families, and for
+    each posting the place of its class among them, so its bytes follow its
+    postings.  The first row also names all classes of the block, with their
+    sizes and the shared shingles that the block has counted itself.
     """
     from pyspark import TaskContext
     part = TaskContext.get().partitionId()
@@ -167,40 +169,40 @@ def _scatter(buckets: int, whole: bool, threshold: int, words: int, batches):
         bucket = ((token * MIX) >> np.uint64(33)) % np.uint64(buckets)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 65_536 else bucket, kind="stable")
         token, doc, bucket = token[order], doc[order], bucket[order]
-        head, fam = named.tobytes() + sizes.tobytes() + known.tobytes(), named[:, 1].tobytes()
+        head = named.tobytes() + sizes.tobytes() + known.tobytes()
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
         rows = []
         for i, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(bucket)], strict=False)):
-            rows.append((int(bucket[lo]), (part << 24) + number, head if i == 0 else b"", len(sizes), token[lo:hi].tobytes(), doc[lo:hi].tobytes(), fam))
-        yield pd.DataFrame(rows, columns=["bucket", "block", "head", "docs", "token", "doc", "fam"])
+            there, place = np.unique(doc[lo:hi], return_inverse=True)
+            rows.append((int(bucket[lo]), (part << 24) + number, head if i == 0 else b"", len(sizes), token[lo:hi].tobytes(), place.astype(narrow).tobytes(),
+                         there.tobytes(), named[there, 1].tobytes()))
+        yield pd.DataFrame(rows, columns=["bucket", "block", "head", "docs", "token", "place", "doc", "fam"])
 
 
-SCATTERED = "bucket int, block long, head binary, docs int, token binary, doc binary, fam binary"
+SCATTERED = "bucket int, block long, head binary, docs int, token binary, place binary, doc binary, fam binary"
 
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     """Per block the number of shingles of each class that another family has too; packed as it came."""
     rows = rows.reset_index(drop=True)
     token = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["token"]])
-    docs, fams, at = [], [], 0
-    for doc, fam, n in zip(rows["doc"], rows["fam"], rows["docs"], strict=True):
-        d = np.frombuffer(doc, np.uint16 if n <= 65_535 else np.uint32).astype(np.int64)
-        fams.append(np.frombuffer(fam, np.int64)[d])
-        docs.append(d + at)
-        at += n
-    doc, fam = np.concatenate(docs), np.concatenate(fams)
+    width = [np.uint16 if n <= 65_535 else np.uint32 for n in rows["docs"]]  # of the places and classes of a row
+    present = [np.frombuffer(doc, kind) for doc, kind in zip(rows["doc"], width, strict=True)]
+    ends = np.cumsum([len(p) for p in present])
+    doc = np.concatenate([np.frombuffer(place, kind).astype(np.int64) + (end - len(p))
+                          for place, kind, p, end in zip(rows["place"], width, present, ends, strict=True)])
+    fam = np.concatenate([np.frombuffer(f, np.int64) for f in rows["fam"]])[doc]
     order = np.argsort(token)
     token, fam = token[order], fam[order]
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     several = np.minimum.reduceat(fam, starts) != np.maximum.reduceat(fam, starts)
-    hits = np.bincount(doc[order][np.repeat(several, np.diff(np.r_[starts, len(token)]))], minlength=at)
-    out, at = [], 0
-    for block, head, n in zip(rows["block"], rows["head"], rows["docs"], strict=True):
-        mine = hits[at:at + n]
-        at += n
+    hits = np.bincount(doc[order][np.repeat(several, np.diff(np.r_[starts, len(token)]))], minlength=ends[-1])
+    out = []
+    for block, head, n, there, end in zip(rows["block"], rows["head"], rows["docs"], present, ends, strict=True):
+        mine = hits[end - len(there):end]
         which = np.flatnonzero(mine)
         if len(which) or len(head):
-            out.append((block, head, n, which.astype(np.uint32).tobytes(), mine[which].astype(np.uint32).tobytes()))
+            out.append((block, head, n, there[which].astype(np.uint32).tobytes(), mine[which].astype(np.uint32).tobytes()))
     return pd.DataFrame(out, columns=["block", "head", "docs", "doc", "hits"])
 
 
@@ -292,7 +294,9 @@ class Index:
         longest = int(self.length[lists[-1]])
         skipped = min(t - 1, int(t / (0.01 * math.log(longest + 1) + 1))) if longest > 8 else 0
         short, long = lists[:size - skipped], lists[size - skipped:]
-        met, count = np.unique(self._postings(short), return_counts=True)
+        merged = np.sort(self._postings(short), kind="stable")  # the lists are sorted runs, which this sort merges
+        first = np.flatnonzero(np.r_[True, merged[1:] != merged[:-1]][:len(merged)])
+        met, count = merged[first], np.diff(np.r_[first, len(merged)])
         wide = (100 * self.sizes[met] >= threshold * size) & (100 * size >= threshold * self.sizes[met]) & (met != query)
         ok = wide & (count >= t - skipped)
         met, count = met[ok], count[ok]
@@ -354,8 +358,8 @@ def _families(reps: DataFrame) -> DataFrame:
 
 
 def _small(ids: DataFrame) -> DataFrame:
-    """A table of ids as a broadcast side while its number of rows allows it."""
-    return F.broadcast(ids) if ids.count() <= IDS else ids
+    """A table of ids as a broadcast side while its bytes, a row's header and eight for each column, allow it."""
+    return F.broadcast(ids) if ids.count() * (16 + 8 * len(ids.columns)) <= SENT_BYTES else ids
 
 
 def _with_sets(words: int, batches):
@@ -394,13 +398,14 @@ def similar_documents(documents: DataFrame, threshold: int = THRESHOLD, words: i
 
     def texts(of: DataFrame) -> DataFrame:
         """One text of every class; where ids repeat, its set tells the rows of one id apart."""
-        rows = plain.join(_small(of.withColumn("doc_id", F.col("rep"))), "doc_id")
+        rows = plain.join(_small(of.withColumnRenamed("rep", "doc_id")), "doc_id")
         return rows.mapInPandas(partial(_own_rows, words), rows.schema).dropDuplicates(["cls"]) if repeated else rows
 
-    first = _surviving(texts(classes), int(tokens * 0.36) + 1, False, threshold, words, bucket)
+    first = _surviving(texts(classes.select("cls", "rep", "fam")), int(tokens * 0.36) + 1, False, threshold, words, bucket)
     crossing = _small(first.select("cls", F.lit(True).alias("cross")))
-    wanted = written(classes.join(crossing, "cls", "left").where("cross OR many").withColumn("cross", F.coalesce("cross", F.lit(False))), "wanted")
-    sets = written(texts(wanted).mapInPandas(partial(_with_sets, words), "cls long, rep long, fam long, cross boolean, n long, tokens binary"), "sets")
+    wanted = written(classes.join(crossing, "cls", "left").where("cross OR many").select(
+        "cls", "rep", "fam", F.coalesce("cross", F.lit(False)).alias("cross")), "wanted")
+    sets = written(texts(wanted).withColumnRenamed("doc_id", "rep").mapInPandas(partial(_with_sets, words), "cls long, rep long, fam long, cross boolean, n long, tokens binary"), "sets")
 
     volume = first.agg(F.sum("n")).first()[0] or 0
     second = _surviving(sets.where("cross"), volume, True, threshold, words, bucket)
