@@ -361,6 +361,26 @@ def test_scaled_copies_meet_in_every_cell():
     assert cells.groupby("rid")["cell"].nunique().eq(5).all()
 
 
+@pytest.mark.parametrize("count", [1000, 8000, 64_000])
+def test_routing_holds_a_bounded_matrix(count):
+    """Peak memory beside 1k, 8k and 64k pivots; vectors of a cluster visit few cells, both ends of each link meet."""
+    import tracemalloc
+    rng = np.random.default_rng(6)
+    centre = cover_tree.unit(rng.normal(size=(count, 24)))
+    x = cover_tree.unit(centre[rng.integers(0, count, 400)] + 0.01 * rng.normal(size=(400, 24)))
+    rows = pd.DataFrame({"label": "0", "dim": 24, "rid": range(400), "copies": 1, "embedding": x.tolist()})
+    tracemalloc.start()
+    cells = pd.concat(cover_tree._route({("0", 24): centre}, 0.98, [rows]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    home = cells[cells["home"]].set_index("rid")["cell"]
+    visits = set(zip(cells["rid"], cells["cell"], strict=True))
+    near = np.argwhere(np.triu(x @ x.T >= 0.98, 1))
+    assert len(home) == 400 and all((a, home[b]) in visits and (b, home[a]) in visits for a, b in near.tolist())
+    print(count, "pivots:", round(len(cells) / 400, 1), "cells a vector,", round(peak / 1e6), "MB")
+
+
 def test_nearest_reaches_the_recall(spark):
     df = vectors(spark, 1500)
     rows = {r["vec_id"]: r["embedding"] for r in df.collect() if r["vec_id"] is not None and fine(r["embedding"]) and len(r["embedding"]) == 6}

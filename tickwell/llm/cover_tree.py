@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwell.llm.components import Forest, components
 from tickwell.llm.frames import written
@@ -26,8 +27,10 @@ from tickwell.llm.frames import written
 COSINE = 0.98
 BLOCK = 2_048  # vectors of one side of a task
 PIVOTS = 8_192  # pivots sent to all executors, at most about; cells grow beyond
-LEAF = 32
-DIRECT = 1 << 16  # pairs of two nodes that are compared at once
+LEAF = 128
+DIRECT = 1 << 20  # pairs of two nodes that are compared at once
+CENTERS = 64  # possible centers whose distances are taken together
+ROUTED = 1 << 22  # products with pivots that are held at a time
 WALK = 256  # pairs that are compared in the time of one step of the walk
 SLACK = 1e-9  # distances this close to a bound are compared exactly
 ROUNDING = 1e-12  # products of unit vectors differ by less in their last bits
@@ -59,13 +62,20 @@ class CoverTree:
         if len(points) > LEAF and radius > 1e-7:
             reach = 2.0 ** (math.ceil(math.log2(radius)) - 1)
             children = []
-            while len(points):
-                near = distance <= reach
-                children.append((center, points[near], distance[near]))
-                points = points[~near]
-                if len(points):
-                    center = int(points[0])
-                    distance = self._distances(center, points)
+            near = distance <= reach
+            children.append((center, points[near], distance[near]))
+            points = points[~near]
+            while len(points):  # the first point left is the next center, many of them from one product
+                some = points[:CENTERS]
+                apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (self.x[some] @ self.x[points].T)))
+                left = np.ones(len(points), bool)
+                for k in range(len(some)):
+                    if left[k]:
+                        near = np.flatnonzero(left & (apart[k] <= reach))
+                        near = near if k in near else np.r_[k, near]  # rounding must not leave a center out
+                        children.append((int(some[k]), points[near], apart[k, near]))
+                        left[near] = False
+                points = points[left]
             self.children[number] = np.array([self._add(*child) for child in children])
         return number
 
@@ -131,27 +141,32 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def _route(pivots: dict, cosine: float, batches):
-    """Rows of (label, cell) that each vector lives in or visits."""
+def cells_of(x: np.ndarray, centers: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, whether it is the row's own) for unit vectors ``x`` and unit pivots."""
     reach = math.sqrt(2.0 - 2.0 * cosine) + 1e-7
+    dots = x @ centers.T
+    nearest = dots.argmax(axis=1)
+    gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centers[nearest] @ centers.T)))
+    # Distance to the plane between two pivots; a link can cross it only from within its reach.
+    toward = (dots[np.arange(len(x)), nearest][:, None] - dots) <= reach * gap + ROUNDING
+    row, cell = np.nonzero(toward)
+    return row, cell, cell == nearest[row]
+
+
+def _route(pivots: dict, cosine: float, batches):
+    """Rows of (label, cell) that each vector lives in or visits, a slice of the vectors at a time."""
+    columns = ["label", "dim", "cell", "home", "rid", "copies", "embedding"]
     for batch in batches:
-        out = []
         for (label, dim), rows in batch.groupby(["label", "dim"]):
-            x = unit(rows["embedding"])
             centers = pivots.get((label, dim))
             if centers is None:
-                cell, row, home = np.zeros(len(x), int), np.arange(len(x)), np.ones(len(x), bool)
-            else:
-                dots = x @ centers.T
-                nearest = dots.argmax(axis=1)
-                gap = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centers @ centers.T)))[nearest]
-                # Distance to the plane between two pivots; a link can cross it only from within its reach.
-                toward = (dots[np.arange(len(x)), nearest][:, None] - dots) <= reach * gap + ROUNDING
-                row, cell = np.nonzero(toward)
-                home = cell == nearest[row]
-            out.append(rows.iloc[row].assign(cell=cell, home=home))
-        if out:
-            yield pd.concat(out)[["label", "dim", "cell", "home", "rid", "copies", "embedding"]]
+                yield rows.assign(cell=0, home=True)[columns]
+                continue
+            step = max(1, ROUTED // len(centers))
+            for lo in range(0, len(rows), step):
+                some = rows.iloc[lo:lo + step]
+                row, cell, home = cells_of(unit(some["embedding"]), centers, cosine)
+                yield some.iloc[row].assign(cell=cell, home=home)[columns]
 
 
 def _compare(cosine: float, rows: pd.DataFrame) -> pd.DataFrame:
@@ -201,8 +216,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     nothing, vectors of different length neither.  Rows that repeat an id are
     vectors of their own.  An empty table gives an empty result.
     """
-    spark = vectors.sparkSession
-    plain = vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # Single precision stays as it is in the exchanges, at half the bytes; tasks compute in double.
+    kind = "array<float>" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "array<double>"
+    plain = vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast(kind).alias("embedding"))
     fit = plain.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     reps = written(fit.groupBy("label", "embedding").agg(F.min("vec_id").alias("rid"), F.count("*").alias("copies"))
                    .withColumn("dim", F.size("embedding")), "vectors")
@@ -210,7 +226,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     chosen = reps.where(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0).limit(2 * pivots).select("label", "dim", "embedding")
     table = {key: unit(rows["embedding"]) for key, rows in chosen.toPandas().groupby(["label", "dim"]) if len(rows) > 1}
     routed = written(reps.mapInPandas(partial(_route, table, cosine),
-                     "label string, dim int, cell int, home boolean, rid long, copies long, embedding array<double>"), "cells")
+                     f"label string, dim int, cell int, home boolean, rid long, copies long, embedding {kind}"), "cells")
     cell = ["label", "dim", "cell"]
     sizes = routed.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rid", F.lit(5)), F.col("blocks")).cast("int")
