@@ -14,8 +14,10 @@ A shard's trie has the words on its first level and, below each word, the
 predecessors it was seen after.  Both levels and the pointers between them are
 monotone sequences in Elias-Fano coding; terms are logarithms in 16 bits.  The
 levels stand one behind the other in a file of the task, which is mapped into
-memory and goes with the task.  A predecessor is found by successor search among those of its
-word only.
+memory and goes with the task.  A predecessor is kept relative to its word: the
+level is monotone because every word's predecessors start at a base of their
+own, and a predecessor is found by successor search between the two pointers of
+its word.
 """
 
 from __future__ import annotations
@@ -119,12 +121,13 @@ class EliasFano:
             bits = np.where(go, bits >> np.uint64(width), bits)
         return word * 64 + at
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Position of the first element not below each value; ``n`` when there is none."""
+    def successor(self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
+        """Position of the first element not below each value, among those from ``first`` to before ``last``; ``last`` when there is none."""
         values = values.astype(np.uint64)
         high = np.minimum(values >> np.uint64(self.low_bits), np.uint64(1 << 62)).astype(np.int64)
-        at = self._before(high)
-        end = self._before(high + 1)
+        last = self.n if last is None else last
+        at = np.clip(self._before(high), first, last)
+        end = np.clip(self._before(high + 1), first, last)
         # Elements of one high part are ordered by their low bits.
         low = values & np.uint64((1 << self.low_bits) - 1)
         open_ = np.flatnonzero(at < end)
@@ -226,7 +229,7 @@ class Trie:
         asked = words[change]
         place = np.minimum(self.words.successor(asked), n - 1)
         place[self.words[place] != asked] = -1
-        limit = self.pointers[place + 1].astype(np.int64)  # one past the word's last predecessor
+        first, limit = self.pointers[np.maximum(place, 0)].astype(np.int64), self.pointers[place + 1].astype(np.int64)
         run = np.cumsum(change) - 1
         known = np.flatnonzero(place[run] >= 0)
         run = run[known]
@@ -235,7 +238,7 @@ class Trie:
         numerator[known] = self.alone[place][run]
         if self.before.n:
             keys = (at.astype(np.uint64) << np.uint64(32)) | before[known].astype(np.uint64)
-            child = self.before.successor(keys)
+            child = self.before.successor(keys, first[run], limit[run])
             inside = child < limit[run]
             child = np.minimum(child, self.before.n - 1)
             seen = np.flatnonzero(inside & (self.before[child] == keys))
@@ -301,19 +304,21 @@ def _deal(shards: int, frequent: np.ndarray, batches):
         bounds = np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
         ids = whole_numbers(as_ids(batch["doc_id"]))
         head = np.concatenate([ids.to_numpy(np.int64, na_value=0), ids.isna().astype(np.int64), sizes, batch["train"].to_numpy(np.int64)]).tobytes()
-        train = np.packbits(batch["train"].to_numpy(bool)).tobytes()
+        train = batch["train"].to_numpy(bool)
         rows = []
         for s in np.flatnonzero(np.diff(bounds)):
             mine = order[bounds[s]:bounds[s + 1]]
             mine = mine[np.argsort(word[mine], kind="stable")]
             own, runs = np.unique(word[mine], return_counts=True)
-            rows.append((int(s), (part << 24) + number, head, len(sizes), train, own.tobytes(), runs.astype(np.uint32).tobytes(),
-                         before[mine].tobytes(), doc[mine].tobytes()))
+            there, place = np.unique(doc[mine], return_inverse=True)
+            rows.append((int(s), (part << 24) + number, head, len(sizes), np.packbits(train[there]).tobytes(), own.tobytes(), runs.astype(np.uint32).tobytes(),
+                         before[mine].tobytes(), place.astype(doc.dtype).tobytes(), there.tobytes()))
             head = b""
-        yield pd.DataFrame(rows, columns=["shard", "block", "head", "docs", "train", "words", "runs", "before", "doc"])
+        yield pd.DataFrame(rows, columns=["shard", "block", "head", "docs", "train", "words", "runs", "before", "place", "doc"])
 
 
-DEALT = "shard int, block long, head binary, docs int, train binary, words binary, runs binary, before binary, doc binary"
+# Documents that occur in a row, whether they are training texts, and for each token the place of its document among them.
+DEALT = "shard int, block long, head binary, docs int, train binary, words binary, runs binary, before binary, place binary, doc binary"
 
 
 def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distinct: int, rows: pd.DataFrame) -> pd.DataFrame:
@@ -324,9 +329,9 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
     number = np.concatenate([np.repeat(np.searchsorted(vocabulary, w).astype(np.uint64), np.frombuffer(r, np.uint32)) for w, r in zip(lists, rows["runs"], strict=True)])
     keys = (number << np.uint64(32)) | np.concatenate([np.frombuffer(b, np.uint32) for b in rows["before"]])
     del number
-    doc = [np.frombuffer(d, kind) for d, kind in zip(rows["doc"], narrow, strict=True)]
+    place, doc = ([np.frombuffer(d, kind) for d, kind in zip(rows[c], narrow, strict=True)] for c in ("place", "doc"))
     blocks = rows[["block", "head", "docs"]]
-    train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=n)[d] for t, n, d in zip(rows["train"], rows["docs"], doc, strict=True)])
+    train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=len(d))[p] for t, d, p in zip(rows["train"], doc, place, strict=True)])
     order = np.argsort(keys)
     keys = keys[order]
     new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -348,11 +353,11 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
     denominator[vocabulary[owner] == END] = 0.0  # nothing follows the end
     base, gain, known = np.log10(counts + 0.1)[owner], numerator - denominator, have[owner]
     out, start = [], 0
-    for block, head, n, d in zip(blocks["block"], blocks["head"], blocks["docs"], doc, strict=True):
-        end = start + len(d)
-        which, mine = np.unique(d), group[start:end]
-        out.append((block, head, n, which.astype(np.uint32).tobytes(), np.bincount(d, base[mine], n)[which].tobytes(),
-                    np.bincount(d, gain[mine], n)[which].tobytes(), np.bincount(d, known[mine], n)[which].astype(np.uint32).tobytes()))
+    for block, head, n, d, p in zip(blocks["block"], blocks["head"], blocks["docs"], doc, place, strict=True):
+        end = start + len(p)
+        mine = group[start:end]
+        out.append((block, head, n, d.astype(np.uint32).tobytes(), np.bincount(p, base[mine], len(d)).tobytes(),
+                    np.bincount(p, gain[mine], len(d)).tobytes(), np.bincount(p, known[mine], len(d)).astype(np.uint32).tobytes()))
         start = end
     return pd.DataFrame(out, columns=["block", "head", "docs", "doc", "base", "gain", "known"])
 
