@@ -19,7 +19,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.cover_tree import usable
@@ -227,11 +227,18 @@ def _pack_queries(rows: pd.DataFrame) -> pd.DataFrame:
                          "vectors": [np.array(rows["embedding"].tolist(), np.float64).tobytes()]})
 
 
-def octave(embedding: Column) -> Column:
+@F.pandas_udf("int")
+def octave(embeddings: pd.Series) -> pd.Series:
     """The power of two below a vector's length, without squaring large or small numbers."""
-    largest = F.array_max(F.transform(embedding, F.abs))
-    squares = F.aggregate(F.transform(embedding, lambda v: (v / largest) * (v / largest)), F.lit(0.0), lambda a, b: a + b)
-    return F.floor(F.log2(largest) + F.log2(squares) / 2).cast("int")
+    out = []
+    for lo in range(0, len(embeddings), BATCH):
+        part = embeddings.iloc[lo:lo + BATCH].tolist()
+        sizes = np.array([len(v) for v in part])
+        flat, starts = np.abs(np.concatenate(part)), np.cumsum(sizes) - sizes
+        largest = np.maximum.reduceat(flat, starts)
+        squares = np.add.reduceat((flat / np.repeat(largest, sizes)) ** 2, starts)
+        out.append(np.floor(np.log2(largest) + np.log2(squares) / 2).astype(np.int32))
+    return pd.Series(np.concatenate(out) if out else np.zeros(0, np.int32))
 
 
 def points(vectors: DataFrame, k: int = K) -> DataFrame:
