@@ -227,8 +227,7 @@ def _pack_queries(rows: pd.DataFrame) -> pd.DataFrame:
                          "vectors": [np.array(rows["embedding"].tolist(), np.float64).tobytes()]})
 
 
-@F.pandas_udf("int")
-def octave(embeddings: pd.Series) -> pd.Series:
+def octaves(embeddings: pd.Series) -> pd.Series:
     """The power of two below a vector's length, without squaring large or small numbers."""
     out = []
     for lo in range(0, len(embeddings), BATCH):
@@ -251,7 +250,7 @@ def points(vectors: DataFrame, k: int = K) -> DataFrame:
     few = rows.withColumn("_place", place).where(F.col("_place") <= k + 1)
     listed = few.groupBy("embedding").agg(F.array_sort(F.collect_list(F.struct(F.col("vec_id").cast("long").alias("id"), "times"))).alias("_rows"))
     return listed.select(F.col("_rows")[0]["id"].alias("rid"), F.col("_rows.id").alias("ids"), F.col("_rows.times").alias("times"), "embedding",
-                         F.size("embedding").alias("dim"), octave(F.col("embedding")).alias("octave"), F.lit(k).alias("held"))
+                         F.size("embedding").alias("dim"), F.pandas_udf(octaves, "int")("embedding").alias("octave"), F.lit(k).alias("held"))
 
 
 def _dealt(rows: DataFrame, keys: list[str], by: str, into: str, size: int) -> DataFrame:
