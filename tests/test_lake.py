@@ -377,3 +377,51 @@ def test_sketches_merge_and_take_nulls(spark):
     spread = sketches.quantile_sketches(rows, ["day"], ["v", "none"])
     quart = {r["column_name"]: r for r in sketches.merged_quantiles(spread, ["column_name"], {"q": 0.5}).collect()}
     assert set(quart) == {"v"} and abs(quart["v"]["q"] - 1000) < 40
+
+
+def scanned_rows(df):
+    """Rows that the scan of a query handed on, after row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    found = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+    walk(plan)
+    return sum(found)
+
+
+def test_lookup_of_symbols_skips_row_groups(spark, folder):
+    """Symbols spread over all row groups: only the filters can tell that a value is not in one."""
+    rows = spark.range(400_000, numPartitions=1).select(
+        F.concat(F.lit("S"), F.hex(F.xxhash64("id"))).alias("symbol"), F.col("id").alias("v"), F.lit("2025-01-01").cast("date").alias("data_date"))
+    wanted = [r["symbol"] for r in rows.where("v IN (7, 250000)").collect()]
+    read = {}
+    for name, lookup in (("plain", ()), ("filtered", lake.LOOKUP)):
+        spark.conf.set("parquet.block.size", str(1 << 20))
+        try:
+            lake.write_partitions(rows, f"{folder}/{name}", ("data_date",), ("v",), lookup=lookup)
+        finally:
+            spark.conf.unset("parquet.block.size")
+        picked = spark.read.parquet(f"{folder}/{name}").where(F.col("symbol").isin(wanted))
+        read[name] = scanned_rows(picked)
+        assert {r["v"] for r in picked.collect()} == {7, 250_000}
+    assert read["plain"] == 400_000 and read["filtered"] < 200_000, read
+
+
+def test_sorted_files_skip_row_groups(spark, folder):
+    rows = spark.range(400_000, numPartitions=1).select(F.concat(F.lit("S"), F.lpad((F.col("id") * 7919 % 20_000).cast("string"), 5, "0")).alias("symbol"), F.col("id").alias("ts"))
+    read = {}
+    for name, sort in (("plain", ()), ("sorted", lake.SORT)):
+        spark.conf.set("parquet.block.size", str(1 << 19))
+        try:
+            lake.write_partitions(rows, f"{folder}/{name}", (), sort)
+        finally:
+            spark.conf.unset("parquet.block.size")
+        read[name] = scanned_rows(spark.read.parquet(f"{folder}/{name}").where("symbol IN ('S00007', 'S00009')"))
+    assert read["sorted"] < read["plain"] / 2, read

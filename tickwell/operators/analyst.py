@@ -73,6 +73,9 @@ def beta(returns: DataFrame, reference: str) -> DataFrame:
         F.try_divide(F.covar_samp("daily_return", "_base"), F.var_samp("_base")).alias("beta"), F.count("*").alias("days"))
 
 
+CONTRACTS = 2_000  # two million pairs an exchange
+
+
 def contracts_of(ticks: DataFrame, roots: list[str]) -> list[str]:
     """Contract names of product roots: a chain lists one symbol per delivery month."""
     names = with_contract(ticks.select("symbol").distinct()).where(F.col("contract_root").isin(roots)).select("symbol").orderBy("symbol")
@@ -84,10 +87,13 @@ def correlation_matrix(returns: DataFrame, symbols: list[str]) -> DataFrame:
 
     Each day gets one column per contract; a series is correlated with all
     columns in one aggregate.  No pair rows are built or shuffled, and long
-    lists are split over several aggregates.
+    lists are split over several aggregates.  The result has a row for each
+    pair, so at most ``CONTRACTS`` contracts are taken.
     """
     if len(symbols) < 2:
         raise ValueError("a correlation needs at least two contracts")
+    if len(symbols) > CONTRACTS:
+        raise ValueError(f"at most {CONTRACTS} contracts, not {len(symbols)}: pick product roots")
     series = returns.where(F.col("symbol").isin(symbols) & F.col("daily_return").isNotNull()).select(
         *SERIES, "data_date", "daily_return")
     parts = []

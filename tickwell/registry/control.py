@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickwell.binding import LOADS_AS_OF
+from tickwell.functions import scalar
 from tickwell.operators import control
 from tickwell.registry import register
 
@@ -402,6 +403,29 @@ def _(t):
     return control.pending_files(t.trades.select("exchange", "data_date").distinct(), t.load_log)
 
 
+SHORT = "printf('%.1f', floor({0} * 10 + 0.5) / 10)"
+
+
+@register("dsp_01_display", f"""
+WITH v AS (SELECT file_size_bytes AS b, records_loaded AS n, epoch(end_time) - epoch(start_time) AS s FROM load_log)
+SELECT CASE WHEN b >= 1000000000 THEN {SHORT.format('b / 1e9')} || 'B' WHEN b >= 1000000 THEN {SHORT.format('b / 1e6')} || 'M' ELSE {SHORT.format('b / 1e3')} || 'K' END AS size,
+ CASE WHEN s >= 60 THEN {SHORT.format('s / 60')} || 'm' WHEN s IS NOT NULL THEN {SHORT.format('s')} || 's' END AS duration, count(*) AS loads
+FROM v WHERE b >= 1000 GROUP BY 1, 2""")
+def _(t):
+    """Sizes and durations of loads as a dashboard shows them."""
+    rows = t.load_log.where("file_size_bytes >= 1000")
+    seconds = F.unix_micros(F.col("end_time").cast("timestamp")) / 1e6 - F.unix_micros(F.col("start_time").cast("timestamp")) / 1e6
+    return rows.groupBy(scalar.short_number("file_size_bytes").alias("size"), scalar.short_duration(F.round(seconds, 3)).alias("duration")).agg(
+        F.count("*").alias("loads"))
+
+
+@register("ids_01_stable_ids", """
+SELECT id, sha256(exchange || chr(31) || CAST(data_date AS VARCHAR) || chr(31) || coalesce(error_message, chr(0))) AS stable_id FROM load_log""")
+def _(t):
+    """Ids that a rerun gives again, null parts included."""
+    return t.load_log.select("id", scalar.stable_id("exchange", "data_date", "error_message").alias("stable_id"))
+
+
 @register("jsn_01_error_context", """
 WITH e AS (SELECT id % 11 AS k, id % 5 AS h, id % 7 AS a FROM load_log WHERE status = 'failed'),
  c AS (SELECT CASE WHEN k = 0 OR a = 0 THEN NULL ELSE 'host' || h END AS context_value, CASE WHEN k = 0 THEN 1 ELSE 0 END AS broken FROM e)

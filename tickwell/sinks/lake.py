@@ -40,17 +40,32 @@ def laid_out(df: DataFrame, partitions: tuple[str, ...] = PARTITIONS, sort: tupl
     return out.sortWithinPartitions(*by, *inner) if by or inner else out
 
 
+LOOKUP = ("symbol",)  # columns that queries pick values of
+
+
+def lookup_options(df: DataFrame, lookup: tuple[str, ...] = LOOKUP, values: int = 100_000) -> dict[str, str]:
+    """Writer options for Bloom filters of ``lookup`` columns, so that a list of values skips row groups without them.
+
+    Sorted files skip by smallest and largest value as well; the filters help
+    where a row group spans many values.  ``values`` are the distinct ones
+    expected in a row group.
+    """
+    return {k: v for c in lookup if c in df.columns for k, v in (
+        (f"parquet.bloom.filter.enabled#{c}", "true"), (f"parquet.bloom.filter.expected.ndv#{c}", str(values)))}
+
+
 def write_partitions(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS,
-                     sort: tuple[str, ...] = SORT, mode: str = "overwrite") -> None:
-    """Write by partition; overwriting replaces only the partitions in ``df``.
+                     sort: tuple[str, ...] = SORT, mode: str = "overwrite", lookup: tuple[str, ...] = LOOKUP) -> None:
+    """Write by partition, sorted inside each file; overwriting replaces only the partitions in ``df``.
 
     Folders are replaced one by one as the job commits, so a crash during the
-    commit can leave some old and some new; repeating the job mends that.
+    commit can leave some old and some new; repeating the job mends that, and
+    ``versioned`` tables have no such moment.
     """
     by = [c for c in partitions if c in df.columns]
     (
         laid_out(df, partitions, sort).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by).parquet(path)
+        .options(**lookup_options(df, lookup)).partitionBy(*by).parquet(path)
     )
 
 
