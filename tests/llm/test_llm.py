@@ -211,6 +211,42 @@ NOTICES["BSD-3-Clause"] = NOTICES["BSD-2-Clause"] + """
 NOTICES["GPL-2.0"] = NOTICES["GPL-3.0"].replace("version 3", "version 2").replace("This program", "Frobnicate").replace("software:", "software;")
 
 
+for version in ("2.1", "3"):
+    NOTICES[f"LGPL-{version if version != '3' else '3.0'}"] = NOTICES["GPL-3.0"].replace("GNU General", "GNU Lesser General").replace("version 3", f"version {version}")
+NOTICES |= {
+    "AGPL-3.0": NOTICES["GPL-3.0"].replace("GNU General", "GNU Affero General"),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "ISC": """Copyright (c) 2019 Some Body. All rights reserved.
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software.""",
+    "CC0-1.0": """To the extent possible under law, Some Body has waived all copyright
+and related or neighboring rights to this work.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented.""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.
+   (See accompanying file LICENSE_1_0.txt or copy at
+         https://www.boost.org/LICENSE_1_0.txt)""",
+}
+NOTICES["BSD-3-Clause/reserved"] = "Copyright (c) 2020, Some Body. All rights reserved.\n\n" + NOTICES["BSD-3-Clause"]
+
+
 def test_licenses_of_whole_notices(spark):
     def shapes(t):
         yield t

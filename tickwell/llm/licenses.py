@@ -37,7 +37,9 @@ SENTENCES = {
     "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
     "all rights reserved": "all-rights",
 }
-# Licence, and the ids that must follow each other, other ids in between allowed.
+# Grants whose copyright line usually says that all rights are reserved.
+GRANTS = ["mit-grant", "bsd-grant", "bsd-terms", "isc-grant", "zlib-grant"]
+# Licence, the ids that must follow each other, other ids in between allowed, and ids that must not occur.
 RULES = [
     ("Apache-2.0", ["apache-notice"]),
     ("Apache-2.0", ["apache-compliance", "apache-copy", "apache-basis"]),
@@ -51,7 +53,7 @@ RULES = [
     ("CC-BY-4.0", ["cc-by"]),
     ("CC-BY-SA-4.0", ["cc-by-sa"]),
     ("CC-BY-NC-4.0", ["cc-by-nc"]),
-    ("Proprietary", ["all-rights"]),
+    ("Proprietary", ["all-rights"], GRANTS),
 ]
 # Complete sentences of the standard notices and their ids.  Each group stands in the order of
 # its notice; a colon or an address does not end a sentence, so neighbours may also come as one.
@@ -124,11 +126,52 @@ NOTICES = [
     [
         ("See the GNU General Public License for more details", "gpl-details"),
     ],
+    *[[(f"is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License {tail}", f"lgpl{v}-notice")]
+      for v in ("2.1", "3") for tail in (
+          f"as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version",
+          f"as published by the Free Software Foundation, version {v} of the License")],
+    *[[(f"is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License {tail}", "agpl3-notice")]
+      for tail in ("as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+                   "as published by the Free Software Foundation, version 3 of the License")],
+    [  # the version follows "v.", which ends a sentence here
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v", "mpl2-notice"),
+    ],
+    [
+        ("If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/", "mpl2-copy"),
+    ],
+    [
+        ("If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/", "mpl2-copy"),
+    ],
+    *[[(f"Permission to use, copy, modify, {conjunction} distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies", "isc-grant")] for conjunction in ("and/or", "and")],
+    [
+        ("This is free and unencumbered software released into the public domain", "unlicense-grant"),
+    ],
+    [  # whose name it is differs
+        ("has waived all copyright and related or neighboring rights to this work", "cc0-waiver"),
+    ],
+    *[[(f"This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        f"{scheme}://www.eclipse.org/legal/epl-2.0/", "epl2-notice")] for scheme in ("https", "http")],
+    *[[("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        f"freely, subject to the following restrictions{first}", "zlib-grant")] for first in ("", ": 1")],
+    [
+        ("Distributed under the Boost Software License, Version 1.0", "bsl1-notice"),
+    ],
 ]
 # Rules over these sentences: licence, ids in order, and ids that must not occur.
 NOTICE_RULES = [
     ("BSD-3-Clause", ["bsd-terms", "bsd-keep-source", "bsd-keep-binary", "bsd-endorsement"]),
     ("BSD-2-Clause", ["bsd-terms", "bsd-keep-source", "bsd-keep-binary"], ["bsd-endorsement"]),
+    ("LGPL-2.1", ["lgpl2.1-notice"]),
+    ("LGPL-3.0", ["lgpl3-notice"]),
+    ("AGPL-3.0", ["agpl3-notice"]),
+    ("MPL-2.0", ["mpl2-notice"]),
+    ("ISC", ["isc-grant"]),
+    ("Unlicense", ["unlicense-grant"]),
+    ("CC0-1.0", ["cc0-waiver"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["bsl1-notice"]),
 ]
 SENTENCE_END = r"[.!?]+[ \t\r]+|[.!?]*\n[ \t\r]*|[.!?]+$"
 NOT_WORD = "[^a-z0-9]+"
@@ -184,10 +227,19 @@ def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Colum
     return F.flatten(F.transform(cut, ids))
 
 
-def rule_pattern(ids: list[str], without: list[str] | tuple = ()) -> str:
-    """Regular expression over ``,id,id,`` that finds the ids in this order, and none of ``without``."""
-    found = "," + ",(.*,)?".join(ids) + ","
-    return "^" + "".join(f"(?!.*,{i},)" for i in without) + ".*" + found if without else found
+def rule_pattern(ids: list[str]) -> str:
+    """Regular expression over ``,id,id,`` that finds the ids in this order."""
+    return "," + ",(.*,)?".join(map(re.escape, ids)) + ","
+
+
+def any_pattern(ids: list[str]) -> str:
+    """Regular expression over ``,id,id,`` that finds any of the ids."""
+    return ",(" + "|".join(map(re.escape, ids)) + "),"
+
+
+def _matches(ids: Column, sequence: list[str], without: list[str] | tuple = ()) -> Column:
+    found = ids.rlike(rule_pattern(sequence))
+    return found & ~ids.rlike(any_pattern(without)) if without else found
 
 
 def license_scan(documents: DataFrame, sentences: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
@@ -195,12 +247,13 @@ def license_scan(documents: DataFrame, sentences: dict[str, str] | None = None,
 
     ``sentence_ids`` and ``licenses`` are comma-joined; licences stand in rule
     order, each once.  Null and empty texts have none; repeated rows are each
-    scanned; other columns are not read.
+    scanned; texts of any length are scanned whole, an empty table gives no
+    rows; other columns are not read.
     """
     found = documents.select("doc_id", sentence_ids(F.col("text"), sentences).alias("_ids"))
     listed = found.select("doc_id", F.size("_ids").cast("long").alias("n_license_sentences"), F.array_join("_ids", ",").alias("sentence_ids"))
     ids = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    hits = [F.when(ids.rlike(rule_pattern(*seq)), F.lit(name)) for name, *seq in rules or RULES + NOTICE_RULES]
+    hits = [F.when(_matches(ids, *rule), F.lit(name)) for name, *rule in rules or RULES + NOTICE_RULES]
     names = F.array_distinct(F.array_compact(F.array(*hits)))
     return listed.withColumn("licenses", F.array_join(names, ","))
 
@@ -210,8 +263,9 @@ def oracle_sql() -> str:
     known = ", ".join(f"'{s}'" for s in SENTENCES)
     lookup = "MAP {" + ", ".join(f"'{s}': '{i}'" for s, i in SENTENCES.items()) + "}"
     cut = f"regexp_split_to_array(lower(coalesce(text, '')), '{SENTENCE_END}')"
-    hits = ", ".join(f"CASE WHEN regexp_matches(l, '{rule_pattern(seq)}') THEN '{name}' END" for name, seq in RULES)
-    order = ", ".join(f"'{n}'" for n in dict.fromkeys(name for name, _ in RULES))
+    hits = ", ".join(f"CASE WHEN regexp_matches(l, '{rule_pattern(rule[0])}')" + "".join(f" AND NOT regexp_matches(l, '{any_pattern(w)}')" for w in rule[1:])
+                     + f" THEN '{name}' END" for name, *rule in RULES)
+    order = ", ".join(f"'{n}'" for n in dict.fromkeys(name for name, *_ in RULES))
     return f"""
 WITH cut AS (
   SELECT doc_id, list_transform(list_filter(list_transform({cut}, lambda s: trim(regexp_replace(s, '{NOT_WORD}', ' ', 'g'))),
