@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickwell.binding import Tables
 from tickwell.operators import sketches
 from tickwell.plans import ingest
-from tickwell.session import scratch_path, shared_dir
+from tickwell.session import clear_scratch, scratch_mark, scratch_path, shared_dir
 from tickwell.sinks import control_log, export, lake
 from tickwell.sinks.versioned import ConcurrentCommit, VersionedTable
 from tickwell.sources import files
@@ -244,6 +244,16 @@ def test_shared_folder_comes_from_the_session():
     assert shared_dir(local) == shared_dir(local) and os.path.isdir(shared_dir(local))
 
 
+def test_scratch_tables_can_be_cleared(spark):
+    before = scratch_mark(spark)
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "b")
+    for path in (first, second):
+        spark.range(3).write.parquet(path)
+    assert clear_scratch(spark, before, keep=(second,)) == 1
+    assert not os.path.exists(first) and spark.read.parquet(second).count() == 3
+    assert clear_scratch(spark, before) == 1 and not os.path.exists(second) and clear_scratch(spark, before) == 0
+
+
 def test_total_size_of_files(spark):
     path = "/root/testdata/sf0.001/events.parquet"
     assert files.total_size(spark.read.parquet(path)) == os.path.getsize(path)

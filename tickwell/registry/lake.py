@@ -140,8 +140,10 @@ def _(t):
 
 
 @register("src_06_empty_table", """
-SELECT unnest(['data_date','event_id','exchange','ingestion_timestamp','price','processing_stage','source_file','symbol']) AS column_name,
- CAST(0 * n AS BIGINT) AS row_count FROM (SELECT count(*) AS n FROM ticks)""")
+WITH sample AS (SELECT event_id, symbol, price, exchange, data_date FROM ticks),
+ own AS (SELECT column_name FROM (UNPIVOT (SELECT first(typeof(COLUMNS(*))) FROM sample) ON COLUMNS(*) INTO NAME column_name VALUE kind)),
+ added AS (SELECT unnest(['data_date','exchange','processing_stage','source_file','ingestion_timestamp']) AS column_name)
+SELECT column_name, (SELECT count(*) FROM sample WHERE false) AS row_count FROM (SELECT column_name FROM own UNION SELECT column_name FROM added)""")
 def _(t):
     path = scratch_path(t.spark, "empty")
     sample = t.ticks.select("event_id", "symbol", "price", "exchange", "data_date")

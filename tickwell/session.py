@@ -62,7 +62,31 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tickwell/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, remembered for ``clear_scratch``."""
+    path = f"{shared_dir(spark)}/tickwell/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """A point in time for ``clear_scratch``."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Delete the scratch tables made since a mark, but for those in ``keep``; returns how many.
+
+    Only results that have been written elsewhere may go: a DataFrame that is
+    still to be computed reads its scratch tables when it runs.
+    """
+    made = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = [path for path in made[since:] if path not in keep]
+    for path in gone:
+        remove_path(spark, path)
+    made[since:] = [path for path in made[since:] if path in keep]
+    return len(gone)
 
