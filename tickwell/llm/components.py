@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.frames import written
+from tickwell.session import clear_scratch, scratch_mark, scratch_path
 
 
 class Forest:
@@ -49,7 +50,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-BROADCAST = 1_000_000  # edges up to which a node's smallest neighbour is sent to all executors, 16 bytes each
+BROADCAST = 1_000_000  # edges up to which a node's smallest neighbour is sent to all executors, two numbers a row, 32 MB at most
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -66,6 +67,7 @@ def components(edges: DataFrame) -> DataFrame:
     local = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInPandas(_contract, "a long, b long")
     current = written(local, "edges")  # every a > b
     mark = _fingerprint(current)
+    spark, made = edges.sparkSession, scratch_mark(edges.sparkSession)
     while mark[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -73,7 +75,10 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(side(lowest), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = hung.unionByName(lowest.select("a", F.col("m").alias("b")))
-        current = written(small.where("a <> b").distinct(), "edges")
+        path = scratch_path(spark, "edges")
+        small.where("a <> b").distinct().write.parquet(path)
+        current = spark.read.schema("a long, b long").parquet(path)
+        clear_scratch(spark, made, keep=(path,))  # the rounds before
         before, mark = mark, _fingerprint(current)
         if before == mark:
             break
