@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwell.llm import jaccard, packing, pii, queries, toxicity
-from tickwell.llm.frames import table, written
+from tickwell.llm.frames import table
+from tickwell.session import clear_scratch, scratch_mark, scratch_path
 
 ORACLE_SQL = None  # the toxicity model has no counterpart in SQL; tests compare the stages with plain versions
 
@@ -49,8 +50,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage keeps is written before the next one reads it, and its scratch tables go."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark(spark)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        kept = stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"stage-{name}")
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        clear_scratch(spark, mark, keep=(path,))
     return STAGES[-1][1](spark, docs, sf_dir)
