@@ -46,12 +46,14 @@ def bounded_sample(rows: DataFrame, limit: int, per: str | None = None) -> DataF
         return placed.where(near(limit, F.lit(max(total, 1)))).orderBy(position, "_place").limit(limit).select(*columns)
     counts = rows.groupBy(per).agg(F.count("*").alias("_count"))
     each = max(1, limit // max(counts.count(), 1))
+    common = F.broadcast(counts.orderBy(F.desc("_count"), per).limit(COMMON))  # rows of rarer values all come
     rank = F.row_number().over(Window.partitionBy(per).orderBy(position, "_place"))
-    few = placed.join(counts, per).where(near(each, F.col("_count"))).withColumn("_rank", rank).where(F.col("_rank") <= each)
+    few = placed.join(common, per, "left").where(F.col("_count").isNull() | near(each, F.col("_count"))).withColumn("_rank", rank).where(F.col("_rank") <= each)
     return few.orderBy("_rank", "_place").limit(limit).select(*columns)
 
 
 PLACES = 1_000_000_007  # positions of a sample's order
+COMMON = 1_000  # values whose counts are sent to all executors
 
 
 def as_ids(values) -> list:
