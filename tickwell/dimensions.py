@@ -57,43 +57,36 @@ CATEGORIES = {
         "description": "Bitcoin futures contracts",
         "symbols": ["MBTF25", "BTCF25", "MBTG25", "BTCG25"],
         "exchanges": ["CME"],
-        "keywords": ["bitcoin", "btc", "futures"],
     },
     "ethereum_futures": {
         "description": "Ethereum futures contracts",
         "symbols": ["HTEF25", "ETEF25", "MTEF25", "ETEG25"],
         "exchanges": ["CME"],
-        "keywords": ["ethereum", "eth", "futures"],
     },
     "crypto_futures": {
         "description": "All cryptocurrency futures contracts",
         "symbols": ["MBTF25", "BTCF25", "MBTG25", "BTCG25", "HTEF25", "ETEF25", "MTEF25", "ETEG25"],
         "exchanges": ["CME"],
-        "keywords": ["crypto", "cryptocurrency", "futures", "digital", "assets"],
     },
     "micro_bitcoin": {
         "description": "Micro Bitcoin futures (smaller contract sizes)",
         "symbols": ["MBTF25", "MBTG25"],
         "exchanges": ["CME"],
-        "keywords": ["micro", "bitcoin", "mbt"],
     },
     "standard_bitcoin": {
         "description": "Standard Bitcoin futures (full contract sizes)",
         "symbols": ["BTCF25", "BTCG25"],
         "exchanges": ["CME"],
-        "keywords": ["standard", "bitcoin", "btc", "full"],
     },
     "micro_ethereum": {
         "description": "Micro Ethereum futures (smaller contract sizes)",
         "symbols": ["HTEF25", "MTEF25"],
         "exchanges": ["CME"],
-        "keywords": ["micro", "ethereum", "hte", "mte"],
     },
     "standard_ethereum": {
         "description": "Standard Ethereum futures (full contract sizes)",
         "symbols": ["ETEF25", "ETEG25"],
         "exchanges": ["CME"],
-        "keywords": ["standard", "ethereum", "ete", "full"],
     },
 }
 
@@ -111,18 +104,17 @@ def stage_dim(spark: SparkSession) -> DataFrame:
 def category_dim(spark: SparkSession) -> DataFrame:
     """One row per (category, exchange, symbol); a symbol may repeat."""
     rows = [
-        (name, c["description"], c["symbols"], c["exchanges"], c["keywords"])
+        (name, c["description"], c["symbols"], c["exchanges"])
         for name, c in CATEGORIES.items()
     ]
     schema = (
-        "category string, description string, symbols array<string>, "
-        "exchanges array<string>, keywords array<string>"
+        "category string, description string, symbols array<string>, exchanges array<string>"
     )
     wide = spark.createDataFrame(rows, schema)
     return (
         wide.withColumn("exchange", F.explode("exchanges"))
         .withColumn("symbol", F.explode("symbols"))
-        .select("category", "description", "keywords", "exchange", "symbol")
+        .select("category", "description", "exchange", "symbol")
     )
 
 
