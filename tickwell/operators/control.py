@@ -92,6 +92,23 @@ def weekly_load_stats(daily: DataFrame, week_ending: str) -> DataFrame:
     ).withColumn("week_ending", end)
 
 
+def week_end(day: str | Column) -> Column:
+    """The Sunday that ends the week of a day."""
+    return F.next_day(F.date_sub(day, 1), "SUN")
+
+
+def weeks_load_stats(daily: DataFrame) -> DataFrame:
+    """The weekly statistics of every calendar week on record, Monday to Sunday, per exchange."""
+    return daily.groupBy("exchange", week_end("stats_date").alias("week_ending")).agg(
+        F.avg("total_files").alias("avg_daily_files"),
+        F.avg("total_records").alias("avg_daily_records"),
+        F.sum("total_files").alias("total_files"),
+        F.sum("total_records").alias("total_records"),
+        F.avg("total_processing_time_seconds").alias("avg_processing_time_seconds"),
+        F.sum("total_file_size_bytes").alias("total_file_size_bytes"),
+    )
+
+
 def _days_window(first: int, last: int) -> Window:
     """Range of calendar days relative to the row's own day, per exchange."""
     return Window.partitionBy("exchange").orderBy(F.unix_date("stats_date")).rangeBetween(first, last)

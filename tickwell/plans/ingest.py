@@ -47,6 +47,10 @@ class Lake:
     def daily_stats(self) -> str:
         return f"{self.root}/gold/daily_load_stats"
 
+    @property
+    def weekly_stats(self) -> str:
+        return f"{self.root}/gold/weekly_load_stats"
+
     @property
     def reports(self) -> str:
         return f"{self.root}/bronze/daily_reports"
@@ -244,11 +248,15 @@ def load_states(spark: SparkSession, tables: Lake) -> DataFrame:
 
 
 def refresh(spark: SparkSession, tables: Lake, touched: DataFrame) -> None:
-    """High-water marks, and load statistics of the days of ``touched``; only the progress log is read."""
+    """High-water marks, and load statistics of the days and weeks of ``touched``; only the progress log is read."""
     states = load_states(spark, tables)
     days = states.join(touched.select("exchange", "data_date").distinct(), ["exchange", "data_date"], "left_semi")
+    week = control.week_end("data_date")
+    weeks = touched.select("exchange", week.alias("week")).distinct()
+    whole_weeks = states.withColumn("week", week).join(weeks, ["exchange", "week"], "left_semi").drop("week")
     together(
         lambda: control_log.update_feed_state(states, tables.feed_state),
+        lambda: lake.upsert(control.weeks_load_stats(control.daily_load_stats(whole_weeks)), tables.weekly_stats, ["week_ending", "exchange"], ("exchange",)),
         lambda: lake.upsert(control.daily_stats(days), tables.daily_stats, ["stats_date", "exchange"], ("exchange",)))
 
 

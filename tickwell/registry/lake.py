@@ -372,6 +372,16 @@ def _(t):
         "stats_date", "exchange", "total_files_processed", "total_records_loaded", "total_records_rejected")
 
 
+@register("agg_16_weeks_after_load", f"""
+WITH d AS (SELECT exchange, data_date, count(DISTINCT event_id // 1000000) AS files, count(*) FILTER (event_id % 97 <> 0) AS records FROM ticks GROUP BY 1, 2)
+SELECT exchange, CAST(data_date + (7 - isodow(data_date)) * INTERVAL 1 DAY AS DATE) AS week_ending, avg(files) AS avg_daily_files, avg(records) AS avg_daily_records,
+ CAST(sum(files) AS BIGINT) AS total_files, CAST(sum(records) AS BIGINT) AS total_records FROM d GROUP BY 1, 2""")
+def _(t):
+    """A load leaves the statistics of its calendar weeks behind."""
+    return t.spark.read.parquet(bronze(t).weekly_stats).select(
+        "exchange", "week_ending", "avg_daily_files", "avg_daily_records", "total_files", "total_records")
+
+
 @register("snk_13_audit_log", f"SELECT 'ingest' AS event_type, 'bronze.market_data_raw' AS table_name, count(*) AS record_count FROM {FILES}")
 def _(t):
     return t.spark.read.parquet(bronze(t).audit).select("event_type", "table_name", "record_count")
