@@ -279,6 +279,28 @@ def test_elias_fano_finds_like_bisection():
         assert (coded.successor(asked) == np.searchsorted(v, asked)).all()
 
 
+def test_common_pairs_stay_in_their_block(spark, monkeypatch):
+    """A pair that makes up most tokens reaches no shard, and the scores are those of one large shard."""
+    texts_ = [" ".join(["of the"] * 40 + [f"w{i % 50}"]) for i in range(300)] + ["of", "the", "of the", "", "the of"]
+    frame = pd.DataFrame({"doc_id": [str(i) for i in range(len(texts_))], "text": texts_, "train": [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(len(texts_))]})
+    tokens = [ngram_lm.hashes(t) for t, train in zip(texts_, frame["train"], strict=True) if train]
+    words, counts = np.unique(np.concatenate(tokens), return_counts=True)
+    frequent, counts = words[counts >= 200], counts[counts >= 200]
+    found = pd.concat(ngram_lm._pair_counts(frequent, [frame])).groupby("pair")["n"].sum()
+    found = found[found >= 200].sort_index()
+    common = ngram_lm.Common(frequent, counts, found.index.to_numpy(np.int64), found.to_numpy(np.int64), int(sum(map(len, tokens))), len(words))
+    assert len(common.pairs) == 3  # of the, the of, and "of" at the beginning
+    from pyspark import TaskContext
+    monkeypatch.setattr(TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})()))
+    rows = pd.concat(ngram_lm._deal(8, common, [frame]))
+    assert rows["before"].map(len).sum() / 4 < 0.05 * sum(len(ngram_lm.hashes(t)) for t in texts_)
+    monkeypatch.undo()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts_)], "doc_id int, text string").repartition(3)
+    small, large = (ngram_lm.text_scores(df, shard_tokens=n).toPandas().sort_values("doc_id") for n in (1600, 10 ** 7))
+    assert (small["n_known"].to_numpy() == large["n_known"].to_numpy()).all() and (small["n_tokens"].to_numpy() == large["n_tokens"].to_numpy()).all()
+    assert np.allclose(small["base_score"], large["base_score"], atol=1e-6) and np.allclose(small["score"], large["score"], rtol=2e-3, atol=2e-3)
+
+
 def test_levels_are_mapped_from_a_file_that_goes(tmp_path, monkeypatch):
     monkeypatch.setattr(ngram_lm.tempfile, "tempdir", str(tmp_path))
     opened, plain = [], np.memmap

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -280,17 +281,86 @@ def _blocks(batches):
                 lists, size, first = [], 0, i + 1
 
 
-def _deal(shards: int, frequent: np.ndarray, batches):
-    """Tokens of a block of documents by shard: words with run lengths, predecessors, documents."""
+def _before(word: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The predecessor of every token of texts that follow each other."""
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[np.cumsum(sizes) - sizes] = BEGIN
+    return before
+
+
+def _place(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Place of each value among the sorted ``known``, -1 where it is not there."""
+    if not len(known):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, at, -1)
+
+
+def _pair_counts(frequent: np.ndarray, batches):
+    """Training pairs of frequent words, each once a block with its count; the beginning counts as a frequent predecessor."""
+    ahead = np.sort(np.append(frequent, BEGIN))
+    for batch, lists in _blocks(batches):
+        lists = [x for x, train in zip(lists, batch["train"], strict=True) if train]
+        if lists:
+            word, sizes = np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
+            second, first = _place(frequent, word), _place(ahead, _before(word, sizes))
+            both = (second >= 0) & (first >= 0)
+            pair, count = np.unique(first[both] * len(frequent) + second[both], return_counts=True)
+            yield pd.DataFrame({"pair": pair, "n": count})
+
+
+@dataclass(frozen=True)
+class Common:
+    """Words and pairs that are counted beforehand, with the totals of the model; bounded lists."""
+
+    words: np.ndarray
+    counts: np.ndarray
+    pairs: np.ndarray  # predecessor's place among ``ahead`` times the number of words, plus the word's place
+    pair_counts: np.ndarray
+    total: int
+    distinct: int
+
+    @property
+    def ahead(self) -> np.ndarray:
+        return np.sort(np.append(self.words, BEGIN))
+
+    def hot(self, word: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Place of each token's pair among the common pairs, -1 for others."""
+        if not len(self.pairs):
+            return np.full(len(word), -1, np.int64)
+        second, first = _place(self.words, word), _place(self.ahead, before)
+        return np.where((second >= 0) & (first >= 0), _place(self.pairs, first * len(self.words) + second), -1)
+
+    def terms(self) -> tuple[np.ndarray, np.ndarray]:
+        """(base, gain) of a token of each common pair, as a shard would give them."""
+        second = self.pairs % max(len(self.words), 1)
+        count, k = self.counts[second], PRIOR / max(self.total, 1)
+        after = np.where(self.words[second] == END, 0.0, np.log10(count + k * (self.total + 0.1 * (self.distinct + 1))))
+        return np.log10(count + 0.1), np.log10(self.pair_counts + k * (count + 0.1)) - after
+
+
+def _deal(shards: int, common: Common, batches):
+    """Tokens of a block of documents by shard: words with run lengths, predecessors, documents.
+
+    Tokens of common pairs stay: the block adds their terms itself, so no shard
+    gets all of a pair that very many documents have.
+    """
     from pyspark import TaskContext
-    part = TaskContext.get().partitionId()
+    part, frequent = TaskContext.get().partitionId(), common.words
+    base_of, gain_of = common.terms()
     for number, (batch, lists) in enumerate(_blocks(batches)):
         sizes = np.array([len(x) for x in lists], np.int64)
         word = np.concatenate(lists)
         lists.clear()
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        before[np.cumsum(sizes) - sizes] = BEGIN
+        before = _before(word, sizes)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.uint16 if len(sizes) <= 65_535 else np.uint32), sizes)
+        hot = common.hot(word, before)
+        own, at = np.unique(doc[hot >= 0], return_inverse=True)
+        hot, rest = hot[hot >= 0], hot < 0
+        kept = (own.astype(np.uint32).tobytes(), np.bincount(at, base_of[hot], len(own)).tobytes(), np.bincount(at, gain_of[hot], len(own)).tobytes(),
+                np.bincount(at, minlength=len(own)).astype(np.uint32).tobytes())
+        word, before, doc = word[rest], before[rest], doc[rest]
         key = word.copy()
         if len(frequent):
             often = frequent[np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)] == word
@@ -299,30 +369,41 @@ def _deal(shards: int, frequent: np.ndarray, batches):
         shard = shard.astype(np.uint16 if shards < 65_536 else np.int64)
         del key
         before = (before >> np.uint64(32)).astype(np.uint32)
-        doc = np.repeat(np.arange(len(sizes), dtype=np.uint16 if len(sizes) <= 65_535 else np.uint32), sizes)
         order = np.argsort(shard, kind="stable")
         bounds = np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
         ids = whole_numbers(as_ids(batch["doc_id"]))
         head = np.concatenate([ids.to_numpy(np.int64, na_value=0), ids.isna().astype(np.int64), sizes, batch["train"].to_numpy(np.int64)]).tobytes()
         train = batch["train"].to_numpy(bool)
         rows = []
-        for s in np.flatnonzero(np.diff(bounds)):
+        for s in np.flatnonzero(np.diff(bounds)) if len(word) else [0]:  # the head needs a row
             mine = order[bounds[s]:bounds[s + 1]]
             mine = mine[np.argsort(word[mine], kind="stable")]
             own, runs = np.unique(word[mine], return_counts=True)
             there, place = np.unique(doc[mine], return_inverse=True)
             rows.append((int(s), (part << 24) + number, head, len(sizes), np.packbits(train[there]).tobytes(), own.tobytes(), runs.astype(np.uint32).tobytes(),
-                         before[mine].tobytes(), place.astype(doc.dtype).tobytes(), there.tobytes()))
+                         before[mine].tobytes(), place.astype(doc.dtype).tobytes(), there.tobytes(), *(kept if len(head) else [b""] * 4)))
             head = b""
-        yield pd.DataFrame(rows, columns=["shard", "block", "head", "docs", "train", "words", "runs", "before", "place", "doc"])
+        yield pd.DataFrame(rows, columns=["shard", "block", "head", "docs", "train", "words", "runs", "before", "place", "doc", *KEPT])
 
 
 # Documents that occur in a row, whether they are training texts, and for each token the place of its document among them.
-DEALT = "shard int, block long, head binary, docs int, train binary, words binary, runs binary, before binary, place binary, doc binary"
+# The first row of a block also brings its sums over common pairs.
+KEPT = ["kept_doc", "kept_base", "kept_gain", "kept_known"]
+DEALT = "shard int, block long, head binary, docs int, train binary, words binary, runs binary, before binary, place binary, doc binary, " + ", ".join(f"{c} binary" for c in KEPT)
+
+
+SCORED = ["block", "head", "docs", "doc", "base", "gain", "known"]
 
 
-def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distinct: int, rows: pd.DataFrame) -> pd.DataFrame:
+def _score(common: Common, rows: pd.DataFrame) -> pd.DataFrame:
     """Build the trie of one shard and sum its terms per block and document."""
+    frequent, frequent_counts, total, distinct = common.words, common.counts, common.total, common.distinct
+    out = [(block, b"", n, *kept) for block, n, *kept in zip(rows["block"], rows["docs"], *(rows[c] for c in KEPT), strict=True) if len(kept[0])]
+    bare = [len(w) == 0 for w in rows["words"]]  # heads of blocks that have only common pairs
+    out += [(block, head, n, b"", b"", b"", b"") for block, head, n, none in zip(rows["block"], rows["head"], rows["docs"], bare, strict=True) if none]
+    rows = rows[~np.array(bare, bool)].reset_index(drop=True)
+    if not len(rows):
+        return pd.DataFrame(out, columns=SCORED)
     narrow = [np.uint16 if n <= 65_535 else np.uint32 for n in rows["docs"]]
     lists = [np.frombuffer(w, np.uint64) for w in rows["words"]]
     vocabulary = np.unique(np.concatenate(lists))
@@ -352,14 +433,14 @@ def _score(frequent: np.ndarray, frequent_counts: np.ndarray, total: int, distin
     numerator, denominator = trie.lookup(vocabulary[owner], before)
     denominator[vocabulary[owner] == END] = 0.0  # nothing follows the end
     base, gain, known = np.log10(counts + 0.1)[owner], numerator - denominator, have[owner]
-    out, start = [], 0
+    start = 0
     for block, head, n, d, p in zip(blocks["block"], blocks["head"], blocks["docs"], doc, place, strict=True):
         end = start + len(p)
         mine = group[start:end]
         out.append((block, head, n, d.astype(np.uint32).tobytes(), np.bincount(p, base[mine], len(d)).tobytes(),
                     np.bincount(p, gain[mine], len(d)).tobytes(), np.bincount(p, known[mine], len(d)).astype(np.uint32).tobytes()))
         start = end
-    return pd.DataFrame(out, columns=["block", "head", "docs", "doc", "base", "gain", "known"])
+    return pd.DataFrame(out, columns=SCORED)
 
 
 def _gather(total: int, distinct: int, training_docs: int, rows: pd.DataFrame) -> pd.DataFrame:
@@ -399,10 +480,15 @@ def text_scores(documents: DataFrame, held_out: int = 0, folds: int = 10, shard_
     words = often["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
     frequent, counts = words[order], often["n"].to_numpy(np.int64)[order]
+    pairs = pd.DataFrame({"pair": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
+    if len(frequent):  # as many pairs at most, for the same reason
+        pairs = rows.mapInPandas(partial(_pair_counts, frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(
+            F.col("n") >= limit).toPandas().sort_values("pair")
+    common = Common(frequent, counts, pairs["pair"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64), total, distinct)
     shards = max(1, math.ceil(total * folds / max(folds - 1, 1) / shard_tokens))
-    dealt = rows.mapInPandas(partial(_deal, shards, frequent), DEALT)
+    dealt = rows.mapInPandas(partial(_deal, shards, common), DEALT)
     scored = dealt.groupBy("shard").applyInPandas(
-        partial(_score, frequent, counts, total, distinct), "block long, head binary, docs int, doc binary, base binary, gain binary, known binary")
+        partial(_score, common), "block long, head binary, docs int, doc binary, base binary, gain binary, known binary")
     return scored.groupBy("block").applyInPandas(
         partial(_gather, total, distinct, training_docs),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
