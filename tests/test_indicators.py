@@ -1,10 +1,12 @@
 """Indicators against pandas on hand-made series."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tickwell.operators import indicators as ind
 
@@ -96,3 +98,58 @@ def test_tick_indicators_same_on_both_paths(spark):
     assert list(plain.columns) == list(sliced.columns) and len(plain) == len(sliced) == n
     for c in plain.columns[5:]:
         np.testing.assert_allclose(plain[c].astype(float), sliced[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True, err_msg=c)
+
+
+def rsi_by_frames(df, price, w, window):
+    """The definition: means over sliding frames of the gains and losses."""
+    frame = ind.trailing(w, window)
+    d = F.col("_d")
+    moved = df.withColumns({"_d": ind.difference(price, w), "_seen": F.count(F.lit(1)).over(frame)})
+    rated = moved.withColumns({
+        "_gain": F.avg(F.when(d > 0, d).otherwise(0.0)).over(frame), "_loss": F.avg(F.when(d < 0, -d).otherwise(0.0)).over(frame)})
+    value = F.when(F.col("_loss") > 0, 100.0 - 100.0 / (1.0 + F.try_divide("_gain", "_loss"))).when(F.col("_gain") > 0, 100.0)
+    return rated.withColumn("rsi", F.when(F.col("_seen") == window, value))
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "int", "decimal(12,3)"])
+@pytest.mark.parametrize("spans,window,rsi", [((5, 10, 20, 50), 20, 14), ((3, 7), 5, 3), ((4,), 1, 1), ((1, 12), 6, 9)])
+def test_trailing_equals_sliding_frames(spark, kind, spans, window, rsi):
+    rng = np.random.default_rng(11)
+    rows = []
+    for symbol, n, gaps in (("A", 130, 0.0), ("B", 130, 0.1), ("C", 12, 0.5), ("D", 60, 1.0), (None, 40, 0.05)):
+        prices = np.where(np.arange(n) // 25 % 2, 100.0, 1e6 + rng.normal(0, 9, n).round(1).cumsum())
+        rows += [("X", symbol, DAY0 + dt.timedelta(days=i), None if rng.random() < gaps else float(p)) for i, p in enumerate(prices)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, data_date date, close_price double")
+    df = df.withColumn("close_price", F.col("close_price").cast(kind))
+    w = ind.series_window(ind.SERIES, ["data_date"])
+    want = rsi_by_frames(df, "close_price", w, rsi).withColumns({
+        **{f"m{n}": ind.sma("close_price", n, w) for n in spans}, **ind.bollinger("close_price", w, window)})
+    got = ind.add_trailing(df, "close_price", w, {f"m{n}": n for n in spans}, (window, 2.0), rsi=("rsi", rsi))
+    assert got.columns == [*df.columns, *[f"m{n}" for n in spans], "bb_upper", "bb_lower", "bb_middle", "rsi"]
+    assert dict(got.dtypes) == dict(want.select(got.columns).dtypes)
+    order = ["symbol", "data_date"]
+    got, want = got.orderBy(*order).toPandas(), want.orderBy(*order).toPandas()
+    assert len(got) == len(rows)
+    for c in got.columns[4:]:
+        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True, err_msg=c)
+
+
+def test_no_row_is_taken_up_again_for_each_row_behind_it(spark):
+    bars = series(spark, [1.0, 2.0])
+    for df in (ind.add_indicators(bars), ind.add_rsi(bars, "close_price", ind.SERIES, ["data_date"]),
+               ind.add_sma(bars, "close_price", ind.SERIES, ["data_date"], {"sma_5": 5, "sma_50": 50}),
+               ind.add_bollinger(bars, "close_price", ind.SERIES, ["data_date"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and not re.search(r"RowFrame, -\d+, currentrow", plan)
+
+
+def test_bundle_sorts_no_rows_that_carry_indicators(spark):
+    plan = ind.add_indicators(series(spark, [1.0, 2.0]))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Sort ["):]
+    assert plan.count("Sort [") == 2 and not re.search(r"sma_|bb_|rsi", below)
+
+
+def test_bundle_keeps_the_order_of_columns(spark):
+    bars = series(spark, [1.0, 2.0])
+    assert ind.add_indicators(bars).columns == [*bars.columns, *ind.INDICATORS]
+    assert ind.add_indicators(bars.select(F.lit(0).alias("rsi"), "*")).columns == ["rsi", *bars.columns, *[c for c in ind.INDICATORS if c != "rsi"]]

@@ -7,13 +7,18 @@ expressions on raw ticks through ``ordered.lookback_window``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwell.operators.ordered import MAX_GROUP_ROWS, SLICE_ROWS, lookback_window
 
 SERIES = ["exchange", "symbol"]
 SMA_SPANS = (5, 10, 20, 50)
+INDICATORS = [*[f"sma_{n}" for n in SMA_SPANS], "bb_upper", "bb_lower", "bb_middle", "price_change_pct", "rsi",
+              "ema_12", "ema_26", "macd", "macd_signal", "macd_histogram"]
 EMA_BLOCK = 512  # weights older than one block are below 1e-17 for spans up to 26
 EMA_LOOKBACK = 2 * EMA_BLOCK
 
@@ -54,6 +59,90 @@ def bollinger(price: str, w: WindowSpec, window: int = 20, num_std: float = 2.0)
     }
 
 
+def _step(widths: list[int]) -> int:
+    """The divisor of all widths that needs the fewest lags: step - 1 rows, then widest / step - 1 steps."""
+    common = math.gcd(*widths)
+    return min((d for d in range(1, common + 1) if common % d == 0), key=lambda d: d + max(widths) // d)
+
+
+def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int] | None = None,
+                 bands: tuple[int, float] | None = None, change: str | None = None,
+                 rsi: tuple[str, int] | None = None) -> DataFrame:
+    """Trailing means ``{out: rows}``, Bollinger bands, percent change and RSI in two passes over ``w``.
+
+    A sliding frame takes up every row of the frame again for each row.  Here
+    ``step`` rows are added up by lags, then those sums, ``step`` rows apart.
+    Nothing is taken out of a sum again, so the rounding is that of plain
+    sums.  Only counts, which are exact, are differences of running ones.
+    """
+    means = means or {}
+    summed = isinstance(df.schema[price].dataType, (T.DoubleType, T.FloatType, T.IntegralType))
+    widths = [*means.values(), *([bands[0]] if bands else [])] if summed else []
+    step, move = _step(widths or [1]), _step([rsi[1]]) if rsi else 0
+    x = [F.col(price), *[F.col(f"_x{i}") for i in range(1, max(step - 1, move) + 1)]]
+
+    def total(terms: list[Column]) -> Column:
+        return sum(terms[1:], terms[0])
+
+    def back(name: str, width: int, by: int) -> list[Column]:
+        return [F.col(name), *[F.col(f"{name}_{i}") for i in range(by, width, by)]]
+
+    near = {f"_x{i}": F.lag(price, i).over(w) for i in range(1, len(x))}
+    short, far, out = {}, {}, {}
+    if widths:
+        near["_c"] = F.count(price).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        known = [v.cast("double") for v in x[:step]]
+        short["_s"] = total([F.coalesce(v, F.lit(0.0)) for v in known])
+        far |= {f"_s_{i}": F.lag("_s", i, 0.0).over(w) for i in range(step, max(widths), step)}
+        far |= {f"_c_{n}": F.lag("_c", n, 0).over(w) for n in sorted(set(widths))}
+        if bands:
+            short["_q"] = total([(v - short["_s"] / step) * (v - short["_s"] / step) for v in known])
+            far |= {f"_q_{i}": F.lag("_q", i).over(w) for i in range(step, bands[0], step)}
+    if rsi:
+        near["_row"] = F.row_number().over(w)
+        moves = [x[i] - x[i + 1] for i in range(move)]
+        short["_up"] = total([F.when(d > 0, d).otherwise(0.0) for d in moves])
+        short["_down"] = total([F.when(d < 0, -d).otherwise(0.0) for d in moves])
+        far |= {f"{n}_{i}": F.lag(n, i).over(w) for n in ("_up", "_down") for i in range(move, rsi[1], move)}
+
+    for name, n in means.items():
+        count = F.col("_c") - F.col(f"_c_{n}") if summed else None
+        out[name] = F.when(count > 0, total(back("_s", n, step)) / count) if summed else sma(price, n, w)
+    if bands and summed:
+        n, num_std = bands
+        full, sums = F.col("_c") - F.col(f"_c_{n}") == n, back("_s", n, step)
+        middle = total(sums) / n
+        apart = total([(s / step - middle) * (s / step - middle) for s in sums]) * step
+        reach = F.sqrt(F.try_divide(total(back("_q", n, step)) + apart, F.lit(n - 1))) * num_std
+        out |= {
+            "bb_upper": F.when(full, middle + reach),
+            "bb_lower": F.when(full, middle - reach),
+            "bb_middle": F.when(full, middle),
+        }
+    elif bands:
+        out |= bollinger(price, w, *bands)
+    if change:
+        out[change] = percent_change(price, w)
+    if rsi:
+        name, n = rsi
+        gain, loss = total(back("_up", n, move)) / n, total(back("_down", n, move)) / n
+        value = F.when(loss > 0, 100.0 - 100.0 / (1.0 + F.try_divide(gain, loss))).when(gain > 0, 100.0)
+        out[name] = F.when(F.col("_row") >= n, value)
+    return df.withColumns(near).withColumns(short).drop(*[c for c in near if c.startswith("_x")]).withColumns(
+        far).withColumns(out).drop(*near, *short, *far)
+
+
+def add_sma(df: DataFrame, price: str, keys: list[str], order: list[str], means: dict[str, int]) -> DataFrame:
+    """Means of up to so many rows, ``{out: rows}``; the first rows use what is there."""
+    return add_trailing(df, price, series_window(keys, order), means)
+
+
+def add_bollinger(df: DataFrame, price: str, keys: list[str], order: list[str],
+                  window: int = 20, num_std: float = 2.0) -> DataFrame:
+    """Bands around the mean, as by ``bollinger``."""
+    return add_trailing(df, price, series_window(keys, order), bands=(window, num_std))
+
+
 def add_rsi(df: DataFrame, price: str, keys: list[str], order: list[str],
             window: int = 14, out: str = "rsi") -> DataFrame:
     """Relative strength from simple means of gains and losses.
@@ -61,14 +150,7 @@ def add_rsi(df: DataFrame, price: str, keys: list[str], order: list[str],
     The first row counts as no change, so the first value is on row ``window``.
     No losses gives 100; no movement at all gives NULL.
     """
-    w = series_window(keys, order)
-    frame = trailing(w, window)
-    moved = df.withColumns({"_delta": difference(price, w), "_seen": F.count(F.lit(1)).over(frame)})
-    gain = F.avg(F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(0.0)).over(frame)
-    loss = F.avg(F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(0.0)).over(frame)
-    rated = moved.withColumns({"_gain": gain, "_loss": loss})
-    value = F.when(F.col("_loss") > 0, 100.0 - 100.0 / (1.0 + F.try_divide("_gain", "_loss"))).when(F.col("_gain") > 0, 100.0)
-    return rated.withColumn(out, F.when(F.col("_seen") == window, value)).drop("_delta", "_seen", "_gain", "_loss")
+    return add_trailing(df, price, series_window(keys, order), rsi=(out, window))
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -88,13 +170,14 @@ def add_ema(df: DataFrame, keys: list[str], columns: dict[str, tuple[str, int]])
     """
     in_block = Window.partitionBy(*keys, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_blk", "_pos").rowsBetween(Window.unboundedPreceding, -1)
-    local, carry, result, helpers = {}, {}, {}, []
+    weight, local, carry, result = {}, {}, {}, {}
     for i, (out, (price, span)) in enumerate(columns.items()):
         keep = 1.0 - 2.0 / (span + 1)
         if keep ** EMA_BLOCK > 1e-16:
             raise ValueError(f"span {span} needs a longer block than {EMA_BLOCK} rows")
-        up, down = F.pow(F.lit(keep), -F.col("_off")), F.pow(F.lit(keep), F.col("_off"))
-        n, d = f"_n{i}", f"_d{i}"
+        weight[f"_w{i}"] = F.pow(F.lit(keep), F.col("_off"))
+        down, n, d = F.col(f"_w{i}"), f"_n{i}", f"_d{i}"
+        up = 1.0 / down
         local[n] = down * F.sum(F.coalesce(F.col(price) * up, F.lit(0.0))).over(in_block)
         local[d] = down * F.sum(F.when(F.col(price).isNotNull(), up).otherwise(0.0)).over(in_block)
         last_row = F.col("_off") == EMA_BLOCK - 1
@@ -102,26 +185,22 @@ def add_ema(df: DataFrame, keys: list[str], columns: dict[str, tuple[str, int]])
             carry[f"{x}c"] = F.coalesce(F.last(F.when(last_row, F.col(x)), ignorenulls=True).over(earlier), F.lit(0.0))
         older = down * keep
         result[out] = F.try_divide(F.col(n) + older * F.col(f"{n}c"), F.col(d) + older * F.col(f"{d}c"))
-        helpers += [n, d, f"{n}c", f"{d}c"]
-    return df.withColumns(local).withColumns(carry).withColumns(result).drop(*helpers)
+    return df.withColumns(weight).withColumns(local).withColumns(carry).withColumns(result).drop(*weight, *local, *carry)
 
 
 def add_indicators(df: DataFrame, price_col: str = "close_price", keys: list[str] | None = None,
                    order: list[str] | None = None) -> DataFrame:
     """Moving averages, MACD, RSI, Bollinger bands and percent change in one call."""
     keys, order = SERIES if keys is None else keys, order or ["data_date"]
-    w = series_window(keys, order)
-    out = df.withColumns({
-        **{f"sma_{n}": sma(price_col, n, w) for n in SMA_SPANS},
-        **bollinger(price_col, w),
-        "price_change_pct": percent_change(price_col, w),
-    })
-    out = add_rsi(out, price_col, keys, order)
-    out = with_position(out, keys, order)
+    # Positions come first, while rows are narrow: all that follows shares their one order.
+    out = with_position(df, keys, order)
     out = add_ema(out, keys, {"ema_12": (price_col, 12), "ema_26": (price_col, 26)})
-    out = out.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    out = add_ema(out, keys, {"macd_signal": ("macd", 9)})
-    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_pos", "_blk", "_off")
+    out = add_ema(out.withColumn("macd", F.col("ema_12") - F.col("ema_26")), keys, {"macd_signal": ("macd", 9)})
+    out = out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    out = add_trailing(
+        out, price_col, series_window(keys, ["_blk", "_pos"]), {f"sma_{n}": n for n in SMA_SPANS},
+        (20, 2.0), "price_change_pct", ("rsi", 14))
+    return out.select(*dict.fromkeys([*df.columns, *INDICATORS]))
 
 
 def tick_indicators(ticks: DataFrame, price_col: str = "price", keys: list[str] | None = None,
@@ -145,8 +224,7 @@ def price_timeseries(ticks: DataFrame, max_group_rows: int = MAX_GROUP_ROWS,
 
     def add(part: DataFrame, by: list[str]) -> DataFrame:
         w = series_window(by, order)
-        out = part.withColumns({"sma_10": sma("price", 10, w), "sma_50": sma("price", 50, w)})
-        return add_rsi(out, "price", by, order)
+        return add_trailing(part, "price", w, {"sma_10": 10, "sma_50": 50}, rsi=("rsi", 14))
 
     return lookback_window(priced, SERIES, order, 64, add, max_group_rows, slice_rows)
 

@@ -129,7 +129,8 @@ def _closes(t):
 
 
 def _trade_closes(t):
-    return bars.ohlcv(t.trades, ["exchange", "symbol", "data_date"], TRADE_ORDER).select(
+    # Symbol first: the order key of many columns makes this a sort, and exchanges are too few to tell rows apart.
+    return bars.ohlcv(t.trades, ["symbol", "exchange", "data_date"], TRADE_ORDER).select(
         "exchange", "symbol", "data_date", "close_price")
 
 
@@ -147,9 +148,8 @@ def _(t):
 SELECT *, avg(close_price) OVER (PARTITION BY exchange, symbol ORDER BY data_date ROWS 4 PRECEDING) AS sma_5,
  avg(close_price) OVER (PARTITION BY exchange, symbol ORDER BY data_date ROWS 49 PRECEDING) AS sma_50 FROM c""")
 def _(t):
-    w = indicators.series_window(indicators.SERIES, ["data_date"])
-    return _trade_closes(t).withColumns({
-        "sma_5": indicators.sma("close_price", 5, w), "sma_50": indicators.sma("close_price", 50, w)})
+    return indicators.add_sma(
+        _trade_closes(t), "close_price", indicators.SERIES, ["data_date"], {"sma_5": 5, "sma_50": 50})
 
 
 @register("win_07_08_ema_macd", f"""
@@ -170,8 +170,7 @@ def _(t):
 
 @register("win_10_bollinger", f"SELECT exchange, symbol, data_date, bb_upper, bb_lower, bb_middle FROM ({_bundle(TRADE_CLOSES)})")
 def _(t):
-    w = indicators.series_window(indicators.SERIES, ["data_date"])
-    return _trade_closes(t).withColumns(indicators.bollinger("close_price", w)).drop("close_price")
+    return indicators.add_bollinger(_trade_closes(t), "close_price", indicators.SERIES, ["data_date"]).drop("close_price")
 
 
 @register("win_11_12_changes", f"""WITH {CLOSES}
