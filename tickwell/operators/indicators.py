@@ -7,8 +7,6 @@ expressions on raw ticks through ``ordered.lookback_window``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,10 +57,9 @@ def bollinger(price: str, w: WindowSpec, window: int = 20, num_std: float = 2.0)
     }
 
 
-def _step(widths: list[int]) -> int:
-    """The divisor of all widths that needs the fewest lags: step - 1 rows, then widest / step - 1 steps."""
-    common = math.gcd(*widths)
-    return min((d for d in range(1, common + 1) if common % d == 0), key=lambda d: d + max(widths) // d)
+def _step(width: int) -> int:
+    """The divisor of a width that needs the fewest lags: step - 1 rows, then width / step - 1 steps."""
+    return min((d for d in range(1, width + 1) if width % d == 0), key=lambda d: d + width // d)
 
 
 def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int] | None = None,
@@ -70,15 +67,16 @@ def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int]
                  rsi: tuple[str, int] | None = None) -> DataFrame:
     """Trailing means ``{out: rows}``, Bollinger bands, percent change and RSI in two passes over ``w``.
 
-    A sliding frame takes up every row of the frame again for each row.  Here
-    ``step`` rows are added up by lags, then those sums, ``step`` rows apart.
-    Nothing is taken out of a sum again, so the rounding is that of plain
-    sums.  Only counts, which are exact, are differences of running ones.
+    A sliding frame takes up every row of the frame again for each row.  The
+    deviations, gains and losses are added up over ``step`` rows by lags, then
+    those sums, ``step`` rows apart.  Nothing is taken out of a sum again, so
+    nothing cancels; only counts, which are exact, are differences of running
+    ones.  Means stay frames, each width once: their sums keep their order,
+    and so their last digit.
     """
     means = means or {}
-    summed = isinstance(df.schema[price].dataType, (T.DoubleType, T.FloatType, T.IntegralType))
-    widths = [*means.values(), *([bands[0]] if bands else [])] if summed else []
-    step, move = _step(widths or [1]), _step([rsi[1]]) if rsi else 0
+    summed = bands and isinstance(df.schema[price].dataType, (T.DoubleType, T.FloatType, T.IntegralType))
+    step, move = _step(bands[0]) if summed else 1, _step(rsi[1]) if rsi else 0
     x = [F.col(price), *[F.col(f"_x{i}") for i in range(1, max(step - 1, move) + 1)]]
 
     def total(terms: list[Column]) -> Column:
@@ -89,15 +87,14 @@ def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int]
 
     near = {f"_x{i}": F.lag(price, i).over(w) for i in range(1, len(x))}
     short, far, out = {}, {}, {}
-    if widths:
-        near["_c"] = F.count(price).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    if summed:
+        n, num_std = bands
         known = [v.cast("double") for v in x[:step]]
-        short["_s"] = total([F.coalesce(v, F.lit(0.0)) for v in known])
-        far |= {f"_s_{i}": F.lag("_s", i, 0.0).over(w) for i in range(step, max(widths), step)}
-        far |= {f"_c_{n}": F.lag("_c", n, 0).over(w) for n in sorted(set(widths))}
-        if bands:
-            short["_q"] = total([(v - short["_s"] / step) * (v - short["_s"] / step) for v in known])
-            far |= {f"_q_{i}": F.lag("_q", i).over(w) for i in range(step, bands[0], step)}
+        near["_c"] = F.count(price).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        short["_s"] = total(known) / step
+        short["_q"] = total([(v - short["_s"]) * (v - short["_s"]) for v in known])
+        far["_before"] = F.lag("_c", n, 0).over(w)
+        far |= {f"{c}_{i}": F.lag(c, i).over(w) for c in ("_s", "_q") for i in range(step, n, step)}
     if rsi:
         near["_row"] = F.row_number().over(w)
         moves = [x[i] - x[i + 1] for i in range(move)]
@@ -105,14 +102,11 @@ def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int]
         short["_down"] = total([F.when(d < 0, -d).otherwise(0.0) for d in moves])
         far |= {f"{n}_{i}": F.lag(n, i).over(w) for n in ("_up", "_down") for i in range(move, rsi[1], move)}
 
-    for name, n in means.items():
-        count = F.col("_c") - F.col(f"_c_{n}") if summed else None
-        out[name] = F.when(count > 0, total(back("_s", n, step)) / count) if summed else sma(price, n, w)
-    if bands and summed:
-        n, num_std = bands
-        full, sums = F.col("_c") - F.col(f"_c_{n}") == n, back("_s", n, step)
-        middle = total(sums) / n
-        apart = total([(s / step - middle) * (s / step - middle) for s in sums]) * step
+    far |= {f"_m_{k}": sma(price, k, w) for k in {*means.values(), *([n] if summed else [])}}
+    out |= {name: F.col(f"_m_{k}") for name, k in means.items()}
+    if summed:
+        full, middle = F.col("_c") - F.col("_before") == n, F.col(f"_m_{n}")
+        apart = total([(m - middle) * (m - middle) for m in back("_s", n, step)]) * step
         reach = F.sqrt(F.try_divide(total(back("_q", n, step)) + apart, F.lit(n - 1))) * num_std
         out |= {
             "bb_upper": F.when(full, middle + reach),
@@ -132,11 +126,6 @@ def add_trailing(df: DataFrame, price: str, w: WindowSpec, means: dict[str, int]
         far).withColumns(out).drop(*near, *short, *far)
 
 
-def add_sma(df: DataFrame, price: str, keys: list[str], order: list[str], means: dict[str, int]) -> DataFrame:
-    """Means of up to so many rows, ``{out: rows}``; the first rows use what is there."""
-    return add_trailing(df, price, series_window(keys, order), means)
-
-
 def add_bollinger(df: DataFrame, price: str, keys: list[str], order: list[str],
                   window: int = 20, num_std: float = 2.0) -> DataFrame:
     """Bands around the mean, as by ``bollinger``."""
